@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -11,14 +12,43 @@ from tallycheck import fixed
 from tallycheck.functions.text import ColumnOrName, _col
 
 
+_FIELD = {"yyyy": r"\d{4}", "M": r"\d{1,2}", "d": r"\d{1,2}", "H": r"\d{1,2}", "m": r"\d{1,2}",
+          "s": r"\d{1,2}"}
+
+
+def layout_shape(fmt: str) -> str:
+    """Regular expression of the texts a datetime pattern can accept (letters
+    become digit runs, quoted text and separators stay literal)."""
+    out, i = "^", 0
+    while i < len(fmt):
+        ch = fmt[i]
+        if ch == "'":
+            j = fmt.index("'", i + 1)
+            out += re.escape(fmt[i + 1:j])
+            i = j + 1
+        elif ch.isalpha():
+            j = i
+            while j < len(fmt) and fmt[j] == ch:
+                j += 1
+            out += _FIELD.get(fmt[i:j], _FIELD.get(ch, r"\d+"))
+            i = j
+        else:
+            out += re.escape(ch)
+            i += 1
+    return out + "$"
+
+
 def parse_first(c: ColumnOrName, formats: Sequence[str] = fixed.RECEPTION_DATE_FORMATS) -> Column:
     """First layout that parses the whole text wins; none -> null. Input is not trimmed.
 
-    ``try_to_timestamp`` reads the text as session-local wall time; the cast back to
-    TIMESTAMP_NTZ returns that same wall time (the session runs in UTC).
+    Each layout is tried only on texts of its shape, so the parser is not
+    asked (and made to fail) once per layout for every row. ``try_to_timestamp``
+    reads the text as session-local wall time; the cast back to TIMESTAMP_NTZ
+    returns that same wall time (the session runs in UTC).
     """
     col = _col(c).cast("string")
-    return F.coalesce(*[F.try_to_timestamp(col, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    tries = [F.when(col.rlike(layout_shape(f)), F.try_to_timestamp(col, F.lit(f))) for f in formats]
+    return F.coalesce(*tries).cast("timestamp_ntz")
 
 
 def parse_instant(c: ColumnOrName) -> Column:

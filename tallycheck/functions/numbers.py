@@ -8,27 +8,28 @@ from pyspark.sql import functions as F
 from tallycheck.functions.text import ColumnOrName, _col, strip_ws
 
 _DIGITS = r"\d+(?:_\d+)*"
-_INT_TEXT = rf"^[+-]?{_DIGITS}$"
-_NUM_TEXT = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
+_NUM_TEXT = rf"(?U)^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
 
 
 def whole_number(c: ColumnOrName) -> Column:
     """Text -> BIGINT, strictly.
 
     Blank -> null; thousands commas removed; plain integers are cast exactly;
-    decimal or exponent forms are accepted only when the value is whole
-    ('12.0', '1e3'); fractions, words, 'inf', 'nan', '1d' and out-of-range
-    values -> null. Negative numbers are kept (checks flag them later).
+    decimal or exponent forms ('12.0', '1e3', digit groups '1_000') are
+    accepted only when the value is whole; fractions, words, 'inf', 'nan',
+    '1d' and values outside BIGINT -> null. Negative numbers are kept.
+
+    Fast path: text without a '.' goes straight to an integer cast (which
+    trims ASCII blanks and rejects anything but an optional sign and digits).
+    Only the rest is trimmed of all whitespace, shape-checked and parsed as an
+    exact decimal.
     """
-    t = F.regexp_replace(strip_ws(_col(c).cast("string")), ",", "")
-    bare = F.regexp_replace(t, "_", "")
-    as_double = bare.try_cast("double")
-    return (
-        F.when(t.rlike(_INT_TEXT), bare.try_cast("bigint"))
-        .when(t.rlike(_NUM_TEXT) & ((as_double % F.lit(1.0)) == F.lit(0.0)),
-              as_double.try_cast("bigint"))
-        .otherwise(F.lit(None).cast("bigint"))
-    )
+    t = F.replace(_col(c).cast("string"), F.lit(","), F.lit(""))
+    plain = F.when(~t.contains("."), t.try_cast("bigint"))
+    u = strip_ws(t)
+    d = F.replace(u, F.lit("_"), F.lit("")).try_cast("decimal(38,18)")
+    other = F.when(u.rlike(_NUM_TEXT) & (d == F.floor(d)), d.try_cast("bigint"))
+    return F.coalesce(plain, other)
 
 
 def safe_ratio(num: ColumnOrName, den: ColumnOrName, scale: int = 4,

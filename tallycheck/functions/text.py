@@ -12,10 +12,10 @@ from tallycheck import fixed
 
 ColumnOrName = Column | str
 
-# Whitespace as Python's str.strip() sees it: Unicode White_Space plus the
-# four information separators \x1c-\x1f.
+# Whitespace as Python's str.strip() sees it (Unicode White_Space plus the
+# information separators \x1c-\x1f), derived by rule rather than listed.
+WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 _WS = r"[\s\x1c-\x1f]"
-_EDGE_WS = rf"(?U)^{_WS}+|{_WS}+$"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -23,8 +23,12 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def strip_ws(c: ColumnOrName) -> Column:
-    """Remove leading and trailing whitespace of every kind (not just spaces)."""
-    return F.regexp_replace(_col(c), _EDGE_WS, "")
+    """Remove leading and trailing whitespace of every kind (not just spaces):
+    ``btrim`` with the explicit whitespace set, no regular expression.
+
+    Like every helper here it refers to its input once, so helpers can be
+    nested without the expression tree growing multiplicatively."""
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def clean_text(c: ColumnOrName) -> Column:
@@ -62,13 +66,10 @@ def _map_literal(mapping: Mapping[str, str]) -> Column:
 def normalize_geo(c: ColumnOrName, overrides: Mapping[str, str] = fixed.GEO_OVERRIDES) -> Column:
     """Geographic name for matching: null -> '', control characters and anything
     outside A-Z, 0-9 and whitespace become spaces, upper case, single spaces,
-    then the fixed override table."""
-    s = strip_ws(_col(c))
-    s = F.regexp_replace(s, r"[\x00-\x1f\x7f]", " ")
-    s = F.upper(s)
+    trimmed, then the fixed override table."""
+    s = F.regexp_replace(F.upper(_col(c)), r"[\x00-\x1f\x7f]", " ")
     s = F.regexp_replace(s, r"(?U)[^A-Z0-9\s]", " ")
-    s = strip_ws(F.regexp_replace(s, r"(?U)\s+", " "))
-    s = F.coalesce(s, F.lit(""))
+    s = F.coalesce(strip_ws(F.regexp_replace(s, r"(?U)\s+", " ")), F.lit(""))
     if not overrides:
         return s
     return F.coalesce(_map_literal(overrides)[s], s)

@@ -49,9 +49,10 @@ def _inline_guard(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
     # count(*) over (partition by keys) shares the hash partitioning of the
     # sort-merge join that follows, so the guard adds no shuffle; the filter
     # fails the job on the first repeated key.
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    counted = df.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     msg = F.concat(F.lit(f"[{side} side] duplicate comparison key: "), composite_key(*keys))
-    return df.filter(F.when(n > 1, F.raise_error(msg)).otherwise(F.lit(True)))
+    ok = F.when(F.col("_key_rows") > 1, F.raise_error(msg)).otherwise(F.lit(True))
+    return counted.filter(ok).drop("_key_rows")
 
 
 def classify(csv_exists: Column, qr_exists: Column, in_scope: Column,

@@ -382,7 +382,7 @@ def q_clean_text_nulls(spark, d):
              .when(size < 40, F.col("p_name"))
              .when(size <= 45, F.lit(""))
              .otherwise(F.lit(" \t  ")))
-    return p.select("p_partkey", clean_text(dirty).alias("CLEAN_NAME"))
+    return p.select("p_partkey", dirty.alias("_raw")).select("p_partkey", clean_text("_raw").alias("CLEAN_NAME"))
 
 
 @query("whole_number", """
@@ -406,7 +406,8 @@ def q_whole_number(spark, d):
             .when(ln == 5, F.concat(F.lit("-"), X.s("l_partkey"), F.lit(" ")))
             .when(ln == 6, F.concat(F.lit("n/a "), "l_returnflag"))
             .otherwise(F.lit("   ")))
-    return li.select("l_orderkey", "l_linenumber", whole_number(text).alias("PARSED"))
+    raw = li.select("l_orderkey", "l_linenumber", text.alias("_raw"))
+    return raw.select("l_orderkey", "l_linenumber", whole_number("_raw").alias("PARSED"))
 
 
 @query("parse_dates", """
@@ -416,7 +417,8 @@ def q_parse_dates(spark, d):
     """X11: first matching layout of six; the seventh layout is rejected."""
     o = X.table(spark, d, "orders")
     text = X.reception_text("o_orderdate", F.dayofweek("o_orderdate"))
-    return o.select("o_orderkey", parse_first(text).alias("RECEPTION_DATETIME"))
+    raw = o.select("o_orderkey", text.alias("_raw"))
+    return raw.select("o_orderkey", parse_first("_raw").alias("RECEPTION_DATETIME"))
 
 
 @query("flag_parse", """
@@ -425,7 +427,8 @@ FROM events""")
 def q_flag_parse(spark, d):
     """Trimmed, case-insensitive true/false/1/0; anything else -> null."""
     e = X.table(spark, d, "events")
-    return e.select("event_id", parse_flag(X.flag_text(F.col("event_type"))).alias("IS_DUPLICATE"))
+    raw = e.select("event_id", X.flag_text(F.col("event_type")).alias("_raw"))
+    return raw.select("event_id", parse_flag("_raw").alias("IS_DUPLICATE"))
 
 
 @query("geo_normalize", """
@@ -444,7 +447,7 @@ def q_geo_normalize(spark, d):
              .when(seg == "AUTOMOBILE", F.lit(None).cast("string"))
              .when(seg == "FURNITURE", F.concat(F.lit("\t"), "c_name", F.lit("\u0001x ")))
              .otherwise(F.lower("c_name")))
-    return c.select("c_custkey", normalize_geo(dirty).alias("GEO_NAME"))
+    return c.select("c_custkey", dirty.alias("_raw")).select("c_custkey", normalize_geo("_raw").alias("GEO_NAME"))
 
 
 @query("geo_alias", """
@@ -457,7 +460,7 @@ def q_geo_alias(spark, d):
     seg = F.col("c_mktsegment")
     name = (F.when(seg == "HOUSEHOLD", F.lit(" tagoloan ")).when(seg == "MACHINERY", F.lit("Tagoloan II"))
             .otherwise(F.col("c_name")))
-    return c.select("c_custkey", apply_alias(name).alias("ALIASED_NAME"))
+    return c.select("c_custkey", name.alias("_raw")).select("c_custkey", apply_alias("_raw").alias("ALIASED_NAME"))
 
 
 CANDIDATES_SQL = """
@@ -808,26 +811,26 @@ def q_check_qr_outside_scope(spark, d):
     return _issues(spark, d)["qr_outside_scope"]
 
 
-def _issues(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """The 20 checks over the driver-table views."""
-    precincts = X.precincts(spark, d)
-    results = X.results_lines(spark, d)
+def _issues(spark: SparkSession, d: str) -> election.LazyChecks:
+    """The 20 checks over the driver-table views (each built on first use)."""
+    from tallycheck.operators import checks as C
+
     ers = X.ers_events(spark, d)
     out = election.all_checks(
-        precincts=precincts,
+        precincts=X.precincts(spark, d),
         candidates=election.clean_candidates(X.raw_roster(spark, d)),
         contests=election.clean_contests(X.raw_contests_flags(spark, d)),
         parties=election.clean_parties(X.raw_parties(spark, d)),
-        results=results, ers=ers, ers_canon=election.er_canonical(ers), qr=X.qr_lines(spark, d),
-        ballot_map=X.flag_map(spark, d), scope=X.scope(spark), qr_side=X.qr_side(spark, d))
+        results=X.results_lines(spark, d), ers=ers, ers_canon=election.er_canonical(ers),
+        qr=X.qr_lines(spark, d), ballot_map=X.flag_map(spark, d), scope=X.scope(spark),
+        qr_side=X.qr_side(spark, d))
     # Two checks look at other views: duplicate precinct ids need a precinct
     # list whose ids repeat, and duplicate ballot-map keys the name-matched map.
-    by_customer = election.clean_precincts(X.raw_precincts_by_customer(spark, d))
-    from tallycheck.operators import checks as C
-    out["acm_id_duplicates"] = C.duplicate_rows(by_customer.filter(F.col("ACM_ID").isNotNull()), ["ACM_ID"],
-                                                (), fixed.DUPLICATE_ACM_ID)
-    out["ballot_map_duplicate_key"] = C.duplicate_rows(X.parts_map(spark, d), ["CONTEST_CODE", "BALLOT_POSITION"],
-                                                       (), fixed.DUPLICATE_BALLOT_MAP_KEY)
+    out["acm_id_duplicates"] = lambda: C.duplicate_rows(
+        election.clean_precincts(X.raw_precincts_by_customer(spark, d)).filter(F.col("ACM_ID").isNotNull()),
+        ["ACM_ID"], (), fixed.DUPLICATE_ACM_ID)
+    out["ballot_map_duplicate_key"] = lambda: C.duplicate_rows(
+        X.parts_map(spark, d), ["CONTEST_CODE", "BALLOT_POSITION"], (), fixed.DUPLICATE_BALLOT_MAP_KEY)
     return out
 
 

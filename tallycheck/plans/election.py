@@ -47,7 +47,7 @@ from tallycheck.operators import gate, rollups
 from tallycheck.operators.lookup import MAX_BROADCAST_ROWS, canonical_join, small
 from tallycheck.operators.reconcile import reconcile
 from tallycheck.session import checkpoint_dir, configure
-from tallycheck.sources.files import MissingReference, _exists, read_text_csv
+from tallycheck.sources.files import MissingReference, _exists, literal_table, read_text_csv
 from tallycheck.sources.sinks import write_table
 
 log = logging.getLogger(__name__)
@@ -191,7 +191,7 @@ def load_scope(spark: SparkSession, raw: DataFrame | None, environment: str = fi
         if environment == fixed.PRODUCTION:
             raise MissingReference("BLOCKING: qr_verification_scope.csv is missing in Production.")
         rows = [(c, "DEV_MOCK", None, True) for c in fixed.DEV_FALLBACK_SCOPE_CONTESTS]
-        return spark.createDataFrame(rows, SCOPE_SCHEMA)
+        return literal_table(spark, rows, SCOPE_SCHEMA)
     df = normalize_headers(raw)
     require(df, ["CONTEST_CODE"], "qr_verification_scope", MissingReference)
     df = df.withColumn("CONTEST_CODE", clean_text("CONTEST_CODE"))
@@ -228,7 +228,7 @@ def load_district_map(spark: SparkSession, raw: DataFrame | None,
     if raw is None:
         if environment == fixed.PRODUCTION:
             raise MissingReference("BLOCKING: qr_district_ballot_position_map.csv is missing in Production.")
-        return spark.createDataFrame([], DISTRICT_SCHEMA)
+        return literal_table(spark, [], DISTRICT_SCHEMA)
     df = normalize_headers(raw)
     require(df, ["CONTEST_CODE", "BALLOT_POSITION", "CANDIDATE_CODE"], "district map", MissingReference)
     df = df.withColumns({"CONTEST_CODE": clean_text("CONTEST_CODE"),
@@ -340,65 +340,93 @@ ROW_KEYS = {
 }
 
 
+class LazyChecks(Mapping):
+    """Check key -> problem-row DataFrame, each built on first access (building
+    one may run a bounded size check for a broadcast; unused checks cost nothing)."""
+
+    def __init__(self, builders: dict):
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, key: str) -> DataFrame:
+        if key not in self._built:
+            self._built[key] = self._builders[key]()
+        return self._built[key]
+
+    def __setitem__(self, key: str, value) -> None:
+        self._builders[key] = value if callable(value) else (lambda: value)
+        self._built.pop(key, None)
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def all_checks(*, precincts: DataFrame, candidates: DataFrame, contests: DataFrame, parties: DataFrame,
                results: DataFrame, ers: DataFrame, ers_canon: DataFrame, qr: DataFrame,
                ballot_map: DataFrame, scope: DataFrame, qr_side: DataFrame,
                environment: str = fixed.PRODUCTION,
-               max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> dict[str, DataFrame]:
+               max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> LazyChecks:
     """The 20 problem-row tables, keyed as in :data:`fixed.CHECKS`."""
     b = max_broadcast_rows
     res_key = ["PRECINCT_CODE", "CONTEST_CODE", "CANDIDATE_CODE"]
-    out: dict[str, DataFrame] = {}
-    out["result_duplicates"] = C.duplicate_rows(results, res_key, ["VOTES_AMOUNT"], fixed.DUPLICATE_RESULT_KEY)
-    out["missing_result_precincts"] = C.missing_from(
-        precincts, results, ["ACM_ID"], ["PRECINCT_CODE"], ["ACM_ID"],
-        fixed.PRECINCT_NOT_YET_IN_RESULTS, distinct=False, max_broadcast_rows=None)
-    out["result_party_unmatched"] = C.missing_from(
-        results.filter(F.col("PARTIES_CODE").isNotNull()), parties, ["PARTIES_CODE"], None,
-        ["PRECINCT_CODE", "CONTEST_CODE", "PARTIES_CODE"], fixed.PARTY_CODE_NOT_IN_MASTER, max_broadcast_rows=b)
-    out["result_candidate_unmatched"] = C.missing_from(
-        results, candidates, ["CONTEST_CANDIDATE_KEY"], None, [*res_key, "CONTEST_CANDIDATE_KEY"],
-        fixed.CONTEST_CANDIDATE_KEY_NOT_IN_MASTER, max_broadcast_rows=b)
-    out["result_precinct_unmatched"] = C.missing_from(
-        results, precincts, ["PRECINCT_CODE"], ["ACM_ID"], ["PRECINCT_CODE"], fixed.PRECINCT_NOT_IN_MASTER,
-        max_broadcast_rows=b)
-    out["repeated_contest_totals"] = C.inconsistent_values(
-        results, ["PRECINCT_CODE", "CONTEST_CODE"], ["NUMBER_VOTERS", "UNDER_VOTES", "OVER_VOTES"])
-    out["acm_id_duplicates"] = C.duplicate_rows(
-        precincts.filter(F.col("ACM_ID").isNotNull()), ["ACM_ID"], (), fixed.DUPLICATE_ACM_ID)
-    out["acm_id_missing"] = C.rows_where(precincts, F.col("ACM_ID").isNull(), None, fixed.MISSING_ACM_ID)
-    out["result_value_invalid"] = C.invalid_values(
-        results, res_key, ["VOTES_AMOUNT", "NUMBER_VOTERS", "UNDER_VOTES", "OVER_VOTES"])
-    if "RECEPTION_DATETIME" in results.columns:
-        out["reception_date_invalid"] = C.rows_where(
-            results, F.col("RECEPTION_DATETIME").isNull(), ["PRECINCT_CODE", "CONTEST_CODE", "RECEPTION_DATE"],
-            fixed.UNPARSEABLE_RECEPTION_DATE)
-    else:
-        out["reception_date_invalid"] = C.rows_where(
-            results, F.lit(True), ["PRECINCT_CODE"], fixed.RECEPTION_DATETIME_COLUMN_MISSING)
-    out["registered_voter_invalid"] = C.null_or_negative(
-        precincts, ["ACM_ID", "REGISTERED_VOTERS"], "REGISTERED_VOTERS", fixed.INVALID_REGISTERED_VOTERS)
     tables = {"precincts": precincts, "candidates": candidates, "parties": parties,
               "contests": contests, "results": results}
-    out["required_value_blanks"] = C.required_blanks(
-        {n: (df, REQUIRED[n], ROW_KEYS[n]) for n, df in tables.items()})
-    out["mobile_required_values"] = mobile_rule_counts(ers, qr)
-    out["qr_orphan_er"] = C.missing_from(qr, ers, ["ER_ID"], None, ["ER_ID"], fixed.ORPHAN_QR_ER_ID,
-                                         max_broadcast_rows=None)
-    out["multiple_canonical_er"] = C.count_above(ers_canon, "CLUSTERED_PRECINCT_ID", "ER_ID", "CANONICAL_COUNT",
-                                                 fixed.MULTIPLE_CANONICAL_ER_PER_PRECINCT)
-    out["duplicate_qr_choice"] = C.duplicate_rows(qr, ["ER_ID", "QR_RACE_CODE", "BALLOT_POSITION"], (),
-                                                  fixed.DUPLICATE_QR_CHOICE)
-    out["ballot_map_duplicate_key"] = C.duplicate_rows(ballot_map, ["CONTEST_CODE", "BALLOT_POSITION"], (),
-                                                       fixed.DUPLICATE_BALLOT_MAP_KEY)
-    out["scope_readiness"] = C.scope_readiness(
-        scope, "CONTEST_CODE", contests, "CONTEST_CODE", ballot_map, "CONTEST_CODE",
-        require_scope=environment == fixed.PRODUCTION, max_broadcast_rows=b)
-    out["unmapped_qr_choices"] = C.unmapped_choices(qr_side, "MAPPING_VALID",
-                                                    ["ER_ID", "QR_RACE_CODE", "BALLOT_POSITION"])
-    out["qr_outside_scope"] = C.outside_scope(qr_side, "MAPPING_VALID", "CONTEST_CODE", scope, "CONTEST_CODE",
-                                              max_broadcast_rows=b)
-    return out
+
+    def reception():
+        if "RECEPTION_DATETIME" in results.columns:
+            return C.rows_where(results, F.col("RECEPTION_DATETIME").isNull(),
+                                ["PRECINCT_CODE", "CONTEST_CODE", "RECEPTION_DATE"],
+                                fixed.UNPARSEABLE_RECEPTION_DATE)
+        return C.rows_where(results, F.lit(True), ["PRECINCT_CODE"], fixed.RECEPTION_DATETIME_COLUMN_MISSING)
+
+    return LazyChecks({
+        "result_duplicates": lambda: C.duplicate_rows(results, res_key, ["VOTES_AMOUNT"],
+                                                      fixed.DUPLICATE_RESULT_KEY),
+        "missing_result_precincts": lambda: C.missing_from(
+            precincts, results, ["ACM_ID"], ["PRECINCT_CODE"], ["ACM_ID"],
+            fixed.PRECINCT_NOT_YET_IN_RESULTS, distinct=False, max_broadcast_rows=None),
+        "result_party_unmatched": lambda: C.missing_from(
+            results.filter(F.col("PARTIES_CODE").isNotNull()), parties, ["PARTIES_CODE"], None,
+            ["PRECINCT_CODE", "CONTEST_CODE", "PARTIES_CODE"], fixed.PARTY_CODE_NOT_IN_MASTER,
+            max_broadcast_rows=b),
+        "result_candidate_unmatched": lambda: C.missing_from(
+            results, candidates, ["CONTEST_CANDIDATE_KEY"], None, [*res_key, "CONTEST_CANDIDATE_KEY"],
+            fixed.CONTEST_CANDIDATE_KEY_NOT_IN_MASTER, max_broadcast_rows=b),
+        "result_precinct_unmatched": lambda: C.missing_from(
+            results, precincts, ["PRECINCT_CODE"], ["ACM_ID"], ["PRECINCT_CODE"], fixed.PRECINCT_NOT_IN_MASTER,
+            max_broadcast_rows=b),
+        "repeated_contest_totals": lambda: C.inconsistent_values(
+            results, ["PRECINCT_CODE", "CONTEST_CODE"], ["NUMBER_VOTERS", "UNDER_VOTES", "OVER_VOTES"]),
+        "acm_id_duplicates": lambda: C.duplicate_rows(
+            precincts.filter(F.col("ACM_ID").isNotNull()), ["ACM_ID"], (), fixed.DUPLICATE_ACM_ID),
+        "acm_id_missing": lambda: C.rows_where(precincts, F.col("ACM_ID").isNull(), None, fixed.MISSING_ACM_ID),
+        "result_value_invalid": lambda: C.invalid_values(
+            results, res_key, ["VOTES_AMOUNT", "NUMBER_VOTERS", "UNDER_VOTES", "OVER_VOTES"]),
+        "reception_date_invalid": reception,
+        "registered_voter_invalid": lambda: C.null_or_negative(
+            precincts, ["ACM_ID", "REGISTERED_VOTERS"], "REGISTERED_VOTERS", fixed.INVALID_REGISTERED_VOTERS),
+        "required_value_blanks": lambda: C.required_blanks(
+            {n: (df, REQUIRED[n], ROW_KEYS[n]) for n, df in tables.items()}),
+        "mobile_required_values": lambda: mobile_rule_counts(ers, qr),
+        "qr_orphan_er": lambda: C.missing_from(qr, ers, ["ER_ID"], None, ["ER_ID"], fixed.ORPHAN_QR_ER_ID,
+                                               max_broadcast_rows=None),
+        "multiple_canonical_er": lambda: C.count_above(
+            ers_canon, "CLUSTERED_PRECINCT_ID", "ER_ID", "CANONICAL_COUNT", fixed.MULTIPLE_CANONICAL_ER_PER_PRECINCT),
+        "duplicate_qr_choice": lambda: C.duplicate_rows(
+            qr, ["ER_ID", "QR_RACE_CODE", "BALLOT_POSITION"], (), fixed.DUPLICATE_QR_CHOICE),
+        "ballot_map_duplicate_key": lambda: C.duplicate_rows(
+            ballot_map, ["CONTEST_CODE", "BALLOT_POSITION"], (), fixed.DUPLICATE_BALLOT_MAP_KEY),
+        "scope_readiness": lambda: C.scope_readiness(
+            scope, "CONTEST_CODE", contests, "CONTEST_CODE", ballot_map, "CONTEST_CODE",
+            require_scope=environment == fixed.PRODUCTION, max_broadcast_rows=b),
+        "unmapped_qr_choices": lambda: C.unmapped_choices(
+            qr_side, "MAPPING_VALID", ["ER_ID", "QR_RACE_CODE", "BALLOT_POSITION"]),
+        "qr_outside_scope": lambda: C.outside_scope(
+            qr_side, "MAPPING_VALID", "CONTEST_CODE", scope, "CONTEST_CODE", max_broadcast_rows=b),
+    })
 
 
 def mobile_rule_counts(ers: DataFrame, qr: DataFrame) -> DataFrame:
@@ -474,8 +502,8 @@ def run(spark: SparkSession, input_root: str, output_root: str | None = None,
     raw_er, raw_qr = read("ers", optional=True), read("qr", optional=True)
     if raw_er is None or raw_qr is None:
         log.warning("mobile sources absent: QR verification runs with empty QR tables")
-        raw_er = spark.createDataFrame([], ER_SCHEMA)
-        raw_qr = spark.createDataFrame([], QR_SCHEMA)
+        raw_er = literal_table(spark, [], ER_SCHEMA)
+        raw_qr = literal_table(spark, [], QR_SCHEMA)
     t["mobile_election_returns"] = clean_mobile_ers(raw_er, environment)
     t["mobile_election_returns_canonical"] = er_canonical(t["mobile_election_returns"])
     t["mobile_qr_results"] = clean_mobile_qr(raw_qr, environment)
@@ -516,7 +544,7 @@ def run(spark: SparkSession, input_root: str, output_root: str | None = None,
     counts = gate.issue_counts(gate.catalogue(r.issues))
     # One job computes all 20 counts; the 20 resulting rows are reused by the
     # summary and the gate instead of re-running every check twice.
-    counts = spark.createDataFrame(counts.collect(), counts.schema)
+    counts = literal_table(spark, counts.collect(), counts.schema)
     r.summary = gate.summarize(counts)
     r.gate = gate.decide(r.summary, environment, run_info=True)
     r.decision = r.gate.select("PUBLICATION_DECISION").first()[0]

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycheck.plans import election
+from tallycheck.sources.files import literal_table
 
 # The verification scope used by the catalogue: one contest that exists and
 # one that does not (so the readiness check has something to report).
@@ -186,7 +187,7 @@ def raw_district_flags(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scope(spark: SparkSession) -> DataFrame:
-    raw = spark.createDataFrame([(c,) for c in SCOPE_CONTESTS], "CONTEST_CODE string")
+    raw = literal_table(spark, [(c,) for c in SCOPE_CONTESTS], "CONTEST_CODE string")
     return election.load_scope(spark, raw)
 
 
@@ -275,8 +276,8 @@ def qr_lines(spark, d):
 def flag_map(spark, d):
     """Ballot map of the QR tally (district entries only)."""
     district = election.load_district_map(spark, raw_district_flags(spark, d))
-    cand = spark.createDataFrame([], "CONTEST_CODE string, CANDIDATE_CODE string, CANDIDATE_NAME string")
-    region = spark.createDataFrame([], "CONTEST_CODE string, BALLOT_NO bigint, CANONICAL_BALLOT_NAME string, "
+    cand = literal_table(spark, [], "CONTEST_CODE string, CANDIDATE_CODE string, CANDIDATE_NAME string")
+    region = literal_table(spark, [], "CONTEST_CODE string, BALLOT_NO bigint, CANONICAL_BALLOT_NAME string, "
                                        "ENTRY_TYPE string")
     return election.ballot_choice_map(cand, region, district)
 

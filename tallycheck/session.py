@@ -29,6 +29,7 @@ def get_session(master: str | None = None, app: str = "tallycheck",
     cpus = os.environ.get("BENCH_CPUS", "8")
     b = (SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "16g")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))

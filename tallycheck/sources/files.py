@@ -47,14 +47,23 @@ def read_text_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] = (),
     return df
 
 
-def empty_table(spark: SparkSession, schema: StructType | str) -> DataFrame:
-    """Typed, empty stand-in for an optional source that is absent."""
-    return spark.createDataFrame([], schema)
+def _struct_type(schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
-    """Small inline table (fallbacks, fixed lists)."""
-    return spark.createDataFrame(list(rows), schema)
+    """Small inline table (fallbacks, fixed lists), built JVM-side as literal
+    structs: no Python RDD, no Python worker."""
+    st = _struct_type(schema)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+def empty_table(spark: SparkSession, schema: StructType | str) -> DataFrame:
+    """Typed, empty stand-in for an optional source that is absent."""
+    return literal_table(spark, [], schema)
 
 
 def read_with_policy(spark: SparkSession, path: str, on_missing: str = "raise",
