@@ -9,6 +9,8 @@ side turns out small).
 
 from __future__ import annotations
 
+import time
+from collections import OrderedDict
 from collections.abc import Sequence
 from functools import reduce
 
@@ -19,16 +21,33 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 
 
+# Size decisions per (plan, bound), kept for a few minutes so one lookup table
+# used by several joins of a job is counted once.
+_DECISIONS: OrderedDict[tuple, tuple[float, bool]] = OrderedDict()
+_DECISION_TTL_S = 300.0
+
+
 def small(df: DataFrame, max_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check is one bounded job (``limit(max_rows + 1).count()``). ``max_rows=None``
-    skips the check and leaves the choice to the planner.
+    The check is one bounded job (``limit(max_rows + 1).count()``: it stops
+    reading once the bound is passed). ``max_rows=None`` skips the check and
+    leaves the choice to the planner (static size estimate, then AQE's runtime
+    conversion to a broadcast join when a shuffled side turns out small).
     """
     if max_rows is None:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    now = time.monotonic()
+    hit = _DECISIONS.get(key)
+    if hit is None or now - hit[0] > _DECISION_TTL_S:
+        fits = df.limit(max_rows + 1).count() <= max_rows
+        _DECISIONS[key] = (now, fits)
+        while len(_DECISIONS) > 512:
+            _DECISIONS.popitem(last=False)
+    else:
+        fits = hit[1]
+    return F.broadcast(df) if fits else df
 
 
 def _pairs(left_on: Sequence[str], right_on: Sequence[str] | None) -> list[tuple[str, str]]:

@@ -45,12 +45,20 @@ def assert_unique(sides: Mapping[str, DataFrame], keys: Sequence[str], sample: i
                 f"full outer join. Sample duplicate keys: {shown}")
 
 
+GUARD_MESSAGE = "duplicate comparison key"
+
+
+def is_guard_failure(exc: BaseException) -> bool:
+    """True when a failed job was stopped by the inline uniqueness guard."""
+    return GUARD_MESSAGE in str(exc)
+
+
 def _inline_guard(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
     # count(*) over (partition by keys) shares the hash partitioning of the
     # sort-merge join that follows, so the guard adds no shuffle; the filter
     # fails the job on the first repeated key.
     counted = df.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    msg = F.concat(F.lit(f"[{side} side] duplicate comparison key: "), composite_key(*keys))
+    msg = F.concat(F.lit(f"[{side} side] {GUARD_MESSAGE}: "), composite_key(*keys))
     ok = F.when(F.col("_key_rows") > 1, F.raise_error(msg)).otherwise(F.lit(True))
     return counted.filter(ok).drop("_key_rows")
 
@@ -84,7 +92,7 @@ def status_sort(status: Column) -> Column:
 def reconcile(csv: DataFrame, qr: DataFrame, keys: Sequence[str], *,
               csv_votes: str, qr_votes: str,
               scope: DataFrame | None = None, scope_on: str | None = None, scope_key: str | None = None,
-              carry: Sequence[str] = (), guard: str = "eager",
+              carry: Sequence[str] = (), guard: str = "inline",
               environment: str = fixed.PRODUCTION,
               max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
     """Full outer join of two sources on ``keys`` explaining every row.
@@ -94,10 +102,11 @@ def reconcile(csv: DataFrame, qr: DataFrame, keys: Sequence[str], *,
     on both sides are resolved from whichever side has them. The scope flag is
     ``scope_on`` (one of ``keys``) being among ``scope[scope_key]``.
 
-    ``guard``: ``"eager"`` runs :func:`assert_unique` first (one extra job,
-    reference behaviour: abort with samples before anything is joined);
-    ``"inline"`` fails inside the join job instead, at no extra shuffle;
-    ``"off"`` trusts the caller.
+    ``guard``: ``"inline"`` (default) fails the join job itself on the first
+    repeated key, at no extra shuffle (the per-key count shares the join's hash
+    partitioning); ``"eager"`` runs :func:`assert_unique` first (one extra job
+    over both sides, aborting with the number of repeated keys and samples
+    before anything is joined); ``"off"`` trusts the caller.
     """
     keys = list(keys)
     csv = csv.dropna(subset=keys)

@@ -811,6 +811,7 @@ def q_check_qr_outside_scope(spark, d):
     return _issues(spark, d)["qr_outside_scope"]
 
 
+@X.shared
 def _issues(spark: SparkSession, d: str) -> election.LazyChecks:
     """The 20 checks over the driver-table views (each built on first use)."""
     from tallycheck.operators import checks as C

@@ -45,7 +45,7 @@ from tallycheck.functions import (
 from tallycheck.operators import checks as C
 from tallycheck.operators import gate, rollups
 from tallycheck.operators.lookup import MAX_BROADCAST_ROWS, canonical_join, small
-from tallycheck.operators.reconcile import reconcile
+from tallycheck.operators.reconcile import assert_unique, is_guard_failure, reconcile
 from tallycheck.session import checkpoint_dir, configure
 from tallycheck.sources.files import MissingReference, _exists, literal_table, read_text_csv
 from tallycheck.sources.sinks import write_table
@@ -147,11 +147,11 @@ def clean_mobile_ers(raw: DataFrame, environment: str = fixed.PRODUCTION) -> Dat
 
 
 def er_canonical(ers: DataFrame) -> DataFrame:
-    """Canonical submissions: IS_DUPLICATE is false (null flags drop out)."""
+    """Canonical submissions: IS_DUPLICATE is false (null flags drop out).
+    Expects :func:`clean_mobile_ers` output (ids already trimmed)."""
     return ers.filter(F.col("IS_DUPLICATE") == F.lit(False)).withColumns({
         "IS_CANONICAL": F.lit(True),
         "SUBMISSION_STATUS": F.lit(fixed.SUBMISSION_CANONICAL),
-        "CLUSTERED_PRECINCT_ID": clean_text("CLUSTERED_PRECINCT_ID"),
     })
 
 
@@ -266,10 +266,13 @@ def ballot_choice_map(candidates: DataFrame, region_wide: DataFrame, district: D
 # --------------------------------------------------------------------------- verification
 
 def build_csv_side(results: DataFrame, environment: str = fixed.PRODUCTION) -> DataFrame:
+    """Transmitted side of the comparison, from a cleaned results snapshot
+    (:func:`clean_results`): its codes are already trimmed (re-cleaning is a
+    no-op, so it is not repeated per row)."""
     df = results.select(
-        clean_text("PRECINCT_CODE").alias("CLUSTERED_PRECINCT_ID"),
-        clean_text("CONTEST_CODE").alias("CSV_CONTEST_CODE"),
-        clean_text("CANDIDATE_CODE").alias("CSV_CANDIDATE_CODE"),
+        F.col("PRECINCT_CODE").alias("CLUSTERED_PRECINCT_ID"),
+        F.col("CONTEST_CODE").alias("CSV_CONTEST_CODE"),
+        F.col("CANDIDATE_CODE").alias("CSV_CANDIDATE_CODE"),
         "CONTEST_CANDIDATE_KEY", F.col("VOTES_AMOUNT").alias("CSV_VOTES"))
     return df.select(
         composite_key("CLUSTERED_PRECINCT_ID", "CSV_CONTEST_CODE", "CSV_CANDIDATE_CODE").alias("COMPARISON_KEY"),
@@ -281,15 +284,18 @@ def build_qr_side(qr_canon: DataFrame, ballot_map: DataFrame, environment: str =
                   max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
     """Map canonical QR rows to (contest, candidate) through the ballot map.
     Unmapped rows stay, with MAPPING_VALID = false, for the checks to report."""
-    qr = qr_canon.withColumns({"QR_RACE_CODE": clean_text("QR_RACE_CODE"),
-                               "BALLOT_POSITION": whole_number(F.col("BALLOT_POSITION").cast("string"))})
+    # codes and numbers arrive cleaned and typed from clean_mobile_qr; a text
+    # position (other callers) is parsed here
+    qr = qr_canon
+    if dict(qr.dtypes).get("BALLOT_POSITION") == "string":
+        qr = qr.withColumn("BALLOT_POSITION", whole_number("BALLOT_POSITION"))
     bmap = ballot_map.select(F.col("CONTEST_CODE").alias("QR_RACE_CODE"), "BALLOT_POSITION",
                              "CANDIDATE_CODE", "CHOICE_TYPE", "MAPPING_SOURCE")
     precinct = "ER_CLUSTERED_PRECINCT_ID" if "ER_CLUSTERED_PRECINCT_ID" in qr.columns else "CLUSTERED_PRECINCT_ID"
     m = qr.drop("CANDIDATE_CODE", "CONTEST_CODE", "CHOICE_TYPE", "MAPPING_SOURCE").join(
         small(bmap, max_broadcast_rows), ["QR_RACE_CODE", "BALLOT_POSITION"], "left")
     m = m.withColumns({"CONTEST_CODE": F.col("QR_RACE_CODE"),
-                       "CLUSTERED_PRECINCT_ID": clean_text(precinct)})
+                       "CLUSTERED_PRECINCT_ID": F.col(precinct)})
     m = m.withColumns({
         "CONTEST_CANDIDATE_KEY": lenient_key("CONTEST_CODE", "CANDIDATE_CODE"),
         "COMPARISON_KEY": lenient_key("CLUSTERED_PRECINCT_ID", "CONTEST_CODE", "CANDIDATE_CODE"),
@@ -303,7 +309,7 @@ def build_qr_side(qr_canon: DataFrame, ballot_map: DataFrame, environment: str =
     return m
 
 
-def run_verification(csv_side: DataFrame, qr_side: DataFrame, scope: DataFrame, guard: str = "eager",
+def run_verification(csv_side: DataFrame, qr_side: DataFrame, scope: DataFrame, guard: str = "inline",
                      environment: str = fixed.PRODUCTION,
                      max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
     """verification_comparison: one row per key present on either side."""
@@ -471,7 +477,7 @@ class RunResult:
 
 
 def run(spark: SparkSession, input_root: str, output_root: str | None = None,
-        environment: str = fixed.PRODUCTION, guard: str = "eager", fmt: str = "csv",
+        environment: str = fixed.PRODUCTION, guard: str = "inline", fmt: str = "csv",
         paths: Mapping[str, str] | None = None) -> RunResult:
     """Clean, map, reconcile, roll up, check, decide; then export.
 
@@ -518,8 +524,22 @@ def run(spark: SparkSession, input_root: str, output_root: str | None = None,
     csv_side = build_csv_side(t["results_snapshot"], environment)
     qr_side = build_qr_side(t["mobile_qr_results_canonical"], bmap, environment)
     comparison = run_verification(csv_side, qr_side, scope, guard, environment)
-    if checkpoint_dir(spark):
-        comparison = comparison.checkpoint(eager=True)
+    try:
+        # Materialise once: every rollup and two checks reread it. A reliable
+        # checkpoint cuts the lineage (survives lost executors); without a
+        # checkpoint folder the table is persisted instead.
+        if checkpoint_dir(spark):
+            comparison = comparison.checkpoint(eager=True)
+        else:
+            comparison = comparison.persist()
+            comparison.count()
+    except Exception as exc:
+        if is_guard_failure(exc):
+            # Same report as the eager guard: side, number of keys, samples.
+            csv = csv_side.withColumnsRenamed({"CSV_CONTEST_CODE": "CONTEST_CODE",
+                                               "CSV_CANDIDATE_CODE": "CANDIDATE_CODE"}).dropna(subset=KEYS)
+            assert_unique({"CSV": csv, "QR": qr_side.filter(F.col("MAPPING_VALID") == F.lit(True))}, KEYS)
+        raise
     t["verification_comparison"] = comparison
 
     t["dashboard_reporting_by_precinct"] = rollups.reporting_by_entity(

@@ -16,6 +16,9 @@ segment, status, tax, ...), never by sampling rows. Roles:
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,22 @@ from tallycheck.sources.files import literal_table
 SCOPE_CONTESTS = ("R", "Z")
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def shared_plan(fn):
+    """Build a view once per (session, folder): the same DataFrame object is
+    used by every consumer, so identical sub-plans (and their exchanges) are
+    recognised and reused by Spark within a query."""
+    @functools.wraps(fn)
+    def build(spark: SparkSession, d: str):
+        key = (fn.__name__, id(spark), spark.sparkContext.applicationId, d)
+        if key not in _PLANS:
+            _PLANS[key] = fn(spark, d)
+        return _PLANS[key]
+    return build
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
 
@@ -72,13 +91,25 @@ def raw_results_lines(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@shared_plan
+def line_tally(spark: SparkSession, d: str) -> DataFrame:
+    """One pass over line items at the comparison grain (order, flag, line
+    number) carrying what both tallies need; every tally below derives from
+    this same plan, so Spark scans and aggregates the line items once and
+    reuses the exchange."""
+    li = table(spark, d, "lineitem")
+    return li.groupBy("l_orderkey", "l_returnflag", "l_linenumber").agg(
+        F.sum("l_quantity").alias("q"), F.max("l_discount").alias("md"), F.count(F.lit(1)).alias("n"),
+        F.min("l_shipdate").alias("sd"),
+        F.sum(F.when(F.col("l_tax") > 0, F.col("l_quantity"))).alias("qr_q"),
+        F.count_if(F.col("l_tax") > 0).alias("qr_n"))
+
+
 def raw_results_tally(spark: SparkSession, d: str) -> DataFrame:
     """Transmitted results at the comparison grain (one row per order, flag,
     line number); the tally is unreadable ('n/a') where a line carries the top
     discount."""
-    g = (table(spark, d, "lineitem").groupBy("l_orderkey", "l_returnflag", "l_linenumber")
-         .agg(F.sum("l_quantity").alias("q"), F.max("l_discount").alias("md"),
-              F.count(F.lit(1)).alias("n"), F.min("l_shipdate").alias("sd")))
+    g = line_tally(spark, d)
     return g.select(
         s("l_orderkey").alias("PRECINCT_CODE"), F.col("l_returnflag").alias("CONTEST_CODE"),
         s("l_linenumber").alias("CANDIDATE_CODE"),
@@ -180,7 +211,7 @@ def raw_district_parts(spark: SparkSession, d: str) -> DataFrame:
 def raw_district_flags(spark: SparkSession, d: str) -> DataFrame:
     """Approved map of the QR tally: (flag, line number) -> candidate, for every
     contest but 'N' (whose QR choices therefore stay unmapped)."""
-    r = table(spark, d, "lineitem").filter(F.col("l_returnflag") != "N").select(
+    r = line_tally(spark, d).filter(F.col("l_returnflag") != "N").select(
         "l_returnflag", "l_linenumber").distinct()
     return r.select(F.col("l_returnflag").alias("CONTEST_CODE"), s("l_linenumber").alias("BALLOT_POSITION"),
                     s("l_linenumber").alias("CANDIDATE_CODE"))
@@ -219,13 +250,12 @@ def raw_ers_events(spark: SparkSession, d: str) -> DataFrame:
 def raw_qr_tally(spark: SparkSession, d: str) -> DataFrame:
     """QR tally rows: line items with non-zero tax at the comparison grain, and
     a single (A, 1) row for each order without line items."""
-    li = table(spark, d, "lineitem")
-    g = (li.filter(F.col("l_tax") > 0).groupBy("l_orderkey", "l_returnflag", "l_linenumber")
-         .agg(F.sum("l_quantity").alias("q")))
-    a = g.select(s("l_orderkey").alias("ER_ID"), F.col("l_returnflag").alias("DISTRICT_CODE"),
-                 s("l_linenumber").alias("CANDIDATE_NO"), s(F.col("q").cast("bigint")).alias("VOTES"))
+    g = line_tally(spark, d)
+    a = g.filter(F.col("qr_n") > 0).select(
+        s("l_orderkey").alias("ER_ID"), F.col("l_returnflag").alias("DISTRICT_CODE"),
+        s("l_linenumber").alias("CANDIDATE_NO"), s(F.col("qr_q").cast("bigint")).alias("VOTES"))
     o = table(spark, d, "orders")
-    lonely = o.join(li.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti")
+    lonely = o.join(g.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti")
     b = lonely.select(s("o_orderkey").alias("ER_ID"), F.lit("A").alias("DISTRICT_CODE"),
                       F.lit("1").alias("CANDIDATE_NO"), F.lit("1").alias("VOTES"))
     return a.unionByName(b)
@@ -243,36 +273,66 @@ def raw_qr_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- cleaned chains
+#
+# The cleaned views below are lazy plans shared by many catalogue queries (as
+# one pipeline run shares them). Each is built once per (session, folder) and
+# reused: only the plan is kept, every query still executes it in full.
+
+_VIEWS: dict[tuple, DataFrame] = {}
+
+
+def shared(fn: Callable) -> Callable:
+    @functools.wraps(fn)
+    def build(spark: SparkSession, d: str, *args):
+        key = (fn.__name__, id(spark), spark.sparkContext.applicationId, d, args)
+        if key not in _VIEWS:
+            _VIEWS[key] = fn(spark, d, *args)
+        return _VIEWS[key]
+    return build
+
+
+def clear_views() -> None:
+    _VIEWS.clear()
+    _PLANS.clear()
+
 
+@shared
 def precincts(spark, d):
     return election.clean_precincts(raw_precincts(spark, d))
 
 
+@shared
 def results_lines(spark, d):
     return election.clean_results(raw_results_lines(spark, d), source_file=None)
 
 
+@shared
 def results_tally(spark, d):
     return election.clean_results(raw_results_tally(spark, d))
 
 
+@shared
 def ers_orders(spark, d):
     return election.clean_mobile_ers(raw_ers_orders(spark, d))
 
 
+@shared
 def ers_events(spark, d):
     return election.clean_mobile_ers(raw_ers_events(spark, d))
 
 
+@shared
 def qr_tally_canonical(spark, d):
     return election.qr_canonical(election.clean_mobile_qr(raw_qr_tally(spark, d)),
                                  election.er_canonical(ers_orders(spark, d)))
 
 
+@shared
 def qr_lines(spark, d):
     return election.clean_mobile_qr(raw_qr_lines(spark, d))
 
 
+@shared
 def flag_map(spark, d):
     """Ballot map of the QR tally (district entries only)."""
     district = election.load_district_map(spark, raw_district_flags(spark, d))
@@ -282,6 +342,7 @@ def flag_map(spark, d):
     return election.ballot_choice_map(cand, region, district)
 
 
+@shared
 def parts_map(spark, d):
     """Ballot map over parts: region-wide names matched to candidates, plus the
     approved district entries."""
@@ -291,10 +352,12 @@ def parts_map(spark, d):
     return election.ballot_choice_map(cand, region, district)
 
 
+@shared
 def qr_side(spark, d):
     return election.build_qr_side(qr_tally_canonical(spark, d), flag_map(spark, d))
 
 
-def comparison(spark, d, guard: str = "eager"):
+@shared
+def comparison(spark, d, guard: str = "inline"):
     csv_side = election.build_csv_side(results_tally(spark, d))
     return election.run_verification(csv_side, qr_side(spark, d), scope(spark), guard=guard)
