@@ -9,6 +9,7 @@ global numbers attached as scalar subqueries.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,10 +27,6 @@ def _in_scope(comparison: DataFrame, scope_flag: str) -> DataFrame:
     return comparison.filter(F.col(scope_flag) == F.lit(True))
 
 
-def _status_rows(fields: Mapping[str, Column]) -> list[Column]:
-    return [F.struct(*[c.alias(n) for n, c in fields.items()])]
-
-
 def reporting_by_entity(universe: DataFrame, facts: DataFrame, *, universe_key: str,
                         fact_key: str, contest: str, received: str,
                         crosswalk: DataFrame | None = None,
@@ -120,6 +117,14 @@ def status_counts(comparison: DataFrame) -> DataFrame:
             .orderBy(F.col("COMPARISON_STATUS").asc_nulls_last()))
 
 
+def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(TABLE_NAME, ROW_COUNT) of every table, all counted in one job (a union
+    of one-row aggregates)."""
+    parts = [df.agg(F.count(F.lit(1)).alias("ROW_COUNT")).select(F.lit(name).alias("TABLE_NAME"), "ROW_COUNT")
+             for name, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def _precinct_status() -> Column:
     has_csv, has_qr = F.col("HAS_CSV"), F.col("HAS_QR")
     problem = ((F.col("MISMATCH_ROW_COUNT") > 0) | (F.col("CSV_ONLY_ROW_COUNT") > 0)

@@ -575,6 +575,23 @@ def q_ballot_map(spark, d):
     return X.parts_map(spark, d)
 
 
+@query("table_row_counts", f"""
+WITH {CMP_SQL}
+SELECT 'results_snapshot' AS TABLE_NAME, COUNT(*) AS ROW_COUNT FROM lineitem
+UNION ALL SELECT 'precincts_master', COUNT(*) FROM orders
+UNION ALL SELECT 'mobile_election_returns', COUNT(*) FROM events
+UNION ALL SELECT 'mobile_election_returns_canonical', COUNT(*) FROM events
+          WHERE event_type IN ('click', 'view', 'signup')
+UNION ALL SELECT 'verification_comparison', COUNT(*) FROM cmp""")
+def q_table_row_counts(spark, d):
+    """Row count of every table of a run, one job."""
+    ers = X.ers_events(spark, d)
+    return rollups.row_counts({
+        "results_snapshot": X.results_lines(spark, d), "precincts_master": X.precincts(spark, d),
+        "mobile_election_returns": ers, "mobile_election_returns_canonical": election.er_canonical(ers),
+        "verification_comparison": X.comparison(spark, d)})
+
+
 # =========================================================================== checks
 
 CHECK_SQL: dict[str, str] = {}
