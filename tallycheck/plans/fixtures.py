@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycheck.plans import election
-from tallycheck.sources.files import literal_table
+from tallycheck.sources.files import literal_table, spread
 
 # The verification scope used by the catalogue: one contest that exists and
 # one that does not (so the readiness check has something to report).
@@ -46,8 +46,15 @@ def shared_plan(fn):
     return build
 
 
-def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, d: str, name: str, file_name: str | None = None,
+          spread_rows: bool = False) -> DataFrame:
+    """A driver table; ``file_name`` adds a column holding the source file name.
+    ``spread_rows`` spreads a table that arrives in too few splits when heavy
+    per-row cleaning (not an aggregation) follows."""
+    df = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    if file_name:
+        df = df.withColumn(file_name, F.col("_metadata.file_name"))
+    return spread(df) if spread_rows else df
 
 
 def s(c: str | Column) -> Column:
@@ -73,7 +80,7 @@ def reception_text(ts: str, selector: Column) -> Column:
 def raw_results_lines(spark: SparkSession, d: str) -> DataFrame:
     """One transmitted result row per line item (keys repeat, like a feed with
     duplicates); headers in assorted spellings."""
-    li = table(spark, d, "lineitem").withColumn("SOURCE_FILE", F.col("_metadata.file_name"))
+    li = table(spark, d, "lineitem", file_name="SOURCE_FILE", spread_rows=True)
     pad = F.col("l_linestatus") == "O"
     return li.select(
         F.when(pad, F.concat(F.lit("  "), s("l_orderkey"), F.lit("\t"))).otherwise(s("l_orderkey"))
@@ -264,7 +271,7 @@ def raw_qr_tally(spark: SparkSession, d: str) -> DataFrame:
 def raw_qr_lines(spark: SparkSession, d: str) -> DataFrame:
     """Raw QR rows, one per line item: zero-tax lines have an unreadable vote,
     undiscounted lines a negative one."""
-    li = table(spark, d, "lineitem")
+    li = table(spark, d, "lineitem", spread_rows=True)
     q = s(F.col("l_quantity").cast("bigint"))
     votes = (F.when(F.col("l_tax") == 0, F.lit("x"))
              .when(F.col("l_discount") == 0, F.concat(F.lit("-"), q)).otherwise(q))

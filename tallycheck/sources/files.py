@@ -27,6 +27,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a source that arrives in fewer splits than the cluster has
+    task slots (one parquet row group, a gzipped CSV), so the CPU-heavy
+    cleaning that follows runs on every core. Inputs with enough splits - the
+    normal case for large data - are returned unchanged (no shuffle)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    # Hash of the row, not round-robin: as deterministic on a retried task, but
+    # without the per-partition sort round-robin needs for that.
+    cols = [c for c, t in df.dtypes if not t.startswith(("map", "array", "struct"))] or df.columns[:1]
+    return df.repartition(slots, F.xxhash64(*cols))
+
+
 def read_text_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] = (),
                   multiline: bool = False, with_source_file: str | None = None) -> DataFrame:
     """Header CSV, every column as text. Quoted fields may hold commas.
@@ -44,7 +58,7 @@ def read_text_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] = (),
                          for c in df.columns])
     if with_source_file:
         df = df.withColumn(with_source_file, F.col("_metadata.file_name"))
-    return df
+    return spread(df)
 
 
 def _struct_type(schema: StructType | str) -> StructType:
