@@ -37,7 +37,7 @@ def small(df: DataFrame, max_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame
     """
     if max_rows is None:
         return df
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    key = (df.sparkSession.sparkContext.applicationId, id(df.sparkSession), df.semanticHash(), max_rows)
     now = time.monotonic()
     hit = _DECISIONS.get(key)
     if hit is None or now - hit[0] > _DECISION_TTL_S:

@@ -17,6 +17,7 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -516,65 +517,78 @@ def run(spark: SparkSession, input_root: str, output_root: str | None = None,
     t["mobile_qr_results_canonical"] = qr_canonical(t["mobile_qr_results"],
                                                     t["mobile_election_returns_canonical"])
 
-    scope = load_scope(spark, read("scope", optional=True), environment)
-    region_wide = load_region_wide(read("region_wide"))
-    district = load_district_map(spark, read("district", optional=True), environment)
-    bmap = ballot_choice_map(t["candidates_master"], region_wide, district)
-
-    csv_side = build_csv_side(t["results_snapshot"], environment)
-    qr_side = build_qr_side(t["mobile_qr_results_canonical"], bmap, environment)
-    comparison = run_verification(csv_side, qr_side, scope, guard, environment)
+    # The cleaned inputs are reread by the comparison, the rollups and most
+    # checks: keep them (memory, spilling to disk) for the run, release after.
+    reread = [t["results_snapshot"], t["precincts_master"], t["mobile_election_returns"],
+              t["mobile_qr_results"]]
+    for df in reread:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # Materialise once: every rollup and two checks reread it. A reliable
-        # checkpoint cuts the lineage (survives lost executors); without a
-        # checkpoint folder the table is persisted instead.
-        if checkpoint_dir(spark):
-            comparison = comparison.checkpoint(eager=True)
-        else:
-            comparison = comparison.persist()
-            comparison.count()
-    except Exception as exc:
-        if is_guard_failure(exc):
-            # Same report as the eager guard: side, number of keys, samples.
-            csv = csv_side.withColumnsRenamed({"CSV_CONTEST_CODE": "CONTEST_CODE",
-                                               "CSV_CANDIDATE_CODE": "CANDIDATE_CODE"}).dropna(subset=KEYS)
-            assert_unique({"CSV": csv, "QR": qr_side.filter(F.col("MAPPING_VALID") == F.lit(True))}, KEYS)
-        raise
-    t["verification_comparison"] = comparison
-
-    t["dashboard_reporting_by_precinct"] = rollups.reporting_by_entity(
-        t["precincts_master"], t["results_snapshot"], universe_key="ACM_ID", fact_key="PRECINCT_CODE",
-        contest="CONTEST_CODE", received="RECEPTION_DATETIME", environment=environment)
-    t["dashboard_verification_summary"] = rollups.status_summary(comparison, environment=environment)
-    by_precinct = rollups.entity_status(comparison, environment=environment)
-    t["dashboard_verification_by_precinct"] = by_precinct
-    t["dashboard_verification_precinct_summary"] = rollups.kpi_summary(
-        t["precincts_master"], "ACM_ID", t["mobile_election_returns_canonical"], "CLUSTERED_PRECINCT_ID",
-        by_precinct, environment)
-    t["dashboard_qr_timeline"] = rollups.timeline(
-        t["mobile_election_returns_canonical"], entity="CLUSTERED_PRECINCT_ID", received="RECEIVED_AT",
-        universe=t["precincts_master"], universe_key="ACM_ID", environment=environment)
-    t["precinct_contest_summary"] = precinct_contest_summary(t["results_snapshot"])
-
-    r.issues = all_checks(
-        precincts=t["precincts_master"], candidates=t["candidates_master"], contests=t["contests_master"],
-        parties=t["parties_master"], results=t["results_snapshot"], ers=t["mobile_election_returns"],
-        ers_canon=t["mobile_election_returns_canonical"], qr=t["mobile_qr_results"], ballot_map=bmap,
-        scope=scope, qr_side=qr_side, environment=environment)
-    counts = gate.issue_counts(gate.catalogue(r.issues))
-    # One job computes all 20 counts; the 20 resulting rows are reused by the
-    # summary and the gate instead of re-running every check twice.
-    counts = literal_table(spark, counts.collect(), counts.schema)
-    r.summary = gate.summarize(counts)
-    r.gate = gate.decide(r.summary, environment, run_info=True)
-    r.decision = r.gate.select("PUBLICATION_DECISION").first()[0]
-    t["qa_final_summary"] = r.summary
-    t["qa_publication_gate"] = r.gate
-
-    if output_root:
-        small_outputs = {"dashboard_verification_summary", "dashboard_verification_precinct_summary",
-                         "dashboard_qr_timeline", "qa_final_summary", "qa_publication_gate"}
-        for name, df in t.items():
-            r.exported[name] = write_table(df, os.path.join(output_root, name), fmt,
-                                           single_file=name in small_outputs)
+        scope = load_scope(spark, read("scope", optional=True), environment)
+        region_wide = load_region_wide(read("region_wide"))
+        district = load_district_map(spark, read("district", optional=True), environment)
+        bmap = ballot_choice_map(t["candidates_master"], region_wide, district)
+
+        csv_side = build_csv_side(t["results_snapshot"], environment)
+        qr_side = build_qr_side(t["mobile_qr_results_canonical"], bmap, environment)
+        comparison = run_verification(csv_side, qr_side, scope, guard, environment)
+        try:
+            # Materialise once: every rollup and two checks reread it. A reliable
+            # checkpoint cuts the lineage (survives lost executors); without a
+            # checkpoint folder the table is persisted instead.
+            if checkpoint_dir(spark):
+                comparison = comparison.checkpoint(eager=True)
+            else:
+                comparison = comparison.persist()
+                comparison.count()
+        except Exception as exc:
+            if is_guard_failure(exc):
+                # Same report as the eager guard: side, number of keys, samples.
+                csv = csv_side.withColumnsRenamed({"CSV_CONTEST_CODE": "CONTEST_CODE",
+                                                   "CSV_CANDIDATE_CODE": "CANDIDATE_CODE"}).dropna(subset=KEYS)
+                assert_unique({"CSV": csv, "QR": qr_side.filter(F.col("MAPPING_VALID") == F.lit(True))}, KEYS)
+            raise
+        t["verification_comparison"] = comparison
+
+        t["dashboard_reporting_by_precinct"] = rollups.reporting_by_entity(
+            t["precincts_master"], t["results_snapshot"], universe_key="ACM_ID", fact_key="PRECINCT_CODE",
+            contest="CONTEST_CODE", received="RECEPTION_DATETIME", environment=environment)
+        t["dashboard_verification_summary"] = rollups.status_summary(comparison, environment=environment)
+        by_precinct = rollups.entity_status(comparison, environment=environment)
+        t["dashboard_verification_by_precinct"] = by_precinct
+        t["dashboard_verification_precinct_summary"] = rollups.kpi_summary(
+            t["precincts_master"], "ACM_ID", t["mobile_election_returns_canonical"], "CLUSTERED_PRECINCT_ID",
+            by_precinct, environment)
+        t["dashboard_qr_timeline"] = rollups.timeline(
+            t["mobile_election_returns_canonical"], entity="CLUSTERED_PRECINCT_ID", received="RECEIVED_AT",
+            universe=t["precincts_master"], universe_key="ACM_ID", environment=environment)
+        t["precinct_contest_summary"] = precinct_contest_summary(t["results_snapshot"])
+
+        r.issues = all_checks(
+            precincts=t["precincts_master"], candidates=t["candidates_master"], contests=t["contests_master"],
+            parties=t["parties_master"], results=t["results_snapshot"], ers=t["mobile_election_returns"],
+            ers_canon=t["mobile_election_returns_canonical"], qr=t["mobile_qr_results"], ballot_map=bmap,
+            scope=scope, qr_side=qr_side, environment=environment)
+        counts = gate.issue_counts(gate.catalogue(r.issues))
+        # One job computes all 20 counts; the 20 resulting rows are reused by the
+        # summary and the gate instead of re-running every check twice.
+        counts = literal_table(spark, counts.collect(), counts.schema)
+        r.summary = gate.summarize(counts)
+        r.gate = gate.decide(r.summary, environment, run_info=True)
+        r.decision = r.gate.select("PUBLICATION_DECISION").first()[0]
+        t["qa_final_summary"] = r.summary
+        t["qa_publication_gate"] = r.gate
+        if output_root:
+            _export(r, output_root, fmt)
+    finally:
+        for df in reread:
+            df.unpersist()
     return r
+
+
+def _export(r: RunResult, output_root: str, fmt: str) -> None:
+    small_outputs = {"dashboard_verification_summary", "dashboard_verification_precinct_summary",
+                     "dashboard_qr_timeline", "qa_final_summary", "qa_publication_gate"}
+    for name, df in r.tables.items():
+        r.exported[name] = write_table(df, os.path.join(output_root, name), fmt,
+                                       single_file=name in small_outputs)
