@@ -35,10 +35,11 @@ def spread(df: DataFrame) -> DataFrame:
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df
-    # Hash of the row, not round-robin: as deterministic on a retried task, but
-    # without the per-partition sort round-robin needs for that.
-    cols = [c for c, t in df.dtypes if not t.startswith(("map", "array", "struct"))] or df.columns[:1]
-    return df.repartition(slots, F.xxhash64(*cols))
+    # Partition by the row's position in its input split, not round-robin: as
+    # deterministic on a retried task (a file split is read in the same order)
+    # without the per-partition sort round-robin needs for that, and it reads
+    # no column, so column pruning still reaches the scan.
+    return df.repartition(slots, F.monotonically_increasing_id())
 
 
 def read_text_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] = (),
