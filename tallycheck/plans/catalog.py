@@ -112,6 +112,14 @@ def q_reconcile(spark, d):
     return X.comparison(spark, d)
 
 
+@query("reconcile_missing_value",
+       f"WITH {CMP_SQL} SELECT * FROM cmp WHERE COMPARISON_REASON = 'MISSING_VOTE_VALUE'")
+def q_reconcile_missing_value(spark, d):
+    """Both sides present, the transmitted tally unreadable (null votes)
+    -> MISMATCH / MISSING_VOTE_VALUE, difference counted with the null as 0."""
+    return X.comparison(spark, d).filter(F.col("COMPARISON_REASON") == fixed.MISSING_VOTE_VALUE)
+
+
 STATUS_SUMMARY_SQL = f"""
 WITH {CMP_SQL},
 sc AS (SELECT * FROM cmp WHERE IS_QR_VERIFICATION_SCOPE),
