@@ -23,7 +23,7 @@ def _all_not_null(cols: Sequence[str]) -> Column:
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str], carry: Sequence[str] = (),
-                   issue: str = fixed.DUPLICATE_RESULT_KEY, distinct: bool = True) -> DataFrame:
+                   issue: str = fixed.DUPLICATE_RESULT_KEY) -> DataFrame:
     """Distinct (keys + carry) of every row whose key occurs more than once.
     Nulls in key parts compare equal, as in a "duplicated" test.
 
@@ -38,8 +38,7 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()
     rows = df.groupBy(*keys, *carry).agg(F.count(F.lit(1)).alias("_n"))
     repeated = rows.groupBy(*keys).agg(F.sum("_n").alias("_t")).filter(F.col("_t") > 1)
     out = present(rows, repeated, keys, null_safe=True, max_broadcast_rows=None)
-    out = out.select(*keys, *carry)
-    return _issue(out if distinct else out, issue)
+    return _issue(out.select(*keys, *carry), issue)
 
 
 def missing_from(df: DataFrame, parent: DataFrame, left_on: Sequence[str], right_on: Sequence[str] | None,

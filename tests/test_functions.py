@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tallycheck.contracts import HeaderCollision, normalize_headers
 from tallycheck.functions import (

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tallycheck.operators import rollups
 from tallycheck.operators.reconcile import reconcile

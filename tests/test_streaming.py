@@ -1,4 +1,3 @@
-import os
 
 from tallycheck.operators import rollups
 from tallycheck.plans import election
