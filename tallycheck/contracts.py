@@ -112,3 +112,16 @@ ELECTION_CONTRACTS: dict[str, Contract] = {
         Field("UNDER_VOTES", "bigint"), Field("OVER_VOTES", "bigint"), Field("RECEPTION_DATE"),
     )),
 }
+
+
+def contract(dataset: str) -> Contract:
+    """The election contract of ``dataset``; an unknown name is an error."""
+    try:
+        return ELECTION_CONTRACTS[dataset]
+    except KeyError:
+        raise ValueError(f"No schema defined for dataset '{dataset}'") from None
+
+
+def ensure_columns(df: DataFrame, dataset: str) -> DataFrame:
+    """:func:`enforce` with the named election contract."""
+    return enforce(df, contract(dataset))

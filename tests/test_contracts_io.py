@@ -3,7 +3,7 @@ import os
 import pytest
 
 from tallycheck.contracts import (
-    ELECTION_CONTRACTS, Contract, Field, MissingRequiredColumn, enforce, project, rename_aliases,
+    ELECTION_CONTRACTS, Contract, Field, MissingRequiredColumn, enforce, ensure_columns, project, rename_aliases,
 )
 from tallycheck.sources import empty_table, literal_table, read_text_csv, read_with_policy, write_table
 from tallycheck.sources.files import MissingReference, spread
@@ -16,6 +16,10 @@ def test_enforce_required_and_optional(spark):
     with pytest.raises(MissingRequiredColumn, match=r"\[t\] Required column 'A'"):
         enforce(spark.createDataFrame([(1,)], "N bigint"), c)
     assert ELECTION_CONTRACTS["results"].required[:3] == ["PRECINCT_CODE", "CONTEST_CODE", "CANDIDATE_CODE"]
+    with pytest.raises(ValueError, match="No schema defined"):
+        ensure_columns(df, "nope")
+    out = ensure_columns(spark.createDataFrame([("p", "n")], "PARTIES_CODE string, PARTIES_NAME string"), "parties")
+    assert out.columns == ["PARTIES_CODE", "PARTIES_NAME", "PARTIES_ALIAS"]
 
 
 def test_aliases_only_when_target_absent(spark):
