@@ -9,7 +9,8 @@ would.
 
 State lives in versioned parquet folders named after the batch id under
 ``state_dir`` (a shared, reliable folder on a cluster): re-running a failed
-batch rewrites the same version, so the sink is idempotent.
+batch rewrites the same version, so the sink is idempotent. Versions older
+than the previous batch are removed once a batch has been written.
 """
 
 from __future__ import annotations
@@ -33,6 +34,21 @@ def _version(state_dir: str, batch_id: int) -> str:
     return os.path.join(state_dir, f"first_receipts_{batch_id:012d}")
 
 
+def _drop_versions_before(spark: SparkSession, state_dir: str, batch_id: int) -> None:
+    """Remove state versions older than ``batch_id`` (the latest two are kept:
+    the one just written and the one it was merged from)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(state_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("first_receipts_") and name[len("first_receipts_"):].isdigit():
+            if int(name[len("first_receipts_"):]) < batch_id:
+                fs.delete(st.getPath(), True)
+
+
 def merge_first_receipts(previous: DataFrame | None, batch_ers: DataFrame) -> DataFrame:
     """min(received) per precinct over the previous state and the new batch."""
     canon = election.er_canonical(election.clean_mobile_ers(batch_ers))
@@ -67,6 +83,7 @@ def start_timeline(spark: SparkSession, source_dir: str, state_dir: str, output_
         tl = rollups.timeline(first, entity="CLUSTERED_PRECINCT_ID", received="RECEIVED_AT", universe=expected,
                               universe_key=universe_key, zone=zone)
         tl.coalesce(1).write.mode("overwrite").parquet(output_dir)
+        _drop_versions_before(spark, state_dir, batch_id - 1)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

@@ -23,3 +23,4 @@ def test_stream_matches_batch(spark, tmp_path):
                             refresh_timestamp=False)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
     assert [r["CUMULATIVE_QR_RECEIVED"] for r in got.orderBy("TIME_BUCKET").collect()] == [1, 2, 3]
+    assert len([p for p in (tmp_path / "state").iterdir() if p.name.startswith("first_receipts_")]) <= 2
