@@ -586,9 +586,20 @@ def run(spark: SparkSession, input_root: str, output_root: str | None = None,
     return r
 
 
+# Small outputs are written as one ordered file each, in the order a dashboard reads them.
+_EXPORT_ORDER = {
+    "dashboard_verification_summary": ["STATUS_SORT"],
+    "dashboard_verification_precinct_summary": ["STATUS_SORT"],
+    "dashboard_qr_timeline": ["TIME_BUCKET"],
+    "qa_final_summary": ["CHECK_ORDER"],
+    "qa_publication_gate": [],
+}
+
+
 def _export(r: RunResult, output_root: str, fmt: str) -> None:
-    small_outputs = {"dashboard_verification_summary", "dashboard_verification_precinct_summary",
-                     "dashboard_qr_timeline", "qa_final_summary", "qa_publication_gate"}
     for name, df in r.tables.items():
-        r.exported[name] = write_table(df, os.path.join(output_root, name), fmt,
-                                       single_file=name in small_outputs)
+        order = _EXPORT_ORDER.get(name)
+        if order is not None:
+            # one partition, sorted locally: the row order of the file is kept
+            df = df.coalesce(1).sortWithinPartitions(*order) if order else df.coalesce(1)
+        r.exported[name] = write_table(df, os.path.join(output_root, name), fmt)

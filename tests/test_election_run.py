@@ -116,6 +116,12 @@ def test_full_run(spark, tmp_path):
         [(1, 1, 3), (1, 2, 3)]
     for name in ("verification_comparison", "qa_publication_gate", "dashboard_verification_summary"):
         assert r.exported[name] and os.path.isdir(os.path.join(out, name))
+    parts = [f for f in os.listdir(os.path.join(out, "qa_final_summary")) if f.endswith(".csv")]
+    assert len(parts) == 1
+    with open(os.path.join(out, "qa_final_summary", parts[0])) as fh:
+        lines = fh.read().splitlines()
+    order = [int(x.split(",")[0]) for x in lines[1:]]
+    assert order == sorted(order) and len(order) == 21
 
 
 def test_missing_mobile_sources_complete_with_csv_only(spark, tmp_path):
