@@ -33,6 +33,7 @@ from tallycheck.contracts import (
 )
 from tallycheck.functions import (
     classify_in,
+    is_active,
     clean_text,
     composite_key,
     lenient_key,
@@ -197,7 +198,7 @@ def load_scope(spark: SparkSession, raw: DataFrame | None, environment: str = fi
     require(df, ["CONTEST_CODE"], "qr_verification_scope", MissingReference)
     df = df.withColumn("CONTEST_CODE", clean_text("CONTEST_CODE"))
     if "ACTIVE" in df.columns:
-        df = df.filter(F.upper("ACTIVE").isin(*fixed.ACTIVE_TOKENS))
+        df = df.filter(is_active("ACTIVE"))
     df = df.withColumns({
         "SCOPE_STATUS": F.col("SCOPE_STATUS") if "SCOPE_STATUS" in df.columns else F.lit("VERIFIED"),
         "SOURCE_AUTHORITY": F.col("SOURCE_AUTHORITY") if "SOURCE_AUTHORITY" in df.columns else F.lit("FILE"),
