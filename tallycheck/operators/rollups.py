@@ -68,9 +68,13 @@ def reporting_by_entity(universe: DataFrame, facts: DataFrame, *, universe_key:
 
 
 def status_summary(comparison: DataFrame, scope_flag: str = "IS_QR_VERIFICATION_SCOPE",
-                   environment: str = fixed.PRODUCTION) -> DataFrame:
+                   environment: str = fixed.PRODUCTION, reference_rates: bool = False) -> DataFrame:
     """Always four rows (one per status, sort 1..4) over the in-scope rows,
-    with in-scope totals repeated on each row and the rates derived from them."""
+    with in-scope totals repeated on each row and the rates derived from them.
+
+    ``reference_rates=True`` reproduces the reference's published output, where
+    the per-status rates (overall, match, mismatch and their percents) always
+    come out as 0.0; the default computes the rates it documents."""
     s = _in_scope(comparison, scope_flag)
     csv, qr = F.col("CSV_EXISTS"), F.col("QR_EXISTS")
     status = F.col("COMPARISON_STATUS")
@@ -97,6 +101,8 @@ def status_summary(comparison: DataFrame, scope_flag: str = "IS_QR_VERIFICATION_
         "QR_WITH_CSV_RATE": safe_ratio(both, "TOTAL_QR_ROWS", positive_only=True),
         "CSV_WITH_QR_RATE": safe_ratio(both, "TOTAL_CSV_ROWS", positive_only=True),
     })
+    if reference_rates:
+        t = t.withColumns({c: F.lit(0.0) for c in ("OVERALL_STATUS_RATE", "MATCH_RATE", "MISMATCH_RATE")})
     t = t.withColumns({
         "OVERALL_STATUS_PCT": percent("OVERALL_STATUS_RATE"),
         "MATCH_PCT": percent("MATCH_RATE"),

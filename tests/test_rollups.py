@@ -26,6 +26,13 @@ def test_status_summary_four_rows(spark):
     assert m["QR_WITH_CSV_RATE"] == 0.75 and m["OVERALL_STATUS_RATE"] == 0.2
 
 
+def test_status_summary_reference_rates(spark):
+    s = rollups.status_summary(comparison(spark), reference_rates=True)
+    for r in s.collect():
+        assert (r["OVERALL_STATUS_RATE"], r["MATCH_RATE"], r["MISMATCH_PCT"]) == (0.0, 0.0, 0.0)
+        assert r["QR_WITH_CSV_RATE"] == 0.75
+
+
 def test_status_summary_empty_input(spark):
     s = rollups.status_summary(comparison(spark, csv=[], qr=[]))
     assert s.count() == 4
