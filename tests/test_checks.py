@@ -88,3 +88,17 @@ def test_gate_truth_table(spark):
     assert (g["PUBLICATION_STATUS"], g["PUBLICATION_DECISION"], g["INFO_CHECK_COUNT"]) == ("READY", "READY_TO_PUBLISH", 1)
     statuses = {r["QA_CHECK"]: r["STATUS"] for r in s.collect()}
     assert statuses == {"a": "PASS", "b": "PASS", "c": "INFO", fixed.OVERALL_CHECK: "READY"}
+
+
+def test_issue_samples(spark):
+    issues = {"a": spark.range(12).withColumnRenamed("id", "K"), "b": spark.range(0), "c": spark.range(3)}
+    checks = [gate.Check(k, k.upper(), fixed.BLOCKING, df) for k, df in issues.items()]
+    s = gate.issue_samples(checks, 5)
+    got = {}
+    for r in s.collect():
+        got.setdefault(r["QA_CHECK"], []).append(r)
+    assert sorted(got) == ["A", "C"]
+    assert len(got["A"]) == 5 and {r["ISSUE_COUNT"] for r in got["A"]} == {12}
+    assert {r["OMITTED_COUNT"] for r in got["A"]} == {7} and {r["OMITTED_COUNT"] for r in got["C"]} == {0}
+    # deterministic: the first rows in JSON order
+    assert sorted(r["SAMPLE_ROW"] for r in got["A"]) == sorted(f'{{"K":{i}}}' for i in [0, 1, 10, 11, 2])
