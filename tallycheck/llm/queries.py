@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycheck.llm import chat, quality, url_filter
+from tallycheck.llm import chat, line_dedup, quality, secret_scan, token_files, url_filter, warc_zip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -78,6 +79,52 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", F.col("removed_words").cast("long"), "base_failed", "kept")
 
 
+OP3_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+worded AS (
+  SELECT doc_id, i, line, list_filter(string_split_regex(line, '[ \t\n\x0b\f\r]+'), lambda x: x <> '') AS w FROM lines),
+k AS (
+  SELECT doc_id, i, len(w) AS n, translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm,
+         row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k,
+         sum(len(w)) OVER (PARTITION BY doc_id ORDER BY i) AS upto
+  FROM worded WHERE len(w) > 0),
+ahead AS (SELECT a.doc_id, a.k AS f, min(b.k) AS l FROM k a JOIN k b ON a.doc_id = b.doc_id AND b.k >= a.k
+          AND b.upto - a.upto + a.n >= 50 GROUP BY a.doc_id, a.k),
+back AS (SELECT b.doc_id, max(a.k) AS f, b.k AS l FROM k a JOIN k b ON a.doc_id = b.doc_id AND b.k >= a.k
+         AND b.upto - a.upto + a.n >= 50 GROUP BY b.doc_id, b.k),
+spans AS (SELECT * FROM ahead UNION SELECT * FROM back),
+whole AS (SELECT doc_id, list(norm ORDER BY k) AS norms FROM k GROUP BY doc_id),
+content AS (SELECT spans.*, array_to_string(list_slice(norms, f, l), chr(10)) AS c FROM spans JOIN whole USING (doc_id)),
+later AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY doc_id, f) AS nth FROM content) WHERE nth > 1),
+places AS (SELECT later.doc_id, a.i AS f, b.i AS l FROM later JOIN k a ON a.doc_id = later.doc_id AND a.k = later.f
+           JOIN k b ON b.doc_id = later.doc_id AND b.k = later.l),
+gone AS (SELECT DISTINCT lines.doc_id, i FROM lines JOIN places ON lines.doc_id = places.doc_id AND i BETWEEN f AND l),
+kept AS (
+  SELECT worded.doc_id, count(gone.i) AS removed_lines, coalesce(sum(CASE WHEN gone.i IS NOT NULL THEN len(w) END), 0) AS removed_words,
+         coalesce(string_agg(CASE WHEN gone.i IS NULL THEN line END, chr(10) ORDER BY worded.i), '') AS text,
+         sum(CASE WHEN gone.i IS NULL THEN len(w) ELSE 0 END) AS left_words
+  FROM worded LEFT JOIN gone ON worded.doc_id = gone.doc_id AND worded.i = gone.i GROUP BY worded.doc_id)
+SELECT doc_id, CAST(removed_lines AS BIGINT) AS removed_lines, CAST(removed_words AS BIGINT) AS removed_words,
+       removed_lines > 0 AND left_words = 0 AS emptied, md5(text) AS text_md5
+FROM kept
+"""
+
+
+@query(OP3_SQL)
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return line_dedup.deduplicated(docs, extra=True).select(
+        "doc_id", "removed_lines", "removed_words", "emptied", F.md5("text").alias("text_md5"))
+
+
+@query()
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_documents(manifest).withColumnRenamed("id", "doc_id")
+
+
 SQL_TURN = "replace(replace(%s, '~', '~0'), '<|', '<~1|')"
 
 OP6_SQL = f"""
@@ -138,3 +185,35 @@ SELECT s.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM s
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
+@query()
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.listed(secret_scan.scan(table(spark, sf_dir, "documents")))
+    return found.select(F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans",
+                        F.size("copied").cast("long").alias("n_copied"))
+
+
+OP10_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (
+  SELECT page_id, octet_length(encode(html)) AS payload_bytes, max(page_id) OVER (PARTITION BY html) AS last,
+         array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS INT), 5) AS INT) >> CAST(15 - i % 4 * 5 AS INT)) & 31) + 1, 1)), '')
+           AS payload_digest
+  FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM b
+"""
+
+
+@query(OP10_SQL)
+def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    read = warc_zip.read_archives(spark, warc_zip.write_archives(pages))
+    kind = pages.schema["page_id"].dataType
+    return read.select(F.expr("try_cast(page AS bigint)").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
+                       "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
