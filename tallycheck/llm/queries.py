@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycheck.llm import chat, line_dedup, quality, secret_scan, token_files, url_filter, warc_zip
+from tallycheck.llm import chat, jaccard_join, line_dedup, quality, secret_scan, token_files, url_filter, warc_zip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -194,6 +194,31 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("copied").cast("long").alias("n_copied"))
 
 
+OP9_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, translate(array_to_string({SQL_WORDS}, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+w AS (SELECT doc_id, CASE WHEN t = '' THEN [] ELSE string_split(t, ' ') END AS w FROM d),
+g AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS p FROM w),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 4), ' ') AS s FROM g),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id
+         GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a)
+SELECT documents.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM documents LEFT JOIN sizes USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
+
+
+@query(OP9_SQL)
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.groups(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 OP10_SQL = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
