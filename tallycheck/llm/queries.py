@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycheck.llm import chat, jaccard_join, line_dedup, quality, secret_scan, token_files, url_filter, warc_zip
+from tallycheck.llm import chat, decontaminate, jaccard_join, line_dedup, quality, secret_scan, token_files, url_filter, warc_zip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +32,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: Words of a text in DuckDB.
 SQL_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0b\f\r]+'), lambda x: x <> '')"
 
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0b\f\r]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0b\f\r]+'), lambda x: x <> '') AS w FROM benchmark),
+items AS (SELECT item_id, w, len(w) AS m, least(len(w), 13) AS win, CASE WHEN len(w) >= 13 THEN 11 ELSE len(w) END AS need
+          FROM b WHERE len(w) >= 8),
+dg AS (SELECT doc_id, p, array_to_string(list_slice(w, p, p + 3), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS p FROM d WHERE len(w) > 3)),
+ig AS (SELECT item_id, p, array_to_string(list_slice(w, p, p + 3), ' ') AS g FROM (SELECT item_id, w, unnest(range(1, m - 2)) AS p FROM items)),
+diag AS (SELECT DISTINCT doc_id, item_id, dg.p - ig.p AS shift FROM dg JOIN ig USING (g)),
+eq AS (
+  SELECT diag.doc_id, diag.item_id, shift, m, win, need, j, CAST(items.w[j] = d.w[nullif(greatest(j + shift, 0), 0)] AS INT) AS e
+  FROM diag JOIN d USING (doc_id) JOIN items USING (item_id), unnest(range(1, m + 1)) AS t(j)),
+s AS (
+  SELECT *, sum(coalesce(e, 0)) OVER (PARTITION BY doc_id, item_id, shift ORDER BY j ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS run
+  FROM eq),
+found AS (
+  SELECT doc_id, item_id, shift, m, sum(e) AS matched, max(CASE WHEN j <= m - win + 1 AND run >= need THEN 1 ELSE 0 END) AS hit
+  FROM s GROUP BY doc_id, item_id, shift, m)
+SELECT doc_id, item_id, CAST(max(matched) AS BIGINT) AS matched_words, CAST(max(m) AS BIGINT) AS item_words
+FROM found WHERE hit = 1 GROUP BY doc_id, item_id
+"""
+
+
+@query(OP1_SQL)
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"),
+                        F.col("matched").cast("long").alias("matched_words"),
+                        F.col("item_size").cast("long").alias("item_words"))
+
+
 OP2_SQL = rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, {SQL_WORDS} AS w FROM documents),
 lines AS (
