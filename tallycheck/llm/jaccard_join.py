@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallycheck.llm.common import mixed, same, shingle_hashes, text_of, word_hashes, written
+from tallycheck.llm.common import fresh, mixed, same, shingle_hashes, text_of, word_hashes, written
 from tallycheck.llm.components import components
 
 
@@ -287,3 +287,26 @@ def groups(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str =
     return heads.join(named, (F.col("n") > 0) & (F.col("set1") == F.col("c1")) & (F.col("set2") == F.col("c2")), "left") \
         .select("row", "id", "key1", "key2", F.col("n").alias("n_shingles"),
                 F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def distinct(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """One document of each group, all its columns kept: the one with the
+    smallest id (null last, then the first row). Empty sets are groups of one."""
+    found = written(groups(docs, join, id_col=id_col, text_col=text_col))
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
+    first = (found.filter("n_shingles > 0").groupBy("component_id").agg(F.min(order).alias("first"))
+             .select(F.col("first.row").alias("row"), F.lit(True).alias("chosen")))
+    kept = written(found.join(first, "row", "left").groupBy("id", "key1", "key2")
+                   .agg(F.max(F.coalesce("chosen", F.col("n_shingles") == 0)).alias("chosen"),
+                        ((F.count(F.lit(1)) > 1) & (F.max("n_shingles") > 0)).alias("twins"))
+                   .filter("chosen").drop("chosen"))
+    names = [fresh(docs, x) for x in ("kept_id", "kept1", "kept2", "kept_twins")]
+    key1, key2 = keys(text_of(text_col))
+    match = docs.join(kept.toDF(*names), same(F.col(id_col), F.col(names[0])) & (key1 == F.col(names[1]))
+                      & (key2 == F.col(names[2])))
+    if kept.filter("twins").isEmpty():
+        return match.drop(*names)
+    # rows that repeat id and text are one document
+    twins = match.filter(F.col(names[3])).dropDuplicates(names[:3])
+    return match.filter(~F.col(names[3])).unionByName(twins).drop(*names)

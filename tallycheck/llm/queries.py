@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycheck.llm import chat, decontaminate, jaccard_join, line_dedup, quality, secret_scan, token_files, url_filter, warc_zip
+from tallycheck.llm import chat, decontaminate, jaccard_join, line_dedup, packing, quality, secret_scan, token_files, url_filter, warc_zip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -155,6 +155,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(manifest).withColumnRenamed("id", "doc_id")
 
 
+@query()
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumnRenamed("id", "doc_id")
+
+
 SQL_TURN = "replace(replace(%s, '~', '~0'), '<|', '<~1|')"
 
 OP6_SQL = f"""
