@@ -36,18 +36,23 @@ from pyspark.sql import functions as F
 from tallycheck.llm.common import shared_dir, text_of, written
 
 #: White space that isn't ASCII white space, and controls on which libraries disagree.
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_ODD_SPACE = ("\x1c\x1d\x1e\x1f", "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                                 "\u2028\u2029\u202f\u205f\u3000")
 _WORDS = re.compile("[^ \t-\r]+")
 _PIECES = re.compile("[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
 _LOOSE = re.compile(" [ \t-\r]|[\t-\r] |^[ \t-\r]|[ \t-\r]$")
 
 
+def has_odd_space(text: str) -> bool:
+    return any(c in text for c in _ODD_SPACE[0]) or not text.isascii() and any(c in text for c in _ODD_SPACE[1])
+
+
 class Encoder:
     """Ids of whole texts, as little-endian bytes of the narrowest type. A
     bounded memo keeps the ids of pieces already seen; unseen words are encoded
     many to a call."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -111,7 +116,7 @@ class Encoder:
 
     def _pieces(self, text: str) -> list[str] | None:
         """Pieces whose ids, in order, are the text's; None if that isn't sure."""
-        odd = _ODD_SPACE.search(text)
+        odd = has_odd_space(text)
         if not self.byte_level:  # white space is dropped
             return _WORDS.findall(text) if odd else text.split()
         if odd:
