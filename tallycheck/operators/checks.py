@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallycheck import fixed
 from tallycheck.functions.text import lenient_key
-from tallycheck.operators.lookup import MAX_BROADCAST_ROWS, orphans, present
+from tallycheck.operators.lookup import orphans, present
 
 
 def _issue(df: DataFrame, issue: str | Column) -> DataFrame:
@@ -37,24 +37,22 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()
         return _issue(df.groupBy(*keys).count().filter(F.col("count") > 1).select(*keys), issue)
     rows = df.groupBy(*keys, *carry).agg(F.count(F.lit(1)).alias("_n"))
     repeated = rows.groupBy(*keys).agg(F.sum("_n").alias("_t")).filter(F.col("_t") > 1)
-    out = present(rows, repeated, keys, null_safe=True, max_broadcast_rows=None)
+    out = present(rows, repeated, keys, null_safe=True)
     return _issue(out.select(*keys, *carry), issue)
 
 
 def missing_from(df: DataFrame, parent: DataFrame, left_on: Sequence[str], right_on: Sequence[str] | None,
-                 select: Sequence[str], issue: str, distinct: bool = True,
-                 max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+                 select: Sequence[str], issue: str, distinct: bool = True) -> DataFrame:
     """Rows whose key is not found in ``parent`` (null keys count as not found)."""
-    out = orphans(df, parent, left_on, right_on, max_broadcast_rows).select(*select)
+    out = orphans(df, parent, left_on, right_on).select(*select)
     return _issue(out.distinct() if distinct else out, issue)
 
 
 def inconsistent_values(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """Groups (null keys left out) where a field that should repeat carries more
-    than one distinct non-null value. One aggregate for all fields, unpivoted."""
-    g = df.filter(_all_not_null(keys)).groupBy(*keys).agg(
-        *[F.count_distinct(f).alias(f"_d{i}") for i, f in enumerate(fields)])
-    rows = F.array(*[F.struct(F.col(f"_d{i}").alias("DISTINCT_COUNT"), F.lit(f).alias("FIELD_CHECKED"))
+    than one distinct non-null value, one row per group and field."""
+    g = value_counts(df.filter(_all_not_null(keys)), keys, fields)
+    rows = F.array(*[F.struct(F.col(f"_n{i}").alias("DISTINCT_COUNT"), F.lit(f).alias("FIELD_CHECKED"))
                      for i, f in enumerate(fields)])
     t = g.select(*keys, F.inline(rows)).filter(F.col("DISTINCT_COUNT") > 1)
     return t.select(*keys, "DISTINCT_COUNT",
@@ -62,6 +60,29 @@ def inconsistent_values(df: DataFrame, keys: Sequence[str], fields: Sequence[str
                     "FIELD_CHECKED")
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """Per group: ``_n0``, ``_n1``, ... distinct non-null values of each field and
+    ``_v0``, ``_v1``, ... the value where there is just one.
+
+    Least and greatest value tell the groups with one value apart in a single
+    aggregation. Values are counted, one row each, only for the others."""
+    keys = list(keys)
+    ends = df.groupBy(*keys).agg(*[x for i, f in enumerate(fields)
+                                   for x in (F.min(f).alias(f"_a{i}"), F.max(f).alias(f"_b{i}"))])
+    differs = [F.coalesce(F.col(f"_a{i}") != F.col(f"_b{i}"), F.lit(False)) for i in range(len(fields))]
+    varied = ends.filter(reduce(lambda a, b: a | b, differs)).select(*keys)
+    each = F.array(*[F.struct(F.lit(i).alias("_f"), F.col(f).cast("string").alias("_x")) for i, f in enumerate(fields)])
+    values = (present(df, varied, keys, null_safe=True).select(*keys, F.inline(each)).filter(F.col("_x").isNotNull())
+              .groupBy(*keys, "_f", "_x").agg(F.lit(1).alias("_one"))
+              .groupBy(*keys).agg(*[F.count_if(F.col("_f") == i).alias(f"_c{i}") for i in range(len(fields))]))
+    values = values.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.lit(True))
+    out = ends.join(values, same, "left")
+    single = [F.when(F.col(f"_a{i}").isNull(), 0).when(differs[i], F.col(f"_c{i}")).otherwise(1) for i in range(len(fields))]
+    return out.select(*keys, *[n.cast("bigint").alias(f"_n{i}") for i, n in enumerate(single)],
+                      *[F.when(~differs[i], F.col(f"_a{i}")).alias(f"_v{i}") for i in range(len(fields))])
+
+
 def invalid_values(df: DataFrame, carry: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """One row per (row, field) where the field is null or negative. The bad
     value sits in the field's own column; the others are null. One scan."""
@@ -125,13 +146,12 @@ def count_above(df: DataFrame, key: str, counted: str, count_name: str, issue: s
 
 
 def scope_readiness(scope: DataFrame, scope_key: str, contests: DataFrame, contest_key: str,
-                    ballot_map: DataFrame, map_key: str, require_scope: bool,
-                    max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+                    ballot_map: DataFrame, map_key: str, require_scope: bool) -> DataFrame:
     """Scope is populated (when required), every scope contest is known and has
     a ballot map. A contest can fail both. Output (QA_ISSUE, CONTEST_CODE)."""
     codes = scope.select(F.col(scope_key).alias("CONTEST_CODE")).filter(F.col("CONTEST_CODE").isNotNull())
-    unknown = orphans(codes, contests, ["CONTEST_CODE"], [contest_key], max_broadcast_rows)
-    no_map = orphans(codes, ballot_map, ["CONTEST_CODE"], [map_key], max_broadcast_rows)
+    unknown = orphans(codes, contests, ["CONTEST_CODE"], [contest_key])
+    no_map = orphans(codes, ballot_map, ["CONTEST_CODE"], [map_key])
     out = (unknown.select(F.lit(fixed.SCOPE_CONTEST_UNKNOWN_IN_MASTER).alias("QA_ISSUE"), "CONTEST_CODE")
            .unionByName(no_map.select(F.lit(fixed.SCOPE_CONTEST_HAS_NO_BALLOT_MAP).alias("QA_ISSUE"),
                                       "CONTEST_CODE")))
@@ -151,11 +171,10 @@ def unmapped_choices(qr_side: DataFrame, valid: str, select: Sequence[str]) -> D
     return _issue(bad.select(*select).distinct(), fixed.QR_BALLOT_CHOICE_UNMAPPED)
 
 
-def outside_scope(qr_side: DataFrame, valid: str, contest: str, scope: DataFrame, scope_key: str,
-                  max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+def outside_scope(qr_side: DataFrame, valid: str, contest: str, scope: DataFrame, scope_key: str) -> DataFrame:
     """Distinct contests of valid rows that are not in the scope. Nothing is
     reported when the scope is empty."""
     scope_rows = scope.agg(F.count(F.lit(1))).scalar()
     valid_rows = qr_side.filter(F.coalesce(F.col(valid), F.lit(False))).select(contest)
-    out = orphans(valid_rows, scope, [contest], [scope_key], max_broadcast_rows)
+    out = orphans(valid_rows, scope, [contest], [scope_key])
     return _issue(out.filter(scope_rows > 0).distinct(), fixed.MAPPED_QR_CONTEST_OUTSIDE_SCOPE)

@@ -1,54 +1,18 @@
-"""Lookups against reference tables: left attach, anti (orphans), in-set flag,
+"""Lookups against reference tables: anti (orphans), semi, in-set flag and the
 canonical inner join.
 
-Broadcasting is used only behind an explicit size check (:func:`small`): the
-lookup side is counted up to ``max_rows + 1`` rows; above the bound the join is
-left to the planner (sort-merge, or AQE's runtime broadcast when the shuffled
-side turns out small).
+No join carries a hint: statistics choose the strategy when a query is planned
+and AQE revises it with the sizes it meets, so building a query runs no job.
 """
 
 from __future__ import annotations
 
-import time
-from collections import OrderedDict
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a (narrow, key-only) lookup that may be shipped to every executor.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-# Size decisions per (plan, bound), kept for a few minutes so one lookup table
-# used by several joins of a job is counted once.
-_DECISIONS: OrderedDict[tuple, tuple[float, bool]] = OrderedDict()
-_DECISION_TTL_S = 300.0
-
-
-def small(df: DataFrame, max_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check is one bounded job (``limit(max_rows + 1).count()``: it stops
-    reading once the bound is passed). ``max_rows=None`` skips the check and
-    leaves the choice to the planner (static size estimate, then AQE's runtime
-    conversion to a broadcast join when a shuffled side turns out small).
-    """
-    if max_rows is None:
-        return df
-    key = (df.sparkSession.sparkContext.applicationId, id(df.sparkSession), df.semanticHash(), max_rows)
-    now = time.monotonic()
-    hit = _DECISIONS.get(key)
-    if hit is None or now - hit[0] > _DECISION_TTL_S:
-        fits = df.limit(max_rows + 1).count() <= max_rows
-        _DECISIONS[key] = (now, fits)
-        while len(_DECISIONS) > 512:
-            _DECISIONS.popitem(last=False)
-    else:
-        fits = hit[1]
-    return F.broadcast(df) if fits else df
-
 
 def _pairs(left_on: Sequence[str], right_on: Sequence[str] | None) -> list[tuple[str, str]]:
     right_on = list(right_on) if right_on is not None else list(left_on)
@@ -70,43 +34,34 @@ def _cond(df: DataFrame, pairs: list[tuple[str, str]], prefix: str, null_safe: b
 
 
 def orphans(df: DataFrame, parent: DataFrame, left_on: Sequence[str],
-            right_on: Sequence[str] | None = None,
-            max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+            right_on: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``df`` whose key is not in ``parent`` (left anti join).
 
     A null key part on the left has no partner and is reported, as a "not in
     the set" test would. Null parent keys never match anything (unlike NOT IN)."""
     pairs = _pairs(left_on, right_on)
-    keys = small(_keys_as(parent, pairs, "_k").distinct(), max_broadcast_rows)
+    keys = _keys_as(parent, pairs, "_k").distinct()
     return df.join(keys, _cond(df, pairs, "_k"), "left_anti")
 
 
 def present(df: DataFrame, parent: DataFrame, left_on: Sequence[str],
-            right_on: Sequence[str] | None = None, null_safe: bool = False,
-            max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+            right_on: Sequence[str] | None = None, null_safe: bool = False) -> DataFrame:
     """Rows of ``df`` whose key is in ``parent`` (left semi join)."""
     pairs = _pairs(left_on, right_on)
-    keys = small(_keys_as(parent, pairs, "_k").distinct(), max_broadcast_rows)
+    keys = _keys_as(parent, pairs, "_k").distinct()
     return df.join(keys, _cond(df, pairs, "_k", null_safe), "left_semi")
 
 
 def flag_in(df: DataFrame, parent: DataFrame, left_on: Sequence[str], flag: str,
-            right_on: Sequence[str] | None = None,
-            max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+            right_on: Sequence[str] | None = None) -> DataFrame:
     """Add boolean ``flag``: key found in ``parent``; never null."""
     pairs = _pairs(left_on, right_on)
     keys = _keys_as(parent, pairs, "_k").dropna().distinct().withColumn("_hit", F.lit(True))
-    out = df.join(small(keys, max_broadcast_rows), _cond(df, pairs, "_k"), "left")
+    out = df.join(keys, _cond(df, pairs, "_k"), "left")
     return out.withColumn(flag, F.coalesce(F.col("_hit"), F.lit(False))).drop(
         "_hit", *[f"_k{i}" for i in range(len(pairs))])
 
 
-def attach(df: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left",
-           max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Equi-join a lookup table onto ``df`` by shared column names."""
-    return df.join(small(lookup, max_broadcast_rows), list(on), how)
-
-
 def canonical_join(children: DataFrame, parents: DataFrame, key: str,
                    parent_cols: Sequence[str], prefix: str = "ER_") -> DataFrame:
     """Inner join children to their (canonical) parents; parent columns are

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from tallycheck import fixed
 from tallycheck.functions.dates import minute_bucket, to_local
-from tallycheck.functions.numbers import percent, safe_ratio
-from tallycheck.operators.lookup import MAX_BROADCAST_ROWS, small
+from tallycheck.functions.numbers import percent, safe_ratio, scalar_ratio
+from tallycheck.operators.checks import value_counts
 from tallycheck.operators.reconcile import status_sort
 
 ENTITY = "CLUSTERED_PRECINCT_ID"
@@ -31,8 +31,7 @@ def reporting_by_entity(universe: DataFrame, facts: DataFrame, *, universe_key:
                         fact_key: str, contest: str, received: str,
                         crosswalk: DataFrame | None = None,
                         crosswalk_cols: Sequence[str] = ("CLUSTER_ID", "DISTRICT_CODE", "DISTRICT_NAME"),
-                        environment: str = fixed.PRODUCTION,
-                        max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+                        environment: str = fixed.PRODUCTION) -> DataFrame:
     """One row per expected entity (unreported ones included) with result row
     count, distinct contests, first and last reception, reporting flags."""
     agg = (facts.filter(F.col(fact_key).isNotNull())
@@ -46,7 +45,7 @@ def reporting_by_entity(universe: DataFrame, facts: DataFrame, *, universe_key:
     if crosswalk is not None:
         cid, *rest = crosswalk_cols
         xw = crosswalk.select(F.col(cid).alias(universe_key), *rest).distinct()
-        df = df.join(small(xw, max_broadcast_rows), universe_key, "left")
+        df = df.join(xw, universe_key, "left")
         extra = list(rest)
     reported = F.col("RESULT_ROW_COUNT").isNotNull()
     df = df.withColumns({
@@ -93,13 +92,13 @@ def status_summary(comparison: DataFrame, scope_flag: str = "IS_QR_VERIFICATION_
     n, both = F.col("STATUS_COUNT"), F.col("TOTAL_BOTH_PRESENT")
     t = t.withColumns({
         "TOTAL_IN_SCOPE_CSV": F.col("TOTAL_CSV_ROWS"),
-        "OVERALL_STATUS_RATE": safe_ratio(n, "TOTAL_COMPARISON_ROWS", positive_only=True),
-        "MATCH_RATE": safe_ratio(F.when(F.col("COMPARISON_STATUS") == fixed.MATCHED, n).otherwise(0),
-                                 both, positive_only=True),
-        "MISMATCH_RATE": safe_ratio(F.when(F.col("COMPARISON_STATUS") == fixed.MISMATCH, n).otherwise(0),
-                                    both, positive_only=True),
-        "QR_WITH_CSV_RATE": safe_ratio(both, "TOTAL_QR_ROWS", positive_only=True),
-        "CSV_WITH_QR_RATE": safe_ratio(both, "TOTAL_CSV_ROWS", positive_only=True),
+        "OVERALL_STATUS_RATE": scalar_ratio(n, "TOTAL_COMPARISON_ROWS"),
+        "MATCH_RATE": scalar_ratio(F.when(F.col("COMPARISON_STATUS") == fixed.MATCHED, n).otherwise(0),
+                                 both),
+        "MISMATCH_RATE": scalar_ratio(F.when(F.col("COMPARISON_STATUS") == fixed.MISMATCH, n).otherwise(0),
+                                    both),
+        "QR_WITH_CSV_RATE": scalar_ratio(both, "TOTAL_QR_ROWS"),
+        "CSV_WITH_QR_RATE": scalar_ratio(both, "TOTAL_CSV_ROWS"),
     })
     if reference_rates:
         t = t.withColumns({c: F.lit(0.0) for c in ("OVERALL_STATUS_RATE", "MATCH_RATE", "MISMATCH_RATE")})
@@ -192,8 +191,8 @@ def kpi_summary(universe: DataFrame, universe_key: str, canonical: DataFrame, ca
                      for i, s in enumerate(fixed.STATUSES)])
     t = one.select("*", F.inline(rows))
     comparable = F.col("TOTAL_COMPARABLE_PRECINCTS")
-    rate = safe_ratio("PRECINCT_COUNT", comparable, positive_only=True)
-    cov = safe_ratio("TOTAL_SCANNED_PRECINCTS", "TOTAL_PRECINCTS", positive_only=True)
+    rate = scalar_ratio("PRECINCT_COUNT", comparable)
+    cov = scalar_ratio("TOTAL_SCANNED_PRECINCTS", "TOTAL_PRECINCTS")
     t = t.withColumns({
         "UNSEEN_PRECINCT_COUNT": F.when(F.col("TOTAL_VERIFICATION_PRECINCTS") > 0,
                                         F.col("TOTAL_PRECINCTS") - F.col("TOTAL_SCANNED_PRECINCTS"))
@@ -260,6 +259,6 @@ def safe_singles(df: DataFrame, keys: Sequence[str], fields: Mapping[str, tuple[
     ``fields`` maps a column to (distinct-count name, safe-value name)."""
     g = df.filter(F.lit(True) if not keys else
                   F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-    aggs = [F.count_distinct(c).alias(n) for c, (n, _) in fields.items()]
-    aggs += [F.when(F.count_distinct(c) == 1, F.max(c)).alias(v) for c, (_, v) in fields.items()]
-    return g.groupBy(*keys).agg(*aggs)
+    counted = value_counts(g, keys, list(fields))
+    return counted.select(*keys, *[F.col(f"_n{i}").alias(n) for i, (n, _) in enumerate(fields.values())],
+                          *[F.col(f"_v{i}").alias(v) for i, (_, v) in enumerate(fields.values())])
