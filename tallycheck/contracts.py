@@ -68,7 +68,7 @@ def enforce(df: DataFrame, contract: Contract) -> DataFrame:
     cols = set(df.columns)
     for f in contract.fields:
         if f.name not in cols and f.required:
-            raise MissingRequiredColumn(f"[{contract.name}] Required column '{f.name}' is missing.")
+            raise MissingRequiredColumn(f"{contract.name} has no column {f.name}, which its contract requires")
     missing = {f.name: F.lit(None).cast(f.dtype) for f in contract.fields if f.name not in cols}
     return df.withColumns(missing) if missing else df
 
@@ -78,7 +78,7 @@ def require(df: DataFrame, names: Sequence[str], dataset: str,
     """Inline required-column check (no optional handling)."""
     for n in names:
         if n not in df.columns:
-            raise error(f"[{dataset}] Required column '{n}' is missing.")
+            raise error(f"{dataset} has no column {n}, which is required")
 
 
 def project(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -111,6 +111,26 @@ ELECTION_CONTRACTS: dict[str, Contract] = {
         Field("TOTALIZATION_ORDER", "bigint", required=False), Field("NUMBER_VOTERS", "bigint"),
         Field("UNDER_VOTES", "bigint"), Field("OVER_VOTES", "bigint"), Field("RECEPTION_DATE"),
     )),
+    "mobile_er": Contract("mobile_er", (
+        Field("ER_ID"), Field("CLUSTERED_PRECINCT_ID"), Field("IS_DUPLICATE", "boolean"),
+        Field("RECEIVED_AT", "timestamp_ntz"), Field("ELECTION_DATE", required=False),
+        Field("REGISTERED_VOTERS", "bigint", required=False), Field("BALLOTS_COUNTED", "bigint", required=False),
+        Field("ENVIRONMENT"), Field("IS_CANONICAL", "boolean"), Field("SUBMISSION_STATUS"),
+    )),
+    "mobile_qr": Contract("mobile_qr", (
+        Field("ER_ID"), Field("DISTRICT_CODE"), Field("CANDIDATE_NO", "bigint"), Field("VOTES", "bigint"),
+        Field("QR_RACE_CODE"), Field("BALLOT_POSITION", "bigint"), Field("QR_VOTES", "bigint"),
+        Field("ENVIRONMENT"), Field("VERIFICATION_SOURCE"),
+    )),
+    "verification_comparison": Contract("verification_comparison", (
+        Field("FINAL_COMPARISON_KEY"), Field("CLUSTERED_PRECINCT_ID"), Field("CONTEST_CODE"),
+        Field("CANDIDATE_CODE"), Field("CONTEST_CANDIDATE_KEY"), Field("COMPARISON_STATUS"),
+        Field("COMPARISON_REASON"), Field("STATUS_SORT", "int"), Field("IS_QR_VERIFICATION_SCOPE", "boolean"),
+        Field("CSV_EXISTS", "boolean"), Field("QR_EXISTS", "boolean"), Field("IS_MATCHED", "boolean"),
+        Field("IS_MISMATCH", "boolean"), Field("CSV_VOTES", "bigint", required=False),
+        Field("QR_VOTES", "bigint", required=False), Field("VOTE_DIFFERENCE", "bigint", required=False),
+        Field("RECORD_SCOPE"), Field("ENVIRONMENT"),
+    )),
 }
 
 
@@ -119,7 +139,7 @@ def contract(dataset: str) -> Contract:
     try:
         return ELECTION_CONTRACTS[dataset]
     except KeyError:
-        raise ValueError(f"No schema defined for dataset '{dataset}'") from None
+        raise ValueError(f"unknown dataset: {dataset}") from None
 
 
 def ensure_columns(df: DataFrame, dataset: str) -> DataFrame:

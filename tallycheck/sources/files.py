@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 class MissingReference(RuntimeError):
@@ -27,39 +27,28 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a source that arrives in fewer splits than the cluster has
-    task slots (one parquet row group, a gzipped CSV), so the CPU-heavy
-    cleaning that follows runs on every core. Inputs with enough splits - the
-    normal case for large data - are returned unchanged (no shuffle)."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    # Partition by the row's position in its input split, not round-robin: as
-    # deterministic on a retried task (a file split is read in the same order)
-    # without the per-partition sort round-robin needs for that, and it reads
-    # no column, so column pruning still reaches the scan.
-    return df.repartition(slots, F.monotonically_increasing_id())
-
-
 def read_text_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] = (),
-                  multiline: bool = False, with_source_file: str | None = None) -> DataFrame:
-    """Header CSV, every column as text. Quoted fields may hold commas.
-
-    ``multiline=True`` is only for quoted fields containing line breaks: it makes
-    every file a single split, so leave it off for large inputs.
-    ``na_tokens`` (e.g. 'NA', 'N/A') become null; by default only empty fields do.
-    ``with_source_file`` names a column that receives the file name.
+                  multiline: bool = True, with_source_file: str | None = None) -> DataFrame:
+    """Header CSV, every column as text. Quoted fields may hold commas and line
+    breaks; missing trailing fields and empty fields are null; a row with data
+    beyond the header's fields fails the read, as that can't be placed.
+
+    ``multiline=False`` is for large sources known to have no line break inside
+    quotes: only then can Spark split a file. ``na_tokens`` (e.g. 'NA', 'N/A')
+    become null too. ``with_source_file`` names a column that receives the file name.
     """
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("escape", '"').option("multiLine", multiline).option("mode", "PERMISSIVE")
-          .csv(path))
-    if na_tokens:
-        df = df.select(*[F.when(F.col(c).isin(*na_tokens), F.lit(None)).otherwise(F.col(c)).alias(c)
-                         for c in df.columns])
+    options = {"header": True, "escape": '"', "multiLine": multiline, "mode": "PERMISSIVE"}
+    names = spark.read.options(**options).csv(path).columns
+    beyond = "_beyond_header"
+    schema = StructType([StructField(n, StringType()) for n in [*names, beyond]])
+    df = spark.read.options(**options).schema(schema).csv(path)
+    message = F.concat(F.lit("a row has more fields than the header, first: "), F.coalesce(F.col(names[0]), F.lit("")))
+    df = df.filter(F.when(F.col(beyond).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    nothing = ["", *na_tokens]
+    out = [F.when(~F.col(n).isin(*nothing), F.col(n)).alias(n) for n in names]
     if with_source_file:
-        df = df.withColumn(with_source_file, F.col("_metadata.file_name"))
-    return spread(df)
+        out.append(F.col("_metadata.file_name").alias(with_source_file))
+    return df.select(*out)
 
 
 def _struct_type(schema: StructType | str) -> StructType:

@@ -9,23 +9,19 @@ from pyspark.sql import DataFrame
 log = logging.getLogger(__name__)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False,
-                fail: bool = False) -> bool:
-    """Overwrite ``path`` with ``df``.
-
-    ``single_file`` coalesces to one partition first: only for small outputs
-    (rollups, the gate row). CSV is written with a header. A failed export is
-    logged and reported as ``False`` unless ``fail`` is set.
-    """
-    out = df.coalesce(1) if single_file else df
-    w = out.write.mode("overwrite")
+def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Overwrite ``path`` with ``df`` (CSV with a header). A failure is the caller's."""
+    w = df.write.mode("overwrite")
     if fmt == "csv":
         w = w.option("header", True)
+    w.format(fmt).save(path)
+
+
+def try_write(df: DataFrame, path: str, fmt: str = "parquet") -> str | None:
+    """Like :func:`write_table`, but a failed export is logged and its reason returned."""
     try:
-        w.format(fmt).save(path)
-        return True
-    except Exception as exc:  # noqa: BLE001 - export failures are reported, not fatal
-        if fail:
-            raise
+        write_table(df, path, fmt)
+        return None
+    except Exception as exc:  # noqa: BLE001 - the run goes on and reports which exports failed
         log.error("export of %s failed: %s", path, exc)
-        return False
+        return str(exc).splitlines()[0]

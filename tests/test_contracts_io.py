@@ -6,17 +6,18 @@ from tallycheck.contracts import (
     ELECTION_CONTRACTS, Contract, Field, MissingRequiredColumn, enforce, ensure_columns, project, rename_aliases,
 )
 from tallycheck.sources import empty_table, literal_table, read_text_csv, read_with_policy, write_table
-from tallycheck.sources.files import MissingReference, spread
+from tallycheck.sources.files import MissingReference
+from tallycheck.sources.sinks import try_write
 
 
 def test_enforce_required_and_optional(spark):
     c = Contract("t", (Field("A"), Field("N", "bigint", required=False)))
     df = enforce(spark.createDataFrame([("x",)], "A string"), c)
     assert df.dtypes == [("A", "string"), ("N", "bigint")] and df.first()["N"] is None
-    with pytest.raises(MissingRequiredColumn, match=r"\[t\] Required column 'A'"):
+    with pytest.raises(MissingRequiredColumn, match="t has no column A"):
         enforce(spark.createDataFrame([(1,)], "N bigint"), c)
     assert ELECTION_CONTRACTS["results"].required[:3] == ["PRECINCT_CODE", "CONTEST_CODE", "CANDIDATE_CODE"]
-    with pytest.raises(ValueError, match="No schema defined"):
+    with pytest.raises(ValueError, match="unknown dataset"):
         ensure_columns(df, "nope")
     out = ensure_columns(spark.createDataFrame([("p", "n")], "PARTIES_CODE string, PARTIES_NAME string"), "parties")
     assert out.columns == ["PARTIES_CODE", "PARTIES_NAME", "PARTIES_ALIAS"]
@@ -46,18 +47,31 @@ def test_text_csv_reader_and_policy(spark, tmp_path):
     assert empty_table(spark, "A string, B bigint").dtypes == [("A", "string"), ("B", "bigint")]
 
 
-def test_spread_keeps_rows(spark):
-    df = spark.range(0, 1000, numPartitions=1)
-    out = spread(df)
-    assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(r[0] for r in out.collect()) == list(range(1000))
+def test_reader_keeps_line_breaks_and_reports_rows_it_cannot_place(spark, tmp_path):
+    p = tmp_path / "x.csv"
+    p.write_text('A,B,C\n1,2,3\n8,"line\nbreak",9\n5\n"","q""q",\n')
+    got = sorted(map(tuple, read_text_csv(spark, str(p)).collect()), key=repr)
+    assert got == sorted([("1", "2", "3"), ("8", "line\nbreak", "9"), ("5", None, None), (None, 'q"q', None)], key=repr)
+    for row in ("4,5,6,7", "4,5,6,7,8"):
+        p.write_text(f"A,B,C\n1,2,3\n{row}\n")
+        df = read_text_csv(spark, str(p), multiline=False)
+        with pytest.raises(Exception, match="more fields than the header, first: 4"):
+            df.collect()
+
+
+def test_three_output_contracts():
+    assert ELECTION_CONTRACTS["mobile_er"].required[-1] == "SUBMISSION_STATUS"
+    assert "VERIFICATION_SOURCE" in ELECTION_CONTRACTS["mobile_qr"].required
+    assert "CSV_VOTES" not in ELECTION_CONTRACTS["verification_comparison"].required
 
 
 def test_write_table(spark, tmp_path):
     df = literal_table(spark, [("a", 1), ("b", 2)], "K string, V bigint")
-    assert write_table(df, str(tmp_path / "p"))
+    write_table(df, str(tmp_path / "p"))
     assert spark.read.parquet(str(tmp_path / "p")).count() == 2
-    assert write_table(df, str(tmp_path / "c"), fmt="csv", single_file=True)
+    assert try_write(df.repartition(1), str(tmp_path / "c"), fmt="csv") is None
     files = [f for f in os.listdir(tmp_path / "c") if f.endswith(".csv")]
     assert len(files) == 1
-    assert not write_table(df, str(tmp_path / "x"), fmt="no-such-format")
+    assert try_write(df, str(tmp_path / "x"), fmt="no-such-format")
+    with pytest.raises(Exception):
+        write_table(df, str(tmp_path / "x"), fmt="no-such-format")
