@@ -79,6 +79,25 @@ RECEPTION_DATE_FORMATS = (
     "yyyy-M-d",
 )
 
+# --- Fixed values: receipt-time layouts beside ISO-8601, month first ----------
+INSTANT_FORMATS = (
+    "M/d/yyyy H:m:s",
+    "M/d/yyyy H:m",
+    "M/d/yyyy",
+    "M-d-yyyy H:m:s",
+    "M-d-yyyy H:m",
+    "M-d-yyyy",
+    "yyyy/M/d H:m:s",
+    "yyyy/M/d H:m",
+    "yyyy/M/d",
+)
+
+# --- Fixed values: characters between the words of a header -------------------
+HEADER_SEPARATORS = "-/_"
+
+# --- Fixed values: characters that geographic names lose (upper-cased text) ---
+GEO_NOT_KEPT = r"(?U)[^A-Z0-9\s]"
+
 # --- Fixed values: flag and "active" tokens ----------------------------------
 FLAG_TRUE = ("true", "1")
 FLAG_FALSE = ("false", "0")

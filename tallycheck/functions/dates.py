@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallycheck import fixed
-from tallycheck.functions.text import ColumnOrName, _col
+from tallycheck.functions.text import ColumnOrName, _col, strip_ws
 
 
 _FIELD = {"yyyy": r"\d{4}", "M": r"\d{1,2}", "d": r"\d{1,2}", "H": r"\d{1,2}", "m": r"\d{1,2}",
@@ -51,12 +51,16 @@ def parse_first(c: ColumnOrName, formats: Sequence[str] = fixed.RECEPTION_DATE_F
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 
-def parse_instant(c: ColumnOrName) -> Column:
-    """ISO-8601 text (with or without offset) -> UTC wall time; bad text -> null.
+def parse_instant(c: ColumnOrName, formats: Sequence[str] = fixed.INSTANT_FORMATS) -> Column:
+    """Date and time text -> UTC wall time; bad text -> null.
 
-    Text without an offset is taken as UTC (the session time zone is UTC)."""
-    ts = F.try_to_timestamp(_col(c).cast("string"))
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+    ISO-8601 text (with or without offset) first, then the month-first
+    ``formats``. Text without an offset is UTC (the session time zone is UTC).
+    A date is required: a bare time would take the day of the run."""
+    text = strip_ws(_col(c).cast("string"))
+    iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), F.try_to_timestamp(text))
+    ts = F.coalesce(iso.cast("timestamp_ntz"), parse_first(text, formats))
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts)
 
 
 def to_local(c: ColumnOrName, zone: str = fixed.LOCAL_TIME_ZONE) -> Column:

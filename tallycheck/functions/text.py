@@ -67,9 +67,8 @@ def normalize_geo(c: ColumnOrName, overrides: Mapping[str, str] = fixed.GEO_OVER
     """Geographic name for matching: null -> '', control characters and anything
     outside A-Z, 0-9 and whitespace become spaces, upper case, single spaces,
     trimmed, then the fixed override table."""
-    s = F.regexp_replace(F.upper(_col(c)), r"[\x00-\x1f\x7f]", " ")
-    s = F.regexp_replace(s, r"(?U)[^A-Z0-9\s]", " ")
-    s = F.coalesce(strip_ws(F.regexp_replace(s, r"(?U)\s+", " ")), F.lit(""))
+    kept = F.regexp_replace(F.upper(_col(c)), fixed.GEO_NOT_KEPT, " ")
+    s = F.coalesce(strip_ws(F.regexp_replace(kept, r"(?U)\s+", " ")), F.lit(""))
     if not overrides:
         return s
     return F.coalesce(_map_literal(overrides)[s], s)
@@ -83,7 +82,10 @@ def apply_alias(c: ColumnOrName, aliases: Mapping[str, str] = fixed.GEO_ALIASES)
 
 def repair_unclosed_paren(c: ColumnOrName) -> Column:
     """Append ')' when the text after the last '(' is non-empty and has no ')'."""
-    return F.regexp_replace(_col(c), r"^(.*\([^)]+)$", "$1)")
+    text = _col(c)
+    tail = F.substring_index(text, "(", -1)
+    is_open = text.contains("(") & (F.length(tail) > 0) & ~tail.contains(")")
+    return F.when(is_open, F.concat(text, F.lit(")"))).otherwise(text)
 
 
 def classify_in(c: ColumnOrName, codes: Iterable[str], inside: str, outside: str) -> Column:
@@ -91,12 +93,9 @@ def classify_in(c: ColumnOrName, codes: Iterable[str], inside: str, outside: str
     return F.when(_col(c).isin(*codes), F.lit(inside)).otherwise(F.lit(outside))
 
 
-# Column *names* are metadata: normalising them is plain Python on the driver.
-_HEADER_SEP = re.compile(r"[\s\-/]+")
-_HEADER_RUNS = re.compile(r"_+")
-
-
 def normalize_header(raw: str) -> str:
-    """'  party-name ' -> 'PARTY_NAME'; 'a/b' -> 'A_B'."""
-    s = _HEADER_SEP.sub("_", str(raw).strip().upper())
-    return _HEADER_RUNS.sub("_", s).strip("_")
+    """'  party-name ' -> 'PARTY_NAME'; 'a/b' -> 'A_B': the parts between
+    separators, joined by one underscore. Column names are metadata: this is
+    plain Python on the driver."""
+    spaced = "".join(" " if ch in fixed.HEADER_SEPARATORS else ch for ch in str(raw))
+    return "_".join(spaced.upper().split())

@@ -95,3 +95,35 @@ def test_headers(spark):
     assert normalize_headers(df).columns == ["CANDIDATE_CODE", "X"]
     with pytest.raises(HeaderCollision):
         normalize_headers(spark.createDataFrame([(1, 2)], "`a b` int, `A-B` int"))
+
+
+def test_scalar_ratio_rounds_the_binary_quotient(spark):
+    from tallycheck.functions import scalar_ratio
+
+    pairs = [(2469, 20000), (1235, 100000), (1, 20000), (1, 32), (3, 32), (5, 32), (0, 7), (7, 0), (7, None), (None, 7),
+             (123456, 10), (1, 3), (15, 200000)] + [(n, 20000) for n in range(0, 2000, 7)] + [(n, 3200) for n in range(900)]
+    df = spark.createDataFrame(pairs, "n long, d long").select("n", "d", scalar_ratio("n", "d").alias("r"))
+    for n, d, r in df.collect():
+        want = 0.0 if not d else None if n is None else round(n / d, 4)
+        assert (r or 0.0) == (want or 0.0), (n, d)
+
+
+def test_whole_number_keeps_tiny_fractions_apart_from_zero(spark):
+    from tallycheck.functions import whole_number
+
+    texts = {"1e-20": None, "0.0000000000000000001": None, "0.0": 0, "-0": 0, "1e3": 1000, "12.50": None, "1_000.0": 1000,
+             "9223372036854775807": 9223372036854775807, "1e19": None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", whole_number("t").alias("n"))
+    assert {r["t"]: r["n"] for r in df.collect()} == texts
+
+
+def test_receipt_times_in_other_layouts(spark):
+    import datetime as dt
+
+    from tallycheck.functions import parse_instant
+
+    at = dt.datetime(2025, 5, 13, 10, 0)
+    texts = {"05/13/2025 10:00": at, "5/13/2025 10:00:00": at, "2025-05-13T18:00:00+08:00": at, "2025/05/13 10:00": at,
+             " 2025-05-13 10:00 ": at, "10:30": None, "13/05/2025 10:00": None, "": None, None: None, "2025-05-13": dt.datetime(2025, 5, 13)}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_instant("t").alias("x"))
+    assert {r["t"]: r["x"] for r in df.collect()} == texts
