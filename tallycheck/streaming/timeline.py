@@ -16,16 +16,21 @@ than the previous batch are removed once a batch has been written.
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tallycheck import fixed
+from tallycheck.contracts import normalize_headers, require
 from tallycheck.operators import rollups
 from tallycheck.plans import election
-from tallycheck.sources.files import _exists
+from tallycheck.sources.files import _exists, read_text_csv
+
+class MissingState(RuntimeError):
+    """The state an incremental batch builds on is gone."""
+
 
 ER_COLUMNS = ["ER_ID", "CLUSTERED_PRECINCT_ID", "IS_DUPLICATE", "RECEIVED_AT"]
 
@@ -60,29 +65,44 @@ def merge_first_receipts(previous: DataFrame | None, batch_ers: DataFrame) -> Da
             .agg(F.min("RECEIVED_AT").alias("RECEIVED_AT")))
 
 
+def _by_header(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The ER files as one frame of the needed columns, each file read by its own
+    header: any column order, further columns allowed."""
+    frames = []
+    for path in paths:
+        df = normalize_headers(read_text_csv(spark, path))
+        require(df, ER_COLUMNS, path)
+        frames.append(df.select(*ER_COLUMNS))
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
 def start_timeline(spark: SparkSession, source_dir: str, state_dir: str, output_dir: str,
                    universe: DataFrame, universe_key: str, checkpoint_dir: str,
-                   zone: str = fixed.LOCAL_TIME_ZONE, available_now: bool = False) -> StreamingQuery:
-    """Watch ``source_dir`` for ER CSV files (reference headers) and keep the
-    timeline table at ``output_dir`` current."""
-    schema = StructType([StructField(c, StringType()) for c in ER_COLUMNS])
-    stream = (spark.readStream.option("header", True).schema(schema).csv(source_dir))
+                   zone: str = fixed.LOCAL_TIME_ZONE, available_now: bool = False,
+                   files_per_batch: int = 100) -> StreamingQuery:
+    """Watch ``source_dir`` for ER CSV files (reference headers, in any order) and
+    keep the timeline table at ``output_dir`` current. A micro-batch takes up to
+    ``files_per_batch`` files. If the state of the previous batch is gone, the
+    query fails rather than start from an empty timeline."""
+    stream = (spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(source_dir)
+              .select(F.col("_metadata.file_path").alias("path")))
     expected = universe.select(universe_key)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        # bounded by files_per_batch
+        paths = sorted(r["path"] for r in batch.distinct().collect())
         prev = None
         if batch_id > 0:
-            # the latest version at or before the previous batch
-            for b in range(batch_id - 1, -1, -1):
-                if _exists(spark, _version(state_dir, b)):
-                    prev = spark.read.parquet(_version(state_dir, b))
-                    break
-        merged = merge_first_receipts(prev, batch)
-        merged.write.mode("overwrite").parquet(_version(state_dir, batch_id))
+            version = _version(state_dir, batch_id - 1)
+            if not _exists(spark, version):
+                raise MissingState(f"no state of batch {batch_id - 1} at {version}")
+            prev = spark.read.parquet(version)
+        new = merge_first_receipts(prev, _by_header(spark, paths)) if paths else prev
+        new.write.mode("overwrite").parquet(_version(state_dir, batch_id))
         first = spark.read.parquet(_version(state_dir, batch_id))
         tl = rollups.timeline(first, entity="CLUSTERED_PRECINCT_ID", received="RECEIVED_AT", universe=expected,
                               universe_key=universe_key, zone=zone)
-        tl.coalesce(1).write.mode("overwrite").parquet(output_dir)
+        tl.repartition(1).sortWithinPartitions("TIME_BUCKET").write.mode("overwrite").parquet(output_dir)
         _drop_versions_before(spark, state_dir, batch_id - 1)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_dir)

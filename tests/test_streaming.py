@@ -1,3 +1,4 @@
+import pytest
 
 from tallycheck.operators import rollups
 from tallycheck.plans import election
@@ -10,17 +11,38 @@ def test_stream_matches_batch(spark, tmp_path):
     (src / "a.csv").write_text("ER_ID,CLUSTERED_PRECINCT_ID,IS_DUPLICATE,RECEIVED_AT\n"
                                "E1,p1,false,2025-05-13T00:05:00Z\nE2,p2,false,2025-05-13T00:06:30Z\n"
                                "E3,p2,true,2025-05-13T00:01:00Z\n")
-    (src / "b.csv").write_text("ER_ID,CLUSTERED_PRECINCT_ID,IS_DUPLICATE,RECEIVED_AT\n"
-                               "E4,p1,0,2025-05-13T00:02:00Z\nE5,p3,false,2025-05-13T09:00:00Z\n")
+    # another order, another spelling and one column more
+    (src / "b.csv").write_text("received at,ELECTION_DATE,is-duplicate,ER_ID,CLUSTERED_PRECINCT_ID\n"
+                               "2025-05-13T00:02:00Z,x,0,E4,p1\n2025-05-13T09:00:00Z,x,false,E5,p3\n")
     universe = spark.createDataFrame([(f"p{i}",) for i in range(1, 6)], "ACM_ID string")
     q = start_timeline(spark, str(src), str(tmp_path / "state"), str(tmp_path / "out"), universe, "ACM_ID",
                        str(tmp_path / "ckpt"), available_now=True)
     q.awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out")).drop("REFRESH_TIMESTAMP_UTC")
-    every = spark.read.option("header", True).csv(str(src))
+    every = (spark.read.option("header", True).csv(str(src / "a.csv")).unionByName(
+        spark.read.option("header", True).csv(str(src / "b.csv")).drop("ELECTION_DATE").toDF(
+            "RECEIVED_AT", "IS_DUPLICATE", "ER_ID", "CLUSTERED_PRECINCT_ID")))
     want = rollups.timeline(election.er_canonical(election.clean_mobile_ers(every)), entity="CLUSTERED_PRECINCT_ID",
                             received="RECEIVED_AT", universe=universe, universe_key="ACM_ID",
                             refresh_timestamp=False)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
     assert [r["CUMULATIVE_QR_RECEIVED"] for r in got.orderBy("TIME_BUCKET").collect()] == [1, 2, 3]
     assert len([p for p in (tmp_path / "state").iterdir() if p.name.startswith("first_receipts_")]) <= 2
+
+
+def test_missing_state_stops_the_stream(spark, tmp_path):
+    src = tmp_path / "ers"
+    src.mkdir()
+    head = "ER_ID,CLUSTERED_PRECINCT_ID,IS_DUPLICATE,RECEIVED_AT\n"
+    universe = spark.createDataFrame([("p1",), ("p2",)], "ACM_ID string")
+
+    def step():
+        start_timeline(spark, str(src), str(tmp_path / "state"), str(tmp_path / "out"), universe, "ACM_ID",
+                       str(tmp_path / "ckpt"), available_now=True).awaitTermination(120)
+
+    (src / "a.csv").write_text(head + "E1,p1,false,2025-05-13T00:05:00Z\n")
+    step()
+    (tmp_path / "state").rename(tmp_path / "elsewhere")
+    (src / "b.csv").write_text(head + "E2,p2,false,2025-05-13T00:06:00Z\n")
+    with pytest.raises(Exception, match="no state of batch 0"):
+        step()
