@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycheck import fixed
@@ -14,26 +14,44 @@ from tallycheck import fixed
 
 @dataclass(frozen=True)
 class Check:
+    """``issues``: the problem rows. ``tally``: (table, aggregate) pairs whose sum
+    is their number, for checks that look at single rows of a table."""
+
     key: str
     name: str
     severity: str
     issues: DataFrame
+    tally: tuple[tuple[DataFrame, Column], ...] = ()
 
 
-def catalogue(issues: dict[str, DataFrame]) -> list[Check]:
+def catalogue(issues: Mapping[str, DataFrame]) -> list[Check]:
     """Attach the fixed names and severities to issue frames keyed by check key,
     in catalogue order (keys not supplied are skipped)."""
-    return [Check(k, n, s, issues[k]) for k, n, s in fixed.CHECKS if k in issues]
+    tallies = getattr(issues, "tallies", {})
+    return [Check(k, n, s, issues[k], tuple(tallies.get(k, ()))) for k, n, s in fixed.CHECKS if k in issues]
 
 
 def issue_counts(checks: Sequence[Check]) -> DataFrame:
     """(CHECK_ORDER, QA_CHECK, SEVERITY, ISSUE_COUNT): every check counted in a
-    single job (a union of one-row aggregates)."""
-    parts = [c.issues.agg(F.count(F.lit(1)).alias("ISSUE_COUNT"))
-             .select(F.lit(i).alias("CHECK_ORDER"), F.lit(c.name).alias("QA_CHECK"),
-                     F.lit(c.severity).alias("SEVERITY"), "ISSUE_COUNT")
-             for i, c in enumerate(checks, start=1)]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    single job. Checks on single rows share one aggregate, and so one read, of
+    each table; the others are one aggregate each."""
+    tables: dict[int, tuple[DataFrame, list[tuple[int, Column]]]] = {}
+    parts = []
+    for i, c in enumerate(checks, start=1):
+        for df, count in c.tally:
+            tables.setdefault(id(df), (df, []))[1].append((i, count))
+        if not c.tally:
+            parts.append(c.issues.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("CHECK_ORDER"), "n"))
+    for df, counts in tables.values():
+        one = df.agg(*[x.cast("bigint").alias(f"_t{j}") for j, (_, x) in enumerate(counts)])
+        rows = F.array(*[F.struct(F.lit(i).alias("CHECK_ORDER"), F.col(f"_t{j}").alias("n"))
+                         for j, (i, _) in enumerate(counts)])
+        parts.append(one.select(F.inline(rows)))
+    total = (reduce(lambda a, b: a.unionByName(b), parts)
+             .groupBy("CHECK_ORDER").agg(F.sum("n").alias("ISSUE_COUNT")))
+    label = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("CHECK_ORDER"))
+    return total.select("CHECK_ORDER", label([c.name for c in checks]).alias("QA_CHECK"),
+                        label([c.severity for c in checks]).alias("SEVERITY"), "ISSUE_COUNT")
 
 
 def summarize(counts: DataFrame) -> DataFrame:
@@ -103,15 +121,16 @@ def decide(summary: DataFrame, environment: str = fixed.PRODUCTION, run_info: bo
 
 
 def issue_samples(checks: Sequence[Check], n: int = 5) -> DataFrame:
-    """Up to ``n`` example rows per check (as JSON, in a deterministic order)
-    with the check's issue count and how many rows were left out. The limit is
-    the feature here: a sample report."""
+    """Up to ``n`` example rows per check (as JSON of texts, columns and rows in
+    order) with the check's issue count and how many rows were left out. The
+    limit is the feature here: a sample report. The totals come from the one
+    union that counts every check."""
     parts = []
     for c in checks:
-        as_json = c.issues.select(F.to_json(F.struct(*[F.col(x) for x in c.issues.columns])).alias("SAMPLE_ROW"))
-        top = as_json.orderBy("SAMPLE_ROW").limit(n)
-        total = c.issues.agg(F.count(F.lit(1))).scalar()
-        parts.append(top.select(F.lit(c.name).alias("QA_CHECK"), "SAMPLE_ROW",
-                                total.alias("ISSUE_COUNT"),
-                                F.greatest(total - F.lit(n), F.lit(0)).alias("OMITTED_COUNT")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        cols = [F.col(x).cast("string").alias(x) for x in sorted(c.issues.columns)]
+        row = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("SAMPLE_ROW")
+        parts.append(c.issues.select(row).orderBy("SAMPLE_ROW").limit(n).select(F.lit(c.name).alias("QA_CHECK"), "SAMPLE_ROW"))
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    totals = issue_counts(checks).select("QA_CHECK", "ISSUE_COUNT")
+    return rows.join(totals, "QA_CHECK").withColumn(
+        "OMITTED_COUNT", F.greatest(F.col("ISSUE_COUNT") - F.lit(n), F.lit(0)))

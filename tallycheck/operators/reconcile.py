@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycheck import fixed
 from tallycheck.functions.text import composite_key
-from tallycheck.operators.lookup import MAX_BROADCAST_ROWS, flag_in
+from tallycheck.operators.lookup import flag_in
 
 
 class DuplicateKeyError(RuntimeError):
@@ -40,27 +40,18 @@ def assert_unique(sides: Mapping[str, DataFrame], keys: Sequence[str], sample: i
         if n:
             rows = dups.filter(F.col("SIDE") == side).orderBy(*keys).limit(sample).collect()
             shown = ["|".join("" if r[k] is None else str(r[k]) for k in keys) for r in rows]
-            raise DuplicateKeyError(
-                f"[{side} side] {n} comparison key value(s) are not unique before the "
-                f"full outer join. Sample duplicate keys: {shown}")
+            raise DuplicateKeyError(f"{side}: {n} keys occur more than once, first of them: {', '.join(shown)}")
 
 
-GUARD_MESSAGE = "duplicate comparison key"
-
-
-def is_guard_failure(exc: BaseException) -> bool:
-    """True when a failed job was stopped by the inline uniqueness guard."""
-    return GUARD_MESSAGE in str(exc)
-
-
-def _inline_guard(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
-    # count(*) over (partition by keys) shares the hash partitioning of the
-    # sort-merge join that follows, so the guard adds no shuffle; the filter
-    # fails the job on the first repeated key.
-    counted = df.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    msg = F.concat(F.lit(f"[{side} side] {GUARD_MESSAGE}: "), composite_key(*keys))
-    ok = F.when(F.col("_key_rows") > 1, F.raise_error(msg)).otherwise(F.lit(True))
-    return counted.filter(ok).drop("_key_rows")
+def _one_row_a_key(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
+    """``df``, failing the job on the first key that occurs twice. Rows are
+    aggregated by the join's own keys: combined before the shuffle, so a hot key
+    is one row a task, and without a shuffle besides the join's."""
+    others = [c for c in df.columns if c not in keys]
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[F.max(c).alias(c) for c in others])
+    message = F.concat(F.lit(f"{side}: key occurs more than once: "), composite_key(*keys))
+    return g.filter(F.when(F.col("_rows") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))) \
+        .select(*df.columns)
 
 
 def classify(csv_exists: Column, qr_exists: Column, in_scope: Column,
@@ -93,8 +84,7 @@ def reconcile(csv: DataFrame, qr: DataFrame, keys: Sequence[str], *,
               csv_votes: str, qr_votes: str,
               scope: DataFrame | None = None, scope_on: str | None = None, scope_key: str | None = None,
               carry: Sequence[str] = (), guard: str = "inline",
-              environment: str = fixed.PRODUCTION,
-              max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+              environment: str = fixed.PRODUCTION) -> DataFrame:
     """Full outer join of two sources on ``keys`` explaining every row.
 
     ``csv`` rows with a null key part are left out (their key would be null);
@@ -103,19 +93,19 @@ def reconcile(csv: DataFrame, qr: DataFrame, keys: Sequence[str], *,
     ``scope_on`` (one of ``keys``) being among ``scope[scope_key]``.
 
     ``guard``: ``"inline"`` (default) fails the join job itself on the first
-    repeated key, at no extra shuffle (the per-key count shares the join's hash
-    partitioning); ``"eager"`` runs :func:`assert_unique` first (one extra job
-    over both sides, aborting with the number of repeated keys and samples
-    before anything is joined); ``"off"`` trusts the caller.
+    repeated key, at no extra shuffle; ``"eager"`` runs :func:`assert_unique`
+    first (one job over both sides, stopping with the number of repeated keys and
+    samples before anything is joined); ``"off"`` trusts the caller.
     """
     keys = list(keys)
     csv = csv.dropna(subset=keys)
     if guard == "eager":
         assert_unique({"CSV": csv, "QR": qr}, keys)
-    elif guard == "inline":
-        csv, qr = _inline_guard(csv, keys, "CSV"), _inline_guard(qr, keys, "QR")
-    elif guard != "off":
+    elif guard not in ("inline", "off"):
         raise ValueError(f"unknown guard {guard!r}")
+    if guard == "inline":
+        csv = _one_row_a_key(csv.select(*keys, *carry, csv_votes), keys, "CSV")
+        qr = _one_row_a_key(qr.select(*keys, *carry, qr_votes), keys, "QR")
 
     left = csv.select(*keys, *[F.col(c).alias(f"_csv_{c}") for c in carry],
                       F.col(csv_votes).cast("bigint").alias("CSV_VOTES"),
@@ -131,8 +121,7 @@ def reconcile(csv: DataFrame, qr: DataFrame, keys: Sequence[str], *,
                        **{c: F.coalesce(F.col(f"_csv_{c}"), F.col(f"_qr_{c}")) for c in carry}})
 
     if scope is not None:
-        j = flag_in(j, scope, [scope_on], "IS_QR_VERIFICATION_SCOPE", [scope_key or scope_on],
-                    max_broadcast_rows=max_broadcast_rows)
+        j = flag_in(j, scope, [scope_on], "IS_QR_VERIFICATION_SCOPE", [scope_key or scope_on])
     else:
         j = j.withColumn("IS_QR_VERIFICATION_SCOPE", F.lit(False))
 

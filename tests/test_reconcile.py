@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallycheck.operators.reconcile import DuplicateKeyError, is_guard_failure, reconcile
+from tallycheck.operators.reconcile import DuplicateKeyError, reconcile
 from tests.conftest import rows
 
 KEYS = ["P", "C", "K"]
@@ -45,19 +45,32 @@ def test_row_count_invariant(spark):
 
 def test_eager_guard_reports_each_side(spark):
     c, q, scope = frames(spark, csv=CSV + [("p1", "A", "1", 11)])
-    with pytest.raises(DuplicateKeyError, match=r"\[CSV side\] 1 .*p1\|A\|1"):
+    with pytest.raises(DuplicateKeyError, match=r"CSV: 1 keys .*p1\|A\|1"):
         reconcile(c, q, KEYS, csv_votes="V", qr_votes="V", guard="eager")
     c, q, scope = frames(spark, qr=QR + [("p4", "A", "1", 3), ("p1", "A", "2", 1)])
-    with pytest.raises(DuplicateKeyError, match=r"\[QR side\] 2 "):
+    with pytest.raises(DuplicateKeyError, match=r"QR: 2 keys "):
         reconcile(c, q, KEYS, csv_votes="V", qr_votes="V", guard="eager")
 
 
 def test_inline_guard_fails_the_job(spark):
     c, q, scope = frames(spark, qr=QR + [("p4", "A", "1", 3)])
     out = reconcile(c, q, KEYS, csv_votes="V", qr_votes="V", guard="inline")
-    with pytest.raises(Exception) as info:
+    with pytest.raises(Exception, match=r"QR: key occurs more than once: p4\|A\|1"):
         out.collect()
-    assert is_guard_failure(info.value)
+
+
+def test_guard_sees_a_hot_key_without_a_window(spark):
+    # a third of the rows carry one key
+    many = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("P"), F.lit("A").alias("C"),
+        F.lit("1").alias("K"), F.col("id").alias("V"))
+    _, q, _ = frames(spark)
+    out = reconcile(many, q, KEYS, csv_votes="V", qr_votes="V", guard="inline")
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match=r"CSV: key occurs more than once: hot\|A\|1"):
+        out.collect()
+    with pytest.raises(DuplicateKeyError, match=r"CSV: 1 keys .*hot\|A\|1"):
+        reconcile(many, q, KEYS, csv_votes="V", qr_votes="V", guard="eager")
 
 
 def test_empty_inputs(spark):
