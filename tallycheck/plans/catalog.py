@@ -23,9 +23,11 @@ from tallycheck.functions import (
     normalize_geo,
     parse_first,
     parse_flag,
+    scalar_ratio,
     whole_number,
 )
 from tallycheck.operators import gate, rollups
+from tallycheck.operators.reconcile import duplicate_keys
 from tallycheck.plans import election
 from tallycheck.plans import fixtures as X
 from tallycheck.session import configure
@@ -55,8 +57,11 @@ SCOPE_SQL = "('R', 'Z')"
 
 
 def ratio_sql(n: str, d: str, positive_only: bool = True) -> str:
-    cond = f"{d} > 0" if positive_only else f"{d} <> 0"
-    return f"CASE WHEN {cond} THEN round_even(CAST({n} AS DOUBLE) / {d}, 4) ELSE 0.0 END"
+    """``positive_only``: the scalar form, rounded on the exact binary quotient
+    (fixed-point formatting does that); else the column form, on decimal notation."""
+    if positive_only:
+        return f"CASE WHEN {d} > 0 THEN CAST(format('{{:.4f}}', CAST({n} AS DOUBLE) / {d}) AS DOUBLE) ELSE 0.0 END"
+    return f"CASE WHEN {d} <> 0 THEN round_even(CAST({n} AS DOUBLE) / {d}, 4) ELSE 0.0 END"
 
 
 # =========================================================================== reconciliation
@@ -374,7 +379,7 @@ SELECT pc AS PRECINCT_CODE, cc AS CONTEST_CODE, kc AS CANDIDATE_CODE, party AS P
        'Production' AS ENVIRONMENT
 FROM r""")
 def q_results_snapshot(spark, d):
-    """The results feed cleaned under its contract."""
+    """The results feed cleaned under its contract."""
     return X.results_lines(spark, d)
 
 
@@ -472,13 +477,14 @@ def q_geo_alias(spark, d):
 
 
 CANDIDATES_SQL = """
+part_ AS (SELECT * REPLACE (p_name || ' ' || CAST(p_partkey // 2 AS VARCHAR) AS p_name) FROM part),
 cm AS (
   SELECT p_brand AS CONTEST_CODE, CAST(p_partkey AS VARCHAR) AS CANDIDATE_CODE,
          CASE p_type WHEN 'ECONOMY' THEN p_name || ' (' || p_brand || ')' WHEN 'SMALL' THEN p_name || ' ('
                      WHEN 'LARGE' THEN p_name || ' (' || p_brand || ')' WHEN 'MEDIUM' THEN p_name || ' (x)'
                      ELSE p_name END AS CANDIDATE_NAME,
          p_type AS PARTIES_CODE, p_brand || '|' || CAST(p_partkey AS VARCHAR) AS CONTEST_CANDIDATE_KEY
-  FROM part)"""
+  FROM part_)"""
 
 
 @query("name_repair", f"WITH {CANDIDATES_SQL} SELECT * FROM cm")
@@ -566,7 +572,7 @@ def q_active_scope(spark, d):
 PARTS_MAP_SQL = f"""
 {CANDIDATES_SQL},
 rw AS (SELECT p_brand AS cc, p_size AS pos, upper(p_name) AS nm,
-              CASE WHEN p_size > 25 THEN 'CANDIDATE' END AS et FROM part WHERE p_type = 'PROMO'),
+              CASE WHEN p_size > 25 THEN 'CANDIDATE' END AS et FROM part_ WHERE p_type = 'PROMO'),
 bm AS (
   SELECT rw.cc AS CONTEST_CODE, CAST(rw.pos AS BIGINT) AS BALLOT_POSITION, cm.CANDIDATE_CODE,
          COALESCE(rw.et, 'REGION_WIDE') AS CHOICE_TYPE, 'COMELEC_REGION_WIDE_VERIFIED' AS MAPPING_SOURCE,
@@ -928,7 +934,139 @@ def q_publication_gate(spark, d):
     return gate.decide(_summary(spark, d))
 
 
-@query("issue_samples")
+def _samples_sql() -> str:
+    parts = []
+    for i, (key, name, _) in enumerate(fixed.CHECKS):
+        cols = ", ".join(f"'{c}': CAST(\"{c}\" AS VARCHAR)" for c in sorted(CHECK_COLUMNS[key]))
+        parts.append(f"""
+SELECT '{name}' AS QA_CHECK, SAMPLE_ROW, n AS ISSUE_COUNT, greatest(n - 5, 0) AS OMITTED_COUNT FROM (
+  SELECT SAMPLE_ROW, row_number() OVER (ORDER BY SAMPLE_ROW) AS rn, count(*) OVER () AS n
+  FROM (SELECT CAST(to_json({{{cols}}}) AS VARCHAR) AS SAMPLE_ROW FROM ({CHECK_SQL[key]}) q{i})) WHERE rn <= 5""")
+    return "\nUNION ALL\n".join(parts)
+
+
+#: Columns of each check's rows.
+_UNMATCHED = ["QA_ISSUE", "PRECINCT_CODE", "CONTEST_CODE"]
+CHECK_COLUMNS = {
+    "result_duplicates": [*_UNMATCHED, "CANDIDATE_CODE", "VOTES_AMOUNT"],
+    "missing_result_precincts": ["ACM_ID", "QA_ISSUE"],
+    "result_party_unmatched": [*_UNMATCHED, "PARTIES_CODE"],
+    "result_candidate_unmatched": [*_UNMATCHED, "CANDIDATE_CODE", "CONTEST_CANDIDATE_KEY"],
+    "result_precinct_unmatched": ["PRECINCT_CODE", "QA_ISSUE"],
+    "repeated_contest_totals": [*_UNMATCHED, "DISTINCT_COUNT", "FIELD_CHECKED"],
+    "acm_id_duplicates": ["ACM_ID", "QA_ISSUE"],
+    "acm_id_missing": ["ACM_ID", "REGION", "PROVINCE", "MUNICIPALITY", "BARANGAY", "POLLING_PLACE",
+                       "CLUSTERED_PRECINCT", "REGISTERED_VOTERS", "QA_ISSUE"],
+    "result_value_invalid": [*_UNMATCHED, "CANDIDATE_CODE", "VOTES_AMOUNT", "NUMBER_VOTERS", "UNDER_VOTES",
+                             "OVER_VOTES", "FIELD_CHECKED"],
+    "reception_date_invalid": [*_UNMATCHED, "RECEPTION_DATE"],
+    "registered_voter_invalid": ["ACM_ID", "REGISTERED_VOTERS", "QA_ISSUE"],
+    "required_value_blanks": ["DATASET", "COLUMN", "ROW_KEY", "QA_ISSUE"],
+    "mobile_required_values": ["SOURCE", "QA_ISSUE", "COUNT"],
+    "qr_orphan_er": ["ER_ID", "QA_ISSUE"],
+    "multiple_canonical_er": ["CLUSTERED_PRECINCT_ID", "CANONICAL_COUNT", "QA_ISSUE"],
+    "duplicate_qr_choice": ["ER_ID", "QR_RACE_CODE", "BALLOT_POSITION", "QA_ISSUE"],
+    "ballot_map_duplicate_key": ["CONTEST_CODE", "BALLOT_POSITION", "QA_ISSUE"],
+    "scope_readiness": ["QA_ISSUE", "CONTEST_CODE"],
+    "unmapped_qr_choices": ["ER_ID", "QR_RACE_CODE", "BALLOT_POSITION", "QA_ISSUE"],
+    "qr_outside_scope": ["CONTEST_CODE", "QA_ISSUE"],
+}
+
+
+@query("issue_samples", _samples_sql())
 def q_issue_samples(spark, d):
-    """O2 O3: up to five example rows per check with the number left out."""
+    """O2: up to five example rows per check with the number left out."""
     return gate.issue_samples(gate.catalogue(_issues(spark, d)), 5)
+
+
+# =========================================================================== outcomes the tables above don't reach
+
+_GATE_COUNTS = """
+       CAST({b} AS BIGINT) AS BLOCKING_CHECK_COUNT, CAST(0 AS BIGINT) AS BLOCKING_ISSUE_COUNT,
+       CAST({r} AS BIGINT) AS REVIEW_CHECK_COUNT, CAST({ri} AS BIGINT) AS REVIEW_ISSUE_COUNT,
+       CAST(0 AS BIGINT) AS INFO_CHECK_COUNT, CAST(0 AS BIGINT) AS INFO_ISSUE_COUNT"""
+
+
+@query("gate_review", f"""
+WITH n AS (SELECT COUNT(*) AS n FROM ({CHECK_SQL['reception_date_invalid']}) q)
+SELECT 'Production' AS ENVIRONMENT, 'READY_WITH_WARNINGS' AS PUBLICATION_STATUS,
+       'REVIEW_BEFORE_PUBLISH' AS PUBLICATION_DECISION, {_GATE_COUNTS.format(b=0, r=1, ri='n')},
+       'Review and document warnings before publishing.' AS REQUIRED_ACTION FROM n""")
+def q_gate_review(spark, d):
+    """Only a warning fires."""
+    check = gate.Check("reception_date_invalid", "Invalid reception dates", fixed.WARNING,
+                       _issues(spark, d)["reception_date_invalid"])
+    return gate.decide(gate.summarize(gate.issue_counts([check])))
+
+
+@query("gate_ready", f"""
+SELECT 'Production' AS ENVIRONMENT, 'READY' AS PUBLICATION_STATUS, 'READY_TO_PUBLISH' AS PUBLICATION_DECISION,
+       {_GATE_COUNTS.format(b=0, r=0, ri=0)},
+       'QA checks passed. Dataset is ready for publication.' AS REQUIRED_ACTION
+FROM (SELECT COUNT(*) - COUNT(DISTINCT o_orderkey) AS repeated FROM orders) WHERE repeated = 0""")
+def q_gate_ready(spark, d):
+    """Order keys are unique, so nothing fires."""
+    from tallycheck.operators import checks as C
+
+    unique = C.duplicate_rows(X.ers_orders(spark, d), ["ER_ID"], (), fixed.DUPLICATE_ACM_ID)
+    return gate.decide(gate.summarize(gate.issue_counts(gate.catalogue({"acm_id_duplicates": unique}))))
+
+
+@query("check_scope_empty", """
+SELECT 'PRODUCTION_SCOPE_MISSING' AS QA_ISSUE, CAST(NULL AS VARCHAR) AS CONTEST_CODE
+FROM (SELECT COUNT(*) FILTER (WHERE o_orderstatus = '?') AS n FROM orders) WHERE n = 0""")
+def q_check_scope_empty(spark, d):
+    """Q18: no contest of the scope file is active."""
+    from tallycheck.operators import checks as C
+
+    raw = X.table(spark, d, "orders").select(F.col("o_orderpriority").alias("CONTEST_CODE"),
+                                             F.when(F.col("o_orderstatus") == "?", "yes").otherwise("no").alias("ACTIVE"))
+    return C.scope_readiness(election.load_scope(spark, raw), "CONTEST_CODE",
+                             election.clean_contests(X.raw_contests_flags(spark, d)), "CONTEST_CODE",
+                             X.flag_map(spark, d), "CONTEST_CODE", require_scope=True)
+
+
+@query("check_mobile_rules", """
+WITH er AS (SELECT event_type AS t, CAST(floor(value) AS BIGINT) AS bc, CAST(json_extract_string(props, '$.k') AS BIGINT) AS rv,
+                   user_id FROM events),
+c AS (
+  SELECT 'ER' AS SOURCE, 'MISSING_ER_ID' AS QA_ISSUE, (SELECT COUNT(*) FROM er WHERE t = 'view') AS n
+  UNION ALL SELECT 'ER', 'MISSING_PRECINCT_ID', (SELECT COUNT(*) FROM er WHERE t = 'click' OR user_id IS NULL)
+  UNION ALL SELECT 'ER', 'INVALID_IS_DUPLICATE_FLAG', (SELECT COUNT(*) FROM er WHERE t = 'purchase')
+  UNION ALL SELECT 'ER', 'BALLOTS_COUNTED_EXCEEDS_REGISTERED_VOTERS', (SELECT COUNT(*) FROM er WHERE bc > rv)
+  UNION ALL SELECT 'QR', 'MISSING_QR_ER_ID', (SELECT COUNT(*) FROM lineitem WHERE l_linenumber = 1)
+  UNION ALL SELECT 'QR', 'MISSING_QR_RACE_CODE', (SELECT COUNT(*) FROM lineitem WHERE l_linenumber = 2)
+  UNION ALL SELECT 'QR', 'INVALID_BALLOT_POSITION', (SELECT COUNT(*) FROM lineitem WHERE l_linenumber = 3)
+  UNION ALL SELECT 'QR', 'INVALID_QR_VOTES', (SELECT COUNT(*) FROM lineitem WHERE l_linenumber = 4)
+  UNION ALL SELECT 'QR', 'NEGATIVE_QR_VOTES', (SELECT COUNT(*) FROM lineitem WHERE l_linenumber = 5 AND l_quantity >= 1))
+SELECT SOURCE, QA_ISSUE, n AS COUNT FROM c WHERE n > 0""")
+def q_check_mobile_rules(spark, d):
+    """Q13: all nine rules fire."""
+    return election.mobile_rule_counts(election.clean_mobile_ers(X.raw_ers_blanks(spark, d)),
+                                       election.clean_mobile_qr(X.raw_qr_blanks(spark, d)))
+
+
+@query("scalar_rounding", """
+SELECT l_orderkey, l_linenumber, CAST(format('{:.4f}', CAST(l_partkey AS DOUBLE) / 20000) AS DOUBLE) AS OF_20000,
+       CAST(format('{:.4f}', CAST(l_orderkey AS DOUBLE) / 100000) AS DOUBLE) AS OF_100000,
+       CAST(format('{:.4f}', CAST(l_linenumber AS DOUBLE) / 32) AS DOUBLE) AS OF_32
+FROM lineitem""")
+def q_scalar_rounding(spark, d):
+    """Quotients that end in a decimal 5 are rounded on their binary value."""
+    li = X.table(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", scalar_ratio("l_partkey", F.lit(20000)).alias("OF_20000"),
+                     scalar_ratio("l_orderkey", F.lit(100000)).alias("OF_100000"),
+                     scalar_ratio("l_linenumber", F.lit(32)).alias("OF_32"))
+
+
+@query("duplicate_keys", """
+SELECT 'CSV' AS SIDE, CAST(l_orderkey AS VARCHAR) AS PRECINCT_CODE, l_returnflag AS CONTEST_CODE FROM lineitem
+GROUP BY l_orderkey, l_returnflag HAVING COUNT(*) > 1
+UNION ALL
+SELECT 'QR', CAST(l_orderkey AS VARCHAR), l_returnflag FROM lineitem
+GROUP BY l_orderkey, l_returnflag HAVING COUNT(*) > 1""")
+def q_duplicate_keys(spark, d):
+    """The keys the uniqueness guard would stop on, per side."""
+    qr = X.qr_lines(spark, d).select(F.col("ER_ID").alias("PRECINCT_CODE"), F.col("QR_RACE_CODE").alias("CONTEST_CODE"))
+    csv = X.results_lines(spark, d).select("PRECINCT_CODE", "CONTEST_CODE")
+    return duplicate_keys({"CSV": csv, "QR": qr}, ["PRECINCT_CODE", "CONTEST_CODE"])

@@ -14,11 +14,11 @@ from __future__ import annotations
 
 import logging
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycheck import fixed
@@ -46,11 +46,11 @@ from tallycheck.functions import (
 )
 from tallycheck.operators import checks as C
 from tallycheck.operators import gate, rollups
-from tallycheck.operators.lookup import MAX_BROADCAST_ROWS, canonical_join, small
-from tallycheck.operators.reconcile import assert_unique, is_guard_failure, reconcile
-from tallycheck.session import checkpoint_dir, configure
+from tallycheck.operators.lookup import canonical_join
+from tallycheck.operators.reconcile import reconcile
+from tallycheck.session import configure, shared_folder
 from tallycheck.sources.files import MissingReference, _exists, literal_table, read_text_csv
-from tallycheck.sources.sinks import write_table
+from tallycheck.sources.sinks import try_write, write_table
 
 log = logging.getLogger(__name__)
 
@@ -99,6 +99,7 @@ def clean_parties(raw: DataFrame) -> DataFrame:
     return project(df, ["PARTIES_CODE", "PARTIES_NAME", "PARTIES_ALIAS"])
 
 
+# --- Fixed values: columns of the cleaned results, in order
 RESULT_COLUMNS = ["PRECINCT_CODE", "CONTEST_CODE", "CANDIDATE_CODE", "PARTIES_CODE", "VOTES_AMOUNT",
                   "TOTALIZATION_ORDER", "NUMBER_VOTERS", "UNDER_VOTES", "OVER_VOTES", "RECEPTION_DATE",
                   "RECEPTION_DATETIME", "CONTEST_CANDIDATE_KEY", "SOURCE_FILE", "ENVIRONMENT"]
@@ -140,12 +141,14 @@ def clean_mobile_ers(raw: DataFrame, environment: str = fixed.PRODUCTION) -> Dat
         "RECEIVED_AT": parse_instant("RECEIVED_AT"),
         **{c: whole_number(c) for c in ["REGISTERED_VOTERS", "BALLOTS_COUNTED"] if c in df.columns},
     })
-    return df.withColumns({
+    df = df.withColumns({
         "ENVIRONMENT": F.lit(environment),
         "DATA_STATUS": F.lit(data_status(environment)),
         "IS_CANONICAL": F.lit(False),
         "SUBMISSION_STATUS": F.lit(fixed.SUBMISSION_ALL),
     })
+    require(df, ELECTION_CONTRACTS["mobile_er"].required, "mobile_er")
+    return df
 
 
 def er_canonical(ers: DataFrame) -> DataFrame:
@@ -162,7 +165,7 @@ def clean_mobile_qr(raw: DataFrame, environment: str = fixed.PRODUCTION) -> Data
     require(df, ["ER_ID", "DISTRICT_CODE", "CANDIDATE_NO", "VOTES"], "mobile_qr")
     df = df.withColumns({"ER_ID": clean_text("ER_ID"), "DISTRICT_CODE": clean_text("DISTRICT_CODE"),
                          "CANDIDATE_NO": whole_number("CANDIDATE_NO"), "VOTES": whole_number("VOTES")})
-    return df.withColumns({
+    df = df.withColumns({
         "QR_RACE_CODE": F.col("DISTRICT_CODE"),
         "BALLOT_POSITION": F.col("CANDIDATE_NO"),
         "QR_VOTES": F.col("VOTES"),
@@ -170,6 +173,8 @@ def clean_mobile_qr(raw: DataFrame, environment: str = fixed.PRODUCTION) -> Data
         "VERIFICATION_SOURCE": F.lit(fixed.QR_SOURCE_LABEL),
         "DATA_STATUS": F.lit(data_status(environment)),
     })
+    require(df, ELECTION_CONTRACTS["mobile_qr"].required, "mobile_qr")
+    return df
 
 
 def qr_canonical(qr: DataFrame, ers_canonical: DataFrame) -> DataFrame:
@@ -191,7 +196,7 @@ def load_scope(spark: SparkSession, raw: DataFrame | None, environment: str = fi
     environments fall back to the fixed development contests (IS_MOCK_SCOPE)."""
     if raw is None:
         if environment == fixed.PRODUCTION:
-            raise MissingReference("BLOCKING: qr_verification_scope.csv is missing in Production.")
+            raise MissingReference("Production needs the approved scope, qr_verification_scope.csv")
         rows = [(c, "DEV_MOCK", None, True) for c in fixed.DEV_FALLBACK_SCOPE_CONTESTS]
         return literal_table(spark, rows, SCOPE_SCHEMA)
     df = normalize_headers(raw)
@@ -229,7 +234,7 @@ def load_district_map(spark: SparkSession, raw: DataFrame | None,
                       environment: str = fixed.PRODUCTION) -> DataFrame:
     if raw is None:
         if environment == fixed.PRODUCTION:
-            raise MissingReference("BLOCKING: qr_district_ballot_position_map.csv is missing in Production.")
+            raise MissingReference("Production needs the approved map, qr_district_ballot_position_map.csv")
         return literal_table(spark, [], DISTRICT_SCHEMA)
     df = normalize_headers(raw)
     require(df, ["CONTEST_CODE", "BALLOT_POSITION", "CANDIDATE_CODE"], "district map", MissingReference)
@@ -240,19 +245,19 @@ def load_district_map(spark: SparkSession, raw: DataFrame | None,
     return df.dropna(subset=["CONTEST_CODE", "BALLOT_POSITION", "CANDIDATE_CODE"])
 
 
+# --- Fixed values: columns of the ballot map, in order
 MAP_COLUMNS = ["CONTEST_CODE", "BALLOT_POSITION", "CANDIDATE_CODE", "CHOICE_TYPE", "MAPPING_SOURCE",
                "IS_MOCK_MAP"]
 
 
-def ballot_choice_map(candidates: DataFrame, region_wide: DataFrame, district: DataFrame,
-                      max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+def ballot_choice_map(candidates: DataFrame, region_wide: DataFrame, district: DataFrame) -> DataFrame:
     """(contest, ballot position) -> candidate. Region-wide entries are matched
     to candidates by normalised name within the contest (unmatched keep a null
     candidate; a repeated name multiplies rows, which a check reports); district
     entries come from the approved map. Rows without a contest are dropped."""
     cand = candidates.select("CONTEST_CODE", "CANDIDATE_CODE", match_name("CANDIDATE_NAME").alias("_NAME"))
     ref = region_wide.withColumn("_NAME", match_name("CANONICAL_BALLOT_NAME"))
-    rw = ref.join(small(cand, max_broadcast_rows), ["CONTEST_CODE", "_NAME"], "left").select(
+    rw = ref.join(cand, ["CONTEST_CODE", "_NAME"], "left").select(
         "CONTEST_CODE", F.col("BALLOT_NO").cast("string").alias("BALLOT_POSITION"), "CANDIDATE_CODE",
         F.coalesce(F.col("ENTRY_TYPE"), F.lit(fixed.CHOICE_REGION_WIDE)).alias("CHOICE_TYPE"),
         F.lit(fixed.MAPPING_SOURCE_REGION_WIDE).alias("MAPPING_SOURCE"), F.lit(False).alias("IS_MOCK_MAP"))
@@ -282,8 +287,7 @@ def build_csv_side(results: DataFrame, environment: str = fixed.PRODUCTION) -> D
         F.lit(environment).alias("ENVIRONMENT"))
 
 
-def build_qr_side(qr_canon: DataFrame, ballot_map: DataFrame, environment: str = fixed.PRODUCTION,
-                  max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+def build_qr_side(qr_canon: DataFrame, ballot_map: DataFrame, environment: str = fixed.PRODUCTION) -> DataFrame:
     """Map canonical QR rows to (contest, candidate) through the ballot map.
     Unmapped rows stay, with MAPPING_VALID = false, for the checks to report."""
     # codes and numbers arrive cleaned and typed from clean_mobile_qr; a text
@@ -295,7 +299,7 @@ def build_qr_side(qr_canon: DataFrame, ballot_map: DataFrame, environment: str =
                              "CANDIDATE_CODE", "CHOICE_TYPE", "MAPPING_SOURCE")
     precinct = "ER_CLUSTERED_PRECINCT_ID" if "ER_CLUSTERED_PRECINCT_ID" in qr.columns else "CLUSTERED_PRECINCT_ID"
     m = qr.drop("CANDIDATE_CODE", "CONTEST_CODE", "CHOICE_TYPE", "MAPPING_SOURCE").join(
-        small(bmap, max_broadcast_rows), ["QR_RACE_CODE", "BALLOT_POSITION"], "left")
+        bmap, ["QR_RACE_CODE", "BALLOT_POSITION"], "left")
     m = m.withColumns({"CONTEST_CODE": F.col("QR_RACE_CODE"),
                        "CLUSTERED_PRECINCT_ID": F.col(precinct)})
     m = m.withColumns({
@@ -312,16 +316,16 @@ def build_qr_side(qr_canon: DataFrame, ballot_map: DataFrame, environment: str =
 
 
 def run_verification(csv_side: DataFrame, qr_side: DataFrame, scope: DataFrame, guard: str = "inline",
-                     environment: str = fixed.PRODUCTION,
-                     max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+                     environment: str = fixed.PRODUCTION) -> DataFrame:
     """verification_comparison: one row per key present on either side."""
     csv = csv_side.withColumnsRenamed({"CSV_CONTEST_CODE": "CONTEST_CODE",
                                        "CSV_CANDIDATE_CODE": "CANDIDATE_CODE"})
     qr = qr_side.filter(F.col("MAPPING_VALID") == F.lit(True))
-    return reconcile(csv, qr, KEYS, csv_votes="CSV_VOTES", qr_votes="QR_VOTES",
-                     scope=scope, scope_on="CONTEST_CODE", scope_key="CONTEST_CODE",
-                     carry=["CONTEST_CANDIDATE_KEY"], guard=guard, environment=environment,
-                     max_broadcast_rows=max_broadcast_rows)
+    out = reconcile(csv, qr, KEYS, csv_votes="CSV_VOTES", qr_votes="QR_VOTES",
+                    scope=scope, scope_on="CONTEST_CODE", scope_key="CONTEST_CODE",
+                    carry=["CONTEST_CANDIDATE_KEY"], guard=guard, environment=environment)
+    require(out, ELECTION_CONTRACTS["verification_comparison"].required, "verification_comparison")
+    return out
 
 
 SAFE_FIELDS = {
@@ -338,6 +342,7 @@ def precinct_contest_summary(results: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- checks
 
+RESULT_MEASURES = ["VOTES_AMOUNT", "NUMBER_VOTERS", "UNDER_VOTES", "OVER_VOTES"]
 REQUIRED = {name: c.required for name, c in ELECTION_CONTRACTS.items()}
 ROW_KEYS = {
     "precincts": ["ACM_ID"],
@@ -349,11 +354,11 @@ ROW_KEYS = {
 
 
 class LazyChecks(Mapping):
-    """Check key -> problem-row DataFrame, each built on first access (building
-    one may run a bounded size check for a broadcast; unused checks cost nothing)."""
+    """Check key -> problem-row DataFrame, each built on first access."""
 
-    def __init__(self, builders: dict):
+    def __init__(self, builders: dict, tallies: Mapping[str, list] | None = None):
         self._builders = dict(builders)
+        self.tallies = dict(tallies or {})  # as in gate.Check
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, key: str) -> DataFrame:
@@ -364,6 +369,7 @@ class LazyChecks(Mapping):
     def __setitem__(self, key: str, value) -> None:
         self._builders[key] = value if callable(value) else (lambda: value)
         self._built.pop(key, None)
+        self.tallies.pop(key, None)
 
     def __iter__(self):
         return iter(self._builders)
@@ -375,10 +381,8 @@ class LazyChecks(Mapping):
 def all_checks(*, precincts: DataFrame, candidates: DataFrame, contests: DataFrame, parties: DataFrame,
                results: DataFrame, ers: DataFrame, ers_canon: DataFrame, qr: DataFrame,
                ballot_map: DataFrame, scope: DataFrame, qr_side: DataFrame,
-               environment: str = fixed.PRODUCTION,
-               max_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> LazyChecks:
+               environment: str = fixed.PRODUCTION) -> LazyChecks:
     """The 20 problem-row tables, keyed as in :data:`fixed.CHECKS`."""
-    b = max_broadcast_rows
     res_key = ["PRECINCT_CODE", "CONTEST_CODE", "CANDIDATE_CODE"]
     tables = {"precincts": precincts, "candidates": candidates, "parties": parties,
               "contests": contests, "results": results}
@@ -390,37 +394,49 @@ def all_checks(*, precincts: DataFrame, candidates: DataFrame, contests: DataFra
                                 fixed.UNPARSEABLE_RECEPTION_DATE)
         return C.rows_where(results, F.lit(True), ["PRECINCT_CODE"], fixed.RECEPTION_DATETIME_COLUMN_MISSING)
 
+    wrong = lambda f: F.count_if(F.col(f).isNull() | (F.col(f) < 0))
+    blank = lambda f: F.count_if(F.col(f).isNull())
+    add = lambda parts: reduce(lambda x, y: x + y, parts)
+    fires = lambda rules: add([(F.count_if(rule) > 0).cast("int") for _, rule in rules])
+    tallies = {
+        "acm_id_missing": [(precincts, blank("ACM_ID"))],
+        "result_value_invalid": [(results, add([wrong(f) for f in RESULT_MEASURES]))],
+        "registered_voter_invalid": [(precincts, wrong("REGISTERED_VOTERS"))],
+        "required_value_blanks": [(df, add([blank(c) for c in REQUIRED[n] if c in df.columns]))
+                                  for n, df in tables.items()],
+        "mobile_required_values": [(ers, fires(er_rules(ers))), (qr, fires(qr_rules()))],
+    }
+    if "RECEPTION_DATETIME" in results.columns:
+        tallies["reception_date_invalid"] = [(results, blank("RECEPTION_DATETIME"))]
+
     return LazyChecks({
         "result_duplicates": lambda: C.duplicate_rows(results, res_key, ["VOTES_AMOUNT"],
                                                       fixed.DUPLICATE_RESULT_KEY),
         "missing_result_precincts": lambda: C.missing_from(
             precincts, results, ["ACM_ID"], ["PRECINCT_CODE"], ["ACM_ID"],
-            fixed.PRECINCT_NOT_YET_IN_RESULTS, distinct=False, max_broadcast_rows=None),
+            fixed.PRECINCT_NOT_YET_IN_RESULTS, distinct=False),
         "result_party_unmatched": lambda: C.missing_from(
             results.filter(F.col("PARTIES_CODE").isNotNull()), parties, ["PARTIES_CODE"], None,
-            ["PRECINCT_CODE", "CONTEST_CODE", "PARTIES_CODE"], fixed.PARTY_CODE_NOT_IN_MASTER,
-            max_broadcast_rows=b),
+            ["PRECINCT_CODE", "CONTEST_CODE", "PARTIES_CODE"], fixed.PARTY_CODE_NOT_IN_MASTER),
         "result_candidate_unmatched": lambda: C.missing_from(
             results, candidates, ["CONTEST_CANDIDATE_KEY"], None, [*res_key, "CONTEST_CANDIDATE_KEY"],
-            fixed.CONTEST_CANDIDATE_KEY_NOT_IN_MASTER, max_broadcast_rows=b),
+            fixed.CONTEST_CANDIDATE_KEY_NOT_IN_MASTER),
         "result_precinct_unmatched": lambda: C.missing_from(
-            results, precincts, ["PRECINCT_CODE"], ["ACM_ID"], ["PRECINCT_CODE"], fixed.PRECINCT_NOT_IN_MASTER,
-            max_broadcast_rows=b),
+            results, precincts, ["PRECINCT_CODE"], ["ACM_ID"], ["PRECINCT_CODE"], fixed.PRECINCT_NOT_IN_MASTER),
         "repeated_contest_totals": lambda: C.inconsistent_values(
             results, ["PRECINCT_CODE", "CONTEST_CODE"], ["NUMBER_VOTERS", "UNDER_VOTES", "OVER_VOTES"]),
         "acm_id_duplicates": lambda: C.duplicate_rows(
             precincts.filter(F.col("ACM_ID").isNotNull()), ["ACM_ID"], (), fixed.DUPLICATE_ACM_ID),
         "acm_id_missing": lambda: C.rows_where(precincts, F.col("ACM_ID").isNull(), None, fixed.MISSING_ACM_ID),
         "result_value_invalid": lambda: C.invalid_values(
-            results, res_key, ["VOTES_AMOUNT", "NUMBER_VOTERS", "UNDER_VOTES", "OVER_VOTES"]),
+            results, res_key, RESULT_MEASURES),
         "reception_date_invalid": reception,
         "registered_voter_invalid": lambda: C.null_or_negative(
             precincts, ["ACM_ID", "REGISTERED_VOTERS"], "REGISTERED_VOTERS", fixed.INVALID_REGISTERED_VOTERS),
         "required_value_blanks": lambda: C.required_blanks(
             {n: (df, REQUIRED[n], ROW_KEYS[n]) for n, df in tables.items()}),
         "mobile_required_values": lambda: mobile_rule_counts(ers, qr),
-        "qr_orphan_er": lambda: C.missing_from(qr, ers, ["ER_ID"], None, ["ER_ID"], fixed.ORPHAN_QR_ER_ID,
-                                               max_broadcast_rows=None),
+        "qr_orphan_er": lambda: C.missing_from(qr, ers, ["ER_ID"], None, ["ER_ID"], fixed.ORPHAN_QR_ER_ID),
         "multiple_canonical_er": lambda: C.count_above(
             ers_canon, "CLUSTERED_PRECINCT_ID", "ER_ID", "CANONICAL_COUNT", fixed.MULTIPLE_CANONICAL_ER_PER_PRECINCT),
         "duplicate_qr_choice": lambda: C.duplicate_rows(
@@ -429,31 +445,39 @@ def all_checks(*, precincts: DataFrame, candidates: DataFrame, contests: DataFra
             ballot_map, ["CONTEST_CODE", "BALLOT_POSITION"], (), fixed.DUPLICATE_BALLOT_MAP_KEY),
         "scope_readiness": lambda: C.scope_readiness(
             scope, "CONTEST_CODE", contests, "CONTEST_CODE", ballot_map, "CONTEST_CODE",
-            require_scope=environment == fixed.PRODUCTION, max_broadcast_rows=b),
+            require_scope=environment == fixed.PRODUCTION),
         "unmapped_qr_choices": lambda: C.unmapped_choices(
             qr_side, "MAPPING_VALID", ["ER_ID", "QR_RACE_CODE", "BALLOT_POSITION"]),
         "qr_outside_scope": lambda: C.outside_scope(
-            qr_side, "MAPPING_VALID", "CONTEST_CODE", scope, "CONTEST_CODE", max_broadcast_rows=b),
-    })
+            qr_side, "MAPPING_VALID", "CONTEST_CODE", scope, "CONTEST_CODE"),
+    }, tallies)
 
 
-def mobile_rule_counts(ers: DataFrame, qr: DataFrame) -> DataFrame:
-    er_rules = [(fixed.MISSING_ER_ID, F.col("ER_ID").isNull()),
-                (fixed.MISSING_PRECINCT_ID, F.col("CLUSTERED_PRECINCT_ID").isNull()),
-                (fixed.INVALID_IS_DUPLICATE_FLAG, F.col("IS_DUPLICATE").isNull())]
+def er_rules(ers: DataFrame) -> list[tuple[str, Column]]:
+    rules = [(fixed.MISSING_ER_ID, F.col("ER_ID").isNull()),
+             (fixed.MISSING_PRECINCT_ID, F.col("CLUSTERED_PRECINCT_ID").isNull()),
+             (fixed.INVALID_IS_DUPLICATE_FLAG, F.col("IS_DUPLICATE").isNull())]
     if {"BALLOTS_COUNTED", "REGISTERED_VOTERS"} <= set(ers.columns):
-        er_rules.append((fixed.BALLOTS_EXCEED_REGISTERED,
-                         F.coalesce(F.col("BALLOTS_COUNTED") > F.col("REGISTERED_VOTERS"), F.lit(False))))
-    qr_rules = [(fixed.MISSING_QR_ER_ID, F.col("ER_ID").isNull()),
-                (fixed.MISSING_QR_RACE_CODE, F.col("QR_RACE_CODE").isNull()),
-                (fixed.INVALID_BALLOT_POSITION, F.col("BALLOT_POSITION").isNull()),
-                (fixed.INVALID_QR_VOTES, F.col("QR_VOTES").isNull()),
-                (fixed.NEGATIVE_QR_VOTES, F.coalesce(F.col("QR_VOTES") < 0, F.lit(False)))]
-    return C.rule_counts(ers, "ER", er_rules).unionByName(C.rule_counts(qr, "QR", qr_rules))
+        rules.append((fixed.BALLOTS_EXCEED_REGISTERED,
+                      F.coalesce(F.col("BALLOTS_COUNTED") > F.col("REGISTERED_VOTERS"), F.lit(False))))
+    return rules
+
+
+def qr_rules() -> list[tuple[str, Column]]:
+    return [(fixed.MISSING_QR_ER_ID, F.col("ER_ID").isNull()),
+            (fixed.MISSING_QR_RACE_CODE, F.col("QR_RACE_CODE").isNull()),
+            (fixed.INVALID_BALLOT_POSITION, F.col("BALLOT_POSITION").isNull()),
+            (fixed.INVALID_QR_VOTES, F.col("QR_VOTES").isNull()),
+            (fixed.NEGATIVE_QR_VOTES, F.coalesce(F.col("QR_VOTES") < 0, F.lit(False)))]
+
+
+def mobile_rule_counts(ers: DataFrame, qr: DataFrame) -> DataFrame:
+    return C.rule_counts(ers, "ER", er_rules(ers)).unionByName(C.rule_counts(qr, "QR", qr_rules()))
 
 
 # --------------------------------------------------------------------------- full run
 
+# --- Fixed values: input layout
 INPUT_FILES = {
     "precincts": "Raw Sources/precincts.csv",
     "candidates": "Raw Sources/candidates.csv",
@@ -476,114 +500,96 @@ class RunResult:
     gate: DataFrame | None = None
     decision: str | None = None
     exported: dict[str, bool] = field(default_factory=dict)
+    failed: dict[str, str] = field(default_factory=dict)
 
 
 def run(spark: SparkSession, input_root: str, output_root: str | None = None,
-        environment: str = fixed.PRODUCTION, guard: str = "inline", fmt: str = "csv",
-        paths: Mapping[str, str] | None = None) -> RunResult:
+        environment: str = fixed.PRODUCTION, guard: str = "eager", fmt: str = "csv",
+        paths: Mapping[str, str] | None = None, single_line: Sequence[str] = ()) -> RunResult:
     """Clean, map, reconcile, roll up, check, decide; then export.
 
     Raises MissingRequiredColumn / MissingReference / DuplicateKeyError before
-    anything is written. The comparison table is checkpointed (reliable
-    storage, lineage cut) since every rollup and two checks reread it.
+    anything is exported. The cleaned tables and the comparison, which the
+    rollups and checks reread, are written once to the shared folder and read
+    back, column by column as needed. ``single_line`` names the sources (keys of
+    INPUT_FILES) without line breaks inside quotes, whose files Spark may split.
     """
     configure(spark)
     p = {k: os.path.join(input_root, v) for k, v in INPUT_FILES.items()}
     p.update(paths or {})
+    work = shared_folder(spark)
 
     def read(key: str, optional: bool = False) -> DataFrame | None:
         if not _exists(spark, p[key]):
             if optional:
                 return None
             if key in ("region_wide",):
-                raise MissingReference(f"BLOCKING: {os.path.basename(p[key])} is missing.")
+                raise MissingReference(f"the approved reference {os.path.basename(p[key])} is absent")
             raise MissingRequiredColumn(f"source file {p[key]} is missing")
-        return read_text_csv(spark, p[key])
+        return read_text_csv(spark, p[key], multiline=key not in single_line)
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        path = f"{work}/{name}"
+        write_table(df, path)
+        return spark.read.schema(df.schema).parquet(path)
 
     r = RunResult()
     t = r.tables
-    t["precincts_master"] = clean_precincts(read("precincts"))
+    t["precincts_master"] = kept("precincts", clean_precincts(read("precincts")))
     t["candidates_master"] = clean_candidates(read("candidates"))
     t["contests_master"] = clean_contests(read("contests"))
     t["parties_master"] = clean_parties(read("parties"))
-    t["results_snapshot"] = clean_results(read("results"), "results.csv", environment)
+    t["results_snapshot"] = kept("results", clean_results(read("results"), "results.csv", environment))
     raw_er, raw_qr = read("ers", optional=True), read("qr", optional=True)
     if raw_er is None or raw_qr is None:
         log.warning("mobile sources absent: QR verification runs with empty QR tables")
         raw_er = literal_table(spark, [], ER_SCHEMA)
         raw_qr = literal_table(spark, [], QR_SCHEMA)
-    t["mobile_election_returns"] = clean_mobile_ers(raw_er, environment)
+    t["mobile_election_returns"] = kept("ers", clean_mobile_ers(raw_er, environment))
     t["mobile_election_returns_canonical"] = er_canonical(t["mobile_election_returns"])
-    t["mobile_qr_results"] = clean_mobile_qr(raw_qr, environment)
+    t["mobile_qr_results"] = kept("qr", clean_mobile_qr(raw_qr, environment))
     t["mobile_qr_results_canonical"] = qr_canonical(t["mobile_qr_results"],
                                                     t["mobile_election_returns_canonical"])
 
-    # The cleaned inputs are reread by the comparison, the rollups and most
-    # checks: keep them (memory, spilling to disk) for the run, release after.
-    reread = [t["results_snapshot"], t["precincts_master"], t["mobile_election_returns"],
-              t["mobile_qr_results"]]
-    for df in reread:
-        df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        scope = load_scope(spark, read("scope", optional=True), environment)
-        region_wide = load_region_wide(read("region_wide"))
-        district = load_district_map(spark, read("district", optional=True), environment)
-        bmap = ballot_choice_map(t["candidates_master"], region_wide, district)
-
-        csv_side = build_csv_side(t["results_snapshot"], environment)
-        qr_side = build_qr_side(t["mobile_qr_results_canonical"], bmap, environment)
-        comparison = run_verification(csv_side, qr_side, scope, guard, environment)
-        try:
-            # Materialise once: every rollup and two checks reread it. A reliable
-            # checkpoint cuts the lineage (survives lost executors); without a
-            # checkpoint folder the table is persisted instead.
-            if checkpoint_dir(spark):
-                comparison = comparison.checkpoint(eager=True)
-            else:
-                comparison = comparison.persist()
-                comparison.count()
-        except Exception as exc:
-            if is_guard_failure(exc):
-                # Same report as the eager guard: side, number of keys, samples.
-                csv = csv_side.withColumnsRenamed({"CSV_CONTEST_CODE": "CONTEST_CODE",
-                                                   "CSV_CANDIDATE_CODE": "CANDIDATE_CODE"}).dropna(subset=KEYS)
-                assert_unique({"CSV": csv, "QR": qr_side.filter(F.col("MAPPING_VALID") == F.lit(True))}, KEYS)
-            raise
-        t["verification_comparison"] = comparison
-
-        t["dashboard_reporting_by_precinct"] = rollups.reporting_by_entity(
-            t["precincts_master"], t["results_snapshot"], universe_key="ACM_ID", fact_key="PRECINCT_CODE",
-            contest="CONTEST_CODE", received="RECEPTION_DATETIME", environment=environment)
-        t["dashboard_verification_summary"] = rollups.status_summary(comparison, environment=environment)
-        by_precinct = rollups.entity_status(comparison, environment=environment)
-        t["dashboard_verification_by_precinct"] = by_precinct
-        t["dashboard_verification_precinct_summary"] = rollups.kpi_summary(
-            t["precincts_master"], "ACM_ID", t["mobile_election_returns_canonical"], "CLUSTERED_PRECINCT_ID",
-            by_precinct, environment)
-        t["dashboard_qr_timeline"] = rollups.timeline(
-            t["mobile_election_returns_canonical"], entity="CLUSTERED_PRECINCT_ID", received="RECEIVED_AT",
-            universe=t["precincts_master"], universe_key="ACM_ID", environment=environment)
-        t["precinct_contest_summary"] = precinct_contest_summary(t["results_snapshot"])
-
-        r.issues = all_checks(
-            precincts=t["precincts_master"], candidates=t["candidates_master"], contests=t["contests_master"],
-            parties=t["parties_master"], results=t["results_snapshot"], ers=t["mobile_election_returns"],
-            ers_canon=t["mobile_election_returns_canonical"], qr=t["mobile_qr_results"], ballot_map=bmap,
-            scope=scope, qr_side=qr_side, environment=environment)
-        counts = gate.issue_counts(gate.catalogue(r.issues))
-        # One job computes all 20 counts; the 20 resulting rows are reused by the
-        # summary and the gate instead of re-running every check twice.
-        counts = literal_table(spark, counts.collect(), counts.schema)
-        r.summary = gate.summarize(counts)
-        r.gate = gate.decide(r.summary, environment, run_info=True)
-        r.decision = r.gate.select("PUBLICATION_DECISION").first()[0]
-        t["qa_final_summary"] = r.summary
-        t["qa_publication_gate"] = r.gate
-        if output_root:
-            _export(r, output_root, fmt)
-    finally:
-        for df in reread:
-            df.unpersist()
+    scope = load_scope(spark, read("scope", optional=True), environment)
+    region_wide = load_region_wide(read("region_wide"))
+    district = load_district_map(spark, read("district", optional=True), environment)
+    bmap = ballot_choice_map(t["candidates_master"], region_wide, district)
+
+    csv_side = build_csv_side(t["results_snapshot"], environment)
+    qr_side = build_qr_side(t["mobile_qr_results_canonical"], bmap, environment)
+    comparison = kept("comparison", run_verification(csv_side, qr_side, scope, guard, environment))
+    t["verification_comparison"] = comparison
+
+    t["dashboard_reporting_by_precinct"] = rollups.reporting_by_entity(
+        t["precincts_master"], t["results_snapshot"], universe_key="ACM_ID", fact_key="PRECINCT_CODE",
+        contest="CONTEST_CODE", received="RECEPTION_DATETIME", environment=environment)
+    t["dashboard_verification_summary"] = rollups.status_summary(comparison, environment=environment)
+    by_precinct = rollups.entity_status(comparison, environment=environment)
+    t["dashboard_verification_by_precinct"] = by_precinct
+    t["dashboard_verification_precinct_summary"] = rollups.kpi_summary(
+        t["precincts_master"], "ACM_ID", t["mobile_election_returns_canonical"], "CLUSTERED_PRECINCT_ID",
+        by_precinct, environment)
+    t["dashboard_qr_timeline"] = rollups.timeline(
+        t["mobile_election_returns_canonical"], entity="CLUSTERED_PRECINCT_ID", received="RECEIVED_AT",
+        universe=t["precincts_master"], universe_key="ACM_ID", environment=environment)
+    t["precinct_contest_summary"] = precinct_contest_summary(t["results_snapshot"])
+
+    r.issues = all_checks(
+        precincts=t["precincts_master"], candidates=t["candidates_master"], contests=t["contests_master"],
+        parties=t["parties_master"], results=t["results_snapshot"], ers=t["mobile_election_returns"],
+        ers_canon=t["mobile_election_returns_canonical"], qr=t["mobile_qr_results"], ballot_map=bmap,
+        scope=scope, qr_side=qr_side, environment=environment)
+    counts = gate.issue_counts(gate.catalogue(r.issues))
+    # One job counts all checks; its 20 rows serve the summary and the gate.
+    counts = literal_table(spark, counts.collect(), counts.schema)
+    r.summary = gate.summarize(counts)
+    r.gate = gate.decide(r.summary, environment, run_info=True)
+    r.decision = r.gate.select("PUBLICATION_DECISION").first()[0]
+    t["qa_final_summary"] = r.summary
+    t["qa_publication_gate"] = r.gate
+    if output_root:
+        _export(r, output_root, fmt)
     return r
 
 
@@ -598,9 +604,21 @@ _EXPORT_ORDER = {
 
 
 def _export(r: RunResult, output_root: str, fmt: str) -> None:
+    """Writes every table. A table that can't be written is named, with the
+    reason, in ``failed``; the gate row must be written, else the run fails."""
     for name, df in r.tables.items():
         order = _EXPORT_ORDER.get(name)
         if order is not None:
-            # one partition, sorted locally: the row order of the file is kept
-            df = df.coalesce(1).sortWithinPartitions(*order) if order else df.coalesce(1)
-        r.exported[name] = write_table(df, os.path.join(output_root, name), fmt)
+            # the small rows move to one task; the work before stays spread
+            df = df.repartition(1).sortWithinPartitions(*order) if order else df.repartition(1)
+        if name == "qa_final_summary":
+            df = df.drop("CHECK_ORDER")  # only the rows' order is published
+        path = os.path.join(output_root, name)
+        if name == "qa_publication_gate":
+            write_table(df, path, fmt)
+            r.exported[name] = True
+            continue
+        reason = try_write(df, path, fmt)
+        r.exported[name] = reason is None
+        if reason:
+            r.failed[name] = reason

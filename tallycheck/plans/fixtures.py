@@ -8,9 +8,9 @@ segment, status, tax, ...), never by sampling rows. Roles:
 * precinct  = order (``o_orderkey``); its ER submission = the order itself,
   a resubmission when ``o_orderstatus = 'P'``
 * contest   = ``l_returnflag``; candidate / ballot position = ``l_linenumber``
-* transmitted results = line items; mobile QR tally = line items with
-  non-zero tax, plus one row for every order that has no line items
-* party = supplier (the master holds suppliers with ``s_acctbal >= 0``)
+* transmitted results = line items; mobile QR tally = line items (without tax:
+  no ER id), plus one row for every order that has no line items
+* party = supplier (with ``s_acctbal < 0`` the master has it under another code)
 * event stream ERs (timeline): ``events`` with precinct = ``user_id``
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycheck.plans import election
-from tallycheck.sources.files import literal_table, spread
+from tallycheck.sources.files import literal_table
 
 # The verification scope used by the catalogue: one contest that exists and
 # one that does not (so the readiness check has something to report).
@@ -46,15 +46,10 @@ def shared_plan(fn):
     return build
 
 
-def table(spark: SparkSession, d: str, name: str, file_name: str | None = None,
-          spread_rows: bool = False) -> DataFrame:
-    """A driver table; ``file_name`` adds a column holding the source file name.
-    ``spread_rows`` spreads a table that arrives in too few splits when heavy
-    per-row cleaning (not an aggregation) follows."""
+def table(spark: SparkSession, d: str, name: str, file_name: str | None = None) -> DataFrame:
+    """A driver table; ``file_name`` adds a column holding the source file name."""
     df = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
-    if file_name:
-        df = df.withColumn(file_name, F.col("_metadata.file_name"))
-    return spread(df) if spread_rows else df
+    return df.withColumn(file_name, F.col("_metadata.file_name")) if file_name else df
 
 
 def s(c: str | Column) -> Column:
@@ -80,7 +75,7 @@ def reception_text(ts: str, selector: Column) -> Column:
 def raw_results_lines(spark: SparkSession, d: str) -> DataFrame:
     """One transmitted result row per line item (keys repeat, like a feed with
     duplicates); headers in assorted spellings."""
-    li = table(spark, d, "lineitem", file_name="SOURCE_FILE", spread_rows=True)
+    li = table(spark, d, "lineitem", file_name="SOURCE_FILE")
     pad = F.col("l_linestatus") == "O"
     return li.select(
         F.when(pad, F.concat(F.lit("  "), s("l_orderkey"), F.lit("\t"))).otherwise(s("l_orderkey"))
@@ -101,9 +96,7 @@ def raw_results_lines(spark: SparkSession, d: str) -> DataFrame:
 @shared_plan
 def line_tally(spark: SparkSession, d: str) -> DataFrame:
     """One pass over line items at the comparison grain (order, flag, line
-    number) carrying what both tallies need; every tally below derives from
-    this same plan, so Spark scans and aggregates the line items once and
-    reuses the exchange."""
+    number) carrying what both tallies need."""
     li = table(spark, d, "lineitem")
     return li.groupBy("l_orderkey", "l_returnflag", "l_linenumber").agg(
         F.sum("l_quantity").alias("q"), F.max("l_discount").alias("md"), F.count(F.lit(1)).alias("n"),
@@ -159,15 +152,17 @@ def raw_precincts_customer(spark: SparkSession, d: str) -> DataFrame:
 
 
 def raw_parties(spark: SparkSession, d: str) -> DataFrame:
-    sp = table(spark, d, "supplier").filter(F.col("s_acctbal") >= 0)
-    return sp.select(s("s_suppkey").alias("PARTIES_CODE"), F.col("s_name").alias("parties name"))
+    """Suppliers; those with a negative balance under another code."""
+    sp = table(spark, d, "supplier")
+    code = F.when(F.col("s_acctbal") >= 0, s("s_suppkey")).otherwise(F.concat(F.lit("X"), s("s_suppkey")))
+    return sp.select(code.alias("PARTIES_CODE"), F.col("s_name").alias("parties name"))
 
 
 def raw_roster(spark: SparkSession, d: str) -> DataFrame:
-    """Candidate roster: contest x line number, up to six per contest."""
-    li = table(spark, d, "lineitem").filter(F.col("l_linenumber") < 7)
-    r = li.select("l_returnflag", "l_linenumber").distinct()
-    return r.select(F.col("l_returnflag").alias("CONTEST_CODE"), s("l_linenumber").alias("CANDIDATE_CODE"),
+    """Candidate roster: contest x line number; line numbers from 7 under another code."""
+    r = table(spark, d, "lineitem").select("l_returnflag", "l_linenumber").distinct()
+    code = F.when(F.col("l_linenumber") < 7, s("l_linenumber")).otherwise(F.concat(F.lit("X"), s("l_linenumber")))
+    return r.select(F.col("l_returnflag").alias("CONTEST_CODE"), code.alias("CANDIDATE_CODE"),
                     F.concat(F.lit("Candidate "), s("l_linenumber")).alias("CANDIDATE_NAME"))
 
 
@@ -177,13 +172,18 @@ def raw_contests_flags(spark: SparkSession, d: str) -> DataFrame:
                     F.concat(F.lit("Contest "), F.col("l_returnflag")).alias("CONTEST_NAME"))
 
 
+def part_name() -> Column:
+    """Two parts share a name, at any scale."""
+    return F.concat("p_name", F.lit(" "), (F.floor(F.col("p_partkey") / 2)).cast("string"))
+
+
 def candidate_name_text(p: DataFrame) -> Column:
     t = F.col("p_type")
-    return (F.when(t == "ECONOMY", F.concat("p_name", F.lit(" ("), "p_brand"))
-            .when(t == "SMALL", F.concat("p_name", F.lit(" (")))
-            .when(t == "LARGE", F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")")))
-            .when(t == "MEDIUM", F.concat(F.lit("  "), "p_name", F.lit(" (x ")))
-            .otherwise(F.col("p_name")))
+    return (F.when(t == "ECONOMY", F.concat(part_name(), F.lit(" ("), "p_brand"))
+            .when(t == "SMALL", F.concat(part_name(), F.lit(" (")))
+            .when(t == "LARGE", F.concat(part_name(), F.lit(" ("), "p_brand", F.lit(")")))
+            .when(t == "MEDIUM", F.concat(F.lit("  "), part_name(), F.lit(" (x ")))
+            .otherwise(part_name()))
 
 
 def raw_candidates_parts(spark: SparkSession, d: str) -> DataFrame:
@@ -203,24 +203,28 @@ def raw_contests_orders(spark: SparkSession, d: str) -> DataFrame:
 
 
 def raw_region_wide(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part").filter(F.col("p_type") == "PROMO")
-    return p.select(F.col("p_brand").alias("CONTEST_CODE"), s("p_size").alias("BALLOT_NO"),
-                    F.concat(F.lit(" "), F.regexp_replace(F.upper("p_name"), " ", "  ")).alias("CANONICAL_BALLOT_NAME"),
+    """All parts; only the promoted ones have a ballot number."""
+    p = table(spark, d, "part")
+    number = F.when(F.col("p_type") == "PROMO", s("p_size")).otherwise(F.lit(" "))
+    return p.select(F.col("p_brand").alias("CONTEST_CODE"), number.alias("BALLOT_NO"),
+                    F.concat(F.lit(" "), F.regexp_replace(F.upper(part_name()), " ", "  ")).alias("CANONICAL_BALLOT_NAME"),
                     F.when(F.col("p_size") > 25, F.lit("CANDIDATE")).alias("ENTRY_TYPE"))
 
 
 def raw_district_parts(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part").filter(F.col("p_type") == "STANDARD")
-    return p.select(F.col("p_brand").alias("CONTEST_CODE"), s("p_size").alias("BALLOT_POSITION"),
+    """All parts; only the standard ones have a ballot position."""
+    p = table(spark, d, "part")
+    position = F.when(F.col("p_type") == "STANDARD", s("p_size")).otherwise(F.lit(""))
+    return p.select(F.col("p_brand").alias("CONTEST_CODE"), position.alias("BALLOT_POSITION"),
                     s("p_partkey").alias("CANDIDATE_CODE"))
 
 
 def raw_district_flags(spark: SparkSession, d: str) -> DataFrame:
     """Approved map of the QR tally: (flag, line number) -> candidate, for every
     contest but 'N' (whose QR choices therefore stay unmapped)."""
-    r = line_tally(spark, d).filter(F.col("l_returnflag") != "N").select(
-        "l_returnflag", "l_linenumber").distinct()
-    return r.select(F.col("l_returnflag").alias("CONTEST_CODE"), s("l_linenumber").alias("BALLOT_POSITION"),
+    r = table(spark, d, "lineitem").select("l_returnflag", "l_linenumber").distinct()
+    position = F.when(F.col("l_returnflag") != "N", s("l_linenumber"))
+    return r.select(F.col("l_returnflag").alias("CONTEST_CODE"), position.alias("BALLOT_POSITION"),
                     s("l_linenumber").alias("CANDIDATE_CODE"))
 
 
@@ -255,18 +259,16 @@ def raw_ers_events(spark: SparkSession, d: str) -> DataFrame:
 
 
 def raw_qr_tally(spark: SparkSession, d: str) -> DataFrame:
-    """QR tally rows: line items with non-zero tax at the comparison grain, and
-    a single (A, 1) row for each order without line items."""
+    """QR tally rows: line items at the comparison grain (those without any tax
+    carry no ER id), and a single (A, 1) row for each order without line items."""
     g = line_tally(spark, d)
-    a = g.filter(F.col("qr_n") > 0).select(
-        s("l_orderkey").alias("ER_ID"), F.col("l_returnflag").alias("DISTRICT_CODE"),
-        s("l_linenumber").alias("CANDIDATE_NO"), s(F.col("qr_q").cast("bigint")).alias("VOTES"))
+    a = g.select(
+        F.when(F.col("qr_n") > 0, s("l_orderkey")).otherwise(F.lit("")).alias("ER_ID"),
+        F.col("l_returnflag").alias("DISTRICT_CODE"), s("l_linenumber").alias("CANDIDATE_NO"),
+        s(F.coalesce("qr_q", "q").cast("bigint")).alias("VOTES"))
     o = table(spark, d, "orders")
     lonely = o.join(g.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti")
-    # contest 'A' written as a value of the row (not a bare literal), so joins
-    # on the contest stay hash joins after Catalyst pushes them into this branch
-    a_contest = F.when(F.col("o_orderstatus").isNotNull(), F.lit("A"))
-    b = lonely.select(s("o_orderkey").alias("ER_ID"), a_contest.alias("DISTRICT_CODE"),
+    b = lonely.select(s("o_orderkey").alias("ER_ID"), F.lit("A").alias("DISTRICT_CODE"),
                       F.lit("1").alias("CANDIDATE_NO"), F.lit("1").alias("VOTES"))
     return a.unionByName(b)
 
@@ -274,7 +276,7 @@ def raw_qr_tally(spark: SparkSession, d: str) -> DataFrame:
 def raw_qr_lines(spark: SparkSession, d: str) -> DataFrame:
     """Raw QR rows, one per line item: zero-tax lines have an unreadable vote,
     undiscounted lines a negative one."""
-    li = table(spark, d, "lineitem", spread_rows=True)
+    li = table(spark, d, "lineitem")
     q = s(F.col("l_quantity").cast("bigint"))
     votes = (F.when(F.col("l_tax") == 0, F.lit("x"))
              .when(F.col("l_discount") == 0, F.concat(F.lit("-"), q)).otherwise(q))
@@ -282,6 +284,29 @@ def raw_qr_lines(spark: SparkSession, d: str) -> DataFrame:
                      s("l_linenumber").alias("CANDIDATE_NO"), votes.alias("VOTES"))
 
 
+def raw_ers_blanks(spark: SparkSession, d: str) -> DataFrame:
+    """Event submissions with every fault a rule looks for: blank ids for views,
+    blank precincts for clicks, unreadable flags, more ballots than voters."""
+    e = table(spark, d, "events")
+    kind = F.col("event_type")
+    return e.select(F.when(kind == "view", F.lit(" ")).otherwise(s("event_id")).alias("ER_ID"),
+                    F.when(kind == "click", F.lit("")).otherwise(s("user_id")).alias("CLUSTERED_PRECINCT_ID"),
+                    flag_text(kind).alias("IS_DUPLICATE"), F.lit("2024-01-01T00:00:00Z").alias("RECEIVED_AT"),
+                    F.get_json_object("props", "$.k").alias("REGISTERED_VOTERS"),
+                    s(F.floor("value")).alias("BALLOTS_COUNTED"))
+
+
+def raw_qr_blanks(spark: SparkSession, d: str) -> DataFrame:
+    """QR rows with blank ids, races and positions, unreadable and negative votes,
+    by line number."""
+    li = table(spark, d, "lineitem")
+    n, q = F.col("l_linenumber"), s(F.col("l_quantity").cast("bigint"))
+    return li.select(F.when(n == 1, F.lit("")).otherwise(s("l_orderkey")).alias("ER_ID"),
+                     F.when(n == 2, F.lit(" ")).otherwise(F.col("l_returnflag")).alias("DISTRICT_CODE"),
+                     F.when(n == 3, F.lit("1.5")).otherwise(s(n)).alias("CANDIDATE_NO"),
+                     F.when(n == 4, F.lit("x")).when(n == 5, F.concat(F.lit("-"), q)).otherwise(q).alias("VOTES"))
+
+
 # --------------------------------------------------------------------------- cleaned chains
 #
 # The cleaned views below are lazy plans shared by many catalogue queries (as

@@ -2,15 +2,14 @@
 
 * ``spark.sql.session.timeZone=UTC`` - naive texts are parsed as UTC wall time.
 * AQE on, with skew-join splitting and partition coalescing.
-* A reliable checkpoint directory: taken from ``spark.checkpoint.dir`` when the
-  cluster names one; only a local-mode session (tests, bench) gets a scratch
-  folder of its own.
+* A folder that all executors share, below ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,26 +40,27 @@ def get_session(master: str | None = None, app: str = "tallycheck",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the session settings the operators assume; idempotent."""
+    """Check that the session has the settings the operators need. A session
+    that runs in this process alone (tests, bench) gets them; a cluster's session
+    is its owner's, so a time zone that would change results is an error there."""
+    local = spark.sparkContext.master.startswith("local")
     for k, v in _SQL_CONF.items():
-        if spark.conf.get(k, None) != v:
+        if spark.conf.get(k, None) == v:
+            continue
+        if local:
             spark.conf.set(k, v)
-    checkpoint_dir(spark)
+        elif k == "spark.sql.session.timeZone" and spark.conf.get(k) not in ("UTC", "Etc/UTC", "Z", "GMT"):
+            raise ValueError(f"the session needs {k}=UTC")
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The reliable checkpoint folder. Uses ``spark.checkpoint.dir`` when set;
-    invents a scratch folder only for local-mode sessions."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        sc.setCheckpointDir(named)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallycheck-ckpt-", dir="/tmp"))
-    else:
-        return None
-    return sc.getCheckpointDir()
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that all executors reach: below the one the cluster names in
+    ``spark.checkpoint.dir``; only a session without a cluster that names none
+    gets a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="tallycheck-")
+    return f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"

@@ -101,4 +101,4 @@ def test_issue_samples(spark):
     assert len(got["A"]) == 5 and {r["ISSUE_COUNT"] for r in got["A"]} == {12}
     assert {r["OMITTED_COUNT"] for r in got["A"]} == {7} and {r["OMITTED_COUNT"] for r in got["C"]} == {0}
     # deterministic: the first rows in JSON order
-    assert sorted(r["SAMPLE_ROW"] for r in got["A"]) == sorted(f'{{"K":{i}}}' for i in [0, 1, 10, 11, 2])
+    assert sorted(r["SAMPLE_ROW"] for r in got["A"]) == sorted(f'{{"K":"{i}"}}' for i in [0, 1, 10, 11, 2])

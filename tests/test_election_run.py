@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tallycheck import fixed
 from tallycheck.contracts import MissingRequiredColumn
 from tallycheck.operators.reconcile import DuplicateKeyError
 from tallycheck.plans import election
@@ -120,8 +121,9 @@ def test_full_run(spark, tmp_path):
     assert len(parts) == 1
     with open(os.path.join(out, "qa_final_summary", parts[0])) as fh:
         lines = fh.read().splitlines()
-    order = [int(x.split(",")[0]) for x in lines[1:]]
-    assert order == sorted(order) and len(order) == 21
+    names = [x.split(",")[0].strip('"') for x in lines[1:]]
+    assert lines[0].startswith("QA_CHECK,") and "CHECK_ORDER" not in lines[0]
+    assert names == [n for _, n, _ in fixed.CHECKS] + [fixed.OVERALL_CHECK]
 
 
 def test_missing_mobile_sources_complete_with_csv_only(spark, tmp_path):
@@ -137,7 +139,7 @@ def test_duplicate_keys_abort_before_export(spark, tmp_path):
     root, out = str(tmp_path / "in"), str(tmp_path / "out")
     dup = FILES["Raw Sources/results.csv"] + "01001,01295000,C1,P1,100,150,2,0,05-13-2025:08:00:00\n"
     write_inputs(root, override={"Raw Sources/results.csv": dup})
-    with pytest.raises(DuplicateKeyError, match="CSV side"):
+    with pytest.raises(DuplicateKeyError, match="CSV: "):
         election.run(spark, root, out)
     assert not os.path.exists(out)
 
