@@ -37,7 +37,7 @@ HEADLINE = [
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    from tallycheck.plans import catalog
+    from tallycheck.plans import catalog, fixtures
     from tallycheck.session import get_session
 
     spark = get_session()
@@ -46,6 +46,9 @@ def main() -> None:
 
     times: dict[str, float] = {}
     for name in HEADLINE:
+        # no plan or data of an earlier query is left
+        fixtures.clear_views()
+        spark.catalog.clearCache()
         t0 = time.perf_counter()
         df = catalog.QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()

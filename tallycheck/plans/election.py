@@ -267,7 +267,8 @@ def ballot_choice_map(candidates: DataFrame, region_wide: DataFrame, district: D
         F.lit(fixed.MAPPING_SOURCE_DISTRICT).alias("MAPPING_SOURCE"),
         F.coalesce(F.col("IS_MOCK_MAP"), F.lit(False)).alias("IS_MOCK_MAP"))
     out = rw.unionByName(dm).withColumn("BALLOT_POSITION", whole_number("BALLOT_POSITION"))
-    return out.dropna(subset=["CONTEST_CODE"]).select(*MAP_COLUMNS)
+    # joins and aggregates on the map drop this order again when they are planned
+    return out.dropna(subset=["CONTEST_CODE"]).select(*MAP_COLUMNS).orderBy("CONTEST_CODE", "BALLOT_POSITION")
 
 
 # --------------------------------------------------------------------------- verification
