@@ -40,7 +40,8 @@ _ODD_SPACE = ("\x1c\x1d\x1e\x1f", "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\
                                  "\u2028\u2029\u202f\u205f\u3000")
 _WORDS = re.compile("[^ \t-\r]+")
 _PIECES = re.compile("[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
-_LOOSE = re.compile(" [ \t-\r]|[\t-\r] |^[ \t-\r]|[ \t-\r]$")
+#: Where white space is more than one space or line break between two words.
+_LOOSE = ("\t", "\v", "\f", "\r", "  ", " \n", "\n ", "\n\n")
 
 
 def has_odd_space(text: str) -> bool:
@@ -48,31 +49,35 @@ def has_odd_space(text: str) -> bool:
 
 
 class Encoder:
-    """Ids of whole texts, as little-endian bytes of the narrowest type. A
-    bounded memo keeps the ids of pieces already seen; unseen words are encoded
-    many to a call."""
+    """Ids of whole texts, as little-endian bytes of the narrowest type.
 
-    def __init__(self, path: str, most: int = 800_000):
+    Two bounded memos keep the ids of pieces already seen, ``after`` a space
+    (byte level: with it) and ``alone``. Unseen words are encoded many to a call."""
+
+    def __init__(self, path: str, most: int = 1_200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.byte_level = self.tokenizer.normalizer is None
         self.dtype = np.dtype(width(self.tokenizer.get_vocab_size()))
-        # a token that begins (byte level: with its space) or ends a word
+        # tokens that begin a word (byte level: with its space) or end it
         edge = (lambda t: t.startswith("Ġ")) if self.byte_level else (lambda t: t.endswith("</w>"))
         self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.edge[[i for t, i in self.tokenizer.get_vocab().items() if edge(t)]] = True
-        self.memo: dict[str, bytes] = {}
+        self.after: dict[str, bytes] = {}
+        self.alone: dict[str, bytes] = {}
+        self.line_break = self.whole(["\n"])[0] if self.byte_level else b""
         self.most = most
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        """Each text encoded in one call of the library."""
+        """Each text encoded by itself."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
     def _words(self, words: list[str], group: int = 128) -> list[bytes]:
-        """Words of letters alone, many to a call and taken apart at their edges."""
+        """Words of letters alone after a space, many to a call and taken apart at
+        their edges."""
         groups = [words[i : i + group] for i in range(0, len(words), group)]
         lead = " " if self.byte_level else ""
         found = self.tokenizer.encode_batch_fast([lead + " ".join(g) for g in groups], add_special_tokens=False)
@@ -89,63 +94,90 @@ class Encoder:
         return out
 
     def _learn(self, pieces: set[str]) -> None:
-        """Puts the pieces into the memo. A word of letters before one comma or
-        full stop is the word and the mark, which no rule joins."""
-        memo, lead = self.memo, " " if self.byte_level else ""
-        plain: dict[str, list[tuple[str, str]]] = {}
-        other = []
-        for p in pieces:
-            if self.byte_level and p[:1] != " ":
-                other.append(p)
-                continue
-            word, mark = (p[len(lead) : -1], p[-1]) if p[-1] in ",." else (p[len(lead) :], "")
-            if not self.byte_level and word.isascii():
-                word = word.lower()  # as the tokenizer does
-            if word.isalpha():
-                plain.setdefault(word, []).append((p, mark))
-            else:
-                other.append(p)
-        memo.update(zip(other, self.whole(other)))
-        marks = dict(zip(("", ",", "."), self.whole(["", ",", "."])))
-        unseen = [w for w in plain if lead + w not in memo]
-        memo.update(zip([lead + w for w in unseen], self._words(unseen)))
-        for word, forms in plain.items():
-            ids = memo[lead + word]
-            for p, mark in forms:
-                memo[p] = ids + marks[mark]
-
-    def _pieces(self, text: str) -> list[str] | None:
-        """Pieces whose ids, in order, are the text's; None if that isn't sure."""
-        odd = has_odd_space(text)
-        if not self.byte_level:  # white space is dropped
-            return _WORDS.findall(text) if odd else text.split()
-        if odd:
-            return None
-        if _LOOSE.search(text):
-            return _PIECES.findall(text)
-        if not text:
-            return []
-        first, *rest = text.split(" ")
-        return [first, *map(" ".__add__, rest)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > self.most:
-            self.memo.clear()
-        cut = [self._pieces(t) for t in texts]
-        pieces = [p for c in cut if c for p in c]
-        found = list(map(self.memo.get, pieces))
+        """Puts pieces into ``after``. A word of letters before one comma or full
+        stop is the word and the mark, which no rule joins."""
+        memo, lead = self.after, " " if self.byte_level else ""
+        plain = [p for p in pieces if p.isalpha()]
+        pieces = pieces.difference(plain)
+        marked = [p for p in pieces if p[-1:] in (",", ".") and p[:-1].isalpha()]
+        other = list(pieces.difference(marked))
+        memo.update(zip(other, self.whole([lead + p for p in other])))
+        words = set(plain)
+        words.update(p[:-1] for p in marked)
+        if not self.byte_level:  # ASCII words are lower-cased, as the tokenizer does
+            words.update([w.lower() for w in words if w.isascii()])
+            capital = {w for w in words if w.isascii() and not w.islower()}
+            words -= capital
+        unseen = [w for w in words if w not in memo]
+        memo.update(zip(unseen, self._words(unseen)))
+        if not self.byte_level:
+            memo.update([(w, memo[w.lower()]) for w in capital])
+        marks = dict(zip((",", "."), self.whole([",", "."])))
+        memo.update([(p, memo[p[:-1]] + marks[p[-1]]) for p in marked])
+
+    def _found(self, memo: dict[str, bytes], pieces: list[str], learn) -> list[bytes]:
+        found = list(map(memo.get, pieces))
         if None in found:
             gaps = [i for i, x in enumerate(found) if x is None]
-            self._learn({pieces[i] for i in gaps})
+            learn({pieces[i] for i in gaps})
             for i in gaps:
-                found[i] = self.memo[pieces[i]]
+                found[i] = memo[pieces[i]]
+        return found
+
+    def _learn_alone(self, pieces: set[str]) -> None:
+        new = list(pieces)
+        self.alone.update(zip(new, self.whole(new)))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. What ASCII white space separates is encoded apart:
+        no rule of the tokenizer spans it."""
+        if len(self.after) + len(self.alone) > self.most:
+            self.after.clear()
+            self.alone.clear()
+        return (self._spaced if self.byte_level else self._unspaced)(texts)
+
+    def _unspaced(self, texts: list[str]) -> list[bytes]:
+        """White space is dropped."""
+        cut = [_WORDS.findall(t) if has_odd_space(t) else t.split() for t in texts]
+        found = self._found(self.after, [p for c in cut for p in c], self._learn)
         out, at = [], 0
-        for c, t in zip(cut, texts):
-            if c is None:
-                out.append(self.whole([t])[0])
+        for c in cut:
+            out.append(b"".join(found[at : at + len(c)]))
+            at += len(c)
+        return out
+
+    def _spaced(self, texts: list[str]) -> list[bytes]:
+        """A space goes with the word after it, other white space with the word
+        after it or alone; a line break between two words is a piece by itself."""
+        first: list[str] = []  # the pieces of each line: its first word alone, the others after a space
+        rest: list[str] = []
+        plan: list[list[int] | bytes] = []  # for each text: the number of others in each line
+        for t in texts:
+            if has_odd_space(t):
+                plan.append(self.whole([t])[0])
+            elif any(x in t for x in _LOOSE):
+                pieces = _PIECES.findall(t)
+                plan.append(b"".join(self._found(self.alone, pieces, self._learn_alone)))
             else:
-                out.append(b"".join(found[at : at + len(c)]))
-                at += len(c)
+                counts = []
+                for line in t.split("\n"):
+                    head, *others = line.split(" ")
+                    first.append(head)
+                    rest += others
+                    counts.append(len(others))
+                plan.append(counts)
+        heads = self._found(self.alone, first, self._learn_alone)
+        others = self._found(self.after, rest, self._learn)
+        out, line, at = [], 0, 0
+        for p in plan:
+            if isinstance(p, bytes):
+                out.append(p)
+                continue
+            parts = []
+            for n in p:
+                parts.append(heads[line] + b"".join(others[at : at + n]))
+                line, at = line + 1, at + n
+            out.append(self.line_break.join(parts))
         return out
 
 
