@@ -5,16 +5,17 @@ their Jaccard similarity is ``percent`` per cent or more; the result gives each
 document the smallest id its links reach.
 
 1. Equal sets form one class; the rest works on one representative a class.
-2. First order (by shingle hash): every set sends its prefix, lengthened so that
-   linked sets share not just one but ``slack`` of its shingles. Shingles found
-   in one set only drop out.
+2. First order (by shingle hash): every set sends its prefix and a little more,
+   so that linked sets share many of the shingles sent. Shingles found in one
+   set only drop out.
 3. Shingles of more than ``hot`` sets come last in that order: pairs are formed
-   on the others, and a pair stays if it shares as many as the prefix lengths
-   demand. Only sets that consist mostly of hot shingles are paired on hot ones.
-4. Sets that share much of their prefix with the first set of a shingle are
-   verified first. Their links merge classes into components, and pairs are then
-   formed between components only, so a group of a thousand near copies is a
-   thousand links and not half a million pairs.
+   on the others, and a pair stays if it shares as many of them as two similar
+   sets of these sizes must. Sets that consist mostly of hot shingles, of which
+   that may be none, are paired on hot ones.
+4. Before that, sets that share their first shingle under each of several orders
+   are verified against the first set of their kind. Those links merge classes
+   into components, and pairs are then formed between components only, so a
+   group of a thousand near copies costs some thousand pairs, not half a million.
 5. A pair must also share prefix shingles under the other orders (other mixings
    of the hash); pairs that pass every filter are verified on the whole sets.
 
@@ -45,16 +46,20 @@ from tallycheck.llm.components import components
 @dataclass(frozen=True)
 class JaccardJoin:
     """``k`` words a shingle, ``percent`` least similarity. Sets of up to
-    ``whole`` shingles send all of them; larger ones their prefix and at least
-    ``spare`` more. ``hot``: sets that may share a shingle before it is paired
-    last. ``orders``: token orders that a pair must pass."""
+    ``whole`` shingles send all of them; larger ones their prefix and ``spare``
+    more. ``hot``: sets that may share a shingle before it is paired last.
+    ``orders``: token orders that a pair must pass. ``held``: texts to verify
+    whose keys every executor may hold (24 bytes each)."""
 
     k: int = 5
     percent: int = 75
     whole: int = 128
-    spare: int = 32
-    hot: int = 32
+    spare: int = 16
+    hot: int = 16
     orders: int = 3
+    firsts: int = 6
+    together: int = 4
+    held: int = 500_000
 
 
 def shingles(text: str, k: int) -> np.ndarray:
@@ -71,7 +76,7 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def sent_size(n: int, join: JaccardJoin) -> int:
-    return n if n <= join.whole else min(n, prefix_size(n, join.percent) + join.spare + n // 64)
+    return n if n <= join.whole else min(n, prefix_size(n, join.percent) + join.spare)
 
 
 def _prefix_size(n: Column, percent: int) -> Column:
@@ -79,8 +84,21 @@ def _prefix_size(n: Column, percent: int) -> Column:
 
 
 def _sent_size(n: Column, join: JaccardJoin) -> Column:
-    longer = _prefix_size(n, join.percent) + join.spare + F.floor(n / 64).cast("long")
-    return F.when(n <= join.whole, n).otherwise(F.least(n, longer))
+    return F.when(n <= join.whole, n).otherwise(F.least(n, _prefix_size(n, join.percent) + join.spare))
+
+
+def _seeds(n: int) -> np.ndarray:
+    """One constant for each further token order: its mixing of the hashes."""
+    return mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
+
+
+def first_shingles(tokens: np.ndarray, join: JaccardJoin) -> list[int]:
+    """A key for each bundle of ``together`` orders: the set's first shingles there."""
+    if not len(tokens):
+        return []
+    least = [mixed(tokens ^ s).min() for s in _seeds(join.firsts * join.together)]
+    bundles = np.array(least, np.uint64).reshape(join.firsts, join.together)
+    return [xxhash.xxh64_intdigest(b.tobytes(), seed=i) for i, b in enumerate(bundles)]
 
 
 def _sets(join: JaccardJoin):
@@ -88,7 +106,7 @@ def _sets(join: JaccardJoin):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                sizes, low, high, sent, ends = [], [], [], [], [0]
+                sizes, low, high, sent, ends, firsts = [], [], [], [], [0], []
                 for text in part["text"].to_pylist():
                     found = shingles(text, join.k)
                     data = found.tobytes()
@@ -97,13 +115,15 @@ def _sets(join: JaccardJoin):
                     high.append(xxhash.xxh3_64_intdigest(data))
                     sent.append(found[: sent_size(len(found), join)])
                     ends.append(ends[-1] + len(sent[-1]))
+                    firsts.append(np.array(first_shingles(found, join), np.uint64).view(np.int64))
                 tokens = np.concatenate(sent).view(np.int64) if sent else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [part[c] for c in ("row", "id", "key1", "key2")]
                     + [pa.array(sizes, pa.int64()), pa.array(np.array(low, np.uint64).view(np.int64)),
                        pa.array(np.array(high, np.uint64).view(np.int64)),
+                       pa.array(firsts, pa.list_(pa.int64())),
                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens))],
-                    ["row", "id", "key1", "key2", "n", "set1", "set2", "prefix"])
+                    ["row", "id", "key1", "key2", "n", "set1", "set2", "firsts", "prefix"])
 
     return run
 
@@ -113,61 +133,69 @@ def keys(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text), F.xxhash64(F.lit(1), text)
 
 
-def _tokens(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                found = [shingles(t, k).tobytes() for t in part["text"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([part["row"], pa.array(found, pa.binary())], ["row", "tokens"])
-
-    return run
-
-
-def _verified(join: JaccardJoin):
-    seeds = [np.uint64(0x632BE59BD9B4E019 * (i + 1) % 2**64) for i in range(1, join.orders)]
+def _linked(join: JaccardJoin):
+    seeds = _seeds(join.orders - 1)
 
     def prefixes(tokens: np.ndarray) -> list[np.ndarray]:
         size = prefix_size(len(tokens), join.percent)
         return [np.sort(mixed(tokens ^ s))[:size] for s in seeds]
 
-    def linked(a: np.ndarray, b: np.ndarray, pa_: list[np.ndarray], pb: list[np.ndarray]) -> bool:
-        if not all(len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(pa_, pb)):
-            return False
-        shared = len(np.intersect1d(a, b, assume_unique=True))
-        return 100 * shared >= join.percent * (len(a) + len(b) - shared)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, a, of_a = None, None, None
-        for batch in batches:
-            us, vs = batch["u"].to_pylist(), batch["v"].to_pylist()
-            keep = []
-            for i, (left, right) in enumerate(zip(batch["u_tokens"], batch["v_tokens"])):
-                if us[i] != last:
-                    last, a = us[i], np.frombuffer(left.as_buffer(), np.uint64)
-                    of_a = prefixes(a)
-                b = np.frombuffer(right.as_buffer(), np.uint64)
-                if linked(a, b, of_a, prefixes(b)):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([us[i] for i in keep], pa.int64()), pa.array([vs[i] for i in keep], pa.int64())], ["u", "v"])
+    def run(pairs: pa.Table, texts: pa.Table) -> pa.Table:
+        sets = {}
+        for row, text in zip(texts["row"].to_pylist(), texts["text"].to_pylist()):
+            found = shingles(text, join.k)
+            sets[row] = found, prefixes(found)
+        keep = []
+        for u, v in zip(pairs["u"].to_pylist(), pairs["v"].to_pylist()):
+            (a, of_a), (b, of_b) = sets[u], sets[v]
+            if not all(len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(of_a, of_b)):
+                continue
+            shared = len(np.intersect1d(a, b, assume_unique=True))
+            if 100 * shared >= join.percent * (len(a) + len(b) - shared):
+                keep.append((u, v))
+        return pa.table({"u": pa.array([u for u, _ in keep], pa.int64()), "v": pa.array([v for _, v in keep], pa.int64())})
 
     return run
 
 
+def _blocks(pairs: DataFrame, size: int = 64) -> DataFrame:
+    """Pairs with a ``block``: those around one set stand together, so that a text
+    is sent to few blocks. Many pairs around one set are dealt out by either
+    end to as many blocks as hold some ``size`` * ``size`` each; few share one."""
+    ends = pairs.union(pairs.select("v", "u")).groupBy(F.col("u").alias("end")).agg(F.min("v").alias("least"))
+    around = pairs.join(ends, F.col("u") == F.col("end")).select("u", "v", F.least("u", "least").alias("at"))
+    many = around.groupBy(F.col("at").alias("of")).agg(F.ceil(F.sqrt(F.count(F.lit(1))) / size).alias("cuts"))
+    few = pairs.count() // (size * size) + 1
+    part = lambda x: F.pmod(F.xxhash64(x), F.col("cuts"))
+    block = F.when(F.col("cuts") > 1, F.xxhash64("at", part("u"), part("v"))).otherwise(
+        F.pmod(F.xxhash64("at"), F.lit(few)))
+    return around.join(many, F.col("at") == F.col("of")).select(block.alias("block"), "u", "v")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, join: JaccardJoin) -> DataFrame:
     """The pairs (u, v) whose whole sets are similar enough, written."""
-    pairs = written(pairs)
-    wanted = pairs.select(F.col("u").alias("row")).union(pairs.select("v")).distinct().join(
-        reps.select(F.col("node").alias("row"), "key1", "key2"), "row")
+    pairs = written(_blocks(written(pairs)))
+    sent = (pairs.select(F.col("block").alias("to"), F.col("u").alias("row"))
+            .union(pairs.select("block", "v")).distinct())
+    wanted = written(sent.select("row").distinct().join(reps.select(F.col("node").alias("row"), "key1", "key2"), "row"))
+    if wanted.count() <= join.held:
+        wanted = F.broadcast(wanted)
     key1, key2 = keys(F.col("text"))
     texts = (docs.select("text", key1.alias("t1"), key2.alias("t2"))
              .join(wanted, (F.col("t1") == F.col("key1")) & (F.col("t2") == F.col("key2")))
              .select("row", "text").dropDuplicates(["row"]))
-    tokens = written(texts.mapInArrow(_tokens(join.k), "row long, tokens binary"))
-    right = pairs.join(tokens.withColumnsRenamed({"row": "right", "tokens": "v_tokens"}), F.col("v") == F.col("right"))
-    both = right.join(tokens.withColumnsRenamed({"row": "left", "tokens": "u_tokens"}), F.col("u") == F.col("left"))
-    return written(both.select("u", "v", "u_tokens", "v_tokens").mapInArrow(_verified(join), "u long, v long"))
+    return written(pairs.groupBy("block").cogroup(sent.join(texts, "row").groupBy("to"))
+                   .applyInArrow(_linked(join), "u long, v long"))
+
+
+def _need(join: JaccardJoin) -> Column:
+    """Cold shingles that two similar sets a and b share among those they sent.
+    A shared shingle that one of them didn't send lies beyond the end of the
+    shorter reach, so those are at most the unsent ones of that set; the hot
+    ones are at most what either sent."""
+    least = F.ceil((F.col("a_n") + F.col("b_n")) * join.percent / (100 + join.percent)).cast("long")
+    unsent = F.greatest(*(F.col(f"{x}_n") - _sent_size(F.col(f"{x}_n"), join) for x in "ab"))
+    return least - unsent - F.least("a_hot", "b_hot")
 
 
 def _fits(a: Column, b: Column, percent: int) -> Column:
@@ -192,41 +220,34 @@ def _between(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     return found.select("a", "b", "a_n", "b_n", "a_hot", "b_hot")
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
-
-
 def _candidates(rows: DataFrame, join: JaccardJoin) -> DataFrame:
     """Pairs (u, v) that the first order lets pass. ``rows``: token, row, plain
     (in the prefix proper), n, df, hot_n (hot shingles the row sent), part."""
-    n = F.col("n")
-    slack = lambda x: _sent_size(x, join) - _prefix_size(x, join.percent) + 1
+    n, need = F.col("n"), _need(join)
     cold, hot = rows.filter(F.col("df") <= join.hot), rows.filter(F.col("df") > join.hot)
-    need = F.least(slack(F.col("a_n")), slack(F.col("b_n"))) - F.least("a_hot", "b_hot")
     common = (_between(cold, cold, join.percent)
               .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), need.alias("need"))
               .groupBy("u", "v", "need").agg(F.count(F.lit(1)).alias("shared"))
               .filter(F.col("shared") >= F.col("need")).select("u", "v"))
-    # sets without enough cold shingles for a prefix
+    # Pairs of which no cold shingle need be shared: each set sent too few cold
+    # ones for a prefix. Where all its shingles are known, the rarest make it up.
     short = hot.filter(_sent_size(n, join) - F.col("hot_n") < _prefix_size(n, join.percent))
     known = _sent_size(n, join) == n
     rarest = F.row_number().over(W.partitionBy("row").orderBy("df", "token"))
     full = (short.filter(known).withColumn("at", rarest)
             .filter(F.col("at") <= _prefix_size(n, join.percent) - (n - F.col("hot_n"))).drop("at"))
-    part = short.filter(~known & F.col("plain"))
-    plain = hot.filter("plain")
-    on_hot = _ordered(_between(full, full, join.percent)).union(_ordered(_part_pairs(part, plain, join.percent)))
-    return common.union(on_hot).distinct()
+    part, plain = short.filter(~known & F.col("plain")), hot.filter("plain")
+    on_hot = _between(full, full, join.percent).unionByName(_part_pairs(part, plain, join.percent)).filter(need <= 0)
+    return common.union(on_hot.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
 
 
 def _part_pairs(part: DataFrame, plain: DataFrame, percent: int) -> DataFrame:
     """Sets whose hot shingles aren't all known, against every set on its plain prefix."""
-    cols = ("token", "row", "n", "part")
-    left = part.select(*(F.col(c).alias(f"a_{c}") for c in cols))
-    right = plain.select(*(F.col(c).alias(f"b_{c}") for c in cols))
-    return left.join(right, (F.col("a_token") == F.col("b_token")) & (F.col("a_part") != F.col("b_part"))
-                     & _fits(F.col("a_n"), F.col("b_n"), percent)).select(
-        F.col("a_row").alias("a"), F.col("b_row").alias("b"))
+    side = lambda df, x: df.select(F.col("row").alias(x), *(
+        F.col(c).alias(f"{x}_{y}") for c, y in (("token", "token"), ("n", "n"), ("hot_n", "hot"), ("part", "part"))))
+    met = (F.col("a_token") == F.col("b_token")) & (F.col("a_part") != F.col("b_part"))
+    return side(part, "a").join(side(plain, "b"), met & _fits(F.col("a_n"), F.col("b_n"), percent)).select(
+        "a", "b", "a_n", "b_n", "a_hot", "b_hot")
 
 
 def groups(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str = "doc_id",
@@ -238,8 +259,9 @@ def groups(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str =
     kind = texts.schema["id"].dataType.simpleString()
     sets = written(texts.select(F.monotonically_increasing_id().alias("row"), "id", key1.alias("key1"),
                                 key2.alias("key2"), "text").mapInArrow(
-        _sets(join), f"row long, id {kind}, key1 long, key2 long, n long, set1 long, set2 long, prefix array<long>"))
-    heads = sets.drop("prefix")
+        _sets(join), f"row long, id {kind}, key1 long, key2 long, n long, set1 long, set2 long, "
+                     "firsts array<long>, prefix array<long>"))
+    heads = sets.drop("prefix", "firsts")
     # the representative's text: any text of the class has the same set
     reps = written(heads.filter("n > 0").groupBy("set1", "set2", "n")
                    .agg(F.min("row").alias("node"), F.min("id").alias("first_id"))
@@ -254,20 +276,19 @@ def groups(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str =
               .select("token", row.alias("row"), (F.col("tagged") >= 0).alias("plain"))
               .join(reps.select(F.col("node").alias("row"), "n"), "row"))
     shared = written(shared)
-    counts = shared.groupBy(F.col("token").alias("of")).agg(
-        F.count(F.lit(1)).alias("df"), F.min("row").alias("center")).filter("df > 1")
+    counts = shared.groupBy(F.col("token").alias("of")).agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     rows = shared.join(counts, F.col("token") == F.col("of")).drop("of")
     hot = rows.filter(F.col("df") > join.hot).groupBy(F.col("row").alias("hot_row")).agg(F.count(F.lit(1)).alias("hot_n"))
     rows = written(rows.join(hot, F.col("row") == F.col("hot_row"), "left").drop("hot_row")
                    .withColumn("hot_n", F.coalesce("hot_n", F.lit(0))))
 
-    # links to the first set of a shingle, where much of the prefix is shared
-    sizes = reps.select(F.col("node").alias("center_row"), F.col("n").alias("center_n"))
-    stars = (rows.filter("row <> center").groupBy("center", "row", "n").agg(F.count(F.lit(1)).alias("shared"))
-             .filter(F.col("shared") * 3 >= _sent_size(F.col("n"), join))
-             .join(sizes, F.col("center") == F.col("center_row"))
-             .filter(_fits(F.col("n"), F.col("center_n"), join.percent))
-             .select(F.col("center").alias("u"), F.col("row").alias("v")))
+    sizes = reps.select(F.col("node").alias("row"), "n")
+    alike = sets.select("row", F.explode("firsts").alias("like")).join(sizes, "row")
+    centers = (alike.groupBy(F.col("like").alias("of")).agg(F.min(F.struct("row", "n")).alias("center"),
+                                                            F.count(F.lit(1)).alias("c")).filter("c > 1"))
+    stars = (alike.join(centers, F.col("like") == F.col("of")).filter(F.col("row") != F.col("center.row"))
+             .filter(_fits(F.col("n"), F.col("center.n"), join.percent))
+             .select(F.col("center.row").alias("u"), F.col("row").alias("v")).distinct())
     first = written(components(verified(stars, texts, reps, join)))
 
     parts = rows.join(first, F.col("row") == F.col("node"), "left").withColumn(
