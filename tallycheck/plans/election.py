@@ -49,7 +49,14 @@ from tallycheck.operators import gate, rollups
 from tallycheck.operators.lookup import canonical_join
 from tallycheck.operators.reconcile import reconcile
 from tallycheck.session import configure, shared_folder
-from tallycheck.sources.files import MissingReference, _exists, literal_table, read_text_csv
+from tallycheck.sources.files import (
+    MissingReference,
+    _exists,
+    empty_table,
+    literal_table,
+    read_text_csv,
+    read_with_policy,
+)
 from tallycheck.sources.sinks import try_write, write_table
 
 log = logging.getLogger(__name__)
@@ -524,11 +531,12 @@ def run(spark: SparkSession, input_root: str, output_root: str | None = None,
         if not _exists(spark, p[key]):
             if optional:
                 return None
-            if key in ("region_wide",):
-                raise MissingReference(f"the approved reference {os.path.basename(p[key])} is absent")
             raise MissingRequiredColumn(f"source file {p[key]} is missing")
         return read_text_csv(spark, p[key], multiline=key not in single_line)
 
+    def or_empty(key: str, schema: str) -> tuple[DataFrame, bool]:
+        return read_with_policy(spark, p[key], "fallback", empty_table(spark, schema), multiline=key not in single_line)
+
     def kept(name: str, df: DataFrame) -> DataFrame:
         path = f"{work}/{name}"
         write_table(df, path)
@@ -541,11 +549,10 @@ def run(spark: SparkSession, input_root: str, output_root: str | None = None,
     t["contests_master"] = clean_contests(read("contests"))
     t["parties_master"] = clean_parties(read("parties"))
     t["results_snapshot"] = kept("results", clean_results(read("results"), "results.csv", environment))
-    raw_er, raw_qr = read("ers", optional=True), read("qr", optional=True)
-    if raw_er is None or raw_qr is None:
+    (raw_er, no_er), (raw_qr, no_qr) = or_empty("ers", ER_SCHEMA), or_empty("qr", QR_SCHEMA)
+    if no_er or no_qr:
         log.warning("mobile sources absent: QR verification runs with empty QR tables")
-        raw_er = literal_table(spark, [], ER_SCHEMA)
-        raw_qr = literal_table(spark, [], QR_SCHEMA)
+        raw_er, raw_qr = empty_table(spark, ER_SCHEMA), empty_table(spark, QR_SCHEMA)
     t["mobile_election_returns"] = kept("ers", clean_mobile_ers(raw_er, environment))
     t["mobile_election_returns_canonical"] = er_canonical(t["mobile_election_returns"])
     t["mobile_qr_results"] = kept("qr", clean_mobile_qr(raw_qr, environment))
@@ -553,7 +560,7 @@ def run(spark: SparkSession, input_root: str, output_root: str | None = None,
                                                     t["mobile_election_returns_canonical"])
 
     scope = load_scope(spark, read("scope", optional=True), environment)
-    region_wide = load_region_wide(read("region_wide"))
+    region_wide = load_region_wide(read_with_policy(spark, p["region_wide"])[0])
     district = load_district_map(spark, read("district", optional=True), environment)
     bmap = ballot_choice_map(t["candidates_master"], region_wide, district)
 

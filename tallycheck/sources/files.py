@@ -77,5 +77,5 @@ def read_with_policy(spark: SparkSession, path: str, on_missing: str = "raise",
     if _exists(spark, path):
         return read_text_csv(spark, path, **read_opts), False
     if on_missing == "raise" or fallback is None:
-        raise MissingReference(f"BLOCKING: {os.path.basename(path.rstrip('/'))} is missing.")
+        raise MissingReference(f"the approved reference {os.path.basename(path.rstrip('/'))} is absent")
     return fallback, True
