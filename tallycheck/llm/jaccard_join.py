@@ -11,9 +11,9 @@ document the smallest id its links reach.
 3. Shingles of more than ``hot`` sets come last in that order: pairs are formed
    on the others, and a pair stays if it shares as many of them as two similar
    sets of these sizes must. Sets that consist mostly of hot shingles, of which
-   that may be none, are paired on hot ones.
+   that may be none, send all of theirs and are paired on the rarest.
 4. Before that, sets that share their first shingle under each of several orders
-   are verified against the first set of their kind. Those links merge classes
+   are verified against the most central of them. Those links merge classes
    into components, and pairs are then formed between components only, so a
    group of a thousand near copies costs some thousand pairs, not half a million.
 5. A pair must also share prefix shingles under the other orders (other mixings
@@ -172,18 +172,33 @@ def _blocks(pairs: DataFrame, size: int = 64) -> DataFrame:
     return around.join(many, F.col("at") == F.col("of")).select(block.alias("block"), "u", "v")
 
 
+def _texts(rows: DataFrame, docs: DataFrame, reps: DataFrame, join: JaccardJoin) -> DataFrame:
+    """(row, text) of representatives."""
+    wanted = written(rows.join(reps.select(F.col("node").alias("row"), "key1", "key2"), "row"))
+    if wanted.count() <= join.held:
+        wanted = F.broadcast(wanted)
+    key1, key2 = keys(F.col("text"))
+    return (docs.select("text", key1.alias("t1"), key2.alias("t2"))
+            .join(wanted, (F.col("t1") == F.col("key1")) & (F.col("t2") == F.col("key2")))
+            .select("row", "text").dropDuplicates(["row"]))
+
+
+def _unsent(join: JaccardJoin):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(t, join.k) for t in batch["text"].to_pylist()]
+            later = [f[sent_size(len(f), join):].view(np.int64) for f in found]
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(later, pa.list_(pa.int64()))], ["row", "tokens"])
+
+    return run
+
+
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, join: JaccardJoin) -> DataFrame:
     """The pairs (u, v) whose whole sets are similar enough, written."""
     pairs = written(_blocks(written(pairs)))
     sent = (pairs.select(F.col("block").alias("to"), F.col("u").alias("row"))
             .union(pairs.select("block", "v")).distinct())
-    wanted = written(sent.select("row").distinct().join(reps.select(F.col("node").alias("row"), "key1", "key2"), "row"))
-    if wanted.count() <= join.held:
-        wanted = F.broadcast(wanted)
-    key1, key2 = keys(F.col("text"))
-    texts = (docs.select("text", key1.alias("t1"), key2.alias("t2"))
-             .join(wanted, (F.col("t1") == F.col("key1")) & (F.col("t2") == F.col("key2")))
-             .select("row", "text").dropDuplicates(["row"]))
+    texts = _texts(sent.select("row").distinct(), docs, reps, join)
     return written(pairs.groupBy("block").cogroup(sent.join(texts, "row").groupBy("to"))
                    .applyInArrow(_linked(join), "u long, v long"))
 
@@ -194,7 +209,7 @@ def _need(join: JaccardJoin) -> Column:
     shorter reach, so those are at most the unsent ones of that set; the hot
     ones are at most what either sent."""
     least = F.ceil((F.col("a_n") + F.col("b_n")) * join.percent / (100 + join.percent)).cast("long")
-    unsent = F.greatest(*(F.col(f"{x}_n") - _sent_size(F.col(f"{x}_n"), join) for x in "ab"))
+    unsent = F.greatest(F.col("a_n") - F.col("a_sent"), F.col("b_n") - F.col("b_sent"))
     return least - unsent - F.least("a_hot", "b_hot")
 
 
@@ -204,7 +219,7 @@ def _fits(a: Column, b: Column, percent: int) -> Column:
 
 
 def _between(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Pairs of rows (token, row, n, hot_n, part) of one token, from different
+    """Pairs of rows (token, row, n, sent, hot_n, part) of one token, from different
     parts (components). In each token's group the largest part is met by the
     others, never by itself."""
     parts = (right.groupBy("token", "part").agg(F.count(F.lit(1)).alias("c"))
@@ -212,17 +227,17 @@ def _between(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
                                                       F.count(F.lit(1)).alias("parts")).filter("parts > 1"))
     rows = lambda df, x: df.join(parts, F.col("token") == F.col("of")).select(
         F.col("token").alias(f"{x}_token"), F.col("row").alias(x), F.col("n").alias(f"{x}_n"),
-        F.col("hot_n").alias(f"{x}_hot"), F.col("part").alias(f"{x}_part"),
+        F.col("hot_n").alias(f"{x}_hot"), F.col("sent").alias(f"{x}_sent"), F.col("part").alias(f"{x}_part"),
         (F.col("part") == F.col("major")).alias(f"{x}_major"))
     found = rows(left, "a").join(rows(right, "b"), (F.col("a_token") == F.col("b_token"))
                                  & (F.col("a_part") != F.col("b_part")) & _fits(F.col("a_n"), F.col("b_n"), percent)
                                  & ~F.col("a_major") & (F.col("b_major") | (F.col("a") < F.col("b"))))
-    return found.select("a", "b", "a_n", "b_n", "a_hot", "b_hot")
+    return found.select("a", "b", "a_n", "b_n", "a_hot", "b_hot", "a_sent", "b_sent")
 
 
 def _candidates(rows: DataFrame, join: JaccardJoin) -> DataFrame:
-    """Pairs (u, v) that the first order lets pass. ``rows``: token, row, plain
-    (in the prefix proper), n, df, hot_n (hot shingles the row sent), part."""
+    """Pairs (u, v) that the first order lets pass. ``rows``: token, row, plain (in
+    the prefix proper), n, sent (shingles sent), df, hot_n (hot ones sent), part."""
     n, need = F.col("n"), _need(join)
     cold, hot = rows.filter(F.col("df") <= join.hot), rows.filter(F.col("df") > join.hot)
     common = (_between(cold, cold, join.percent)
@@ -231,23 +246,75 @@ def _candidates(rows: DataFrame, join: JaccardJoin) -> DataFrame:
               .filter(F.col("shared") >= F.col("need")).select("u", "v"))
     # Pairs of which no cold shingle need be shared: each set sent too few cold
     # ones for a prefix. Where all its shingles are known, the rarest make it up.
-    short = hot.filter(_sent_size(n, join) - F.col("hot_n") < _prefix_size(n, join.percent))
-    known = _sent_size(n, join) == n
-    rarest = F.row_number().over(W.partitionBy("row").orderBy("df", "token"))
-    full = (short.filter(known).withColumn("at", rarest)
-            .filter(F.col("at") <= _prefix_size(n, join.percent) - (n - F.col("hot_n"))).drop("at"))
-    part, plain = short.filter(~known & F.col("plain")), hot.filter("plain")
+    full, short = _rarest(rows, join), hot.filter(_is_short(join))
+    part, plain = short.filter((F.col("sent") < n) & F.col("plain")), hot.filter("plain")
     on_hot = _between(full, full, join.percent).unionByName(_part_pairs(part, plain, join.percent)).filter(need <= 0)
     return common.union(on_hot.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
 
 
+def _rarest(rows: DataFrame, join: JaccardJoin) -> DataFrame:
+    """Of the sets short of cold shingles and known whole: the rarest hot shingles
+    that fill up their prefixes."""
+    n = F.col("n")
+    at = F.row_number().over(W.partitionBy("row").orderBy("df", "token"))
+    return (rows.filter((F.col("df") > join.hot) & _is_short(join) & (F.col("sent") == n)).withColumn("at", at)
+            .filter(F.col("at") <= _prefix_size(n, join.percent) - (n - F.col("hot_n"))).drop("at"))
+
+
+def _is_short(join: JaccardJoin) -> Column:
+    """The set sent too few cold shingles for a prefix."""
+    return F.col("sent") - F.col("hot_n") < _prefix_size(F.col("n"), join.percent)
+
+
 def _part_pairs(part: DataFrame, plain: DataFrame, percent: int) -> DataFrame:
     """Sets whose hot shingles aren't all known, against every set on its plain prefix."""
     side = lambda df, x: df.select(F.col("row").alias(x), *(
-        F.col(c).alias(f"{x}_{y}") for c, y in (("token", "token"), ("n", "n"), ("hot_n", "hot"), ("part", "part"))))
+        F.col(c).alias(f"{x}_{y}") for c, y in (("token", "token"), ("n", "n"), ("hot_n", "hot"), ("sent", "sent"),
+                                                ("part", "part"))))
     met = (F.col("a_token") == F.col("b_token")) & (F.col("a_part") != F.col("b_part"))
     return side(part, "a").join(side(plain, "b"), met & _fits(F.col("a_n"), F.col("b_n"), percent)).select(
-        "a", "b", "a_n", "b_n", "a_hot", "b_hot")
+        "a", "b", "a_n", "b_n", "a_hot", "b_hot", "a_sent", "b_sent")
+
+
+def _untagged(sent: DataFrame) -> DataFrame:
+    row = F.when(F.col("tagged") < 0, -1 - F.col("tagged")).otherwise(F.col("tagged"))
+    return sent.select("token", row.alias("row"), (F.col("tagged") >= 0).alias("plain"))
+
+
+def _counted(shared: DataFrame, join: JaccardJoin) -> DataFrame:
+    """The shingles that two sets or more sent, with ``df`` (how many did) and
+    ``hot_n`` (hot shingles the row sent)."""
+    counts = shared.groupBy(F.col("token").alias("of")).agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    rows = shared.join(counts, F.col("token") == F.col("of")).drop("of")
+    hot = rows.filter(F.col("df") > join.hot).groupBy(F.col("row").alias("hot_row")).agg(F.count(F.lit(1)).alias("hot_n"))
+    return (rows.join(hot, F.col("row") == F.col("hot_row"), "left").drop("hot_row")
+            .withColumn("hot_n", F.coalesce("hot_n", F.lit(0))))
+
+
+def _stars(met: DataFrame, join: JaccardJoin) -> DataFrame:
+    """Pairs (u, v) of each set with the most central one of its kind. ``met``:
+    like (the kind), c (sets of the kind), row, n. The set that meets most others
+    is nearest to all: an original, not one of its copies."""
+    central = met.groupBy(F.col("row").alias("by")).agg(F.sum("c").alias("score"))
+    ranked = met.join(central, F.col("row") == F.col("by")).select(
+        "like", F.struct("score", (-F.col("row")).alias("order"), "n").alias("rank"))
+    centers = ranked.groupBy(F.col("like").alias("of")).agg(F.max("rank").alias("center"))
+    center = -F.col("center.order")
+    return (met.join(centers, F.col("like") == F.col("of")).filter(F.col("row") != center)
+            .filter(_fits(F.col("n"), F.col("center.n"), join.percent))
+            .select(F.least("row", center).alias("u"), F.greatest("row", center).alias("v")).distinct())
+
+
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after ``links`` (u, v) join the components of ``parts``."""
+    at = lambda x: parts.toDF(f"{x}_node", f"{x}_part")
+    ends = (links.join(at("u"), F.col("u") == F.col("u_node"), "left").join(at("v"), F.col("v") == F.col("v_node"), "left")
+            .select(F.coalesce("u_part", "u").alias("u"), F.coalesce("v_part", "v").alias("v")))
+    final = components(ends).toDF("part", "final")
+    every = (parts.union(links.select("u", "u")).union(links.select("v", "v"))
+             .groupBy("node").agg(F.min("component").alias("component")))  # a component is its least node
+    return written(every.join(final, F.col("component") == F.col("part"), "left")
+                   .select("node", F.coalesce("final", "component").alias("component")))
 
 
 def groups(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str = "doc_id",
@@ -271,37 +338,38 @@ def groups(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str =
     sent = sets.select("row", "n", F.posexplode("prefix").alias("pos", "token")).select(
         "token", F.when(plain, F.col("row")).otherwise(-1 - F.col("row")).alias("tagged"))
     often = sent.groupBy(F.col("token").alias("of")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("of")
-    row = F.when(F.col("tagged") < 0, -1 - F.col("tagged")).otherwise(F.col("tagged"))
-    shared = (sent.join(often, F.col("token") == F.col("of"), "left_semi")
-              .select("token", row.alias("row"), (F.col("tagged") >= 0).alias("plain"))
-              .join(reps.select(F.col("node").alias("row"), "n"), "row"))
-    shared = written(shared)
-    counts = shared.groupBy(F.col("token").alias("of")).agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    rows = shared.join(counts, F.col("token") == F.col("of")).drop("of")
-    hot = rows.filter(F.col("df") > join.hot).groupBy(F.col("row").alias("hot_row")).agg(F.count(F.lit(1)).alias("hot_n"))
-    rows = written(rows.join(hot, F.col("row") == F.col("hot_row"), "left").drop("hot_row")
-                   .withColumn("hot_n", F.coalesce("hot_n", F.lit(0))))
+    ns = reps.select(F.col("node").alias("row"), "n")
+    shared = written(_untagged(sent.join(often, F.col("token") == F.col("of"), "left_semi")).join(ns, "row"))
+    rows = _counted(shared.withColumn("sent", _sent_size(F.col("n"), join)), join)
+    # sets short of cold shingles send the rest of theirs; whoever sent one of these joins in
+    thin = written(rows.filter(_is_short(join) & (F.col("sent") < F.col("n"))).select("row").distinct())
+    later = written(_texts(thin, texts, reps, join).mapInArrow(_unsent(join), "row long, tokens array<long>")
+                    .select("row", F.explode("tokens").alias("token")))
+    late = later.select(F.col("token").alias("of")).distinct()
+    if late.count() <= join.held:
+        late = F.broadcast(late)
+    again = _untagged(sent.join(late, F.col("token") == F.col("of"), "left_semi")).join(ns, "row")
+    more = later.select("token", "row", F.lit(False).alias("plain")).join(ns, "row").select("row", "token", "plain", "n")
+    every = shared.select("row", "token", "plain", "n").union(again.select("row", "token", "plain", "n")).union(more).distinct()
+    whole = thin.select(F.col("row").alias("thin"))
+    size = F.when(F.col("thin").isNull(), _sent_size(F.col("n"), join)).otherwise(F.col("n"))
+    rows = written(_counted(written(every.join(whole, F.col("row") == F.col("thin"), "left")
+                                    .withColumn("sent", size).drop("thin")), join))
 
     sizes = reps.select(F.col("node").alias("row"), "n")
     alike = sets.select("row", F.explode("firsts").alias("like")).join(sizes, "row")
-    centers = (alike.groupBy(F.col("like").alias("of")).agg(F.min(F.struct("row", "n")).alias("center"),
-                                                            F.count(F.lit(1)).alias("c")).filter("c > 1"))
-    stars = (alike.join(centers, F.col("like") == F.col("of")).filter(F.col("row") != F.col("center.row"))
-             .filter(_fits(F.col("n"), F.col("center.n"), join.percent))
-             .select(F.col("center.row").alias("u"), F.col("row").alias("v")).distinct())
-    first = written(components(verified(stars, texts, reps, join)))
-
-    parts = rows.join(first, F.col("row") == F.col("node"), "left").withColumn(
+    often = alike.groupBy(F.col("like").alias("often")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    met = written(alike.join(often, F.col("like") == F.col("often")).drop("often"))
+    parts = written(components(verified(_stars(met, join), texts, reps, join)))
+    # once more around each of the rarest hot shingles
+    kinds = written(_rarest(rows, join).select(F.col("token").alias("like"), F.col("df").alias("c"), "row", "n"))
+    parts = _merged(parts, verified(_stars(kinds, join), texts, reps, join))
+
+    named = rows.join(parts, F.col("row") == F.col("node"), "left").withColumn(
         "part", F.coalesce("component", "row")).drop("node", "component")
-    links = verified(_candidates(written(parts), join), texts, reps, join)
-    ends = (links.join(first.toDF("u_node", "u_part"), F.col("u") == F.col("u_node"), "left")
-            .join(first.toDF("v_node", "v_part"), F.col("v") == F.col("v_node"), "left")
-            .select(F.coalesce("u_part", "u").alias("u"), F.coalesce("v_part", "v").alias("v")))
-    second = components(ends).toDF("part_node", "final")
-    label = (reps.join(first.toDF("in_node", "part"), F.col("node") == F.col("in_node"), "left")
-             .withColumn("part", F.coalesce("part", "node"))
-             .join(second, F.col("part") == F.col("part_node"), "left")
-             .withColumn("part", F.coalesce("final", "part")).select("set1", "set2", "part", "first_id"))
+    parts = _merged(parts, verified(_candidates(written(named), join), texts, reps, join))
+    label = (reps.join(parts.toDF("in_node", "part"), F.col("node") == F.col("in_node"), "left")
+             .withColumn("part", F.coalesce("part", "node")).select("set1", "set2", "part", "first_id"))
     least = label.groupBy(F.col("part").alias("whole")).agg(F.min("first_id").alias("component_id"))
     named = label.join(least, F.col("part") == F.col("whole")).select(
         F.col("set1").alias("c1"), F.col("set2").alias("c2"), "component_id")
