@@ -319,8 +319,8 @@ def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """A row per document: row, id, key1 and key2 (of its text), n_shingles and
-    component_id."""
+    """A row per document: row, id, key1 and key2 (of its text), n_shingles,
+    component_id and part (the component's least row: ids may repeat or be null)."""
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     key1, key2 = keys(F.col("text"))
     kind = texts.schema["id"].dataType.simpleString()
@@ -372,10 +372,10 @@ def groups(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str =
              .withColumn("part", F.coalesce("part", "node")).select("set1", "set2", "part", "first_id"))
     least = label.groupBy(F.col("part").alias("whole")).agg(F.min("first_id").alias("component_id"))
     named = label.join(least, F.col("part") == F.col("whole")).select(
-        F.col("set1").alias("c1"), F.col("set2").alias("c2"), "component_id")
+        F.col("set1").alias("c1"), F.col("set2").alias("c2"), "component_id", "part")
     return heads.join(named, (F.col("n") > 0) & (F.col("set1") == F.col("c1")) & (F.col("set2") == F.col("c2")), "left") \
         .select("row", "id", "key1", "key2", F.col("n").alias("n_shingles"),
-                F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+                F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "part")
 
 
 def distinct(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str = "doc_id",
@@ -384,7 +384,7 @@ def distinct(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str
     smallest id (null last, then the first row). Empty sets are groups of one."""
     found = written(groups(docs, join, id_col=id_col, text_col=text_col))
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
-    first = (found.filter("n_shingles > 0").groupBy("component_id").agg(F.min(order).alias("first"))
+    first = (found.filter("n_shingles > 0").groupBy("part").agg(F.min(order).alias("first"))
              .select(F.col("first.row").alias("row"), F.lit(True).alias("chosen")))
     kept = written(found.join(first, "row", "left").groupBy("id", "key1", "key2")
                    .agg(F.max(F.coalesce("chosen", F.col("n_shingles") == 0)).alias("chosen"),

@@ -70,6 +70,16 @@ def test_distinct_keeps_one_row_of_each_group(spark):
     assert {x for x in groups if x is not None} <= set(found)
 
 
+def test_distinct_keeps_unlinked_texts_of_null_and_equal_ids(spark):
+    r = random.Random(4)
+    texts = [sentence(r, 60) for _ in range(8)]
+    rows = [(None, t, "s") for t in texts[:5]] + [(None, texts[0], "t"), (7, texts[5], "s"), (7, texts[6], "s"),
+                                                  (8, texts[6], "s"), (9, texts[7], "s"), (None, texts[7], "s")]
+    got = jaccard_join.distinct(documents(spark, rows)).collect()
+    assert sorted(((x["doc_id"], x["text"]) for x in got), key=repr) == sorted(
+        [(None, t) for t in texts[:5]] + [(7, texts[5]), (7, texts[6]), (9, texts[7])], key=repr)
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7), (300, 250)]
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "u long, v long")).collect())
