@@ -3,8 +3,9 @@
 Three base patterns find candidates in every text, and vendor token shapes add
 further ones. Candidate values are hashed and counted over the corpus: distinct
 repositories (texts) and distinct owners that hold each value. A value that many
-owners share is a copied example; one that stays with few owners and looks
-random is a live credential, and its span is added with the kind ``live``.
+owners share, or that stands in many repositories, is a copied example; one that
+stays with few of both and looks random is a live credential, and its span is
+added with the kind ``live``.
 
 Defined results: a null text counts as empty; a null owner is an owner of its
 own; exact copies of a text are one repository of each owner; repeated rows and
@@ -45,11 +46,12 @@ SPAN = "struct<kind:string,start:int,stop:int,value:binary,from:int,to:int,rando
 
 @dataclass(frozen=True)
 class Ownership:
-    """A value held by at most ``max_owners`` owners is owner-specific; it looks
-    live with ``min_chars`` characters or more and ``min_bits`` bits of entropy
+    """A value held by at most ``max_owners`` owners, in at most
+    ``max_repositories`` distinct texts, is owner-specific; it looks live with ``min_chars`` characters or more and ``min_bits`` bits of entropy
     a character."""
 
     max_owners: int = 2
+    max_repositories: int = 16
     min_chars: int = 16
     min_bits: float = 3.0
 
@@ -124,7 +126,8 @@ def scan(docs: DataFrame, rule: Ownership = Ownership(), *, id_col: str = "doc_i
          owner_col: str = "source") -> DataFrame:
     """A row per document: id, owner, digest, the base counts, ``base_sha256``,
     ``found`` (base spans in order: kind, start, stop), ``live`` (spans added)
-    and ``copied`` (base or vendor spans whose value many owners share)."""
+    and ``copied`` (base or vendor spans whose value many owners share or many
+    texts hold)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(owner_col).cast("string").alias("owner"),
                        text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -137,7 +140,7 @@ def scan(docs: DataFrame, rule: Ownership = Ownership(), *, id_col: str = "doc_i
             .select("digest", F.inline("spans"))
             .join(counts.withColumnRenamed("value", "held_value"), F.col("value") == F.col("held_value")))
     place = F.struct(F.col("from").alias("start"), F.col("to").alias("stop"))
-    few = F.col("owners") <= rule.max_owners
+    few = (F.col("owners") <= rule.max_owners) & (F.col("repositories") <= rule.max_repositories)
     judged = each.groupBy(F.col("digest").alias("of")).agg(
         F.sort_array(F.collect_set(F.when(few & F.col("random"), place))).alias("live"),
         F.sort_array(F.collect_set(F.when(~few, place))).alias("copied"))

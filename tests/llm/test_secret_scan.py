@@ -67,5 +67,16 @@ def test_base_spans_and_owners_equal_brute_force(spark):
     assert any("live" in w[-1] for w in want) and any(r["copied"] for r in got)
 
 
+def test_value_in_many_texts_of_one_owner_is_copied(spark):
+    example, live = "q7Zk2Lw9Xv4Rt8Yb1Nc6", "m3Hd8Js5Pf0Gu2Ea7Ko9"
+    most = Ownership().max_repositories
+    rows = [(k, f"note {k} secret={example}", "hot") for k in range(most + 1)]
+    rows += [(100 + k, f"note {k} secret={live}", "hot") for k in range(most)]
+    rows += [(200 + k, f"note 0 secret={live}", "hot") for k in range(3)]  # exact copies are one repository
+    got = {r["id"]: r for r in secret_scan.scan(documents(spark, rows)).collect()}
+    assert all(bool(r["live"]) == (i >= 100) and bool(r["copied"]) == (i < 100) for i, r in got.items())
+    assert len(got) == len(rows)
+
+
 def test_empty_table(spark):
     assert secret_scan.scan(documents(spark, [])).count() == 0
