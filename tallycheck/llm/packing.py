@@ -34,18 +34,21 @@ from tallycheck.llm.token_files import encoder, portions
 class Packing:
     """``window`` tokens a sequence, ``end_id`` after each document,
     ``shard_chars`` characters of text a shard, ``terms`` of a seed that are
-    looked up, and BM25's ``k1`` and ``b``."""
+    looked up (None: all), and BM25's ``k1`` and ``b``."""
 
     window: int = 2048
     end_id: int = 1
     shard_chars: int = 4 << 20
-    terms: int = 16
+    terms: int | None = None
     k1: float = 1.2
     b: float = 0.75
 
 
 class InvertedIndex:
-    """BM25 postings of a shard's documents, by term."""
+    """BM25 postings of a shard's documents, by term. Terms of more than one in
+    ``COMMON`` documents are rows over all documents, at most ``COMMON`` places a posting."""
+
+    COMMON = 8
 
     def __init__(self, docs: list[np.ndarray], rules: Packing):
         parts = [np.unique(d, return_counts=True) for d in docs]
@@ -64,21 +67,34 @@ class InvertedIndex:
         order = np.argsort(terms, kind="stable")
         self.owners, self.weights = owners[order], weights[order]
         self.starts = np.concatenate(([0], np.cumsum(df)))
+        common = np.flatnonzero(df * self.COMMON > self.n)
+        self.dense_row = np.full(len(df), -1)
+        self.dense_row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), self.n))
+        row = self.dense_row[terms]
+        held = row >= 0
+        self.dense[row[held], owners[held]] = weights[held]
 
     def _query(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """The document's own best terms."""
-        if len(terms) <= self.rules.terms:
+        """The document's own terms, or its best ``rules.terms``."""
+        if self.rules.terms is None or len(terms) <= self.rules.terms:
             return terms
         return terms[np.argpartition(-weights, self.rules.terms)[: self.rules.terms]]
 
-    def neighbours(self, doc: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query term, best first."""
-        spans = [slice(self.starts[t], self.starts[t + 1]) for t in self.queries[doc]]
-        score = np.bincount(np.concatenate([self.owners[s] for s in spans]),
-                            np.concatenate([self.weights[s] for s in spans]), self.n)
+    def neighbours(self, doc: int, used: np.ndarray, most: int | None = None) -> np.ndarray:
+        """Unused documents that share a query term, best first (the best ``most``)."""
+        terms = self.queries[doc]
+        rows = self.dense_row[terms]
+        score = self.dense[rows[rows >= 0]].sum(axis=0)
+        spans = [slice(a, b) for a, b in zip(self.starts[terms[rows < 0]].tolist(), self.starts[terms[rows < 0] + 1].tolist())]
+        if spans:
+            score += np.bincount(np.concatenate([self.owners[s] for s in spans]),
+                                 np.concatenate([self.weights[s] for s in spans]), self.n)
         score[used] = 0
         found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")]
+        if most is not None and len(found) > most:  # ties with the last one stay until they are ordered
+            found = found[score[found] >= np.partition(score[found], -most)[-most]]
+        return found[np.argsort(-score[found], kind="stable")][:most]
 
 
 def packed(docs: list[np.ndarray], rules: Packing) -> Iterator[tuple[int, int, int, int, int]]:
@@ -110,7 +126,7 @@ def packed(docs: list[np.ndarray], rules: Packing) -> Iterator[tuple[int, int, i
         if seed is None and offset:  # what is left of this document begins the window
             seed = doc
             # a neighbour has one token at least: more than the free ones are never taken
-            waiting = index.neighbours(doc, used)[: rules.window - offset][::-1].tolist()
+            waiting = index.neighbours(doc, used, rules.window - offset)[::-1].tolist()
 
 
 def _pack_shard(tokenizer: str, rules: Packing, kind: pa.DataType, with_ids: bool):

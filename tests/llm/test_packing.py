@@ -72,6 +72,26 @@ def test_index_scores_are_bm25():
     assert np.all(np.diff([score(7, d) for d in got]) <= 1e-9)
 
 
+def test_production_scores_use_all_terms():
+    r = random.Random(10)
+    docs = [np.array([r.randrange(400) for _ in range(r.randrange(20, 300))], "<u2") for _ in range(40)]
+    mean = np.mean([len(d) for d in docs])
+    df = {t: sum(t in d for d in docs) for t in range(400)}
+
+    def score(q, d):
+        tf = {t: int((docs[d] == t).sum()) for t in set(docs[q].tolist())}
+        return sum(np.log1p((40 - df[t] + 0.5) / (df[t] + 0.5)) * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * len(docs[d]) / mean))
+                   for t, c in tf.items() if c)
+
+    index = InvertedIndex(docs, Packing())
+    for q in range(40):
+        used = np.arange(40) == q
+        got = index.neighbours(q, used).tolist()
+        assert sorted(got) == [d for d in range(40) if d != q and score(q, d) > 0]
+        assert np.all(np.diff([score(q, d) for d in got]) <= 1e-9)
+        assert index.neighbours(q, used, 5).tolist() == got[:5]
+
+
 def test_neighbours_share_a_window():
     a, b = np.arange(2, 300, dtype="<u2"), np.arange(5000, 5300, dtype="<u2")
     docs = [a, b, a[::-1], b[::-1], a, b]
