@@ -1,18 +1,22 @@
 """Lexical retrieval packing.
 
-Documents are dealt at random into shards of bounded size, and every shard is
-encoded, indexed and packed by itself. Its inverted index holds BM25 weights of
-token ids; a window starts with what is left of the last document (the seed),
+Documents are encoded, and sorted by their best terms: the token ids with the
+highest BM25 weights over the whole corpus, best first. The order is cut into
+shards of bounded size, so documents that share their best terms meet, and a
+group too large for a shard is divided by its next terms and then by row. Every
+shard is indexed and packed by itself: a neighbour with other best terms may
+stand in another shard, where it isn't searched. The inverted index holds BM25
+weights of token ids, with the corpus's frequencies; a window starts with what is left of the last document (the seed),
 and takes the unused neighbours that the index returns for it, best first, until
 it is full. The document that doesn't fit is cut and seeds the next window; a
 seed without neighbours is followed by the next unused document. So only the
-last window of a shard is padded.
+last window of a task is padded.
 
 Defined results: a null or empty text is the end id alone; documents with equal
 ids and repeated rows are packed each on its own; ties in the score go to the
-document that came first; an empty table gives an empty result; other columns
+document that comes first in that order; an empty table gives an empty result; other columns
 are ignored. Rows carry (sequence_id, offset); sequence ids are unique but leave
-gaps between shards.
+gaps between tasks.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycheck.llm.common import text_of
+from tallycheck.llm.common import text_of, written
 from tallycheck.llm.token_files import encoder, portions
 
 
@@ -44,13 +48,32 @@ class Packing:
     b: float = 0.75
 
 
+@dataclass(frozen=True)
+class Frequencies:
+    """Documents, their mean length in tokens, and documents by term."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+    @classmethod
+    def of(cls, terms: np.ndarray, lengths: np.ndarray) -> Frequencies:
+        """``terms``: those of each document once, one document after the other."""
+        return cls(len(lengths), float(lengths.mean()), np.bincount(terms))
+
+    def weights(self, terms: np.ndarray, counts: np.ndarray, length, rules: Packing) -> np.ndarray:
+        df = self.df[terms]
+        norm = rules.k1 * (1 - rules.b + rules.b * length / self.mean)
+        return np.log1p((self.n - df + 0.5) / (df + 0.5)) * counts * (rules.k1 + 1) / (counts + norm)
+
+
 class InvertedIndex:
     """BM25 postings of a shard's documents, by term. Terms of more than one in
     ``COMMON`` documents are rows over all documents, at most ``COMMON`` places a posting."""
 
     COMMON = 8
 
-    def __init__(self, docs: list[np.ndarray], rules: Packing):
+    def __init__(self, docs: list[np.ndarray], rules: Packing, corpus: Frequencies | None = None):
         parts = [np.unique(d, return_counts=True) for d in docs]
         self.n, self.rules = len(docs), rules
         sizes = np.array([len(t) for t, _ in parts])
@@ -58,10 +81,8 @@ class InvertedIndex:
         terms = np.concatenate([t for t, _ in parts])
         counts = np.concatenate([c for _, c in parts]).astype(np.float64)
         owners = np.repeat(np.arange(self.n), sizes)
-        df = np.bincount(terms, minlength=int(terms.max()) + 1)
-        self.idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
-        norm = rules.k1 * (1 - rules.b + rules.b * lengths / lengths.mean())
-        weights = self.idf[terms] * counts * (rules.k1 + 1) / (counts + norm[owners])
+        df = np.bincount(terms)
+        weights = (corpus or Frequencies.of(terms, lengths)).weights(terms, counts, lengths[owners], rules)
         by_doc = np.concatenate(([0], np.cumsum(sizes)))
         self.queries = [self._query(terms[a:b], weights[a:b]) for a, b in zip(by_doc, by_doc[1:])]
         order = np.argsort(terms, kind="stable")
@@ -97,11 +118,13 @@ class InvertedIndex:
         return found[np.argsort(-score[found], kind="stable")][:most]
 
 
-def packed(docs: list[np.ndarray], rules: Packing) -> Iterator[tuple[int, int, int, int, int]]:
-    """(document, start, length, sequence, offset) of every piece of a shard."""
-    index = InvertedIndex(docs, rules)
+def packed(docs: list[np.ndarray], rules: Packing, corpus: Frequencies | None = None, sequence: int = 0,
+           offset: int = 0) -> Iterator[tuple[int, int, int, int, int]]:
+    """(document, start, length, sequence, offset) of every piece of a shard that
+    goes on at ``offset`` of ``sequence``."""
+    index = InvertedIndex(docs, rules, corpus)
     used = np.zeros(len(docs), bool)
-    sequence = offset = first = 0
+    first = 0
     waiting: list[int] = []  # neighbours for the current window, best last
     seed = None
     while True:
@@ -129,25 +152,100 @@ def packed(docs: list[np.ndarray], rules: Packing) -> Iterator[tuple[int, int, i
             waiting = index.neighbours(doc, used, rules.window - offset)[::-1].tolist()
 
 
-def _pack_shard(tokenizer: str, rules: Packing, kind: pa.DataType, with_ids: bool):
-    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoded(tokenizer: str, end_id: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        end = np.array([rules.end_id], enc.dtype).tobytes()
-        ids, docs = [], []
+        end = np.array([end_id], enc.dtype).tobytes()
         for batch in batches:
-            ids += batch["id"].to_pylist()
             texts = batch["text"].to_pylist()
             for a, b in portions(texts):
-                docs += [np.frombuffer(x + end, enc.dtype) for x in enc.encode(texts[a:b])]
-        base = key[0].as_py() << 32
-        rows = []
-        for doc, start, length, sequence, offset in packed(docs, rules):
-            piece = docs[doc][start : start + length].astype("<u4")
-            row = (ids[doc], start, length, zlib.crc32(piece.tobytes()), len(docs[doc]), base + sequence, offset)
-            rows.append((*row, piece) if with_ids else row)
+                ids = [x + end for x in enc.encode(texts[a:b])]
+                chars = [len(t) + 1 for t in texts[a:b]]
+                yield pa.RecordBatch.from_arrays(
+                    [batch["row"].slice(a, b - a), batch["id"].slice(a, b - a), pa.array(chars, pa.int64()),
+                     pa.array(ids, pa.binary())], ["row", "id", "chars", "ids"])
+
+    return run
+
+
+#: Stand for terms in the counts: documents and their tokens.
+_DOCS, _TOKENS = -1, -2
+
+
+def _counted(tokenizer: str):
+    """Documents by term, a row per term and task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(tokenizer)
+        df, n, tokens = np.zeros(len(enc.edge), np.int64), 0, 0
+        for batch in batches:
+            for ids in batch["ids"]:
+                doc = np.frombuffer(ids.as_buffer(), enc.dtype)
+                df[np.unique(doc)] += 1
+                n, tokens = n + 1, tokens + len(doc)
+        terms = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(([_DOCS, _TOKENS], terms)), pa.int64()),
+                                          pa.array(np.concatenate(([n, tokens], df[terms])), pa.int64())], ["term", "n"])
+
+    return run
+
+
+#: Best terms in the order of documents.
+_ORDER_TERMS = 4
+
+
+def best_terms(doc: np.ndarray, corpus: Frequencies, rules: Packing) -> list[int]:
+    """The document's best terms that another document holds, ties by id."""
+    terms, counts = np.unique(doc, return_counts=True)
+    held = corpus.df[terms] > 1
+    terms, counts = terms[held], counts[held]
+    weights = corpus.weights(terms, counts, len(doc), rules)
+    return terms[np.argsort(-weights, kind="stable")[:_ORDER_TERMS]].tolist()
+
+
+def _keyed(tokenizer: str, corpus: Frequencies, rules: Packing):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = encoder(tokenizer).dtype
+        for batch in batches:
+            best = [best_terms(np.frombuffer(x.as_buffer(), kind), corpus, rules) for x in batch["ids"]]
+            yield pa.RecordBatch.from_arrays([pa.array(best, pa.list_(pa.int32())), *(batch[c] for c in ("row", "id", "ids"))],
+                                             ["best", "row", "id", "ids"])
+
+    return run
+
+
+def _pack_task(tokenizer: str, rules: Packing, corpus: Frequencies, most: int, kind: pa.DataType, with_ids: bool):
+    """Packs a task's documents, in shards of about ``most`` tokens at most."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        dtype = encoder(tokenizer).dtype
+        base = TaskContext.get().partitionId() << 32
         kinds = [kind, *[pa.int64()] * 6] + [pa.list_(pa.int64())] * with_ids
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                         NAMES[: len(kinds)])
+        sequence = offset = size = 0
+        ids, docs = [], []
+
+        def shard() -> pa.RecordBatch:
+            nonlocal sequence, offset
+            rows = []
+            for doc, start, length, sequence, offset in packed(docs, rules, corpus, sequence, offset):
+                piece = docs[doc][start : start + length].astype("<u4")
+                row = (ids[doc], start, length, zlib.crc32(piece.tobytes()), len(docs[doc]), base + sequence, offset)
+                rows.append((*row, piece) if with_ids else row)
+            offset += length
+            if offset == rules.window:
+                sequence, offset = sequence + 1, 0
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], NAMES[: len(kinds)])
+
+        for batch in batches:
+            for i, x in zip(batch["id"].to_pylist(), batch["ids"].to_pylist()):
+                ids.append(i)
+                docs.append(np.frombuffer(x, dtype))
+                size += len(docs[-1])
+                if size >= most:
+                    yield shard()
+                    ids, docs, size = [], [], 0
+        if docs:
+            yield shard()
 
     return run
 
@@ -161,12 +259,25 @@ def pack(docs: DataFrame, tokenizer: str, rules: Packing = Packing(), *, id_col:
     offset, and with ``with_ids`` the token ids."""
     from pyspark.sql.pandas.types import to_arrow_type
 
-    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    chars = rows.agg(F.sum(F.length("text") + 1)).first()[0] or 0
-    shards = max(1, -(-chars // rules.shard_chars))
-    # consecutive rows go to different shards: no key decides, so none can be hot
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
+                       text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType
-    schema = f"id {kind.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, " \
+    name = kind.simpleString()
+    encoded = written(rows.mapInArrow(_encoded(tokenizer, rules.end_id), f"row long, id {name}, chars long, ids binary"))
+    chars = encoded.agg(F.sum("chars")).first()[0] or 0
+    shards = max(1, -(-chars // rules.shard_chars))
+    # as many rows as the vocabulary has ids, at most
+    counts = dict(tuple(r) for r in encoded.select("ids").mapInArrow(_counted(tokenizer), "term long, n long")
+                  .groupBy("term").agg(F.sum("n")).collect())
+    n, tokens = counts.pop(_DOCS, 0), counts.pop(_TOKENS, 0)
+    df = np.zeros(max(counts, default=0) + 1, np.int64)
+    df[list(counts)] = list(counts.values())
+    corpus = Frequencies(n, tokens / max(n, 1), df)
+    keyed = written(encoded.select("row", "id", "ids").mapInArrow(
+        _keyed(tokenizer, corpus, rules), f"best array<int>, row long, id {name}, ids binary"))
+    # the row divides what has the same best terms: no group is too large for a shard
+    dealt = keyed.repartitionByRange(shards, "best", "row").sortWithinPartitions("best", "row").select("id", "ids")
+    schema = f"id {name}, start long, length long, ids_crc32 long, doc_tokens long, " \
              "sequence_id long, offset long" + ", ids array<long>" * with_ids
-    return dealt.groupBy("shard").applyInArrow(_pack_shard(tokenizer, rules, to_arrow_type(kind), with_ids), schema)
+    most = max(1, 2 * tokens // shards)
+    return dealt.mapInArrow(_pack_task(tokenizer, rules, corpus, most, to_arrow_type(kind), with_ids), schema)

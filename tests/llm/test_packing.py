@@ -99,5 +99,21 @@ def test_neighbours_share_a_window():
     assert set(first[:3]) == {0, 2, 4}
 
 
+def test_near_copies_meet_in_a_shard(spark):
+    r = random.Random(11)
+    rows = []
+    for k in range(200):
+        words = [f"{chr(97 + k % 26)}{r.randrange(10**6)}" for _ in range(60)]
+        for c in range(2):
+            rows.append((1000 * c + k, " ".join(words[:55] + ["end", str(c)] if c else words), "s"))
+    r.shuffle(rows)
+    got = packing.pack(documents(spark, rows), BYTE, Packing(window=512, shard_chars=8_000)).collect()
+    shards = {}
+    for p in got:
+        shards.setdefault(p["id"], set()).add(p["sequence_id"] >> 32)
+    assert len(set().union(*shards.values())) > 10
+    assert sum(bool(shards[k] & shards[1000 + k]) for k in range(200)) >= 150  # about 10 by chance
+
+
 def test_empty_table(spark):
     assert packing.pack(documents(spark, []), BYTE).count() == 0
