@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycheck.llm import chat, decontaminate, jaccard_join, line_dedup, packing, quality, secret_scan, token_files, url_filter, warc_zip
+from tallycheck.llm import bpe, chat, decontaminate, jaccard_join, line_dedup, packing, quality, secret_scan, token_files, url_filter, warc_zip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -278,3 +278,11 @@ def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = pages.schema["page_id"].dataType
     return read.select(F.expr("try_cast(page AS bigint)").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
                        "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+@query()
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
