@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but space, \\t, \\n, \\v, \\f and \\r.
@@ -38,6 +39,18 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written, with gapless numbers from 0 in ``name``: the place in the
+    partition, after the prefix sum of the partitions' sizes (a row each)."""
+    at, part, of, base = (fresh(df, x) for x in ("_at", "_part", "_of", "_base"))
+    rows = written(df.withColumn(at, F.monotonically_increasing_id())).withColumn(part, F.shiftright(at, 33))
+    before = W.orderBy(part).rowsBetween(W.unboundedPreceding, -1)
+    sizes = rows.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    bases = sizes.select(F.col(part).alias(of), F.coalesce(F.sum("n").over(before), F.lit(0)).alias(base))
+    place = F.col(base) + F.col(at) - F.shiftleft(part, 33)
+    return rows.join(bases, F.col(part) == F.col(of)).withColumn(name, place).drop(at, part, of, base)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -65,21 +65,39 @@ def word_starts(points: np.ndarray) -> np.ndarray:
     return start
 
 
-def cut(texts: list[str], starts) -> tuple[pa.DictionaryArray, np.ndarray]:
+def term_starts(points: np.ndarray) -> np.ndarray:
+    """Where ASCII letters and digits and all that isn't ASCII begin or end; every
+    ``END`` is a piece by itself."""
+    end, term = points == ord(BETWEEN), is_term(points)
+    start = end.copy()
+    start[0] = True
+    start[1:] |= (term[1:] != term[:-1]) | end[:-1]
+    return start
+
+
+_TERM = np.array([chr(c).isalnum() for c in range(128)])
+
+
+def is_term(points: np.ndarray) -> np.ndarray:
+    return (points >= 128) | _TERM[np.minimum(points, 127)]
+
+
+def cut(texts: list[str], starts, wanted=None) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The pieces of all texts, one after the other, dictionary-encoded UTF-8, and
-    where each text ends among them."""
+    where each text ends among them. ``wanted`` tells by their first code points
+    which pieces to keep."""
     joined = BETWEEN.join([*texts, ""])
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
     data = joined.encode("utf-8", "surrogatepass")
     at = np.flatnonzero(starts(points)) if len(points) else np.zeros(0, np.int64)
-    end = points[at] == ord(BETWEEN)
+    first, end = at, points[at] == ord(BETWEEN)
     if len(data) != len(points):
         width = 1 + (points >= 0x80).astype(np.int8) + (points >= 0x800) + (points >= 0x10000)
         at = (np.cumsum(width, dtype=np.int64) - width)[at]
     offsets = np.append(at, len(data)).astype(np.int32)
     found = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    ends = np.flatnonzero(end)
-    return found.filter(pa.array(~end)).dictionary_encode(), ends - np.arange(len(ends))
+    keep = ~end if wanted is None else ~end & wanted(points[first])
+    return found.filter(pa.array(keep)).dictionary_encode(), np.cumsum(keep)[end]
 
 
 def portions(texts: list[str], chars: int = 1 << 21) -> Iterator[tuple[int, int]]:

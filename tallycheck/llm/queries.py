@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycheck.llm import bpe, chat, decontaminate, jaccard_join, line_dedup, packing, quality, secret_scan, token_files, url_filter, warc_zip
+from tallycheck.llm import bpe, chat, decontaminate, jaccard_join, lexical, line_dedup, packing, quality, secret_scan, token_files, url_filter, warc_zip, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -286,3 +286,44 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
     return found.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, fit = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    share = F.lit([float(x) for x in fit.explained]).cast("array<double>") if fit else F.array().cast("array<double>")
+    return rows.select(F.col("id").alias("vec_id"), "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(fit.n if fit else 0).cast("long").alias("n"), "deviation",
+        "whitened", F.get(share, F.col("at")).alias("explained"),
+        F.lit(fit.identity_error if fit else 0.0).alias("identity_error"))
+
+
+OP13_SQL = r"""
+WITH lowered AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+asked AS (
+  SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark),
+occ AS (SELECT doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM lowered),
+q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM asked)
+  GROUP BY item_id, term),
+sizes AS (SELECT doc_id, count(*) AS n FROM occ GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS l FROM sizes),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM occ GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM tfs, total GROUP BY term, docs),
+scored AS (
+  SELECT item_id, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // l)))) AS BIGINT) AS score
+  FROM q JOIN tfs USING (term) JOIN w USING (term) JOIN sizes USING (doc_id), total GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query(OP13_SQL)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
