@@ -26,6 +26,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,9 +34,10 @@ from pyspark.sql import functions as F
 
 from tallycheck.llm.common import shared_dir, text_of
 from tallycheck.llm.pieces import byte_level_starts, cut, gathered, portions
+from tallycheck.llm.token_files import width
 
 #: Characters of text a block, about.
-BLOCK_CHARS = 24 << 20
+BLOCK_CHARS = 32 << 20
 
 
 @lru_cache(maxsize=2)
@@ -63,9 +65,10 @@ def token_bytes(path: str) -> pa.BinaryArray:
 
 
 def _blocks(kind: pa.DataType, most: int):
-    """Rows of two sorts: a document's codes, or a word and its code in the block."""
-    names = ["block", "row", "id", "codes", "code", "word"]
-    types = [pa.int64(), pa.int64(), kind, pa.binary(), pa.int32(), pa.string()]
+    """Rows of two sorts: some documents of a block with their codes, or a word and its
+    code in the block (the most frequent word has the least code)."""
+    names = ["block", "rows", "ids", "ends", "codes", "code", "word"]
+    types = [pa.int64(), pa.list_(pa.int64()), pa.list_(kind), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -83,17 +86,16 @@ def _blocks(kind: pa.DataType, most: int):
             place[order] = np.arange(len(order), dtype="<u4")
             codes, words = place[codes], words.take(pa.array(order)).cast(pa.string())
             at = 0
-            for part, key in zip(ends, keys):
-                docs = [_planes(codes[at + a : at + b]) for a, b in zip([0, *part], part)]
-                at += part[-1]
+            for end, key in zip(ends, keys):
+                row = [[block], [key["row"].to_pylist()], [key["id"].to_pylist()], [end], [_planes(codes[at : at + end[-1]])]]
+                at += end[-1]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(docs), pa.int64()), key["row"], key["id"], pa.array(docs, pa.binary()),
-                     *(pa.nulls(len(docs), t) for t in types[4:])], names)
+                    [*map(pa.array, row, types), *(pa.nulls(1, t) for t in types[5:])], names)
             for a in range(0, len(words), 50_000):
                 some = words.slice(a, 50_000)
                 n = len(some)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, block, np.int64)), *(pa.nulls(n, t) for t in types[1:4]),
+                    [pa.array(np.full(n, block, np.int64)), *(pa.nulls(n, t) for t in types[1:5]),
                      pa.array(np.arange(a, a + n, dtype=np.int32)), some], names)
             block += 1
 
@@ -115,35 +117,38 @@ def _blocks(kind: pa.DataType, most: int):
 
 
 def _planes(codes: np.ndarray) -> bytes:
-    """Codes as their low 16 bits, then their high ones, which compress well."""
-    return (codes & 0xFFFF).astype("<u2").tobytes() + (codes >> 16).astype("<u2").tobytes()
+    """All first bytes, then all second ones and so on: alike bytes compress well."""
+    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
 def _of_planes(data: bytes) -> np.ndarray:
-    low, high = np.frombuffer(data, "<u2").reshape(2, -1)
-    return low | high.astype(np.uint32) << 16
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _encoded(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(path).encode_ordinary
-        for batch in batches:
-            ids = [np.array(encode(w), "<u4").tobytes() for w in batch["word"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["word"], pa.array(ids, pa.binary())], ["encoded", "ids"])
+def _encoder(path: str):
+    @F.pandas_udf("binary")
+    def encoded(words: pd.Series) -> pd.Series:
+        """The ids of each word, in the narrowest type for all ids."""
+        encode, kind = _encoding(path).encode_ordinary, width(len(token_bytes(path)))
+        return pd.Series([np.array(encode(w), kind).tobytes() for w in words], dtype=object)
 
-    return run
+    return encoded
 
 
-def _reassembled(kind: pa.DataType):
+def _reassembled(kind: pa.DataType, path: str):
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
         ids = np.empty(len(words), object)
         ids[words["code"].to_numpy()] = words["ids"].to_pylist()
-        table = pa.array(ids, pa.binary())
-        out = []
-        for data in docs["codes"].to_pylist():
-            found, _ = gathered(table, _of_planes(data).astype(np.int32))
-            out.append(found.tobytes())
-        return pa.table([docs["row"], docs["id"], pa.array([len(x) // 4 for x in out], pa.int64()), pa.array(out, pa.binary())],
+        table, own = pa.array(ids, pa.binary()), width(len(token_bytes(path)))
+        rows, keys, sizes, out = [], [], [], []
+        for row, key, ends, data in zip(*(docs[c].to_pylist() for c in ("rows", "ids", "ends", "codes"))):
+            found, upto = gathered(table, _of_planes(data).astype(np.int32))
+            upto = np.concatenate(([0], upto))[[0, *ends]]
+            rows += row
+            keys += key
+            sizes += (np.diff(upto) // np.dtype(own).itemsize).tolist()
+            out += [found[a:b].view(own).astype("<u4").tobytes() for a, b in zip(upto, upto[1:])]
+        return pa.table([pa.array(rows, pa.int64()), pa.array(keys, kind), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())],
                         ["row", "id", "n_tokens", "ids"])
 
     return run
@@ -159,21 +164,26 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType
     name = kind.simpleString()
-    cut_up = rows.mapInArrow(_blocks(to_arrow_type(kind), block_chars),
-                             f"block long, row long, id {name}, codes binary, code int, word string")
-    table = f"blocks_{uuid.uuid4().hex}"
+    cut_up = rows.mapInArrow(_blocks(to_arrow_type(kind), block_chars), f"block long, rows array<long>, ids array<{name}>, "
+                                                                        "ends array<int>, codes binary, code int, word string")
+    table, path_of = f"blocks_{uuid.uuid4().hex}", shared_dir(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (cut_up.write.format("parquet").bucketBy(buckets, "block").option("path", shared_dir(spark))
+    (cut_up.write.format("parquet").bucketBy(buckets, "block").option("path", path_of)
      .option("compression", "zstd").saveAsTable(table))
     blocks = spark.table(table)
     blocks.schema  # resolved: the files stay, the name is no longer needed
     spark.sql(f"DROP TABLE {table}")
-    words = blocks.filter("word is not null").select("block", "code", "word").repartition("word")
-    encoded = words.select("word").distinct().mapInArrow(_encoded(path), "encoded string, ids binary")
-    known = words.join(encoded, F.col("word") == F.col("encoded")).select(F.col("block").alias("of"), "code", "ids")
-    whole = blocks.filter("codes is not null").select("block", "row", "id", "codes")
-    return whole.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(
-        _reassembled(to_arrow_type(kind)), f"row long, id {name}, n_tokens long, ids binary")
+    words = spark.read.schema(blocks.schema).parquet(path_of).filter("word is not null").select("block", "code", "word")
+    words = words.repartition("word")
+    # the first place goes along so that both uses of the words share one shuffle; the
+    # ids stay where their word is, so the join needs no other
+    distinct = words.groupBy(F.col("word").alias("known")).agg(F.min(F.struct("block", "code")).alias("first"))
+    encoded = distinct.select("known", _encoder(path)("known").alias("ids"), "first")
+    found = words.join(encoded, F.col("word") == F.col("known")).filter("first is not null")
+    found = found.select(F.col("block").alias("of"), "code", "ids")
+    whole = blocks.filter("codes is not null").select("block", "rows", "ids", "ends", "codes")
+    return whole.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(
+        _reassembled(to_arrow_type(kind), path), f"row long, id {name}, n_tokens long, ids binary")
 
 
 def _decoded(path: str, names: list[str]):
