@@ -4,8 +4,9 @@
    A block of documents keeps its distinct ones once, so that a document is the
    list of its pre-tokens' codes by position and a word that fills a third of the
    corpus is one row a block. Blocks are written, bucketed by their number.
-2. The words of all blocks, exploded, meet by word: every distinct word of the
-   corpus is encoded once, and its ids are joined back to (block, code).
+2. The words of all blocks, exploded with their places (block and code), meet by
+   word, sorted: every distinct word of the corpus is encoded once, and its ids are
+   joined to all its places. What goes to the same block goes packed.
 3. A block's words and documents meet again (the documents don't move: they are
    bucketed), and every document gets the ids of its codes, by position.
 
@@ -26,7 +27,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +37,9 @@ from tallycheck.llm.pieces import byte_level_starts, cut, gathered, portions
 from tallycheck.llm.token_files import width
 
 #: Characters of text a block, about.
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 12 << 20
+#: Bits of a code in a place; the block is above.
+_CODE_BITS = 28
 
 
 @lru_cache(maxsize=2)
@@ -73,7 +75,7 @@ def _blocks(kind: pa.DataType, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        block = TaskContext.get().partitionId() << 32
+        block = TaskContext.get().partitionId() << 12  # a task has fewer blocks than that
         pieces, ends, keys, chars = [], [], [], 0
 
         def emit() -> Iterator[pa.RecordBatch]:
@@ -125,21 +127,60 @@ def _of_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _encoder(path: str):
-    @F.pandas_udf("binary")
-    def encoded(words: pd.Series) -> pd.Series:
-        """The ids of each word, in the narrowest type for all ids."""
+def _encoded(path: str, together: int = 400_000):
+    """From places and words sorted by word: the ids of each place, packed by block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, kind = _encoding(path).encode_ordinary, width(len(token_bytes(path)))
-        return pd.Series([np.array(encode(w), kind).tobytes() for w in words], dtype=object)
+        last: tuple[str, bytes] = "", b""
+        held: list[pa.RecordBatch] = []
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            nonlocal last
+            rows = pa.Table.from_batches(held)
+            words = rows["word"].combine_chunks().dictionary_encode()
+            ids = [last[1] if w == last[0] else np.array(encode(w), kind).tobytes() for w in words.dictionary.to_pylist()]
+            last = words.dictionary[-1].as_py(), ids[-1]
+            place = rows["place"].to_numpy()
+            order = np.argsort(place)
+            place = place[order]
+            found = pa.array(ids, pa.binary()).take(words.indices.take(pa.array(order)))
+            data, ends = gathered(found, np.arange(len(found)))
+            ends = np.concatenate(([0], ends))
+            cuts = np.concatenate(([0], np.flatnonzero(np.diff(place >> _CODE_BITS)) + 1, [len(place)]))
+            pairs = list(zip(cuts, cuts[1:]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(place[cuts[:-1]] >> 32),
+                 pa.array([_planes(np.diff(place[a:b] & (1 << _CODE_BITS) - 1, prepend=0)) for a, b in pairs], pa.binary()),
+                 pa.array([_planes(np.diff(ends[a : b + 1])) for a, b in pairs], pa.binary()),
+                 pa.array([data[ends[a] : ends[b]].tobytes() for a, b in pairs], pa.binary())],
+                ["of", "steps", "sizes", "ids"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                if sum(x.num_rows for x in held) >= together:
+                    yield from emit()
+                    held = []
+        if held:
+            yield from emit()
+
+    return run
+
 
-    return encoded
+def _words(packs: pa.Table) -> pa.BinaryArray:
+    """The ids of a block's words by code."""
+    if not len(packs):
+        return pa.array([], pa.binary())
+    codes = np.concatenate([np.cumsum(_of_planes(x), dtype=np.int64) for x in packs["steps"].to_pylist()])
+    ends = np.cumsum(np.concatenate([_of_planes(x) for x in packs["sizes"].to_pylist()]), dtype=np.int64)
+    data = pa.py_buffer(b"".join(packs["ids"].to_pylist()))
+    offsets = pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(codes), [None, offsets, data]).take(pa.array(np.argsort(codes)))
 
 
 def _reassembled(kind: pa.DataType, path: str):
-    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        ids = np.empty(len(words), object)
-        ids[words["code"].to_numpy()] = words["ids"].to_pylist()
-        table, own = pa.array(ids, pa.binary()), width(len(token_bytes(path)))
+    def run(docs: pa.Table, packs: pa.Table) -> pa.Table:
+        table, own = _words(packs), width(len(token_bytes(path)))
         rows, keys, sizes, out = [], [], [], []
         for row, key, ends, data in zip(*(docs[c].to_pylist() for c in ("rows", "ids", "ends", "codes"))):
             found, upto = gathered(table, _of_planes(data).astype(np.int32))
@@ -173,14 +214,10 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
     blocks = spark.table(table)
     blocks.schema  # resolved: the files stay, the name is no longer needed
     spark.sql(f"DROP TABLE {table}")
-    words = spark.read.schema(blocks.schema).parquet(path_of).filter("word is not null").select("block", "code", "word")
-    words = words.repartition("word")
-    # the first place goes along so that both uses of the words share one shuffle; the
-    # ids stay where their word is, so the join needs no other
-    distinct = words.groupBy(F.col("word").alias("known")).agg(F.min(F.struct("block", "code")).alias("first"))
-    encoded = distinct.select("known", _encoder(path)("known").alias("ids"), "first")
-    found = words.join(encoded, F.col("word") == F.col("known")).filter("first is not null")
-    found = found.select(F.col("block").alias("of"), "code", "ids")
+    words = spark.read.schema(blocks.schema).parquet(path_of).filter("word is not null")
+    places = words.select(F.shiftleft("block", _CODE_BITS).bitwiseOR(F.col("code").cast("long")).alias("place"), "word")
+    found = places.repartition("word").sortWithinPartitions("word").mapInArrow(
+        _encoded(path), "of long, steps binary, sizes binary, ids binary")
     whole = blocks.filter("codes is not null").select("block", "rows", "ids", "ends", "codes")
     return whole.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(
         _reassembled(to_arrow_type(kind), path), f"row long, id {name}, n_tokens long, ids binary")
