@@ -149,7 +149,7 @@ def _encoded(path: str, together: int = 400_000):
             cuts = np.concatenate(([0], np.flatnonzero(np.diff(place >> _CODE_BITS)) + 1, [len(place)]))
             pairs = list(zip(cuts, cuts[1:]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(place[cuts[:-1]] >> 32),
+                [pa.array(place[cuts[:-1]] >> _CODE_BITS),
                  pa.array([_planes(np.diff(place[a:b] & (1 << _CODE_BITS) - 1, prepend=0)) for a, b in pairs], pa.binary()),
                  pa.array([_planes(np.diff(ends[a : b + 1])) for a, b in pairs], pa.binary()),
                  pa.array([data[ends[a] : ends[b]].tobytes() for a, b in pairs], pa.binary())],
