@@ -37,7 +37,7 @@ from tallycheck.llm.pieces import byte_level_starts, cut, gathered, portions
 from tallycheck.llm.token_files import width
 
 #: Characters of text a block, about.
-BLOCK_CHARS = 12 << 20
+BLOCK_CHARS = 32 << 20
 #: Bits of a code in a place; the block is above.
 _CODE_BITS = 28
 
@@ -178,19 +178,27 @@ def _words(packs: pa.Table) -> pa.BinaryArray:
     return pa.Array.from_buffers(pa.binary(), len(codes), [None, offsets, data]).take(pa.array(np.argsort(codes)))
 
 
+def _binary(ends: np.ndarray, data: np.ndarray) -> pa.BinaryArray:
+    """Byte strings that stand one after the other in ``data``."""
+    offsets = np.concatenate(([0], ends)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 def _reassembled(kind: pa.DataType, path: str):
+    names = ["row", "id", "n_tokens", "ids"]
+    schema = pa.schema(list(zip(names, (pa.int64(), kind, pa.int64(), pa.binary()))))
+
     def run(docs: pa.Table, packs: pa.Table) -> pa.Table:
-        table, own = _words(packs), width(len(token_bytes(path)))
-        rows, keys, sizes, out = [], [], [], []
-        for row, key, ends, data in zip(*(docs[c].to_pylist() for c in ("rows", "ids", "ends", "codes"))):
-            found, upto = gathered(table, _of_planes(data).astype(np.int32))
-            upto = np.concatenate(([0], upto))[[0, *ends]]
-            rows += row
-            keys += key
-            sizes += (np.diff(upto) // np.dtype(own).itemsize).tolist()
-            out += [found[a:b].view(own).astype("<u4").tobytes() for a, b in zip(upto, upto[1:])]
-        return pa.table([pa.array(rows, pa.int64()), pa.array(keys, kind), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())],
-                        ["row", "id", "n_tokens", "ids"])
+        table, own = _words(packs), np.dtype(width(len(token_bytes(path))))
+        out = []
+        for i in range(len(docs)):
+            row, key, ends, data = (docs[c][i] for c in ("rows", "ids", "ends", "codes"))
+            found, upto = gathered(table, _of_planes(data.as_buffer()).astype(np.int32))
+            tokens = (np.concatenate(([0], upto)) // own.itemsize)[ends.values.to_numpy()]
+            out.append(pa.RecordBatch.from_arrays(
+                [row.values, key.values, pa.array(np.diff(tokens, prepend=0)), _binary(4 * tokens, found.view(own).astype("<u4"))],
+                schema=schema))
+        return pa.Table.from_batches(out, schema)
 
     return run
 
@@ -227,11 +235,15 @@ def _decoded(path: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(path)
         for batch in batches:
-            out = []
-            for data in batch["ids"]:
-                ids = np.frombuffer(data.as_buffer(), "<u4")
-                out.append(gathered(table, ids[ids < len(table)].astype(np.int32))[0].tobytes())
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(out, pa.binary())], [*names, "decoded"])
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                ids = part["ids"]
+                ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1] // 4
+                tokens = np.frombuffer(ids.buffers()[2], "<u4")[ends[0] : ends[-1]] if ends[-1] else np.zeros(0, "<u4")
+                known = tokens < len(table)
+                data, upto = gathered(table, tokens[known].astype(np.int32))
+                upto = np.concatenate(([0], upto))[np.concatenate(([0], np.cumsum(known)))[ends[1:] - ends[0]]]
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in names), _binary(upto, data)], [*names, "decoded"])
 
     return run
 
