@@ -183,7 +183,7 @@ es AS (
   FROM f)"""
 
 
-@query("entity_status", f"""
+ENTITY_STATUS_SQL = f"""
 WITH {CMP_SQL}, {ENTITY_SQL}
 SELECT *, {STATUS_SORT_SQL.format(c='PRECINCT_STATUS')} AS STATUS_SORT,
        {ratio_sql('MATCHED_ROW_COUNT', 'BOTH_PRESENT_COUNT', False)} AS MATCH_RATE,
@@ -191,7 +191,10 @@ SELECT *, {STATUS_SORT_SQL.format(c='PRECINCT_STATUS')} AS STATUS_SORT,
        {ratio_sql('BOTH_PRESENT_COUNT', 'QR_ROW_COUNT', False)} AS QR_FOUND_IN_CSV_RATE,
        {ratio_sql('BOTH_PRESENT_COUNT', 'CSV_ROW_COUNT', False)} AS CSV_COVERED_BY_QR_RATE,
        'IN_SCOPE_PRECINCT_VERIFICATION' AS RECORD_SCOPE, 'Production' AS ENVIRONMENT
-FROM es""")
+FROM es"""
+
+
+@query("entity_status", ENTITY_STATUS_SQL)
 def q_entity_status(spark, d):
     """One verification row per precinct."""
     return rollups.entity_status(X.comparison(spark, d))
@@ -1070,3 +1073,48 @@ def q_duplicate_keys(spark, d):
     qr = X.qr_lines(spark, d).select(F.col("ER_ID").alias("PRECINCT_CODE"), F.col("QR_RACE_CODE").alias("CONTEST_CODE"))
     csv = X.results_lines(spark, d).select("PRECINCT_CODE", "CONTEST_CODE")
     return duplicate_keys({"CSV": csv, "QR": qr}, ["PRECINCT_CODE", "CONTEST_CODE"])
+
+
+# =========================================================================== whole runs, CSV in to publication out
+
+@query("run_comparison", f"WITH {CMP_SQL} SELECT * FROM cmp")
+def q_run_comparison(spark, d):
+    """The comparison that ``run`` published from raw CSV sources (quotes,
+    line breaks, byte order marks, NA tokens), read back from its CSV export."""
+    return X.csv_run(spark, d)["verification_comparison"]
+
+
+@query("run_status_summary", STATUS_SUMMARY_SQL)
+def q_run_status_summary(spark, d):
+    """The published four status rows."""
+    return X.csv_run(spark, d)["dashboard_verification_summary"]
+
+
+@query("run_entity_status", ENTITY_STATUS_SQL)
+def q_run_entity_status(spark, d):
+    """The published status of each precinct."""
+    return X.csv_run(spark, d)["dashboard_verification_by_precinct"]
+
+
+@query("run_gate", """
+SELECT TRUE AS RUN_ID_FITS, TRUE AS REFRESH_FITS, 'Production' AS ENVIRONMENT, 'DO_NOT_PUBLISH' AS PUBLICATION_DECISION,
+       (SELECT COUNT(*) FROM orders WHERE o_totalprice < 20000) > 0 AS BLOCKED_BY_MISSING_IDS""")
+def q_run_gate(spark, d):
+    """The published gate row; run id and clock by their shape."""
+    gate_row, checks = X.csv_run(spark, d)["qa_publication_gate"], X.csv_run(spark, d)["qa_final_summary"]
+    missing = checks.filter(F.col("QA_CHECK") == dict((k, n) for k, n, _ in fixed.CHECKS)["acm_id_missing"])
+    return gate_row.withColumn("n", missing.agg(F.sum(F.col("ISSUE_COUNT").cast("bigint"))).scalar()).select(
+        F.col("RUN_ID").rlike(r"^RUN_\d{8}T\d{6}Z$").alias("RUN_ID_FITS"),
+        F.col("REFRESH_TIMESTAMP_UTC").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}(Z|\+00:00)$").alias("REFRESH_FITS"),
+        "ENVIRONMENT", "PUBLICATION_DECISION", (F.col("n") > 0).alias("BLOCKED_BY_MISSING_IDS"))
+
+
+@query("run_without_mobile", f"""
+WITH {CMP_SQL}
+SELECT 'CSV_ONLY' AS COMPARISON_STATUS, c IN {SCOPE_SQL} AS IS_QR_VERIFICATION_SCOPE, COUNT(*) AS ROW_COUNT,
+       CAST(SUM(v) AS BIGINT) AS CSV_VOTES
+FROM csv GROUP BY c IN {SCOPE_SQL}""")
+def q_run_without_mobile(spark, d):
+    """S3: a run whose mobile QR file is missing compares the transmitted rows alone."""
+    return (X.csv_run(spark, d, False)["verification_comparison"].groupBy("COMPARISON_STATUS", "IS_QR_VERIFICATION_SCOPE")
+            .agg(F.count(F.lit(1)).alias("ROW_COUNT"), F.sum("CSV_VOTES").alias("CSV_VOTES")))

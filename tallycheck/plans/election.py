@@ -57,7 +57,7 @@ from tallycheck.sources.files import (
     read_text_csv,
     read_with_policy,
 )
-from tallycheck.sources.sinks import try_write, write_table
+from tallycheck.sources.sinks import Publication, write_table
 
 log = logging.getLogger(__name__)
 
@@ -509,18 +509,22 @@ class RunResult:
     decision: str | None = None
     exported: dict[str, bool] = field(default_factory=dict)
     failed: dict[str, str] = field(default_factory=dict)
+    published: bool = False
+    folder: str | None = None
 
 
 def run(spark: SparkSession, input_root: str, output_root: str | None = None,
         environment: str = fixed.PRODUCTION, guard: str = "eager", fmt: str = "csv",
-        paths: Mapping[str, str] | None = None, single_line: Sequence[str] = ()) -> RunResult:
+        paths: Mapping[str, str] | None = None, na_tokens: Sequence[str] = (),
+        keep: int | None = None) -> RunResult:
     """Clean, map, reconcile, roll up, check, decide; then export.
 
     Raises MissingRequiredColumn / MissingReference / DuplicateKeyError before
     anything is exported. The cleaned tables and the comparison, which the
     rollups and checks reread, are written once to the shared folder and read
-    back, column by column as needed. ``single_line`` names the sources (keys of
-    INPUT_FILES) without line breaks inside quotes, whose files Spark may split.
+    back, column by column as needed. ``na_tokens`` are null in every source. The
+    tables are published together (``sinks.published`` reads them back), none if
+    one of them failed; ``keep``: publications that stay in ``output_root``.
     """
     configure(spark)
     p = {k: os.path.join(input_root, v) for k, v in INPUT_FILES.items()}
@@ -532,10 +536,10 @@ def run(spark: SparkSession, input_root: str, output_root: str | None = None,
             if optional:
                 return None
             raise MissingRequiredColumn(f"source file {p[key]} is missing")
-        return read_text_csv(spark, p[key], multiline=key not in single_line)
+        return read_text_csv(spark, p[key], na_tokens)
 
     def or_empty(key: str, schema: str) -> tuple[DataFrame, bool]:
-        return read_with_policy(spark, p[key], "fallback", empty_table(spark, schema), multiline=key not in single_line)
+        return read_with_policy(spark, p[key], "fallback", empty_table(spark, schema), na_tokens=na_tokens)
 
     def kept(name: str, df: DataFrame) -> DataFrame:
         path = f"{work}/{name}"
@@ -560,7 +564,7 @@ def run(spark: SparkSession, input_root: str, output_root: str | None = None,
                                                     t["mobile_election_returns_canonical"])
 
     scope = load_scope(spark, read("scope", optional=True), environment)
-    region_wide = load_region_wide(read_with_policy(spark, p["region_wide"])[0])
+    region_wide = load_region_wide(read_with_policy(spark, p["region_wide"], na_tokens=na_tokens)[0])
     district = load_district_map(spark, read("district", optional=True), environment)
     bmap = ballot_choice_map(t["candidates_master"], region_wide, district)
 
@@ -597,7 +601,7 @@ def run(spark: SparkSession, input_root: str, output_root: str | None = None,
     t["qa_final_summary"] = r.summary
     t["qa_publication_gate"] = r.gate
     if output_root:
-        _export(r, output_root, fmt)
+        _export(r, Publication(spark, output_root, fmt), keep)
     return r
 
 
@@ -611,9 +615,10 @@ _EXPORT_ORDER = {
 }
 
 
-def _export(r: RunResult, output_root: str, fmt: str) -> None:
-    """Writes every table. A table that can't be written is named, with the
-    reason, in ``failed``; the gate row must be written, else the run fails."""
+def _export(r: RunResult, out: Publication, keep: int | None) -> None:
+    """Writes every table to the run's folder and publishes them together. A table
+    that can't be written is named, with the reason, in ``failed``, and the
+    publication before stays; without the gate row the run fails."""
     for name, df in r.tables.items():
         order = _EXPORT_ORDER.get(name)
         if order is not None:
@@ -621,12 +626,9 @@ def _export(r: RunResult, output_root: str, fmt: str) -> None:
             df = df.repartition(1).sortWithinPartitions(*order) if order else df.repartition(1)
         if name == "qa_final_summary":
             df = df.drop("CHECK_ORDER")  # only the rows' order is published
-        path = os.path.join(output_root, name)
-        if name == "qa_publication_gate":
-            write_table(df, path, fmt)
-            r.exported[name] = True
-            continue
-        reason = try_write(df, path, fmt)
-        r.exported[name] = reason is None
-        if reason:
-            r.failed[name] = reason
+        r.exported[name] = out.add(name, df) is None
+    r.failed = dict(out.failed)
+    if "qa_publication_gate" in out.failed:
+        raise RuntimeError(f"the gate row can't be written: {out.failed['qa_publication_gate']}")
+    r.published = out.publish(keep)
+    r.folder = f"{out.root}/runs/{out.run}"

@@ -23,7 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycheck.plans import election
+from tallycheck.session import shared_folder
 from tallycheck.sources.files import literal_table
+from tallycheck.sources.sinks import published, write_table
 
 # The verification scope used by the catalogue: one contest that exists and
 # one that does not (so the readiness check has something to report).
@@ -396,3 +398,41 @@ def qr_side(spark, d):
 def comparison(spark, d, guard: str = "inline"):
     csv_side = election.build_csv_side(results_tally(spark, d))
     return election.run_verification(csv_side, qr_side(spark, d), scope(spark), guard=guard)
+
+
+# --------------------------------------------------------------------------- whole runs over CSV folders
+
+NOTE = 'kept as "seen", line 1\nline 2'
+BOM = "\ufeff"
+
+
+def csv_inputs(spark: SparkSession, d: str, mobile: bool = True) -> str:
+    """The driver tables as a folder of raw CSV sources in the shared folder: quoted
+    fields with quotes, commas and line breaks, byte order marks, NA tokens; without
+    ``mobile`` the QR file is missing. Returns the folder."""
+    root = shared_folder(spark)
+    note = F.when(F.col("CANDIDATE_CODE") == "1", F.lit(NOTE)).when(F.col("CANDIDATE_CODE") == "2", F.lit("N/A"))
+    results = raw_results_tally(spark, d)
+    sources = {
+        "precincts": raw_precincts(spark, d), "candidates": raw_candidates_parts(spark, d),
+        "contests": raw_contests_orders(spark, d), "parties": raw_parties(spark, d),
+        "results": results.withColumn("NOTE", note),
+        "ers": raw_ers_orders(spark, d), "scope": literal_table(spark, [(c, "TRUE") for c in SCOPE_CONTESTS], "CONTEST_CODE string, ACTIVE string"),
+        "region_wide": raw_region_wide(spark, d), "district": raw_district_flags(spark, d),
+    }
+    if mobile:
+        sources["qr"] = raw_qr_tally(spark, d)
+    for key, df in sources.items():
+        write_table(df.withColumnRenamed(df.columns[0], BOM + df.columns[0]), f"{root}/{election.INPUT_FILES[key]}", "csv")
+    return root
+
+
+@shared
+def csv_run(spark: SparkSession, d: str, mobile: bool = True) -> dict[str, DataFrame]:
+    """``election.run`` over :func:`csv_inputs`, and its publication read back with the
+    types of the tables that were published."""
+    root = csv_inputs(spark, d, mobile)
+    result = election.run(spark, root, f"{root}/published", na_tokens=("N/A", "n/a"))
+    if not result.published:
+        raise RuntimeError(f"not published: {result.failed}")
+    return published(spark, f"{root}/published", {n: df.schema for n, df in result.tables.items() if n != "qa_final_summary"})

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,37 +20,62 @@ class MissingReference(RuntimeError):
     """An approved reference file (or one of its required columns) is missing."""
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Existence test through the Hadoop file system (works for local, HDFS,
-    object stores alike)."""
+def hadoop_fs(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` (local, HDFS and object stores alike), and the path in it."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_fs(spark, path)
     return bool(fs.exists(p))
 
 
+def spanning_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The files below ``path`` without and with records that span lines. A record
+    goes on over a line end only inside quotes, so that some line of the file holds an
+    odd number of quotes. One pass over the lines, an aggregate per file."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    odd = lines.groupBy("file").agg(F.max(quotes % 2).alias("odd")).collect()  # a row per file, as in Spark's own listing
+    files = [(unquote(r["file"]), bool(r["odd"])) for r in odd]
+    return sorted(f for f, spans in files if not spans), sorted(f for f, spans in files if spans)
+
+
 def read_text_csv(spark: SparkSession, path: str, na_tokens: Sequence[str] = (),
-                  multiline: bool = True, with_source_file: str | None = None) -> DataFrame:
+                  multiline: bool | None = None, with_source_file: str | None = None,
+                  empty_is_null: bool = True) -> DataFrame:
     """Header CSV, every column as text. Quoted fields may hold commas and line
     breaks; missing trailing fields and empty fields are null; a row with data
     beyond the header's fields fails the read, as that can't be placed.
 
-    ``multiline=False`` is for large sources known to have no line break inside
-    quotes: only then can Spark split a file. ``na_tokens`` (e.g. 'NA', 'N/A')
-    become null too. ``with_source_file`` names a column that receives the file name.
+    Spark can split a file only if no record spans lines. ``multiline`` says whether
+    some do; by default the files are looked at, and only those with such a record
+    are read whole. ``na_tokens`` (e.g. 'NA', 'N/A') become null too.
+    ``empty_is_null=False`` keeps quoted empty text apart from null.
+    ``with_source_file`` names a column that receives the file name.
     """
-    options = {"header": True, "escape": '"', "multiLine": multiline, "mode": "PERMISSIVE"}
-    names = spark.read.options(**options).csv(path).columns
+    options = {"header": True, "escape": '"', "mode": "PERMISSIVE"}
+    if not empty_is_null:
+        options["nullValue"] = "\ufdd0"  # a noncharacter: stands for fields without text or quotes
+    names = spark.read.options(**options, multiLine=True).csv(path).columns
     beyond = "_beyond_header"
     schema = StructType([StructField(n, StringType()) for n in [*names, beyond]])
-    df = spark.read.options(**options).schema(schema).csv(path)
+    if multiline is None:
+        split, whole = spanning_files(spark, path)
+        parts = [(files, many) for files, many in ((split, False), (whole, True)) if files] or [(path, True)]
+    else:
+        parts = [(path, multiline)]
     message = F.concat(F.lit("a row has more fields than the header, first: "), F.coalesce(F.col(names[0]), F.lit("")))
-    df = df.filter(F.when(F.col(beyond).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
-    nothing = ["", *na_tokens]
-    out = [F.when(~F.col(n).isin(*nothing), F.col(n)).alias(n) for n in names]
+    placed = F.when(F.col(beyond).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    nothing = [*([""] if empty_is_null else []), *na_tokens]
+    out = [(F.when(~F.col(n).isin(*nothing), F.col(n)) if nothing else F.col(n)).alias(n) for n in names]
     if with_source_file:
         out.append(F.col("_metadata.file_name").alias(with_source_file))
-    return df.select(*out)
+    found = [spark.read.options(**options, multiLine=many).schema(schema).csv(files).filter(placed).select(*out)
+             for files, many in parts]
+    return reduce(DataFrame.unionByName, found)
 
 
 def _struct_type(schema: StructType | str) -> StructType:

@@ -11,6 +11,7 @@ import pytest
 duckdb = pytest.importorskip("duckdb")
 
 import __spark_entry__ as E  # noqa: E402
+from tallycheck.plans import catalog  # noqa: E402
 
 SF = os.environ.get("TALLYCHECK_TEST_SF", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -37,16 +38,16 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"issue_samples"}
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(catalog.ORACLE) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF)
+    sdf = catalog.QUERIES[name](spark, SF)
     cols = sorted(sdf.columns)
     got = Counter(tuple(_norm(r[c]) for c in cols) for r in sdf.collect())
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(catalog.ORACLE[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(dcols) == cols
     want = Counter(tuple(_norm(dict(zip(dcols, r))[c]) for c in cols) for r in cur.fetchall())

@@ -116,10 +116,11 @@ def test_full_run(spark, tmp_path):
     assert [(t["QR_RECEIVED_COUNT"], t["CUMULATIVE_QR_RECEIVED"], t["TOTAL_EXPECTED_PRECINCTS"]) for t in timeline] == \
         [(1, 1, 3), (1, 2, 3)]
     for name in ("verification_comparison", "qa_publication_gate", "dashboard_verification_summary"):
-        assert r.exported[name] and os.path.isdir(os.path.join(out, name))
-    parts = [f for f in os.listdir(os.path.join(out, "qa_final_summary")) if f.endswith(".csv")]
+        assert r.exported[name] and os.path.isdir(os.path.join(r.folder, name))
+    assert r.published and r.folder.startswith(out)
+    parts = [f for f in os.listdir(os.path.join(r.folder, "qa_final_summary")) if f.endswith(".csv")]
     assert len(parts) == 1
-    with open(os.path.join(out, "qa_final_summary", parts[0])) as fh:
+    with open(os.path.join(r.folder, "qa_final_summary", parts[0])) as fh:
         lines = fh.read().splitlines()
     names = [x.split(",")[0].strip('"') for x in lines[1:]]
     assert lines[0].startswith("QA_CHECK,") and "CHECK_ORDER" not in lines[0]
