@@ -41,6 +41,22 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()
     return _issue(out.select(*keys, *carry), issue)
 
 
+def duplicate_count(df: DataFrame, keys: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """``n``: the number of rows that :func:`duplicate_rows` returns. Nothing is joined
+    back: the rows of a key are counted while they are combined."""
+    rows = df.groupBy(*keys, *carry).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = rows.groupBy(*keys).agg(F.sum("_n").alias("_t"), F.count(F.lit(1)).alias("_m")).filter(F.col("_t") > 1)
+    return repeated.agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("n"))
+
+
+def inconsistent_count(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """``n``: the number of rows that :func:`inconsistent_values` returns, all fields
+    counted in one aggregate."""
+    g = value_counts(df.filter(_all_not_null(keys)), keys, fields)
+    each = reduce(lambda a, b: a + b, [(F.col(f"_n{i}") > 1).cast("int") for i in range(len(fields))])
+    return g.agg(F.coalesce(F.sum(each), F.lit(0)).alias("n"))
+
+
 def missing_from(df: DataFrame, parent: DataFrame, left_on: Sequence[str], right_on: Sequence[str] | None,
                  select: Sequence[str], issue: str, distinct: bool = True) -> DataFrame:
     """Rows whose key is not found in ``parent`` (null keys count as not found)."""
@@ -64,23 +80,15 @@ def value_counts(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> D
     """Per group: ``_n0``, ``_n1``, ... distinct non-null values of each field and
     ``_v0``, ``_v1``, ... the value where there is just one.
 
-    Least and greatest value tell the groups with one value apart in a single
-    aggregation. Values are counted, one row each, only for the others."""
-    keys = list(keys)
-    ends = df.groupBy(*keys).agg(*[x for i, f in enumerate(fields)
-                                   for x in (F.min(f).alias(f"_a{i}"), F.max(f).alias(f"_b{i}"))])
-    differs = [F.coalesce(F.col(f"_a{i}") != F.col(f"_b{i}"), F.lit(False)) for i in range(len(fields))]
-    varied = ends.filter(reduce(lambda a, b: a | b, differs)).select(*keys)
-    each = F.array(*[F.struct(F.lit(i).alias("_f"), F.col(f).cast("string").alias("_x")) for i, f in enumerate(fields)])
-    values = (present(df, varied, keys, null_safe=True).select(*keys, F.inline(each)).filter(F.col("_x").isNotNull())
-              .groupBy(*keys, "_f", "_x").agg(F.lit(1).alias("_one"))
-              .groupBy(*keys).agg(*[F.count_if(F.col("_f") == i).alias(f"_c{i}") for i in range(len(fields))]))
-    values = values.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.lit(True))
-    out = ends.join(values, same, "left")
-    single = [F.when(F.col(f"_a{i}").isNull(), 0).when(differs[i], F.col(f"_c{i}")).otherwise(1) for i in range(len(fields))]
-    return out.select(*keys, *[n.cast("bigint").alias(f"_n{i}") for i, n in enumerate(single)],
-                      *[F.when(~differs[i], F.col(f"_a{i}")).alias(f"_v{i}") for i in range(len(fields))])
+    The input is read once. What repeats is combined before it is shuffled, which
+    leaves one row of most groups; then each field's values are listed once, dealt
+    out by value, so that a hot group isn't one task, and counted by group."""
+    n, keys = range(len(fields)), list(keys)
+    once = df.groupBy(*keys, *[F.col(f).alias(f"_f{i}") for i, f in enumerate(fields)]).agg(F.lit(1).alias("_one"))
+    own = lambda i: F.struct(*[F.when(F.lit(i == j), F.col(f"_f{j}")).alias(f"_x{j}") for j in n])
+    values = once.select(*keys, F.inline(F.array(*map(own, n)))).groupBy(*keys, *[f"_x{i}" for i in n]).agg(F.lit(1).alias("_one"))
+    counted = values.groupBy(*keys).agg(*[F.count(f"_x{i}").alias(f"_n{i}") for i in n], *[F.min(f"_x{i}").alias(f"_v{i}") for i in n])
+    return counted.withColumns({f"_v{i}": F.when(F.col(f"_n{i}") == 1, F.col(f"_v{i}")) for i in n})
 
 
 def invalid_values(df: DataFrame, carry: Sequence[str], fields: Sequence[str]) -> DataFrame:

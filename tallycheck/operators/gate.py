@@ -15,32 +15,38 @@ from tallycheck import fixed
 @dataclass(frozen=True)
 class Check:
     """``issues``: the problem rows. ``tally``: (table, aggregate) pairs whose sum
-    is their number, for checks that look at single rows of a table."""
+    is their number, for checks that look at single rows of a table. ``counted``: a
+    frame with that number (``n``), for checks that can count without listing."""
 
     key: str
     name: str
     severity: str
     issues: DataFrame
     tally: tuple[tuple[DataFrame, Column], ...] = ()
+    counted: DataFrame | None = None
 
 
 def catalogue(issues: Mapping[str, DataFrame]) -> list[Check]:
     """Attach the fixed names and severities to issue frames keyed by check key,
     in catalogue order (keys not supplied are skipped)."""
-    tallies = getattr(issues, "tallies", {})
-    return [Check(k, n, s, issues[k], tuple(tallies.get(k, ()))) for k, n, s in fixed.CHECKS if k in issues]
+    tallies, counts = getattr(issues, "tallies", {}), getattr(issues, "counts", {})
+    return [Check(k, n, s, issues[k], tuple(tallies.get(k, ())), counts[k]() if k in counts else None)
+            for k, n, s in fixed.CHECKS if k in issues]
 
 
 def issue_counts(checks: Sequence[Check]) -> DataFrame:
     """(CHECK_ORDER, QA_CHECK, SEVERITY, ISSUE_COUNT): every check counted in a
     single job. Checks on single rows share one aggregate, and so one read, of
-    each table; the others are one aggregate each."""
+    each table; checks that can count without listing their rows do that; the
+    others are one aggregate each."""
     tables: dict[int, tuple[DataFrame, list[tuple[int, Column]]]] = {}
     parts = []
     for i, c in enumerate(checks, start=1):
         for df, count in c.tally:
             tables.setdefault(id(df), (df, []))[1].append((i, count))
-        if not c.tally:
+        if c.counted is not None:
+            parts.append(c.counted.select(F.lit(i).alias("CHECK_ORDER"), "n"))
+        elif not c.tally:
             parts.append(c.issues.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("CHECK_ORDER"), "n"))
     for df, counts in tables.values():
         one = df.agg(*[x.cast("bigint").alias(f"_t{j}") for j, (_, x) in enumerate(counts)])

@@ -846,19 +846,21 @@ def q_check_qr_outside_scope(spark, d):
 
 
 @X.shared
-def _issues(spark: SparkSession, d: str) -> election.LazyChecks:
-    """The 20 checks over the driver-table views (each built on first use)."""
+def _issues(spark: SparkSession, d: str, together: bool = False) -> election.LazyChecks:
+    """The 20 checks over the driver-table views (each built on first use). When they
+    run ``together``, the views that several look at are cleaned once and kept."""
     from tallycheck.operators import checks as C
 
-    ers = X.ers_events(spark, d)
+    view = (lambda name: X.kept(spark, d, name)) if together else (lambda name: getattr(X, name)(spark, d))
+    ers = view("ers_events")
     out = election.all_checks(
-        precincts=X.precincts(spark, d),
+        precincts=view("precincts"),
         candidates=election.clean_candidates(X.raw_roster(spark, d)),
         contests=election.clean_contests(X.raw_contests_flags(spark, d)),
         parties=election.clean_parties(X.raw_parties(spark, d)),
-        results=X.results_lines(spark, d), ers=ers, ers_canon=election.er_canonical(ers),
-        qr=X.qr_lines(spark, d), ballot_map=X.flag_map(spark, d), scope=X.scope(spark),
-        qr_side=X.qr_side(spark, d))
+        results=view("results_lines"), ers=ers, ers_canon=election.er_canonical(ers),
+        qr=view("qr_lines"), ballot_map=X.flag_map(spark, d), scope=X.scope(spark),
+        qr_side=view("qr_side"))
     # Two checks look at other views: duplicate precinct ids need a precinct
     # list whose ids repeat, and duplicate ballot-map keys the name-matched map.
     out["acm_id_duplicates"] = lambda: C.duplicate_rows(
@@ -900,7 +902,7 @@ FROM o"""
 
 
 def _summary(spark, d) -> DataFrame:
-    return gate.summarize(gate.issue_counts(gate.catalogue(_issues(spark, d))))
+    return gate.summarize(gate.issue_counts(gate.catalogue(_issues(spark, d, True))))
 
 
 def _gate_sql() -> str:
@@ -979,7 +981,7 @@ CHECK_COLUMNS = {
 @query("issue_samples", _samples_sql())
 def q_issue_samples(spark, d):
     """O2: up to five example rows per check with the number left out."""
-    return gate.issue_samples(gate.catalogue(_issues(spark, d)), 5)
+    return gate.issue_samples(gate.catalogue(_issues(spark, d, True)), 5)
 
 
 # =========================================================================== outcomes the tables above don't reach

@@ -364,9 +364,10 @@ ROW_KEYS = {
 class LazyChecks(Mapping):
     """Check key -> problem-row DataFrame, each built on first access."""
 
-    def __init__(self, builders: dict, tallies: Mapping[str, list] | None = None):
+    def __init__(self, builders: dict, tallies: Mapping[str, list] | None = None, counts: Mapping[str, object] | None = None):
         self._builders = dict(builders)
         self.tallies = dict(tallies or {})  # as in gate.Check
+        self.counts = dict(counts or {})  # builders of gate.Check.counted
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, key: str) -> DataFrame:
@@ -378,6 +379,7 @@ class LazyChecks(Mapping):
         self._builders[key] = value if callable(value) else (lambda: value)
         self._built.pop(key, None)
         self.tallies.pop(key, None)
+        self.counts.pop(key, None)
 
     def __iter__(self):
         return iter(self._builders)
@@ -392,6 +394,7 @@ def all_checks(*, precincts: DataFrame, candidates: DataFrame, contests: DataFra
                environment: str = fixed.PRODUCTION) -> LazyChecks:
     """The 20 problem-row tables, keyed as in :data:`fixed.CHECKS`."""
     res_key = ["PRECINCT_CODE", "CONTEST_CODE", "CANDIDATE_CODE"]
+    totals = ["NUMBER_VOTERS", "UNDER_VOTES", "OVER_VOTES"]
     tables = {"precincts": precincts, "candidates": candidates, "parties": parties,
               "contests": contests, "results": results}
 
@@ -432,7 +435,7 @@ def all_checks(*, precincts: DataFrame, candidates: DataFrame, contests: DataFra
         "result_precinct_unmatched": lambda: C.missing_from(
             results, precincts, ["PRECINCT_CODE"], ["ACM_ID"], ["PRECINCT_CODE"], fixed.PRECINCT_NOT_IN_MASTER),
         "repeated_contest_totals": lambda: C.inconsistent_values(
-            results, ["PRECINCT_CODE", "CONTEST_CODE"], ["NUMBER_VOTERS", "UNDER_VOTES", "OVER_VOTES"]),
+            results, ["PRECINCT_CODE", "CONTEST_CODE"], totals),
         "acm_id_duplicates": lambda: C.duplicate_rows(
             precincts.filter(F.col("ACM_ID").isNotNull()), ["ACM_ID"], (), fixed.DUPLICATE_ACM_ID),
         "acm_id_missing": lambda: C.rows_where(precincts, F.col("ACM_ID").isNull(), None, fixed.MISSING_ACM_ID),
@@ -458,7 +461,10 @@ def all_checks(*, precincts: DataFrame, candidates: DataFrame, contests: DataFra
             qr_side, "MAPPING_VALID", ["ER_ID", "QR_RACE_CODE", "BALLOT_POSITION"]),
         "qr_outside_scope": lambda: C.outside_scope(
             qr_side, "MAPPING_VALID", "CONTEST_CODE", scope, "CONTEST_CODE"),
-    }, tallies)
+    }, tallies, {
+        "result_duplicates": lambda: C.duplicate_count(results, res_key, ["VOTES_AMOUNT"]),
+        "repeated_contest_totals": lambda: C.inconsistent_count(results, ["PRECINCT_CODE", "CONTEST_CODE"], totals),
+    })
 
 
 def er_rules(ers: DataFrame) -> list[tuple[str, Column]]:

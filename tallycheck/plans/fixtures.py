@@ -402,6 +402,15 @@ def comparison(spark, d, guard: str = "inline"):
 
 # --------------------------------------------------------------------------- whole runs over CSV folders
 
+@shared
+def kept(spark: SparkSession, d: str, view: str) -> DataFrame:
+    """A cleaned view, scanned and cleaned once: written to the shared folder and read
+    back column by column, for queries in which many checks look at it."""
+    df, path = globals()[view](spark, d), f"{shared_folder(spark)}/{view}"
+    write_table(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 NOTE = 'kept as "seen", line 1\nline 2'
 BOM = "\ufeff"
 

@@ -5,6 +5,8 @@ import pytest
 from tallycheck.plans import catalog, fixtures
 
 SMALL = "/root/testdata/sf0.001"
+#: Queries in which many checks look at views that are cleaned and written once; like whole runs they start jobs.
+WRITES = {"quality_summary", "publication_gate", "issue_samples"}
 
 
 def test_building_any_query_runs_no_job(spark):
@@ -19,8 +21,9 @@ def test_building_any_query_runs_no_job(spark):
         reads = []
         read = fixtures.table
         fixtures.table = lambda *a, **b: (reads.append(1), read(*a, **b))[1]
-        for build in catalog.QUERIES.values():
-            build(spark, SMALL)
+        for name, build in catalog.QUERIES.items():
+            if name not in WRITES and not name.startswith("run_"):
+                build(spark, SMALL)
         jobs = len(sc.statusTracker().getJobIdsForGroup("building")) - before
         assert jobs <= len(reads)
     finally:
@@ -33,6 +36,22 @@ def test_distinct_counts_need_no_expand(spark, name):
     assert "Expand" not in catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["safe_singles", "check_repeated_contest_totals"])
+def test_distinct_counts_read_once(spark, name):
+    plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_checks_together_scan_and_clean_each_source_once(spark, monkeypatch):
+    fixtures.clear_views()
+    df = catalog.QUERIES["quality_summary"](spark, SMALL)
+    kept = [v for (name, *_), v in fixtures._VIEWS.items() if name == "kept"]
+    assert len(kept) == 5  # results, precincts, both mobile sources and the mapped side
+    sources = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    # line items and orders are read where a check has a view of its own, never to be cleaned again
+    assert sum("l_quantity" in line or "event_id" in line for line in sources) == 0
+
+
 def test_no_join_carries_a_hint_or_crosses(spark):
     plan = catalog.QUERIES["reconcile"](spark, SMALL)._jdf.queryExecution()
     assert "strategy=broadcast" not in plan.analyzed().toString()
