@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycheck.llm.common import shared_dir, text_of
+from tallycheck.llm.common import shared_dir, sliced, text_of
 from tallycheck.llm.pieces import byte_level_starts, cut, gathered, portions
 from tallycheck.llm.token_files import width
 
@@ -101,7 +101,7 @@ def _blocks(kind: pa.DataType, most: int):
                      pa.array(np.arange(a, a + n, dtype=np.int32)), some], names)
             block += 1
 
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch["text"].to_pylist()
             for a, b in portions(texts):
                 found, end = cut(texts[a:b], byte_level_starts)

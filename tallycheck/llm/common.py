@@ -5,8 +5,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,12 +34,32 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, instead_of: tuple[DataFrame, ...] = (), compression: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder and read back: later steps read
-    the rows instead of repeating the work, and survive lost executors."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    the rows instead of repeating the work, and survive lost executors. Tables
+    returned earlier and no longer needed, ``instead_of`` which this one stands, are
+    deleted."""
+    spark = df.sparkSession
+    path = shared_dir(spark)
+    df.write.option("compression", compression).parquet(path)
+    for old in instead_of:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old.path_written)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.path_written = path
+    return found
+
+
+def sliced(batches: Iterator[pa.RecordBatch], col: str = "text", size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``size`` bytes of ``col``, so that what a task
+    makes of a batch's texts at once is bounded."""
+    for batch in batches:
+        upto = np.cumsum(pc.fill_null(pc.binary_length(batch[col]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            to = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, side="left")) + 1
+            yield batch.slice(at, to - at)
+            at = to
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:

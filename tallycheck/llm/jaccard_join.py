@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallycheck.llm.common import fresh, mixed, same, shingle_hashes, text_of, word_hashes, written
+from tallycheck.llm.common import fresh, mixed, same, shingle_hashes, sliced, text_of, word_hashes, written
 from tallycheck.llm.components import components
 
 
@@ -103,9 +103,8 @@ def first_shingles(tokens: np.ndarray, join: JaccardJoin) -> list[int]:
 
 def _sets(join: JaccardJoin):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+        for part in sliced(batches):
+            if part.num_rows:
                 sizes, low, high, sent, ends, firsts = [], [], [], [], [0], []
                 for text in part["text"].to_pylist():
                     found = shingles(text, join.k)

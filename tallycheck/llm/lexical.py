@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallycheck.llm.common import numbered, text_of, written
+from tallycheck.llm.common import numbered, sliced, text_of, written
 from tallycheck.llm.pieces import cut, is_term, portions, term_starts
 
 
@@ -142,7 +142,7 @@ def _terms(kind: pa.DataType):
     names = ["row", "id", "n", "term", "tf"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch["text"].to_pylist()
             for a, b in portions(texts, 1 << 20):
                 found, ends = cut([lower(t) for t in texts[a:b]], term_starts, is_term)

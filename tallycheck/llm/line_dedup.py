@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallycheck.llm.common import fresh, same, text_of, written
+from tallycheck.llm.common import fresh, same, sliced, text_of, written
 
 WINDOW = "struct<mark:bigint,content:binary,first:int,last:int>"
 
@@ -77,7 +77,7 @@ def _fingerprints(min_words: int):
     kind = pa.struct([("mark", pa.int64()), ("content", pa.binary()), ("first", pa.int32()), ("last", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             digests, marks, found, ends = [], [], [], [0]
             for text in batch["text"].to_pylist():
                 data = text.encode()

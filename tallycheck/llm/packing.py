@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycheck.llm.common import text_of, written
-from tallycheck.llm.token_files import encoder, portions
+from tallycheck.llm.common import sliced, text_of, written
+from tallycheck.llm.token_files import encoder
 
 
 @dataclass(frozen=True)
@@ -156,14 +156,13 @@ def _encoded(tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.dtype).tobytes()
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch["text"].to_pylist()
-            for a, b in portions(texts):
-                ids = [x + end for x in enc.encode(texts[a:b])]
-                chars = [len(t) + 1 for t in texts[a:b]]
-                yield pa.RecordBatch.from_arrays(
-                    [batch["row"].slice(a, b - a), batch["id"].slice(a, b - a), pa.array(chars, pa.int64()),
-                     pa.array(ids, pa.binary())], ["row", "id", "chars", "ids"])
+            ids, ends = enc.encode(texts, end)
+            offsets = (np.concatenate(([0], ends)) * enc.dtype.itemsize).astype(np.int32)
+            packed_ids = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(ids.tobytes())])
+            chars = pa.array([len(t) + 1 for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch["row"], batch["id"], chars, packed_ids], ["row", "id", "chars", "ids"])
 
     return run
 
@@ -176,7 +175,7 @@ def _counted(tokenizer: str):
     """Documents by term, a row per term and task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        df, n, tokens = np.zeros(len(enc.edge), np.int64), 0, 0
+        df, n, tokens = np.zeros(enc.vocabulary, np.int64), 0, 0
         for batch in batches:
             for ids in batch["ids"]:
                 doc = np.frombuffer(ids.as_buffer(), enc.dtype)
@@ -263,7 +262,8 @@ def pack(docs: DataFrame, tokenizer: str, rules: Packing = Packing(), *, id_col:
                        text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType
     name = kind.simpleString()
-    encoded = written(rows.mapInArrow(_encoded(tokenizer, rules.end_id), f"row long, id {name}, chars long, ids binary"))
+    encoded = written(rows.mapInArrow(_encoded(tokenizer, rules.end_id), f"row long, id {name}, chars long, ids binary"),
+                      compression="zstd")
     chars = encoded.agg(F.sum("chars")).first()[0] or 0
     shards = max(1, -(-chars // rules.shard_chars))
     # as many rows as the vocabulary has ids, at most
@@ -274,7 +274,7 @@ def pack(docs: DataFrame, tokenizer: str, rules: Packing = Packing(), *, id_col:
     df[list(counts)] = list(counts.values())
     corpus = Frequencies(n, tokens / max(n, 1), df)
     keyed = written(encoded.select("row", "id", "ids").mapInArrow(
-        _keyed(tokenizer, corpus, rules), f"best array<int>, row long, id {name}, ids binary"))
+        _keyed(tokenizer, corpus, rules), f"best array<int>, row long, id {name}, ids binary"), (encoded,), "zstd")
     # the row divides what has the same best terms: no group is too large for a shard
     dealt = keyed.repartitionByRange(shards, "best", "row").sortWithinPartitions("best", "row").select("id", "ids")
     schema = f"id {name}, start long, length long, ids_crc32 long, doc_tokens long, " \

@@ -28,29 +28,48 @@ def kinds() -> np.ndarray:
     return table
 
 
+def _runs(kind: np.ndarray) -> np.ndarray:
+    """Where the kind changes; every ``END`` is a run by itself."""
+    run = np.ones(len(kind), bool)
+    np.not_equal(kind[1:], kind[:-1], out=run[1:])
+    run |= kind == END
+    return run
+
+
+def _contract(points: np.ndarray, kind: np.ndarray, quote: np.ndarray, start: np.ndarray) -> None:
+    """Moves the cut after each ``quote`` (a run by itself, before letters) to the end of
+    the contraction that it begins."""
+    quote = quote[kind[np.minimum(quote + 1, len(points) - 1)] == LETTER]
+    ahead = np.concatenate((points, np.zeros(3, points.dtype)))
+    for tail in _CONTRACTIONS:
+        hit = quote[np.logical_and.reduce([ahead[quote + 1 + i] == c for i, c in enumerate(tail)])]
+        start[hit + 1] = False
+        start[hit + 1 + len(tail)] = True
+
+
 def byte_level_starts(points: np.ndarray) -> np.ndarray:
     """Where the matches of ``public_tokenizers.PATTERN`` begin in code points
     that end with ``END``; every ``END`` is a piece by itself. The pattern cuts
     where the kind changes, but for one space that goes with what follows, the
     last white space before a word, and contractions."""
     kind = kinds()[points]
-    run = np.ones(len(points), bool)
-    np.not_equal(kind[1:], kind[:-1], out=run[1:])
-    run |= kind == END
+    run = _runs(kind)
     start = run.copy()
     after = np.flatnonzero(run[1:] & (kind[:-1] == SPACE) & (kind[1:] != END)) + 1
     start[after - 1] = True
     start[after[points[after - 1] == 32]] = False
-    quote = np.flatnonzero(points == 39)
-    if len(quote):
-        ahead = np.concatenate((points, np.zeros(3, points.dtype)))
-        lone = run[quote] & (kind[np.minimum(quote + 1, len(points) - 1)] == LETTER)
-        lone &= (quote == 0) | (points[quote - 1] != 32)
-        quote = quote[lone]
-        for tail in _CONTRACTIONS:
-            hit = quote[np.logical_and.reduce([ahead[quote + 1 + i] == c for i, c in enumerate(tail)])]
-            start[hit + 1] = False
-            start[hit + 1 + len(tail)] = True
+    quote = np.flatnonzero((points == 39) & run)
+    _contract(points, kind, quote[(quote == 0) | (points[quote - 1] != 32)], start)
+    return start
+
+
+def lexical_starts(points: np.ndarray) -> np.ndarray:
+    """Where runs of letters, of signs and of white space, single digits and contractions
+    begin (a pattern without leading spaces); every ``END`` is a piece by itself."""
+    kind = kinds()[points]
+    run = _runs(kind)
+    start = run | (kind == DIGIT)
+    _contract(points, kind, np.flatnonzero((points == 39) & run), start)
     return start
 
 
@@ -75,6 +94,14 @@ def term_starts(points: np.ndarray) -> np.ndarray:
     return start
 
 
+def is_lexical(points: np.ndarray) -> np.ndarray:
+    return kinds()[points] != SPACE
+
+
+def is_word(points: np.ndarray) -> np.ndarray:
+    return (points != 32) & (points - np.uint32(9) >= 5)
+
+
 _TERM = np.array([chr(c).isalnum() for c in range(128)])
 
 
@@ -82,10 +109,10 @@ def is_term(points: np.ndarray) -> np.ndarray:
     return (points >= 128) | _TERM[np.minimum(points, 127)]
 
 
-def cut(texts: list[str], starts, wanted=None) -> tuple[pa.DictionaryArray, np.ndarray]:
+def cut(texts: list[str], starts, wanted=None, with_ends: bool = False) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The pieces of all texts, one after the other, dictionary-encoded UTF-8, and
     where each text ends among them. ``wanted`` tells by their first code points
-    which pieces to keep."""
+    which pieces to keep; ``with_ends`` keeps what stands between the texts, too."""
     joined = BETWEEN.join([*texts, ""])
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
     data = joined.encode("utf-8", "surrogatepass")
@@ -96,7 +123,8 @@ def cut(texts: list[str], starts, wanted=None) -> tuple[pa.DictionaryArray, np.n
         at = (np.cumsum(width, dtype=np.int64) - width)[at]
     offsets = np.append(at, len(data)).astype(np.int32)
     found = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    keep = ~end if wanted is None else ~end & wanted(points[first])
+    keep = np.ones(len(at), bool) if wanted is None else wanted(points[first])
+    keep = keep | end if with_ends else keep & ~end
     return found.filter(pa.array(keep)).dictionary_encode(), np.cumsum(keep)[end]
 
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycheck.llm.common import SPACES, fresh, same, shingle_hashes, text_of, word_hashes, written
+from tallycheck.llm.common import fresh, same, shingle_hashes, sliced, SPACES, text_of, word_hashes, written
 
 SYMBOLS = "#*$%&|<>"
 
@@ -61,7 +61,7 @@ def repeated_words(words: np.ndarray, window: int) -> int:
 
 def _measures(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out = {k: [] for k in ("digest", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
             hashes, counts, places, ends = [], [], [], [0]
             for text in batch["text"].to_pylist():

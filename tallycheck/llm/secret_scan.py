@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycheck.llm.common import same, text_of, written
+from tallycheck.llm.common import same, sliced, text_of, written
 
 KINDS = ("assign", "access", "hex", "live")
 #: The patterns of the contract, and shapes of vendors' tokens.
@@ -81,7 +81,7 @@ def base_spans(text: str) -> list[tuple[str, int, int, int, int]]:
 
 def _scan(rule: Ownership):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out: dict[str, list] = {k: [] for k in ("digest", "n_assign", "n_access", "n_hex", "base_sha256", "spans")}
             for text in batch["text"].to_pylist():
                 base = base_spans(text)

@@ -7,10 +7,10 @@ that file) and one of the document ids. The number of
 tokens of each file is known only then: the bases are prefix sums over the small
 manifest, ordered by the first id of each file. Readers memory-map both files.
 
-Encoding goes word by word: the tokenizer's rules never join what ASCII white
-space separates, so the ids of a text are those of its pieces in order, and each
-task encodes a distinct piece once. Texts for which that can't be shown (unusual
-white space with a byte-level tokenizer) are encoded whole.
+Encoding goes by pieces that no merge spans: a task encodes each distinct piece once
+and gathers the ids by position. Texts with an added token's string, or with code
+points on which libraries disagree, are encoded whole; the ids are always those of a
+plain call of the tokenizers library.
 
 Defined results: a null or empty text is the end id alone; null ids come first;
 equal ids and repeated rows each keep a place of their own, equal ids ordered by
@@ -20,7 +20,7 @@ columns are ignored. A lost task leaves at most files that no manifest row names
 
 from __future__ import annotations
 
-import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -33,41 +33,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallycheck.llm.common import shared_dir, text_of, written
+from tallycheck.llm.common import shared_dir, sliced, text_of, written
+from tallycheck.llm.pieces import BETWEEN, byte_level_starts, cut, gathered, is_lexical, lexical_starts
 
-#: White space that isn't ASCII white space, and controls on which libraries disagree.
-_ODD_SPACE = ("\x1c\x1d\x1e\x1f", "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
-                                 "\u2028\u2029\u202f\u205f\u3000")
-_WORDS = re.compile("[^ \t-\r]+")
-_PIECES = re.compile("[ \t-\r]*[^ \t-\r]+|[ \t-\r]+$")
-#: Where white space is more than one space or line break between two words.
-_LOOSE = ("\t", "\v", "\f", "\r", "  ", " \n", "\n ", "\n\n")
-
-
-def has_odd_space(text: str) -> bool:
-    return any(c in text for c in _ODD_SPACE[0]) or not text.isascii() and any(c in text for c in _ODD_SPACE[1])
+#: Code points that every library sorts alike into letters, digits, white space and signs
+#: (others came, or changed, with later versions of Unicode), as ranges.
+_SETTLED = [(0x00, 0x1B), (0x20, 0x84), (0x86, 0x12F), (0x131, 0x24F), (0x370, 0x377), (0x384, 0x38A), (0x38E, 0x3A1), (0x3A3, 0x52F), (0x5D0, 0x5EA),
+            (0x620, 0x64A), (0x660, 0x669), (0x2010, 0x2027), (0x2030, 0x205E), (0x3001, 0x3003), (0x3041, 0x3096),
+            (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3), (0x1F300, 0x1F64F)]
+_settled = np.zeros(0x110000, bool)
+for _a, _b in _SETTLED:
+    _settled[_a : _b + 1] = True
 
 
 class Encoder:
-    """Ids of whole texts, as little-endian bytes of the narrowest type.
+    """Ids of whole texts. A text's pieces (the matches of the tokenizer's pattern) are
+    encoded apart, as no merge spans two of them: each distinct piece of many texts
+    once, the others by position. A memo of bounded size keeps the ids of pieces. Texts
+    that name an added token, or whose pieces can't be told surely, go to the tokenizer
+    whole."""
 
-    Two bounded memos keep the ids of pieces already seen, ``after`` a space
-    (byte level: with it) and ``alone``. Unseen words are encoded many to a call."""
-
-    def __init__(self, path: str, most: int = 1_200_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.byte_level = self.tokenizer.normalizer is None
-        self.dtype = np.dtype(width(self.tokenizer.get_vocab_size()))
-        # tokens that begin a word (byte level: with its space) or end it
-        edge = (lambda t: t.startswith("Ġ")) if self.byte_level else (lambda t: t.endswith("</w>"))
-        self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.edge[[i for t, i in self.tokenizer.get_vocab().items() if edge(t)]] = True
-        self.after: dict[str, bytes] = {}
-        self.alone: dict[str, bytes] = {}
-        self.line_break = self.whole(["\n"])[0] if self.byte_level else b""
+        self.vocabulary = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype(width(self.vocabulary))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.starts = byte_level_starts if self.byte_level else lexical_starts
+        # a piece by itself wherever it stands between others
+        self.between = "\n" if self.byte_level else " \x01 "
+        self.mark = int(np.frombuffer(self.whole([self.between])[0], self.dtype)[0])
+        self.memo: dict[bytes, bytes] = {}
         self.most = most
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -75,110 +73,64 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
-    def _words(self, words: list[str], group: int = 128) -> list[bytes]:
-        """Words of letters alone after a space, many to a call and taken apart at
-        their edges."""
-        groups = [words[i : i + group] for i in range(0, len(words), group)]
-        lead = " " if self.byte_level else ""
-        found = self.tokenizer.encode_batch_fast([lead + " ".join(g) for g in groups], add_special_tokens=False)
-        out: list[bytes] = []
-        for g, x in zip(groups, found):
+    def _learn(self, pieces: list[bytes], group: int = 256) -> None:
+        """Encodes pieces many to a call, and takes the ids apart at the mark between them."""
+        if len(self.memo) + len(pieces) > self.most:
+            self.memo.clear()
+        texts = [p.decode() for p in pieces]
+        plain = [i for i, t in enumerate(texts) if not t.isspace() and "\x01" not in t]
+        alone = set(range(len(texts))).difference(plain)
+        groups = [plain[i : i + group] for i in range(0, len(plain), group)]
+        joined = [self.between.join(["", *(texts[i] for i in g), ""]) for g in groups]
+        size = self.dtype.itemsize
+        for g, x in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.array(x.ids, self.dtype)
-            edges = np.flatnonzero(self.edge[ids])
-            if len(edges) != len(g):
-                out += self.whole([lead + w for w in g])
+            at = np.flatnonzero(ids == self.mark)
+            if len(at) != len(g) + 1:
+                alone.update(g)
                 continue
-            cuts = [*edges.tolist(), len(ids)] if self.byte_level else [0, *(edges + 1).tolist()]
-            data, size = ids.tobytes(), self.dtype.itemsize
-            out += [data[a * size : b * size] for a, b in zip(cuts, cuts[1:])]
-        return out
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Puts pieces into ``after``. A word of letters before one comma or full
-        stop is the word and the mark, which no rule joins."""
-        memo, lead = self.after, " " if self.byte_level else ""
-        plain = [p for p in pieces if p.isalpha()]
-        pieces = pieces.difference(plain)
-        marked = [p for p in pieces if p[-1:] in (",", ".") and p[:-1].isalpha()]
-        other = list(pieces.difference(marked))
-        memo.update(zip(other, self.whole([lead + p for p in other])))
-        words = set(plain)
-        words.update(p[:-1] for p in marked)
-        if not self.byte_level:  # ASCII words are lower-cased, as the tokenizer does
-            words.update([w.lower() for w in words if w.isascii()])
-            capital = {w for w in words if w.isascii() and not w.islower()}
-            words -= capital
-        unseen = [w for w in words if w not in memo]
-        memo.update(zip(unseen, self._words(unseen)))
-        if not self.byte_level:
-            memo.update([(w, memo[w.lower()]) for w in capital])
-        marks = dict(zip((",", "."), self.whole([",", "."])))
-        memo.update([(p, memo[p[:-1]] + marks[p[-1]]) for p in marked])
-
-    def _found(self, memo: dict[str, bytes], pieces: list[str], learn) -> list[bytes]:
-        found = list(map(memo.get, pieces))
-        if None in found:
-            gaps = [i for i, x in enumerate(found) if x is None]
-            learn({pieces[i] for i in gaps})
+            data = ids.tobytes()
+            self.memo.update([(pieces[i], data[(a + 1) * size : b * size])
+                              for i, a, b in zip(g, at.tolist(), at[1:].tolist())])
+        alone = sorted(alone)
+        self.memo.update(zip([pieces[i] for i in alone], self.whole([texts[i] for i in alone])))
+
+    def _apart(self, text: str) -> bool:
+        if any(t in text for t in self.added):
+            return False
+        if not text.isascii() and not _settled[np.frombuffer(text.encode("utf-32-le"), "<u4")].all():
+            return False
+        return self.byte_level or unicodedata.is_normalized("NFC", text)
+
+    def encode(self, texts: list[str], end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, ``end`` after each, and where each ends."""
+        apart = [self._apart(t) for t in texts]
+        ids, ends = self._by_pieces([t for t, a in zip(texts, apart) if a], end)
+        if all(apart):
+            return ids, ends
+        pieces = iter(np.split(ids, ends[:-1]) if len(ends) else [])
+        wholes = iter(self.whole([t for t, a in zip(texts, apart) if not a]))
+        found = [next(pieces) if a else np.frombuffer(next(wholes) + end, self.dtype) for a in apart]
+        return np.concatenate(found), np.cumsum([len(x) for x in found])
+
+    def _by_pieces(self, texts: list[str], end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        if not texts:
+            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        if not self.byte_level:  # the tokenizer lower-cases; here ASCII, which changes no piece's bounds
+            texts = [t.encode().lower().decode() for t in texts]
+        found, ends = cut(texts, self.starts, None if self.byte_level else is_lexical, with_ends=True)
+        pieces = found.dictionary.to_pylist()
+        close = BETWEEN.encode("utf-8", "surrogatepass")
+        ids = list(map(self.memo.get, pieces))
+        new = [p for p, x in zip(pieces, ids) if x is None and p != close]
+        if new:
+            self._learn(new)
+            gaps = [i for i, x in enumerate(ids) if x is None and pieces[i] != close]
             for i in gaps:
-                found[i] = memo[pieces[i]]
-        return found
-
-    def _learn_alone(self, pieces: set[str]) -> None:
-        new = list(pieces)
-        self.alone.update(zip(new, self.whole(new)))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. What ASCII white space separates is encoded apart:
-        no rule of the tokenizer spans it."""
-        if len(self.after) + len(self.alone) > self.most:
-            self.after.clear()
-            self.alone.clear()
-        return (self._spaced if self.byte_level else self._unspaced)(texts)
-
-    def _unspaced(self, texts: list[str]) -> list[bytes]:
-        """White space is dropped."""
-        cut = [_WORDS.findall(t) if has_odd_space(t) else t.split() for t in texts]
-        found = self._found(self.after, [p for c in cut for p in c], self._learn)
-        out, at = [], 0
-        for c in cut:
-            out.append(b"".join(found[at : at + len(c)]))
-            at += len(c)
-        return out
-
-    def _spaced(self, texts: list[str]) -> list[bytes]:
-        """A space goes with the word after it, other white space with the word
-        after it or alone; a line break between two words is a piece by itself."""
-        first: list[str] = []  # the pieces of each line: its first word alone, the others after a space
-        rest: list[str] = []
-        plan: list[list[int] | bytes] = []  # for each text: the number of others in each line
-        for t in texts:
-            if has_odd_space(t):
-                plan.append(self.whole([t])[0])
-            elif any(x in t for x in _LOOSE):
-                pieces = _PIECES.findall(t)
-                plan.append(b"".join(self._found(self.alone, pieces, self._learn_alone)))
-            else:
-                counts = []
-                for line in t.split("\n"):
-                    head, *others = line.split(" ")
-                    first.append(head)
-                    rest += others
-                    counts.append(len(others))
-                plan.append(counts)
-        heads = self._found(self.alone, first, self._learn_alone)
-        others = self._found(self.after, rest, self._learn)
-        out, line, at = [], 0, 0
-        for p in plan:
-            if isinstance(p, bytes):
-                out.append(p)
-                continue
-            parts = []
-            for n in p:
-                parts.append(heads[line] + b"".join(others[at : at + n]))
-                line, at = line + 1, at + n
-            out.append(self.line_break.join(parts))
-        return out
+                ids[i] = self.memo[pieces[i]]
+        ids = [end if p == close else x for p, x in zip(pieces, ids)]
+        data, upto = gathered(pa.array(ids, pa.binary()), found.indices.to_numpy(zero_copy_only=False))
+        return data.view(self.dtype), upto[ends - 1].astype(np.int64) // self.dtype.itemsize
 
 
 def width(vocabulary: int) -> str:
@@ -190,18 +142,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def portions(texts: list[str], chars: int = 1 << 21) -> Iterator[tuple[int, int]]:
-    """Index ranges of about ``chars`` characters each."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= chars:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _writer(folder: str, tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, name = encoder(tokenizer), uuid.uuid4().hex
@@ -209,20 +149,15 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         end = np.array([end_id], enc.dtype).tobytes()
         tokens = docs = 0
         place = out = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in sliced(batches):
             if out is None:
                 place = batch["place"][0].as_py()
                 out = [store.open_output_stream(f"{path}/{name}.{x}") for x in ("bin", "idx", "ids")]
                 keys = pa.ipc.new_stream(out[2], pa.schema([batch.schema.field("id")]))
-            texts = batch["text"].to_pylist()
-            for a, b in portions(texts):
-                found = enc.encode(texts[a:b])
-                sizes = np.array([len(x) for x in found], np.int64) // enc.dtype.itemsize + 1
-                out[0].write(end.join(found) + end)
-                out[1].write((tokens + np.cumsum(sizes)).astype("<u8").tobytes())
-                tokens += int(sizes.sum())
+            ids, ends = enc.encode(batch["text"].to_pylist(), end)
+            out[0].write(ids.tobytes())
+            out[1].write((tokens + ends).astype("<u8").tobytes())
+            tokens += len(ids)
             keys.write_batch(batch.select(["id"]))
             docs += batch.num_rows
         if out is not None:
