@@ -32,7 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges.select("u", "v").filter("u <> v").distinct())
     mark = None
     while True:
-        edges = written(_star(_star(edges, large=True), large=False))
+        edges = written(_star(_star(edges, large=True), large=False), (edges,))
         # order-free fingerprint of the edge list
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == mark:

@@ -12,6 +12,8 @@ document the smallest id its links reach.
    on the others, and a pair stays if it shares as many of them as two similar
    sets of these sizes must. Sets that consist mostly of hot shingles, of which
    that may be none, send all of theirs and are paired on the rarest.
+   The place of the first shingle that two sets share tells how many they can
+   share at most; what can't be that first shingle forms no pair.
 4. Before that, sets that share their first shingle under each of several orders
    are verified against the most central of them. Those links merge classes
    into components, and pairs are then formed between components only, so a
@@ -92,11 +94,15 @@ def _seeds(n: int) -> np.ndarray:
     return mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
+_ODD = np.uint64(0x9FB21C651E98DF25)
+
+
 def first_shingles(tokens: np.ndarray, join: JaccardJoin) -> list[int]:
     """A key for each bundle of ``together`` orders: the set's first shingles there."""
     if not len(tokens):
         return []
-    least = [mixed(tokens ^ s).min() for s in _seeds(join.firsts * join.together)]
+    # shingle hashes are spread evenly: one more multiplication gives another order
+    least = [((tokens ^ s) * _ODD).min() for s in _seeds(join.firsts * join.together)]
     bundles = np.array(least, np.uint64).reshape(join.firsts, join.together)
     return [xxhash.xxh64_intdigest(b.tobytes(), seed=i) for i, b in enumerate(bundles)]
 
@@ -194,12 +200,18 @@ def _unsent(join: JaccardJoin):
 
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, join: JaccardJoin) -> DataFrame:
     """The pairs (u, v) whose whole sets are similar enough, written."""
-    pairs = written(_blocks(written(pairs)))
+    found = written(pairs)
+    pairs = written(_blocks(found), (found,))
     sent = (pairs.select(F.col("block").alias("to"), F.col("u").alias("row"))
             .union(pairs.select("block", "v")).distinct())
     texts = _texts(sent.select("row").distinct(), docs, reps, join)
     return written(pairs.groupBy("block").cogroup(sent.join(texts, "row").groupBy("to"))
-                   .applyInArrow(_linked(join), "u long, v long"))
+                   .applyInArrow(_linked(join), "u long, v long"), (pairs,))
+
+
+def _least(percent: int) -> Column:
+    """Shingles that two similar sets a and b share."""
+    return F.ceil((F.col("a_n") + F.col("b_n")) * percent / (100 + percent)).cast("long")
 
 
 def _need(join: JaccardJoin) -> Column:
@@ -207,9 +219,8 @@ def _need(join: JaccardJoin) -> Column:
     A shared shingle that one of them didn't send lies beyond the end of the
     shorter reach, so those are at most the unsent ones of that set; the hot
     ones are at most what either sent."""
-    least = F.ceil((F.col("a_n") + F.col("b_n")) * join.percent / (100 + join.percent)).cast("long")
     unsent = F.greatest(F.col("a_n") - F.col("a_sent"), F.col("b_n") - F.col("b_sent"))
-    return least - unsent - F.least("a_hot", "b_hot")
+    return _least(join.percent) - unsent - F.least("a_hot", "b_hot")
 
 
 def _fits(a: Column, b: Column, percent: int) -> Column:
@@ -218,18 +229,20 @@ def _fits(a: Column, b: Column, percent: int) -> Column:
 
 
 def _between(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
-    """Pairs of rows (token, row, n, sent, hot_n, part) of one token, from different
-    parts (components). In each token's group the largest part is met by the
-    others, never by itself."""
+    """Pairs of rows (token, row, n, sent, hot_n, part, pos) of one token, from
+    different parts (components). In each token's group the largest part is met by
+    the others, never by itself. The first shingle that two sets share, at ``pos`` in
+    the order, leaves enough after it in both: rows that can't be that one don't meet."""
     parts = (right.groupBy("token", "part").agg(F.count(F.lit(1)).alias("c"))
              .groupBy(F.col("token").alias("of")).agg(F.max_by("part", F.struct("c", "part")).alias("major"),
                                                       F.count(F.lit(1)).alias("parts")).filter("parts > 1"))
     rows = lambda df, x: df.join(parts, F.col("token") == F.col("of")).select(
         F.col("token").alias(f"{x}_token"), F.col("row").alias(x), F.col("n").alias(f"{x}_n"),
         F.col("hot_n").alias(f"{x}_hot"), F.col("sent").alias(f"{x}_sent"), F.col("part").alias(f"{x}_part"),
-        (F.col("part") == F.col("major")).alias(f"{x}_major"))
+        F.col("pos").alias(f"{x}_pos"), (F.col("part") == F.col("major")).alias(f"{x}_major"))
     found = rows(left, "a").join(rows(right, "b"), (F.col("a_token") == F.col("b_token"))
                                  & (F.col("a_part") != F.col("b_part")) & _fits(F.col("a_n"), F.col("b_n"), percent)
+                                 & (F.col("a_n") - F.col("a_pos") >= _least(percent)) & (F.col("b_n") - F.col("b_pos") >= _least(percent))
                                  & ~F.col("a_major") & (F.col("b_major") | (F.col("a") < F.col("b"))))
     return found.select("a", "b", "a_n", "b_n", "a_hot", "b_hot", "a_sent", "b_sent")
 
@@ -239,6 +252,7 @@ def _candidates(rows: DataFrame, join: JaccardJoin) -> DataFrame:
     the prefix proper), n, sent (shingles sent), df, hot_n (hot ones sent), part."""
     n, need = F.col("n"), _need(join)
     cold, hot = rows.filter(F.col("df") <= join.hot), rows.filter(F.col("df") > join.hot)
+    cold = cold.withColumn("pos", F.lit(0))  # shared cold shingles are counted, so all of them meet
     common = (_between(cold, cold, join.percent)
               .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), need.alias("need"))
               .groupBy("u", "v", "need").agg(F.count(F.lit(1)).alias("shared"))
@@ -253,11 +267,12 @@ def _candidates(rows: DataFrame, join: JaccardJoin) -> DataFrame:
 
 def _rarest(rows: DataFrame, join: JaccardJoin) -> DataFrame:
     """Of the sets short of cold shingles and known whole: the rarest hot shingles
-    that fill up their prefixes."""
+    that fill up their prefixes, with their places ``pos`` in the order (the cold
+    ones come before)."""
     n = F.col("n")
     at = F.row_number().over(W.partitionBy("row").orderBy("df", "token"))
-    return (rows.filter((F.col("df") > join.hot) & _is_short(join) & (F.col("sent") == n)).withColumn("at", at)
-            .filter(F.col("at") <= _prefix_size(n, join.percent) - (n - F.col("hot_n"))).drop("at"))
+    return (rows.filter((F.col("df") > join.hot) & _is_short(join) & (F.col("sent") == n))
+            .withColumn("pos", n - F.col("hot_n") + at - 1).filter(F.col("pos") < _prefix_size(n, join.percent)))
 
 
 def _is_short(join: JaccardJoin) -> Column:
@@ -336,9 +351,12 @@ def groups(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str =
     plain = F.col("pos") < _prefix_size(F.col("n"), join.percent)
     sent = sets.select("row", "n", F.posexplode("prefix").alias("pos", "token")).select(
         "token", F.when(plain, F.col("row")).otherwise(-1 - F.col("row")).alias("tagged"))
-    often = sent.groupBy(F.col("token").alias("of")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("of")
+    dealt = sent.repartition("token")
+    # the least row goes along so that the count and the join share one shuffle
+    often = (dealt.groupBy(F.col("token").alias("of")).agg(F.count(F.lit(1)).alias("c"), F.min("tagged").alias("least"))
+             .filter("c > 1 and least is not null").select("of"))
     ns = reps.select(F.col("node").alias("row"), "n")
-    shared = written(_untagged(sent.join(often, F.col("token") == F.col("of"), "left_semi")).join(ns, "row"))
+    shared = written(_untagged(dealt.join(often, F.col("token") == F.col("of"), "left_semi")).join(ns, "row"))
     rows = _counted(shared.withColumn("sent", _sent_size(F.col("n"), join)), join)
     # sets short of cold shingles send the rest of theirs; whoever sent one of these joins in
     thin = written(rows.filter(_is_short(join) & (F.col("sent") < F.col("n"))).select("row").distinct())
@@ -352,14 +370,15 @@ def groups(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str =
     every = shared.select("row", "token", "plain", "n").union(again.select("row", "token", "plain", "n")).union(more).distinct()
     whole = thin.select(F.col("row").alias("thin"))
     size = F.when(F.col("thin").isNull(), _sent_size(F.col("n"), join)).otherwise(F.col("n"))
-    rows = written(_counted(written(every.join(whole, F.col("row") == F.col("thin"), "left")
-                                    .withColumn("sent", size).drop("thin")), join))
+    known = written(every.join(whole, F.col("row") == F.col("thin"), "left").withColumn("sent", size).drop("thin"),
+                    (shared, later))
+    rows = written(_counted(known, join), (known,))
 
     sizes = reps.select(F.col("node").alias("row"), "n")
     alike = sets.select("row", F.explode("firsts").alias("like")).join(sizes, "row")
     often = alike.groupBy(F.col("like").alias("often")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     met = written(alike.join(often, F.col("like") == F.col("often")).drop("often"))
-    parts = written(components(verified(_stars(met, join), texts, reps, join)))
+    parts = written(components(verified(_stars(met, join), texts, reps, join)), (met,))
     # once more around each of the rarest hot shingles
     kinds = written(_rarest(rows, join).select(F.col("token").alias("like"), F.col("df").alias("c"), "row", "n"))
     parts = _merged(parts, verified(_stars(kinds, join), texts, reps, join))
