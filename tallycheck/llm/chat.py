@@ -34,7 +34,9 @@ def escaped(text: Column) -> Column:
 
 
 def unescaped(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("<~1|"), F.lit("<|")), F.lit("~0"), F.lit("~"))
+    """What :func:`escaped` hid, and the marks between parts, undone."""
+    opened = F.replace(F.replace(text, F.lit("<~1|"), F.lit("<|")), F.lit("~2"), F.lit(""))
+    return F.replace(opened, F.lit("~0"), F.lit("~"))
 
 
 class PartVisitor:
@@ -58,7 +60,13 @@ class PartVisitor:
         return F.when(self.is_attachment(part), self.visit_attachment(part)).otherwise(self.visit_text(part))
 
     def flatten(self, parts: Column) -> Column:
-        return F.concat_ws("", F.transform(parts, self.visit))
+        """The parts' texts in a row. A part that ends in ``<`` gets a mark before the
+        next one, which could go on with ``|`` and so make a control string of two parts."""
+        def joined(part: Column, at: Column) -> Column:
+            text = self.visit(part)
+            return F.when(text.endswith("<") & (at < F.size(parts) - 1), F.concat(text, F.lit("~2"))).otherwise(text)
+
+        return F.concat_ws("", F.transform(parts, joined))
 
     def attachments(self, parts: Column) -> Column:
         """In placeholder order: type, reference and tokens it expands to."""

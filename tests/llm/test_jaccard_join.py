@@ -8,7 +8,8 @@ from tallycheck.llm.components import components
 from tallycheck.llm.jaccard_join import JaccardJoin
 
 
-def brute(rows):
+def linked(rows):
+    """Each row's set, and a function that gives the root of a row's component."""
     sets = []
     for i, text, _ in rows:
         w = words_of(lower(text or ""))
@@ -24,6 +25,11 @@ def brute(rows):
         for b in range(a):
             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
                 head[root(a)] = root(b)
+    return sets, root
+
+
+def brute(rows):
+    sets, root = linked(rows)
     least = {}
     for k, (i, _, _) in enumerate(rows):
         if i is not None:
@@ -63,13 +69,32 @@ def test_distinct_keeps_one_row_of_each_group(spark):
     docs = clashing(documents(spark, rows))
     got = jaccard_join.distinct(docs)
     assert got.columns == docs.columns
-    empty = [i for i, t, _ in rows if not words_of(t)]
+    sets, root = linked(rows)
+    roots = {root(k) for k, s in enumerate(sets) if s}
+    empty = {(i, t) for i, t, _ in rows if not words_of(t)}  # rows that repeat id and text are one document
+    assert got.count() == len(roots) + len(empty)
     groups = {c for i, n, c in brute(rows) if n}
-    assert got.count() == len(groups) + len(empty)
     found = [r["doc_id"] for r in got.collect()]
     assert {x for x in groups if x is not None} <= set(found)
 
 
+def test_common_passages_form_no_pairs_of_unlike_sets(spark):
+    """Half the documents hold the same passage, and most of it makes up each of them."""
+    r = random.Random(12)
+    passage = sentence(r, 80)
+    rows = [(k, sentence(r, 8) + " " + passage + " " + sentence(r, 14), "s") for k in range(60)]
+    rows += [(100 + k, rows[k][1].replace(" ", "  ") + " and one more", "s") for k in range(0, 60, 7)]
+    rows += [(200 + k, sentence(r, 90), "s") for k in range(40)]
+    got = jaccard_join.groups(documents(spark, rows), JaccardJoin(hot=4))
+    assert sorted(((x["id"], x["n_shingles"], x["component_id"]) for x in got.collect()), key=repr) == brute(rows)
+
+
+def test_shuffled_texts_give_the_same_links(spark):
+    rows = corpus(21, 0.5)
+    got = jaccard_join.groups(documents(spark, rows), JaccardJoin(hot=3, held=0))  # nothing small enough to broadcast
+    assert sorted(((x["id"], x["n_shingles"], x["component_id"]) for x in got.collect()), key=repr) == brute(rows)
+
+
 def test_distinct_keeps_unlinked_texts_of_null_and_equal_ids(spark):
     r = random.Random(4)
     texts = [sentence(r, 60) for _ in range(8)]

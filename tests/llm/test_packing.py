@@ -18,7 +18,6 @@ def test_pieces_hold_each_id_once(spark):
     rules = Packing(shard_chars=100_000)
     got = packing.pack(clashing(documents(spark, rows)), BYTE, rules, with_ids=True).collect()
     plain = Tokenizer.from_file(BYTE)
-    plain.encode_special_tokens = True
     want = sorted(([*x.ids, 1] for x in plain.encode_batch([t or "" for _, t, _ in rows], add_special_tokens=False)))
     whole, open_docs = [], {}
     for p in sorted(got, key=lambda p: (repr(p["id"]), p["sequence_id"], p["offset"])):

@@ -4,11 +4,13 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from helpers import AWKWARD, clashing, documents, sentence
 from tallycheck.llm import token_files
-from tallycheck.llm.token_files import Encoder, portions, width
+from tallycheck.llm.pieces import portions
+from tallycheck.llm.token_files import _SETTLED, Encoder, width
 
 WORD, BYTE = (public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 ODD = ["", " ", "\n", "a  b", " a", "a ", "a\n\nb c", "a b   c", "a\x1cb \x1c c", "it's 's don't, x.", "é ́x",
@@ -23,10 +25,22 @@ def test_pieces_give_the_ids_of_whole_texts(path):
     texts = ODD + ["".join(r.choice(letters) for _ in range(r.randrange(40))) for _ in range(2000)]
     texts += [sentence(r, 50) for _ in range(20)]
     e = Encoder(path, most=50)
-    got = [x for a, b in portions(texts, 500) for x in e.encode(texts[a:b])]
+    end = np.array([1], e.dtype).tobytes()
+    got = []
+    for a, b in portions(texts, 500):
+        ids, ends = e.encode(texts[a:b], end)
+        got += [x.tolist() for x in np.split(ids, ends[:-1])]
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
-    assert got == [np.array(x.ids, e.dtype).tobytes() for x in plain.encode_batch(texts, add_special_tokens=False)]
+    assert got == [[*x.ids, 1] for x in plain.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_settled_code_points_are_alike_everywhere():
+    plain, pattern = Tokenizer.from_file(BYTE).pre_tokenizer, regex.compile(public_tokenizers.PATTERN)
+    for a, b in _SETTLED:
+        for c in map(chr, range(a, b + 1)):
+            text = f"a{c}1 {c}{c}b.{c}"
+            assert [at for _, at in plain.pre_tokenize_str(text)] == [m.span() for m in pattern.finditer(text)], hex(ord(c))
+            assert len(c.lower()) == 1
 
 
 def test_files_round_trip(spark, request):
@@ -39,7 +53,6 @@ def test_files_round_trip(spark, request):
     manifest = token_files.write_tokens(clashing(documents(spark, rows)), WORD)
     got = sorted((tuple(x) for x in token_files.read_documents(manifest).collect()), key=lambda x: x[1])
     plain = Tokenizer.from_file(WORD)
-    plain.encode_special_tokens = True
     ids = lambda t: [*plain.encode(t or "", add_special_tokens=False).ids, 1]
     want = [(i, len(x := ids(t)), zlib.crc32(np.array(x, "<u4").tobytes())) for i, t, _ in rows]
     assert sorted([(a, c, d) for a, b, c, d in got], key=repr) == sorted(want, key=repr)
