@@ -184,9 +184,9 @@ def _binary(ends: np.ndarray, data: np.ndarray) -> pa.BinaryArray:
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
-def _reassembled(kind: pa.DataType, path: str):
-    names = ["row", "id", "n_tokens", "ids"]
-    schema = pa.schema(list(zip(names, (pa.int64(), kind, pa.int64(), pa.binary()))))
+def _reassembled(kind: pa.DataType, path: str, with_decoded: bool):
+    fields = [("row", pa.int64()), ("id", kind), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())]
+    schema = pa.schema(fields if with_decoded else fields[:-1])
 
     def run(docs: pa.Table, packs: pa.Table) -> pa.Table:
         table, own = _words(packs), np.dtype(width(len(token_bytes(path))))
@@ -195,18 +195,19 @@ def _reassembled(kind: pa.DataType, path: str):
             row, key, ends, data = (docs[c][i] for c in ("rows", "ids", "ends", "codes"))
             found, upto = gathered(table, _of_planes(data.as_buffer()).astype(np.int32))
             tokens = (np.concatenate(([0], upto)) // own.itemsize)[ends.values.to_numpy()]
-            out.append(pa.RecordBatch.from_arrays(
-                [row.values, key.values, pa.array(np.diff(tokens, prepend=0)), _binary(4 * tokens, found.view(own).astype("<u4"))],
-                schema=schema))
+            ids = _binary(4 * tokens, found.view(own).astype("<u4"))
+            columns = [row.values, key.values, pa.array(np.diff(tokens, prepend=0)), ids]
+            out.append(pa.RecordBatch.from_arrays(columns + [_joined(ids, path)] * with_decoded, schema=schema))
         return pa.Table.from_batches(out, schema)
 
     return run
 
 
 def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text",
-           block_chars: int = BLOCK_CHARS) -> DataFrame:
+           with_decoded: bool = False, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """A row per document: row, id, n_tokens and ids (little-endian unsigned 32-bit
-    integers, as bytes). ``path``: a file of ranks."""
+    integers, as bytes); ``with_decoded`` also what :func:`decode` makes of these ids, without
+    a way to other workers. ``path``: a file of ranks."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     spark = docs.sparkSession
@@ -228,22 +229,24 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
         _encoded(path), "of long, steps binary, sizes binary, ids binary")
     whole = blocks.filter("codes is not null").select("block", "rows", "ids", "ends", "codes")
     return whole.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(
-        _reassembled(to_arrow_type(kind), path), f"row long, id {name}, n_tokens long, ids binary")
+        _reassembled(to_arrow_type(kind), path, with_decoded),
+        f"row long, id {name}, n_tokens long, ids binary" + ", decoded binary" * with_decoded)
+
+
+def _joined(ids: pa.BinaryArray, path: str) -> pa.BinaryArray:
+    """The tokens' bytes of each row of ids: the token-byte table joined by id."""
+    table = token_bytes(path)
+    ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1] // 4
+    tokens = np.frombuffer(ids.buffers()[2], "<u4")[ends[0] : ends[-1]] if len(ids) and ends[-1] else np.zeros(0, "<u4")
+    known = tokens < len(table)
+    data, upto = gathered(table, tokens[known].astype(np.int32))
+    return _binary(np.concatenate(([0], upto))[np.concatenate(([0], np.cumsum(known)))[ends[1:] - ends[0]]], data)
 
 
 def _decoded(path: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_bytes(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = part["ids"]
-                ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1] // 4
-                tokens = np.frombuffer(ids.buffers()[2], "<u4")[ends[0] : ends[-1]] if ends[-1] else np.zeros(0, "<u4")
-                known = tokens < len(table)
-                data, upto = gathered(table, tokens[known].astype(np.int32))
-                upto = np.concatenate(([0], upto))[np.concatenate(([0], np.cumsum(known)))[ends[1:] - ends[0]]]
-                yield pa.RecordBatch.from_arrays([*(part[c] for c in names), _binary(upto, data)], [*names, "decoded"])
+        for part in sliced(batches, "ids"):
+            yield pa.RecordBatch.from_arrays([*(part[c] for c in names), _joined(part["ids"], path)], [*names, "decoded"])
 
     return run
 

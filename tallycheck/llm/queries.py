@@ -283,7 +283,7 @@ def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    found = bpe.encode(table(spark, sf_dir, "documents"), path, with_decoded=True)
     return found.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 

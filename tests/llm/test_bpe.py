@@ -39,7 +39,9 @@ def test_every_code_point_is_cut_alike():
 
 
 def check(spark, rows, **options):
-    got = bpe.decode(bpe.encode(clashing(documents(spark, rows)), PATH, **options), PATH).collect()
+    got = bpe.decode(bpe.encode(clashing(documents(spark, rows)), PATH, with_decoded=True, **options)
+                     .withColumnRenamed("decoded", "at_once"), PATH).collect()
+    assert all(x["at_once"] == x["decoded"] for x in got)
     enc = reference()
     want = [(i, np.array(enc.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for i, t, _ in rows]
     assert sorted(((x["id"], bytes(x["ids"]), bytes(x["decoded"])) for x in got), key=repr) == sorted(want, key=repr)
