@@ -35,10 +35,12 @@ SQL_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0b\f\r
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0b\f\r]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \t\n\x0b\f\r]+'), lambda x: x <> '') AS w FROM benchmark),
-items AS (SELECT item_id, w, len(w) AS m, least(len(w), 13) AS win, CASE WHEN len(w) >= 13 THEN 11 ELSE len(w) END AS need
-          FROM b WHERE len(w) >= 8),
-dg AS (SELECT doc_id, p, array_to_string(list_slice(w, p, p + 3), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS p FROM d WHERE len(w) > 3)),
-ig AS (SELECT item_id, p, array_to_string(list_slice(w, p, p + 3), ' ') AS g FROM (SELECT item_id, w, unnest(range(1, m - 2)) AS p FROM items)),
+items AS (SELECT item_id, w, len(w) AS m, least(len(w), 13) AS win, least(len(w), 4) AS k,
+                 CASE WHEN len(w) >= 13 THEN 11 WHEN len(w) >= 8 THEN len(w) - 1 ELSE len(w) END AS need
+          FROM b WHERE len(w) > 0),
+dg AS (SELECT doc_id, p, array_to_string(list_slice(w, p, p + k - 1), ' ') AS g
+       FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM items) WHERE len(w) >= k)),
+ig AS (SELECT item_id, p, array_to_string(list_slice(w, p, p + k - 1), ' ') AS g FROM (SELECT item_id, w, k, unnest(range(1, m - k + 2)) AS p FROM items)),
 diag AS (SELECT DISTINCT doc_id, item_id, dg.p - ig.p AS shift FROM dg JOIN ig USING (g)),
 eq AS (
   SELECT diag.doc_id, diag.item_id, shift, m, win, need, j, CAST(items.w[j] = d.w[nullif(greatest(j + shift, 0), 0)] AS INT) AS e

@@ -3,7 +3,7 @@ import random
 
 from helpers import AWKWARD, clashing, documents, sentence, words_of
 from tallycheck.llm import decontaminate
-from tallycheck.llm.decontaminate import MASKS, SUBSTITUTIONS, WINDOW
+from tallycheck.llm.decontaminate import MASKS, SHORT, SHORT_MASK, SUBSTITUTIONS, WINDOW
 
 
 def brute(rows, items):
@@ -12,13 +12,12 @@ def brute(rows, items):
         d = words_of((text or "").lower())
         for k, item in items:
             w = words_of((item or "").lower())
-            if len(w) < 8:
-                continue
-            size, need = min(WINDOW, len(w)), WINDOW - SUBSTITUTIONS if len(w) >= WINDOW else len(w)
+            size = min(13, len(w))
+            need = 11 if size == 13 else size - 1 if size >= 8 else size
             best = 0
             for shift in range(-len(w), len(d)):
                 eq = [0 <= j + shift < len(d) and d[j + shift] == w[j] for j in range(len(w))]
-                if any(sum(eq[a:a + size]) >= need for a in range(len(w) - size + 1)):
+                if w and any(sum(eq[a:a + size]) >= need for a in range(len(w) - size + 1)):
                     best = max(best, sum(eq))
             if best:
                 out.add((i, k, best, len(w)))
@@ -30,6 +29,26 @@ def test_masks_catch_every_placing_of_substitutions():
         assert any(not {p + s for p in m} & set(wrong) for m in MASKS for s in range(WINDOW - m[-1]))
 
 
+def test_short_mask_catches_every_single_substitution():
+    for size in range(SHORT, WINDOW):
+        for wrong in range(size):
+            assert any(wrong not in {p + s for p in SHORT_MASK} for s in range(size - SHORT_MASK[-1]))
+
+
+def test_short_items(spark):
+    items = [(1, "alpha beta gamma delta epsilon zeta eta theta"), (2, "one two three"), (3, "solo"), (4, "a b c d e"),
+             (5, "k1 k2 k3 k4 k5 k6 k7 k8 k9 k10 k11 k12")]
+    rows = [(1, "x ALPHA beta gamma CHANGED epsilon zeta eta theta", "s"), (2, "alpha beta gamma y epsilon y eta theta", "s"),
+            (3, "so one two three four", "s"), (4, "one two\nfour three", "s"), (5, "Solo", "s"), (6, "soloist", "s"),
+            (7, "a b c d e", "s"), (8, "a b c x e", "s"), (9, "k1 k2 k3 k4 k5 k6 k7 k8 k9 k10 k11 zz", "s"), (10, None, "s")]
+    rows += [(100 + p, " ".join("w" if k == p else f"k{k + 1}" for k in range(12)), "s") for p in range(12)]
+    want = brute(rows, items)
+    assert {w[0] for w in want} == {1, 3, 5, 7, 9, *range(100, 112)}
+    for most in (250_000, 0):
+        got = decontaminate.leaks(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string"), max_words=most)
+        assert sorted(((r["id"], r["item"], r["matched"], r["item_size"]) for r in got.collect()), key=repr) == want
+
+
 def corpus():
     r = random.Random(3)
     items = [(k, sentence(r, n)) for k, n in enumerate((15, 13, 12, 8, 7, 40, 25, 1))] + [(20, None), (21, ""), (22, "w1 " * 30)]
@@ -50,7 +69,7 @@ def test_equals_every_alignment(spark):
     rows, items = corpus()
     bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "'x' AS item", "1 AS at")
     want = brute(rows, items)
-    assert 20 < len(want) < 100
+    assert 20 < len(want) < 200
     for most in (250_000, 0):
         got = decontaminate.leaks(clashing(documents(spark, rows)), bench, max_words=most).collect()
         assert sorted({(r["id"], r["item"], r["matched"], r["item_size"]) for r in got}, key=repr) == want
