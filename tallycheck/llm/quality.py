@@ -34,14 +34,18 @@ class QualityRules:
     """``min_words``: least words of a document. ``repeat_pct``: most per cent of
     its words inside repeated windows of ``window`` words. A line is boilerplate
     if it stands in at least ``line_docs`` distinct documents of its host and in
-    more than ``line_pct`` per cent of them. A document is depleted if less than
-    ``keep_pct`` per cent of its words remain."""
+    more than ``line_pct`` per cent of them; one of ``long_words`` words or more,
+    which hardly recurs by chance, also from ``long_docs`` documents on, whatever
+    the host's size. A document is depleted if less than ``keep_pct`` per cent of
+    its words remain."""
 
     min_words: int = 20
     window: int = 8
     repeat_pct: int = 30
-    line_docs: int = 20
+    line_docs: int = 8
     line_pct: int = 5
+    long_words: int = 5
+    long_docs: int = 1000
     keep_pct: int = 30
 
 
@@ -111,11 +115,13 @@ def boilerplate(texts: DataFrame, rules: QualityRules) -> DataFrame:
     """(host, hash) of the lines above their host's limit. Counts are combined
     before each shuffle, so a hot host or line is many small sums."""
     hosts = texts.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("texts"))
-    lines = (texts.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["hash"]))).alias("hash"))
-             .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-             .filter(F.col("n") >= rules.line_docs))
-    return (lines.join(hosts, same(F.col("host"), F.col("of")))
-            .filter(F.col("n") * 100 > F.col("texts") * rules.line_pct).select("host", "hash"))
+    each = F.array_distinct(F.transform("lines", lambda x: F.struct(x["hash"].alias("hash"), x["words"].alias("words"))))
+    lines = (texts.select("host", F.inline(each))
+             .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"), F.max("words").alias("words"))
+             .filter(F.col("n") >= min(rules.line_docs, rules.long_docs)))
+    usual = (F.col("n") >= rules.line_docs) & (F.col("n") * 100 > F.col("texts") * rules.line_pct)
+    many = (F.col("words") >= rules.long_words) & (F.col("n") >= rules.long_docs)
+    return lines.join(hosts, same(F.col("host"), F.col("of"))).filter(usual | many).select("host", "hash")
 
 
 def removed_lines(texts: DataFrame, rules: QualityRules) -> DataFrame:

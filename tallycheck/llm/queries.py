@@ -83,9 +83,9 @@ twice AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g
 covered AS (SELECT doc_id, count(DISTINCT p + k) AS n_repeat_words
             FROM twice, (SELECT unnest(range(0, 8)) AS k) GROUP BY doc_id),
 texts AS (SELECT source, count(DISTINCT text) AS texts FROM d GROUP BY source),
-freq AS (SELECT source, norm, count(DISTINCT text) AS n FROM full_lines GROUP BY source, norm),
+freq AS (SELECT source, norm, max(len(lw)) AS words, count(DISTINCT text) AS n FROM full_lines GROUP BY source, norm),
 bad AS (SELECT freq.source, norm FROM freq JOIN texts ON freq.source IS NOT DISTINCT FROM texts.source
-        WHERE n >= 20 AND n * 100 > texts * 5),
+        WHERE (n >= 8 AND n * 100 > texts * 5) OR (words >= 5 AND n >= 1000)),
 cut AS (SELECT doc_id, sum(len(lw)) AS removed FROM full_lines f
         JOIN bad ON f.norm = bad.norm AND f.source IS NOT DISTINCT FROM bad.source GROUP BY doc_id),
 stats AS (

@@ -16,7 +16,8 @@ def brute(rows, rules):
         texts.setdefault(host, set()).add(text)
         for line in {norm(x) for x in text.split("\n")} - {""}:
             lines.setdefault((host, line), set()).add(text)
-    bad = {k for k, v in lines.items() if len(v) >= rules.line_docs and 100 * len(v) > rules.line_pct * len(texts[k[0]])}
+    bad = {k for k, v in lines.items() if len(v) >= rules.line_docs and 100 * len(v) > rules.line_pct * len(texts[k[0]])
+           or len(v) >= rules.long_docs and len(k[1].split(" ")) >= rules.long_words}
     out = []
     for i, text, host in rows:
         text = text or ""
@@ -54,6 +55,18 @@ def test_judge_equals_brute_force(spark):
     assert any(b[6] for b in brute(rows, RULES)) and any(not b[7] and not b[8] for b in brute(rows, RULES))
 
 
+def test_long_lines_have_a_limit_of_their_own(spark):
+    r = random.Random(6)
+    rules = QualityRules(line_docs=4, line_pct=50, long_words=5, long_docs=6)
+    long, short = "all rights reserved by us", "read more here now"
+    rows = [(k, "\n".join([sentence(r, 60), *([long] if k < 6 else []), *([short] if k < 9 else [])]), "hot") for k in range(40)]
+    rows += [(100 + k, f"{sentence(r, 60)}\n{long}", "other") for k in range(5)]
+    got = quality.judge(documents(spark, rows), rules).collect()
+    cols = ("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words", "base_failed", "kept")
+    assert sorted((tuple(r[c] for c in cols) for r in got), key=repr) == brute(rows, rules)
+    assert {r["id"]: r["removed_words"] for r in got if r["removed_words"]} == {**dict.fromkeys(range(6), 5), **dict.fromkeys(range(100, 105), 5)}
+
+
 def test_filtered_keeps_rows_and_columns_and_cuts_lines(spark):
     rows = corpus()
     docs = clashing(documents(spark, rows))
