@@ -39,7 +39,6 @@ VENDOR = re.compile(r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|glpat-[A-Za-z0-9_-]{20,}|x
                     r"|sk-[A-Za-z0-9_-]{20,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)")
 _ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 _VENDOR_MARKS = ("gh", "glpat-", "xox", "sk-", "AIza", "eyJ")
-_PLACEHOLDER = re.compile(r"example|sample|changeme|placeholder|your[_-]|dummy|test|xxxx|1234567", re.IGNORECASE)
 
 SPAN = "struct<kind:string,start:int,stop:int,value:binary,from:int,to:int,random:boolean>"
 
@@ -100,8 +99,7 @@ def _scan(rule: Ownership):
                     spans.append({
                         "kind": k, "start": s, "stop": e, "value": xxhash.xxh3_128_digest(value.encode()),
                         "from": a, "to": b,
-                        "random": len(value) >= rule.min_chars and bits_a_char(value) >= rule.min_bits
-                        and not _PLACEHOLDER.search(value)})
+                        "random": len(value) >= rule.min_chars and bits_a_char(value) >= rule.min_bits})
                 out["spans"].append(spans)
             span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("value", pa.binary()),
                               ("from", pa.int32()), ("to", pa.int32()), ("random", pa.bool_())])
