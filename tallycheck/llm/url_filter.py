@@ -48,10 +48,17 @@ def host_of(url: str | None) -> tuple[str, str]:
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
-def suffixes(host: str) -> list[str]:
-    """The host and its parent domains."""
-    parts = host.split(".")
-    return [".".join(parts[i:]) for i in range(len(parts))]
+def suffixes(host: str, depths: Sequence[int]) -> list[str]:
+    """The host and its parent domains that have one of these numbers of labels
+    (ascending): a host of many thousand labels gives no more than rules can have."""
+    found, start = [], len(host) + 1
+    for n in range(1, (depths[-1] if depths else 0) + 1):
+        start = host.rfind(".", 0, max(start - 1, 0)) + 1
+        if n in depths:
+            found.append(host[start:])
+        if not start:
+            break
+    return found
 
 
 def _opened(uri: str) -> np.ndarray:
@@ -65,9 +72,9 @@ def _opened(uri: str) -> np.ndarray:
 
 def write_index(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> str:
     """Writes (host, path, verdict) rules as a digest array; returns its folder.
-    ``keys.bin``: sorted uint64 keys, then as many + 1 uint64 offsets into
-    ``strings.bin`` (verdict letter, then the rule), then the distinct lengths of
-    rule paths."""
+    ``keys.bin``: the numbers of rules and of path lengths, sorted uint64 keys, one
+    more uint64 offsets into ``strings.bin`` (verdict letter, then the rule), the
+    distinct lengths of rule paths and numbers of labels of rule hosts."""
     verdicts: dict[tuple[str, str], str] = {}
     for host, path, verdict in rules:
         rule = (host, path)
@@ -79,9 +86,10 @@ def write_index(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> s
     folder = shared_dir(spark)
     store, path = fs.FileSystem.from_uri(folder)
     store.create_dir(path, recursive=True)
-    head = np.array([len(keyed)], "<u8")
+    depths = np.array(sorted({h.count(".") + 1 for _, h, _, _ in keyed}), np.uint64)
+    head = np.array([len(keyed), len(lengths)], "<u8")
     for name, data in (("keys.bin", b"".join(x.astype("<u8").tobytes() for x in (
-            head, np.array([k for k, *_ in keyed], np.uint64), offsets, lengths))), ("strings.bin", b"".join(strings))):
+            head, np.array([k for k, *_ in keyed], np.uint64), offsets, lengths, depths))), ("strings.bin", b"".join(strings))):
         with store.open_output_stream(f"{path}/{name}") as f:
             f.write(data)
     return folder
@@ -96,15 +104,16 @@ class DigestArray:
 
     def __init__(self, folder: str):
         words = _opened(f"{folder}/keys.bin").view("<u8")
-        n = int(words[0])
-        self.keys, self.offsets, self.lengths = words[1 : n + 1], words[n + 1 : 2 * n + 2], words[2 * n + 2 :].tolist()
+        n, of_lengths = map(int, words[:2])
+        self.keys, self.offsets, rest = words[2 : n + 2], words[n + 2 : 2 * n + 3], words[2 * n + 3 :].tolist()
+        self.lengths, self.depths = rest[:of_lengths], rest[of_lengths:]
         self.strings = _opened(f"{folder}/strings.bin")
 
     def match(self, pages: list[tuple[str, str]]) -> list[tuple[str, str] | None]:
         """For each (host, path) the longest rule that fits, as (rule, verdict)."""
         probe, owner, wanted = [], [], []
         for i, (host, path) in enumerate(pages):
-            for h in suffixes(host):
+            for h in suffixes(host, self.depths):
                 for n in self.lengths:
                     if n <= len(path):
                         probe.append(_key(h, path[:n]))
@@ -148,11 +157,11 @@ def _judge_batches(folder: str, default: str):
     return run
 
 
-def _split_batches(lengths: list[int]):
+def _split_batches(lengths: list[int], depths: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pages = [host_of(u) for u in batch["url"].to_pylist()]
-            keys = [[{"host": h, "path": p[:n]} for h in suffixes(host) for n in lengths if n <= len(p)]
+            keys = [[{"host": h, "path": p[:n]} for h in suffixes(host, depths) for n in lengths if n <= len(p)]
                     for host, p in pages]
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], batch["id"], pa.array([h for h, _ in pages], pa.string()),
@@ -182,9 +191,11 @@ def judge(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url_co
 def _joined(rows: DataFrame, rules: DataFrame, kind: str, default: str) -> DataFrame:
     """The same result by an exact join, for lists too long for every task."""
     best = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # block sorts after allow
-    lengths = sorted(r[0] for r in best.select(F.length("path")).distinct().collect())
+    # at most as many values as the longest rule has characters
+    distinct = lambda size: sorted(r[0] for r in best.select(size).distinct().collect())
+    lengths, depths = distinct(F.length("path")), distinct(F.size(F.split("host", r"\.", -1)))
     keyed = written(rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _split_batches(lengths), f"row long, id {kind}, host string, path string, "
+        _split_batches(lengths, depths), f"row long, id {kind}, host string, path string, "
                                  "keys array<struct<host:string,path:string>>"))
     hits = (keyed.select("row", F.inline(F.array_distinct("keys"))).join(best, ["host", "path"])
             .groupBy(F.col("row").alias("hit"))

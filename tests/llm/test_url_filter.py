@@ -5,7 +5,7 @@ import pytest
 
 from helpers import clashing
 from tallycheck.llm import url_filter
-from tallycheck.llm.url_filter import DigestArray, host_of, write_index
+from tallycheck.llm.url_filter import DigestArray, host_of, suffixes, write_index
 
 URLS = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/en/1?x", "https://example.org", "x://EXAMPLE.org#f", "x://a.b/c://d",
         "http://ÄB.org/", "http://org/es/", "http://notexample.org/es/1", "http://u.com/fr/a/b;c", "http:///p"]
@@ -41,6 +41,20 @@ def test_equals_every_rule_tried(spark, most):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("most", [1000, 0])
+def test_hosts_of_many_labels(spark, most):
+    url = "http://" + "a." * 200_000 + "b.org/" + "p/" * 100_000
+    rules = [("org", "/", "allow"), ("b.org", "/p/p", "block"), ("x.y.z.org", "", "allow")]
+    pages = spark.createDataFrame([(1, url), (2, "http://org./p"), (3, "http://...")], "page_id long, url string")
+    got = url_filter.judge(pages, spark.createDataFrame(rules, "host string, path string, verdict string"), max_rules=most).collect()
+    assert [(r["id"], r["rule"], r["verdict"]) for r in sorted(got)] == [(1, "b.org/p/p", "block"), (2, None, "allow"), (3, None, "allow")]
+
+
+def test_suffixes():
+    assert suffixes("a.b.c", [1, 2, 3, 9]) == ["c", "b.c", "a.b.c"] and suffixes("a.b.c", [2]) == ["b.c"]
+    assert suffixes("", [1, 2]) == [""] and suffixes("a.", [1, 2]) == ["", "a."] and suffixes("a", []) == []
+
+
 def test_collisions_are_confirmed_by_the_string(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "_key", lambda h, p: 7)
     index = DigestArray(write_index(spark, [("a.org", "/", "block"), ("b.org", "/", "allow"), ("c", "/x", "block")]))
