@@ -7,15 +7,17 @@ The template then marks the turns::
 
     <|im_start|>role\\n  content  <|im_end|>\\n
 
-Control strings inside texts are escaped reversibly (``~`` to ``~0``, ``<|`` to
+A placeholder is ``<|image:2|>``: the second attachment of its message. Control
+strings inside texts are escaped reversibly (``~`` to ``~0``, ``<|`` to
 ``<~1|``, and in roles a line break to ``~2``), so a text can never open or close
-a turn. ``loss`` lists the spans (code points, end exclusive) of the assistant's
-content; :func:`read_back` recovers turns and loss text from the string.
+a turn or spell a placeholder. ``loss`` lists the spans (code points, end exclusive)
+of the assistant's content; :func:`read_back` recovers turns, their texts and
+placeholders, and the loss text from the string.
 
 Defined results: a null text or role counts as empty, a null part list too, an
 unknown part type as text; turns are ordered by turn number, nulls first, ties
-by role and content, and repeated rows stay repeated turns; rows of a null
-conversation id form one conversation; an empty table gives an empty result;
+by role and content, and repeated rows stay repeated turns; a row without a
+conversation id is a conversation of its own; an empty table gives an empty result;
 other columns are ignored. A conversation is one output string, so its turns
 meet in one row; nothing larger is ever gathered.
 """
@@ -49,27 +51,26 @@ class PartVisitor:
     def visit_text(self, part: Column) -> Column:
         return escaped(F.coalesce(part["text"], F.lit("")))
 
-    def visit_attachment(self, part: Column) -> Column:
-        """``<|image|>`` once, in its place; the caller's order numbers it."""
-        return F.concat(F.lit("<|"), part["type"], F.lit("|>"))
+    def visit_attachment(self, part: Column, number: Column) -> Column:
+        return F.concat(F.lit("<|"), part["type"], F.lit(":"), number.cast("string"), F.lit("|>"))
 
     def is_attachment(self, part: Column) -> Column:
         return F.coalesce(part["type"].isin(*self.tokens_per_unit), F.lit(False))
 
-    def visit(self, part: Column) -> Column:
-        return F.when(self.is_attachment(part), self.visit_attachment(part)).otherwise(self.visit_text(part))
+    def visit(self, part: Column, number: Column) -> Column:
+        return F.when(self.is_attachment(part), self.visit_attachment(part, number)).otherwise(self.visit_text(part))
 
     def flatten(self, parts: Column) -> Column:
         """The parts' texts in a row. A part that ends in ``<`` gets a mark before the
         next one, which could go on with ``|`` and so make a control string of two parts."""
         def joined(part: Column, at: Column) -> Column:
-            text = self.visit(part)
+            text = self.visit(part, F.size(F.filter(F.slice(parts, 1, at + 1), self.is_attachment)))
             return F.when(text.endswith("<") & (at < F.size(parts) - 1), F.concat(text, F.lit("~2"))).otherwise(text)
 
         return F.concat_ws("", F.transform(parts, joined))
 
     def attachments(self, parts: Column) -> Column:
-        """In placeholder order: type, reference and tokens it expands to."""
+        """In the order of their numbers: type, reference and tokens they expand to."""
         def record(p: Column) -> Column:
             per = F.lit(0)
             for kind, n in self.tokens_per_unit.items():
@@ -91,14 +92,15 @@ def format_chats(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: st
                  parts_col: str = "parts", visitor: PartVisitor | None = None,
                  loss_role: str = "assistant") -> DataFrame:
     """A row per conversation: conv_id, ``formatted``, ``loss`` (array of start
-    and end) and ``attachments`` (turn index, type, ref, tokens, in order)."""
+    and end) and ``attachments`` (turn index, number, type, ref, tokens, in order)."""
     visitor = visitor or PartVisitor()
     parts = F.coalesce(F.col(parts_col), F.array().cast(f"array<{PART}>"))
     role = F.replace(escaped(F.coalesce(F.col(role_col).cast("string"), F.lit(""))), F.lit("\n"), F.lit("~2"))
+    alone = F.when(F.col(conv_col).isNull(), F.monotonically_increasing_id())
     turns = messages.select(
-        F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), role.alias("role"),
+        F.col(conv_col).alias("conv_id"), alone.alias("alone"), F.col(turn_col).alias("turn"), role.alias("role"),
         visitor.flatten(parts).alias("content"), visitor.attachments(parts).alias("attached"))
-    whole = turns.groupBy("conv_id").agg(
+    whole = turns.groupBy("conv_id", "alone").agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "content", "attached"))).alias("turns"))
     head = lambda t: F.concat(F.lit(START), t["role"], F.lit("\n"))
     pieces = whole.select(
@@ -107,8 +109,8 @@ def format_chats(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: st
         F.transform("turns", lambda t: F.struct(
             (t["role"] == loss_role).alias("loss"), F.length(head(t)).alias("head"),
             F.length(t["content"]).alias("n"))).alias("size"),
-        F.flatten(F.transform("turns", lambda t, i: F.transform(t["attached"], lambda a: F.struct(
-            i.cast("long").alias("turn"), a["type"].alias("type"), a["ref"].alias("ref"),
+        F.flatten(F.transform("turns", lambda t, i: F.transform(t["attached"], lambda a, k: F.struct(
+            i.cast("long").alias("turn"), (k + 1).alias("number"), a["type"].alias("type"), a["ref"].alias("ref"),
             a["tokens"].alias("tokens"))))).alias("attachments"))
     tail = len(END) + 1
     span = "struct<start:bigint,end:bigint>"
@@ -126,12 +128,25 @@ def format_chats(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: st
 
 def read_back(chats: DataFrame) -> DataFrame:
     """From ``formatted`` and ``loss`` alone: conv_id, ``turns`` (role, text;
-    placeholders stay as they are), ``loss_text`` and the formatted string."""
+    placeholders stay as they are), ``parts`` (per turn a list of ``placeholder``,
+    null for texts, and ``text``, null for placeholders; neighbouring texts are one,
+    empty ones left out), ``loss_text`` and the formatted string."""
     cut = F.filter(F.split("formatted", r"<\|im_end\|>\n", -1), lambda x: x.startswith(START))
+    content = lambda x: F.substring(x, F.instr(x, F.lit("\n")) + 1, F.length(x))
     turn = F.transform(cut, lambda x: F.struct(
         unescaped(F.replace(F.substring_index(F.substring(x, len(START) + 1, 2**31 - 1), "\n", 1),
                             F.lit("~2"), F.lit("\n"))).alias("role"),
-        unescaped(F.substring(x, F.instr(x, F.lit("\n")) + 1, F.length(x))).alias("text")))
+        unescaped(content(x)).alias("text")))
+
+    def pieces(chunk: Column) -> Column:
+        """A chunk may open with a placeholder: no text has ``<|`` unescaped."""
+        mark = F.regexp_extract(chunk, r"^<\|[^|]*\|>", 0)
+        text = unescaped(F.substring(chunk, F.length(mark) + 1, F.length(chunk)))
+        null = F.lit(None).cast("string")
+        found = F.array(F.struct(mark.alias("placeholder"), null.alias("text")), F.struct(null.alias("placeholder"), text.alias("text")))
+        return F.filter(found, lambda p: F.coalesce(p["placeholder"], p["text"]) != "")
+
+    parts = F.transform(cut, lambda x: F.flatten(F.transform(F.split(content(x), r"(?=<\|)", -1), pieces)))
     loss = F.concat_ws("", F.transform("loss", lambda s: F.substring(
         "formatted", (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))))
-    return chats.select("conv_id", "formatted", turn.alias("turns"), unescaped(loss).alias("loss_text"))
+    return chats.select("conv_id", "formatted", turn.alias("turns"), parts.alias("parts"), unescaped(loss).alias("loss_text"))

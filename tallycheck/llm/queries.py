@@ -172,13 +172,13 @@ WITH m AS (
   UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
 t AS (
   SELECT *, length('<|im_start|>') + length({SQL_TURN % "role"}) + 1 + length({SQL_TURN % "text"})
-            + length('<|im_end|>') + 1 AS chars FROM m)
+            + length('<|im_end|>') + 1 AS chars, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM m)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
-FROM t GROUP BY conv_id
+FROM t GROUP BY conv_id, alone
 """
 
 

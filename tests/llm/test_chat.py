@@ -26,18 +26,30 @@ def test_texts_round_trip(spark):
 def test_parts_flatten_to_placeholders(spark):
     part = lambda kind, text=None, ref=None, units=None: (kind, text, ref, units)
     rows = [(1, 0, "user", [part("text", "see "), part("image", None, "a.png", 2), part("audio", None, "b.wav", None),
-                            part("text", " <|image|>"), part("video", "?")]),
+                            part("text", " <|image:1|>"), part("video", "?")]),
             (1, 1, "assistant", [part("text", "ok"), part("document", None, "c.pdf", 3)]), (1, 2, "user", None),
             (1, 3, "user", [])]
     df = spark.createDataFrame(rows, f"conv_id long, turn int, role string, parts array<{chat.PART}>")
     r = chat.format_chats(df).collect()[0]
-    assert r["formatted"] == ("<|im_start|>user\nsee <|image|><|audio|> <~1|image|>?<|im_end|>\n"
-                              "<|im_start|>assistant\nok<|document|><|im_end|>\n"
+    assert r["formatted"] == ("<|im_start|>user\nsee <|image:1|><|audio:2|> <~1|image:1|>?<|im_end|>\n"
+                              "<|im_start|>assistant\nok<|document:1|><|im_end|>\n"
                               "<|im_start|>user\n<|im_end|>\n<|im_start|>user\n<|im_end|>\n")
-    assert [tuple(a) for a in r["attachments"]] == [(0, "image", "a.png", 512), (0, "audio", "b.wav", 25),
-                                                    (1, "document", "c.pdf", 1536)]
+    assert [tuple(a) for a in r["attachments"]] == [(0, 1, "image", "a.png", 512), (0, 2, "audio", "b.wav", 25),
+                                                    (1, 1, "document", "c.pdf", 1536)]
+    back = chat.read_back(chat.format_chats(df)).collect()[0]
+    assert [[tuple(p) for p in turn] for turn in back["parts"]] == [
+        [(None, "see "), ("<|image:1|>", None), ("<|audio:2|>", None), (None, " <|image:1|>?")],
+        [(None, "ok"), ("<|document:1|>", None)], [], []]
     (start, end), = [tuple(x) for x in r["loss"]]
-    assert r["formatted"][start:end] == "ok<|document|>"
+    assert r["formatted"][start:end] == "ok<|document:1|>"
+
+
+def test_rows_without_a_conversation_stand_alone(spark):
+    rows = [(None, 0, "user", "same")] * 3 + [(None, 1, "assistant", "b"), (1, 0, "user", "c"), (1, 1, "user", "<")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3)
+    got = chat.read_back(chat.format_chats(df.withColumn("parts", chat.text_parts(F.col("text"))))).collect()
+    assert sorted((repr(r["conv_id"]), [t["text"] for t in r["turns"]]) for r in got) == [
+        ("1", ["c", "<"]), ("None", ["b"]), *[("None", ["same"])] * 3]
 
 
 def test_empty_table(spark):
