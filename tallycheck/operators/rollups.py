@@ -210,22 +210,21 @@ def kpi_summary(universe: DataFrame, universe_key: str, canonical: DataFrame, ca
                     "MISMATCH_RATE", "RECORD_SCOPE", "ENVIRONMENT")
 
 
-def timeline(canonical: DataFrame, *, entity: str, received: str, universe: DataFrame,
-             universe_key: str, zone: str = fixed.LOCAL_TIME_ZONE,
-             environment: str = fixed.PRODUCTION, refresh_timestamp: bool = True) -> DataFrame:
-    """Coverage over time: first receipt per entity (local time), counted per
-    minute, with the running total and 1-based index in minute order.
+def minute_counts(first: DataFrame, local: str) -> DataFrame:
+    """Entities per minute of their (only) local receipt time ``local``."""
+    return first.groupBy(minute_bucket(local).alias("TIME_BUCKET")).agg(F.count(F.lit(1)).alias("QR_RECEIVED_COUNT"))
+
+
+def timeline_of_minutes(minutes: DataFrame, *, universe: DataFrame, universe_key: str,
+                        environment: str = fixed.PRODUCTION, refresh_timestamp: bool = True) -> DataFrame:
+    """The coverage timeline of minute counts (TIME_BUCKET, QR_RECEIVED_COUNT).
 
     The running numbers are computed per local day (a window partitioned by
     date) plus the totals of the earlier days (a window over one row per day),
     so no single task ever holds more than one day of minute buckets.
     """
-    first = (canonical.filter(F.col(entity).isNotNull() & F.col(received).isNotNull())
-             .groupBy(entity).agg(F.min(to_local(received, zone)).alias("_first")))
-    per_min = (first.groupBy(minute_bucket("_first").alias("TIME_BUCKET"))
-               .agg(F.count(F.lit(1)).alias("QR_RECEIVED_COUNT"))
-               .withColumns({"RECEIVED_DATE": F.to_date("TIME_BUCKET"),
-                             "RECEIVED_HOUR": F.hour("TIME_BUCKET")}))
+    per_min = minutes.select("TIME_BUCKET", "QR_RECEIVED_COUNT", F.to_date("TIME_BUCKET").alias("RECEIVED_DATE"),
+                             F.hour("TIME_BUCKET").alias("RECEIVED_HOUR"))
     days = per_min.groupBy("RECEIVED_DATE").agg(F.sum("QR_RECEIVED_COUNT").alias("_day_n"),
                                                 F.count(F.lit(1)).alias("_day_b"))
     before = Window.orderBy("RECEIVED_DATE").rowsBetween(Window.unboundedPreceding, -1)
@@ -252,6 +251,17 @@ def timeline(canonical: DataFrame, *, entity: str, received: str, universe: Data
     return t.withColumns(extra).select(*cols, *extra.keys())
 
 
+def timeline(canonical: DataFrame, *, entity: str, received: str, universe: DataFrame,
+             universe_key: str, zone: str = fixed.LOCAL_TIME_ZONE,
+             environment: str = fixed.PRODUCTION, refresh_timestamp: bool = True) -> DataFrame:
+    """Coverage over time: first receipt per entity (local time), counted per
+    minute, with the running total and 1-based index in minute order."""
+    first = (canonical.filter(F.col(entity).isNotNull() & F.col(received).isNotNull())
+             .groupBy(entity).agg(F.min(to_local(received, zone)).alias("_first")))
+    return timeline_of_minutes(minute_counts(first, "_first"), universe=universe, universe_key=universe_key,
+                               environment=environment, refresh_timestamp=refresh_timestamp)
+
+
 def safe_singles(df: DataFrame, keys: Sequence[str], fields: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Per group: number of distinct non-null values of each field, and the value
     itself only when there is exactly one (repeated totals must not be summed).

@@ -26,7 +26,7 @@ from tallycheck.functions import (
     scalar_ratio,
     whole_number,
 )
-from tallycheck.operators import gate, rollups
+from tallycheck.operators import gate, ordering, rollups
 from tallycheck.operators.reconcile import duplicate_keys
 from tallycheck.plans import election
 from tallycheck.plans import fixtures as X
@@ -592,6 +592,40 @@ def q_ballot_map(spark, d):
     return X.parts_map(spark, d)
 
 
+def order_sql(*cols: str) -> str:
+    return ", ".join(f"{c} ASC NULLS LAST" for c in cols)
+
+
+@query("ballot_map_order", f"""
+WITH {PARTS_MAP_SQL}
+SELECT *, row_number() OVER (ORDER BY {order_sql('CONTEST_CODE', 'BALLOT_POSITION', 'CANDIDATE_CODE', 'CHOICE_TYPE',
+                                                 'MAPPING_SOURCE', 'IS_MOCK_MAP')}) AS MAP_ROW FROM bm""")
+def q_ballot_map_order(spark, d):
+    """Each row's place in the ballot map's global order."""
+    return ordering.with_positions(X.parts_map(spark, d), ["CONTEST_CODE", "BALLOT_POSITION"], "MAP_ROW")
+
+
+@query("status_counts_order", f"""
+WITH {CMP_SQL},
+c AS (SELECT COMPARISON_STATUS, COUNT(*) AS ROW_COUNT FROM cmp GROUP BY COMPARISON_STATUS)
+SELECT *, row_number() OVER (ORDER BY COMPARISON_STATUS ASC NULLS LAST) AS STATUS_ROW FROM c""")
+def q_status_counts_order(spark, d):
+    """The status counts with their places in status order."""
+    return ordering.with_positions(rollups.status_counts(X.comparison(spark, d)), ["COMPARISON_STATUS"], "STATUS_ROW")
+
+
+@query("comparison_order", f"""
+WITH {CMP_SQL}
+SELECT COMPARISON_STATUS, ABS(VOTE_DIFFERENCE) AS ABS_DIFFERENCE,
+       row_number() OVER (ORDER BY COMPARISON_STATUS ASC NULLS LAST, ABS(VOTE_DIFFERENCE) ASC NULLS LAST) AS PLACE
+FROM cmp""")
+def q_comparison_order(spark, d):
+    """Every compared row's place by status and size of the difference;
+    few keys, so that single ones hold a large share of all rows."""
+    cmp = X.comparison(spark, d).select("COMPARISON_STATUS", F.abs("VOTE_DIFFERENCE").alias("ABS_DIFFERENCE"))
+    return ordering.with_positions(cmp, ["COMPARISON_STATUS", "ABS_DIFFERENCE"], "PLACE")
+
+
 @query("table_row_counts", f"""
 WITH {CMP_SQL}
 SELECT 'results_snapshot' AS TABLE_NAME, COUNT(*) AS ROW_COUNT FROM lineitem

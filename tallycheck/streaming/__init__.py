@@ -6,6 +6,6 @@ the night. :mod:`tallycheck.streaming.timeline` keeps the coverage timeline
 operators inside ``foreachBatch``.
 """
 
-from tallycheck.streaming.timeline import start_timeline
+from tallycheck.streaming.timeline import current_timeline, start_timeline
 
-__all__ = ["start_timeline"]
+__all__ = ["current_timeline", "start_timeline"]
