@@ -51,7 +51,7 @@ class JaccardJoin:
     ``whole`` shingles send all of them; larger ones their prefix and ``spare``
     more. ``hot``: sets that may share a shingle before it is paired last.
     ``orders``: token orders that a pair must pass. ``held``: texts to verify
-    whose keys every executor may hold (24 bytes each)."""
+    whose keys every executor may hold (24 bytes each), and copies whose rows it may."""
 
     k: int = 5
     percent: int = 75
@@ -292,17 +292,32 @@ def _part_pairs(part: DataFrame, plain: DataFrame, percent: int) -> DataFrame:
 
 def _untagged(sent: DataFrame) -> DataFrame:
     row = F.when(F.col("tagged") < 0, -1 - F.col("tagged")).otherwise(F.col("tagged"))
-    return sent.select("token", row.alias("row"), (F.col("tagged") >= 0).alias("plain"))
+    return sent.withColumns({"row": row, "plain": F.col("tagged") >= 0}).drop("tagged")
 
 
-def _counted(shared: DataFrame, join: JaccardJoin) -> DataFrame:
-    """The shingles that two sets or more sent, with ``df`` (how many did) and
-    ``hot_n`` (hot shingles the row sent)."""
-    counts = shared.groupBy(F.col("token").alias("of")).agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    rows = shared.join(counts, F.col("token") == F.col("of")).drop("of")
-    hot = rows.filter(F.col("df") > join.hot).groupBy(F.col("row").alias("hot_row")).agg(F.count(F.lit(1)).alias("hot_n"))
-    return (rows.join(hot, F.col("row") == F.col("hot_row"), "left").drop("hot_row")
-            .withColumn("hot_n", F.coalesce("hot_n", F.lit(0))))
+def _of_many(sent: DataFrame, least: int) -> DataFrame:
+    """The rows (token, tagged) whose token more than ``least`` sets sent, with
+    ``df`` (how many). The count and the join share one shuffle: the greatest row goes
+    along so that both need the same columns."""
+    dealt = sent.repartition("token")
+    counts = (dealt.groupBy(F.col("token").alias("of")).agg(F.count(F.lit(1)).alias("df"), F.max("tagged").alias("most"))
+              .filter((F.col("df") > least) & F.col("most").isNotNull()).drop("most"))
+    return dealt.join(counts, F.col("token") == F.col("of")).drop("of")
+
+
+def _thin(sent: DataFrame, sizes: DataFrame, join: JaccardJoin) -> DataFrame:
+    """The rows short of cold shingles among those they sent, if that weren't all."""
+    hot = _untagged(_of_many(sent, join.hot)).groupBy("row").agg(F.count(F.lit(1)).alias("hot_n"))
+    return (sizes.join(hot, "row").withColumn("sent", _sent_size(F.col("n"), join))
+            .filter(_is_short(join) & (F.col("sent") < F.col("n"))).select("row"))
+
+
+def _counted(sent: DataFrame, sizes: DataFrame, join: JaccardJoin) -> DataFrame:
+    """The shingles that two sets or more sent, with ``df`` (how many did), ``hot_n``
+    (hot shingles the row sent) and the row's ``n`` and ``sent`` of ``sizes``. One
+    shuffle by shingle, one by row."""
+    hot = F.count_if(F.col("df") > join.hot).over(W.partitionBy("row"))
+    return _untagged(_of_many(sent, 1)).join(sizes, "row").withColumn("hot_n", hot)
 
 
 def _stars(met: DataFrame, join: JaccardJoin) -> DataFrame:
@@ -342,42 +357,33 @@ def groups(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str =
                                 key2.alias("key2"), "text").mapInArrow(
         _sets(join), f"row long, id {kind}, key1 long, key2 long, n long, set1 long, set2 long, "
                      "firsts array<long>, prefix array<long>"))
-    heads = sets.drop("prefix", "firsts")
+    heads = written(sets.drop("prefix", "firsts"))
     # the representative's text: any text of the class has the same set
     reps = written(heads.filter("n > 0").groupBy("set1", "set2", "n")
                    .agg(F.min("row").alias("node"), F.min("id").alias("first_id"))
                    .join(heads.select(F.col("row").alias("node"), "key1", "key2"), "node"))
 
+    # of equal sets only the representative sends its shingles
+    copies = written(heads.filter("n > 0").select("row").join(reps.select(F.col("node").alias("row")), "row", "left_anti"))
+    if copies.count() <= join.held:
+        copies = F.broadcast(copies)
     plain = F.col("pos") < _prefix_size(F.col("n"), join.percent)
-    sent = sets.select("row", "n", F.posexplode("prefix").alias("pos", "token")).select(
+    sent = sets.join(copies, "row", "left_anti").select("row", "n", F.posexplode("prefix").alias("pos", "token")).select(
         "token", F.when(plain, F.col("row")).otherwise(-1 - F.col("row")).alias("tagged"))
-    dealt = sent.repartition("token")
-    # the least row goes along so that the count and the join share one shuffle
-    often = (dealt.groupBy(F.col("token").alias("of")).agg(F.count(F.lit(1)).alias("c"), F.min("tagged").alias("least"))
-             .filter("c > 1 and least is not null").select("of"))
-    ns = reps.select(F.col("node").alias("row"), "n")
-    shared = written(_untagged(dealt.join(often, F.col("token") == F.col("of"), "left_semi")).join(ns, "row"))
-    rows = _counted(shared.withColumn("sent", _sent_size(F.col("n"), join)), join)
-    # sets short of cold shingles send the rest of theirs; whoever sent one of these joins in
-    thin = written(rows.filter(_is_short(join) & (F.col("sent") < F.col("n"))).select("row").distinct())
+    sizes = reps.select(F.col("node").alias("row"), "n")
+    # sets short of cold shingles send the rest of theirs as well
+    thin = written(_thin(sent, sizes, join))
     later = written(_texts(thin, texts, reps, join).mapInArrow(_unsent(join), "row long, tokens array<long>")
-                    .select("row", F.explode("tokens").alias("token")))
-    late = later.select(F.col("token").alias("of")).distinct()
-    if late.count() <= join.held:
-        late = F.broadcast(late)
-    again = _untagged(sent.join(late, F.col("token") == F.col("of"), "left_semi")).join(ns, "row")
-    more = later.select("token", "row", F.lit(False).alias("plain")).join(ns, "row").select("row", "token", "plain", "n")
-    every = shared.select("row", "token", "plain", "n").union(again.select("row", "token", "plain", "n")).union(more).distinct()
-    whole = thin.select(F.col("row").alias("thin"))
-    size = F.when(F.col("thin").isNull(), _sent_size(F.col("n"), join)).otherwise(F.col("n"))
-    known = written(every.join(whole, F.col("row") == F.col("thin"), "left").withColumn("sent", size).drop("thin"),
-                    (shared, later))
-    rows = written(_counted(known, join), (known,))
+                    .select(F.explode("tokens").alias("token"), (-1 - F.col("row")).alias("tagged")))
+    whole = thin.select("row", F.col("row").alias("thin"))
+    known = F.when(F.col("thin").isNull(), _sent_size(F.col("n"), join)).otherwise(F.col("n"))
+    sizes = sizes.join(whole, "row", "left").withColumn("sent", known).drop("thin")
+    rows = written(_counted(sent.union(later), sizes, join), (later,))
 
     sizes = reps.select(F.col("node").alias("row"), "n")
     alike = sets.select("row", F.explode("firsts").alias("like")).join(sizes, "row")
     often = alike.groupBy(F.col("like").alias("often")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    met = written(alike.join(often, F.col("like") == F.col("often")).drop("often"))
+    met = written(alike.join(often, F.col("like") == F.col("often")).drop("often"), (sets,))
     parts = written(components(verified(_stars(met, join), texts, reps, join)), (met,))
     # once more around each of the rarest hot shingles
     kinds = written(_rarest(rows, join).select(F.col("token").alias("like"), F.col("df").alias("c"), "row", "n"))
@@ -385,7 +391,7 @@ def groups(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, id_col: str =
 
     named = rows.join(parts, F.col("row") == F.col("node"), "left").withColumn(
         "part", F.coalesce("component", "row")).drop("node", "component")
-    parts = _merged(parts, verified(_candidates(written(named), join), texts, reps, join))
+    parts = _merged(parts, verified(_candidates(written(named, (rows,)), join), texts, reps, join))
     label = (reps.join(parts.toDF("in_node", "part"), F.col("node") == F.col("in_node"), "left")
              .withColumn("part", F.coalesce("part", "node")).select("set1", "set2", "part", "first_id"))
     least = label.groupBy(F.col("part").alias("whole")).agg(F.min("first_id").alias("component_id"))
