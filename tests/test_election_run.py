@@ -161,3 +161,20 @@ def test_missing_references_and_columns(spark, tmp_path):
     write_inputs(root, override={"Raw Sources/parties.csv": "PARTIES_CODE\nP1\n"})
     with pytest.raises(MissingRequiredColumn, match="PARTIES_NAME"):
         election.run(spark, root)
+
+
+def test_large_tables_of_a_run_can_be_compressed(spark, tmp_path):
+    from tallycheck.sources import published
+
+    root, key = str(tmp_path / "in"), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    write_inputs(root)
+    before = spark.conf.get(key)
+    plain = election.run(spark, root, str(tmp_path / "a"))
+    small = election.run(spark, root, str(tmp_path / "b"), compression="gzip")
+    assert spark.conf.get(key) == before
+    files = lambda r, name: [f for f in os.listdir(os.path.join(r.folder, name)) if f.startswith("part-")]
+    assert files(small, "verification_comparison") and all(f.endswith(".csv.gz") for f in files(small, "verification_comparison"))
+    assert all(f.endswith(".csv") for f in files(plain, "verification_comparison") + files(small, "qa_final_summary"))
+    a, b = (published(spark, str(tmp_path / x)) for x in "ab")
+    for name in ("verification_comparison", "mobile_qr_results", "results_snapshot"):
+        assert sorted(map(str, a[name].collect())) == sorted(map(str, b[name].collect()))
