@@ -58,3 +58,33 @@ def test_no_join_carries_a_hint_or_crosses(spark):
     plan = catalog.QUERIES["reconcile"](spark, SMALL)._jdf.queryExecution()
     assert "strategy=broadcast" not in plan.analyzed().toString()
     assert "CartesianProduct" not in plan.executedPlan().toString()
+
+
+def test_comparison_neither_joins_nor_sorts_its_sides(spark):
+    from tests.test_reconcile import KEYS, frames
+    from tallycheck.operators.reconcile import reconcile
+
+    c, q, _ = frames(spark)
+    plan = reconcile(c, q, KEYS, csv_votes="V", qr_votes="V")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan
+
+
+def test_filters_on_combinations_are_not_run_on_every_line(spark):
+    df = fixtures.flag_map(spark, SMALL)
+    scan = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x]
+    assert scan and not any("l_linenumber" in x and "_n" not in x for x in scan)
+
+
+def test_a_task_reads_no_more_of_a_larger_table(spark):
+    from tallycheck.session import _AT_MOST, configure
+
+    before = {k: spark.conf.get(k) for k in _AT_MOST}
+    try:
+        for k, most in _AT_MOST.items():
+            spark.conf.set(k, "1g")
+            assert configure(spark).conf.get(k) == f"{most}b"
+            spark.conf.set(k, "1m")
+            assert configure(spark).conf.get(k) == "1m"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
