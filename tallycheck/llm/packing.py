@@ -27,11 +27,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycheck.llm.common import sliced, text_of, written
-from tallycheck.llm.token_files import encoder
+from tallycheck.llm.token_files import SLICE, encoder
 
 
 @dataclass(frozen=True)
@@ -107,10 +108,13 @@ class InvertedIndex:
         terms = self.queries[doc]
         rows = self.dense_row[terms]
         score = self.dense[rows[rows >= 0]].sum(axis=0)
-        spans = [slice(a, b) for a, b in zip(self.starts[terms[rows < 0]].tolist(), self.starts[terms[rows < 0] + 1].tolist())]
-        if spans:
-            score += np.bincount(np.concatenate([self.owners[s] for s in spans]),
-                                 np.concatenate([self.weights[s] for s in spans]), self.n)
+        rare = terms[rows < 0]
+        if len(rare):
+            first = self.starts[rare]
+            sizes = self.starts[rare + 1] - first
+            upto = np.cumsum(sizes)
+            at = np.arange(upto[-1]) + np.repeat(first - upto + sizes, sizes)
+            score += np.bincount(self.owners[at], self.weights[at], self.n)
         score[used] = 0
         found = np.flatnonzero(score)
         if most is not None and len(found) > most:  # ties with the last one stay until they are ordered
@@ -126,11 +130,14 @@ def packed(docs: list[np.ndarray], rules: Packing, corpus: Frequencies | None =
     used = np.zeros(len(docs), bool)
     first = 0
     waiting: list[int] = []  # neighbours for the current window, best last
+    asked = 0  # how many were looked up; none, when there are no more
     seed = None
     while True:
-        doc = None
-        while waiting and doc is None:
-            doc = waiting.pop()
+        if asked and not waiting:
+            # a neighbour has one token at least: more than the free ones are never taken
+            waiting = index.neighbours(seed, used, min(asked, rules.window - offset))[::-1].tolist()
+            asked = 16 * asked if len(waiting) == asked else 0
+        doc = waiting.pop() if waiting else None
         if doc is None:
             while first < len(docs) and used[first]:
                 first += 1
@@ -145,24 +152,39 @@ def packed(docs: list[np.ndarray], rules: Packing, corpus: Frequencies | None =
             start, offset = start + length, offset + length
             if offset == rules.window:
                 sequence, offset, seed = sequence + 1, 0, None
-                waiting = []
+                waiting, asked = [], 0
         if seed is None and offset:  # what is left of this document begins the window
-            seed = doc
-            # a neighbour has one token at least: more than the free ones are never taken
-            waiting = index.neighbours(doc, used, rules.window - offset)[::-1].tolist()
+            seed, asked = doc, 8
+
+
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.BinaryArray:
+    """A row of bytes for what stands in ``values`` up to each of ``ends``."""
+    offsets = (np.concatenate(([0], ends)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _values(column: pa.BinaryArray, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """What all rows of a column of bytes hold, one after the other, and how many each."""
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(dtype).itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), dtype), sizes
 
 
 def _encoded(tokenizer: str, end_id: int):
+    """Documents with their ids, and each document's terms once with how often it holds them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.dtype).tobytes()
-        for batch in sliced(batches):
+        for batch in sliced(batches, size=SLICE):
             texts = batch["text"].to_pylist()
             ids, ends = enc.encode(texts, end)
-            offsets = (np.concatenate(([0], ends)) * enc.dtype.itemsize).astype(np.int32)
-            packed_ids = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(ids.tobytes())])
+            parts = [np.unique(d, return_counts=True) for d in np.split(ids, ends[:-1])]
+            upto = np.cumsum([len(t) for t, _ in parts])
+            terms, counts = (np.concatenate(x) for x in zip(*parts))
             chars = pa.array([len(t) + 1 for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch["row"], batch["id"], chars, packed_ids], ["row", "id", "chars", "ids"])
+            yield pa.RecordBatch.from_arrays(
+                [batch["row"], batch["id"], chars, pa.array(np.diff(ends, prepend=0), pa.int64()), _binary(ids, ends),
+                 _binary(terms, upto), _binary(counts.astype("<u4"), upto)],
+                ["row", "id", "chars", "tokens", "ids", "terms", "counts"])
 
     return run
 
@@ -176,11 +198,9 @@ def _counted(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         df, n, tokens = np.zeros(enc.vocabulary, np.int64), 0, 0
-        for batch in batches:
-            for ids in batch["ids"]:
-                doc = np.frombuffer(ids.as_buffer(), enc.dtype)
-                df[np.unique(doc)] += 1
-                n, tokens = n + 1, tokens + len(doc)
+        for batch in sliced(batches, "terms"):
+            df += np.bincount(_values(batch["terms"], enc.dtype)[0], minlength=len(df))
+            n, tokens = n + batch.num_rows, tokens + (pc.sum(batch["tokens"]).as_py() or 0)
         terms = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(([_DOCS, _TOKENS], terms)), pa.int64()),
                                           pa.array(np.concatenate(([n, tokens], df[terms])), pa.int64())], ["term", "n"])
@@ -192,20 +212,23 @@ def _counted(tokenizer: str):
 _ORDER_TERMS = 4
 
 
-def best_terms(doc: np.ndarray, corpus: Frequencies, rules: Packing) -> list[int]:
-    """The document's best terms that another document holds, ties by id."""
-    terms, counts = np.unique(doc, return_counts=True)
-    held = corpus.df[terms] > 1
-    terms, counts = terms[held], counts[held]
-    weights = corpus.weights(terms, counts, len(doc), rules)
-    return terms[np.argsort(-weights, kind="stable")[:_ORDER_TERMS]].tolist()
+def best_terms(terms: np.ndarray, counts: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, corpus: Frequencies,
+               rules: Packing) -> list[np.ndarray]:
+    """Each document's best terms that another document holds, ties by id. Documents
+    stand one after the other, with ``sizes`` terms and ``lengths`` tokens."""
+    weights = corpus.weights(terms, counts, np.repeat(lengths, sizes), rules)
+    weights[corpus.df[terms] <= 1] = 0  # the others weigh more
+    upto = np.cumsum(sizes).tolist()
+    best = [a + np.argsort(-weights[a:b], kind="stable")[:_ORDER_TERMS] for a, b in zip([0, *upto], upto)]
+    return [terms[x[weights[x] > 0]] for x in best]
 
 
 def _keyed(tokenizer: str, corpus: Frequencies, rules: Packing):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = encoder(tokenizer).dtype
-        for batch in batches:
-            best = [best_terms(np.frombuffer(x.as_buffer(), kind), corpus, rules) for x in batch["ids"]]
+        for batch in sliced(batches, "terms", 1 << 20):
+            terms, sizes = _values(batch["terms"], kind)
+            best = best_terms(terms, _values(batch["counts"], "<u4")[0], sizes, batch["tokens"].to_numpy(), corpus, rules)
             yield pa.RecordBatch.from_arrays([pa.array(best, pa.list_(pa.int32())), *(batch[c] for c in ("row", "id", "ids"))],
                                              ["best", "row", "id", "ids"])
 
@@ -262,18 +285,18 @@ def pack(docs: DataFrame, tokenizer: str, rules: Packing = Packing(), *, id_col:
                        text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType
     name = kind.simpleString()
-    encoded = written(rows.mapInArrow(_encoded(tokenizer, rules.end_id), f"row long, id {name}, chars long, ids binary"),
-                      compression="zstd")
+    encoded = written(rows.mapInArrow(_encoded(tokenizer, rules.end_id), f"row long, id {name}, chars long, "
+                                      "tokens long, ids binary, terms binary, counts binary"), compression="zstd")
     chars = encoded.agg(F.sum("chars")).first()[0] or 0
     shards = max(1, -(-chars // rules.shard_chars))
     # as many rows as the vocabulary has ids, at most
-    counts = dict(tuple(r) for r in encoded.select("ids").mapInArrow(_counted(tokenizer), "term long, n long")
+    counts = dict(tuple(r) for r in encoded.select("tokens", "terms").mapInArrow(_counted(tokenizer), "term long, n long")
                   .groupBy("term").agg(F.sum("n")).collect())
     n, tokens = counts.pop(_DOCS, 0), counts.pop(_TOKENS, 0)
     df = np.zeros(max(counts, default=0) + 1, np.int64)
     df[list(counts)] = list(counts.values())
     corpus = Frequencies(n, tokens / max(n, 1), df)
-    keyed = written(encoded.select("row", "id", "ids").mapInArrow(
+    keyed = written(encoded.drop("chars").mapInArrow(
         _keyed(tokenizer, corpus, rules), f"best array<int>, row long, id {name}, ids binary"), (encoded,), "zstd")
     # the row divides what has the same best terms: no group is too large for a shard
     dealt = keyed.repartitionByRange(shards, "best", "row").sortWithinPartitions("best", "row").select("id", "ids")

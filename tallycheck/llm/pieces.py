@@ -119,8 +119,7 @@ def cut(texts: list[str], starts, wanted=None, with_ends: bool = False) -> tuple
     at = np.flatnonzero(starts(points)) if len(points) else np.zeros(0, np.int64)
     first, end = at, points[at] == ord(BETWEEN)
     if len(data) != len(points):
-        width = 1 + (points >= 0x80).astype(np.int8) + (points >= 0x800) + (points >= 0x10000)
-        at = (np.cumsum(width, dtype=np.int64) - width)[at]
+        at = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)[at]  # where code points begin
     offsets = np.append(at, len(data)).astype(np.int32)
     found = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     keep = np.ones(len(at), bool) if wanted is None else wanted(points[first])

@@ -7,8 +7,8 @@ that file) and one of the document ids. The number of
 tokens of each file is known only then: the bases are prefix sums over the small
 manifest, ordered by the first id of each file. Readers memory-map both files.
 
-Encoding goes by pieces that no merge spans: a task encodes each distinct piece once
-and gathers the ids by position. Texts with an added token's string, or with code
+Encoding goes by pieces that no merge spans: a task encodes each distinct piece of
+some megabytes of text once and gathers the ids by position. Texts with an added token's string, or with code
 points on which libraries disagree, are encoded whole; the ids are always those of a
 plain call of the tokenizers library.
 
@@ -20,6 +20,7 @@ columns are ignored. A lost task leaves at most files that no manifest row names
 
 from __future__ import annotations
 
+import os
 import unicodedata
 import uuid
 import zlib
@@ -28,13 +29,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallycheck.llm.common import shared_dir, sliced, text_of, written
-from tallycheck.llm.pieces import BETWEEN, byte_level_starts, cut, gathered, is_lexical, lexical_starts
+from tallycheck.llm.pieces import BETWEEN, byte_level_starts, cut, gathered, is_lexical, lexical_starts, portions
 
 #: Code points that every library sorts alike into letters, digits, white space and signs
 #: (others came, or changed, with later versions of Unicode), as ranges.
@@ -44,17 +46,20 @@ _SETTLED = [(0x00, 0x1B), (0x20, 0x84), (0x86, 0x12F), (0x131, 0x24F), (0x370, 0
 _settled = np.zeros(0x110000, bool)
 for _a, _b in _SETTLED:
     _settled[_a : _b + 1] = True
+#: Bytes of pieces that stay known at most, but for those of the last call.
+_MEMO_BYTES = 32 << 20
+_CLOSE = BETWEEN.encode("utf-8", "surrogatepass")
 
 
 class Encoder:
     """Ids of whole texts. A text's pieces (the matches of the tokenizer's pattern) are
-    encoded apart, as no merge spans two of them: each distinct piece of many texts
-    once, the others by position. A memo of bounded size keeps the ids of pieces. Texts
+    encoded apart, as no merge spans two of them: each distinct piece of a call once,
+    the others by position; about ``remember`` pieces stay known with their ids. Texts
     that name an added token, or whose pieces can't be told surely, go to the tokenizer
-    whole."""
+    whole. A call works on ``most`` characters at a time."""
 
-    def __init__(self, path: str, most: int = 800_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, most: int = 1 << 20, remember: int = 400_000):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.byte_level = self.tokenizer.normalizer is None
@@ -65,35 +70,91 @@ class Encoder:
         # a piece by itself wherever it stands between others
         self.between = "\n" if self.byte_level else " \x01 "
         self.mark = int(np.frombuffer(self.whole([self.between])[0], self.dtype)[0])
-        self.memo: dict[bytes, bytes] = {}
-        self.most = most
+        self.most, self.remember = most, remember
+        self.memo = pa.array([], pa.binary()), pa.array([], pa.binary())
+        if self.byte_level:  # joined pieces are cut already, and spelt in the vocabulary's letters, each a byte
+            spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+            every = "".join(map(chr, (*range(0x800), *range(0x800, 0xD800, 64), *range(0xE000, 0x110000, 64))))
+            self.letters = np.zeros(256, "<u4")
+            self.letters[list(every.encode())] = [ord(c) for c in spell(every)[0][0]]
+            self.plain = self.tokenizer.pre_tokenizer
+            self.joined = pre_tokenizers.CharDelimiterSplit(chr(self.letters[ord(self.between)]))
+            self.letters_of = np.zeros(self.vocabulary, np.int64)
+            for token, i in self.tokenizer.get_vocab().items():
+                self.letters_of[i] = len(token)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Each text encoded by itself."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.dtype).tobytes() for x in found]
 
-    def _learn(self, pieces: list[bytes], group: int = 256) -> None:
-        """Encodes pieces many to a call, and takes the ids apart at the mark between them."""
-        if len(self.memo) + len(pieces) > self.most:
-            self.memo.clear()
-        texts = [p.decode() for p in pieces]
-        plain = [i for i, t in enumerate(texts) if not t.isspace() and "\x01" not in t]
-        alone = set(range(len(texts))).difference(plain)
-        groups = [plain[i : i + group] for i in range(0, len(plain), group)]
-        joined = [self.between.join(["", *(texts[i] for i in g), ""]) for g in groups]
-        size = self.dtype.itemsize
-        for g, x in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(x.ids, self.dtype)
-            at = np.flatnonzero(ids == self.mark)
-            if len(at) != len(g) + 1:
-                alone.update(g)
-                continue
-            data = ids.tobytes()
-            self.memo.update([(pieces[i], data[(a + 1) * size : b * size])
-                              for i, a, b in zip(g, at.tolist(), at[1:].tolist())])
-        alone = sorted(alone)
-        self.memo.update(zip([pieces[i] for i in alone], self.whole([texts[i] for i in alone])))
+    def _batches(self, texts: list[str], cutter=None, most: int = 32) -> list[np.ndarray]:
+        """The ids of each text, cut by ``cutter`` instead of the tokenizer's pattern; of
+        ``most`` at a time the tokenizer holds more than the ids."""
+        if cutter is not None:
+            self.tokenizer.pre_tokenizer = cutter
+        try:
+            calls = (self.tokenizer.encode_batch_fast(texts[i : i + most], add_special_tokens=False) for i in range(0, len(texts), most))
+            return [np.array(x.ids, self.dtype) for found in calls for x in found]
+        finally:
+            if cutter is not None:
+                self.tokenizer.pre_tokenizer = self.plain
+
+    def _grouped(self, pieces: pa.BinaryArray, group: int = 256) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of all pieces, encoded many to a call, and how many each piece has;
+        None if that can't be told."""
+        bounds = np.append(np.arange(0, len(pieces), group), len(pieces))
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces)
+        joined = pc.binary_join(lists, self.between.encode()).to_pylist()
+        if self.byte_level:
+            texts = [self.letters[np.frombuffer(x, np.uint8)].tobytes().decode("utf-32-le") for x in joined]
+            ids = np.concatenate([np.zeros(0, self.dtype), *self._batches(texts, self.joined)])
+            upto = np.cumsum(self.letters_of[ids])
+            ends = np.cumsum(pc.binary_length(pieces).to_numpy(zero_copy_only=False), dtype=np.int64)
+            last = np.searchsorted(upto, ends)
+            if len(upto) < len(ends) or not np.array_equal(upto[np.minimum(last, len(upto) - 1)], ends):
+                return None
+            return ids, np.diff(last, prepend=-1)
+        texts = [f"{self.between}{x.decode()}{self.between}" for x in joined]
+        found = self._batches(texts)
+        if [np.count_nonzero(x == self.mark) for x in found] != (np.diff(bounds) + 1).tolist():
+            return None
+        ids = np.concatenate([np.zeros(0, self.dtype), *found])
+        # between two marks stand the ids of a piece, or two groups meet
+        counts = np.diff(np.flatnonzero(ids == self.mark)) - 1
+        return ids[ids != self.mark], np.delete(counts, np.cumsum(np.diff(bounds) + 1)[:-1] - 1)
+
+    def _new(self, pieces: pa.BinaryArray) -> pa.BinaryArray:
+        """The ids of each piece."""
+        plain = ~pc.match_substring(pieces, self.between.strip(" ")).to_numpy(zero_copy_only=False)
+        grouped = self._grouped(pieces.filter(pa.array(plain)))
+        if grouped is None:
+            plain[:] = False
+            grouped = np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        ids, counts = grouped
+        ends = np.cumsum(np.append(0, counts * self.dtype.itemsize)).astype(np.int32)
+        of_plain = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+        others = self.whole([x.decode() for x in pieces.filter(pa.array(~plain)).to_pylist()])
+        place = np.empty(len(pieces), np.int64)
+        place[plain] = np.arange(len(counts))
+        place[~plain] = len(counts) + np.arange(len(others))
+        return pa.concat_arrays([of_plain, pa.array(others, pa.binary())]).take(pa.array(place))
+
+    def _ids(self, pieces: pa.BinaryArray, end: bytes) -> pa.BinaryArray:
+        """The ids of each piece, ``end`` for what stands between texts."""
+        known, ids = self.memo
+        at = pc.index_in(pieces, pa.concat_arrays([known, pa.array([_CLOSE], pa.binary())]))
+        new = pieces.filter(pc.is_null(at))
+        ids = pa.concat_arrays([ids, pa.array([end], pa.binary()), self._new(new)])
+        place = at.fill_null(0).to_numpy(zero_copy_only=False).copy()
+        place[at.is_null().to_numpy(zero_copy_only=False)] = len(known) + 1 + np.arange(len(new))
+        found = ids.take(pa.array(place))
+        kept = pa.array(place != len(known))
+        if len(known) + len(new) > self.remember or known.nbytes + new.nbytes > _MEMO_BYTES:
+            self.memo = pieces.filter(kept), found.filter(kept)
+        else:
+            self.memo = pa.concat_arrays([known, new]), pa.concat_arrays([self.memo[1], ids.slice(len(known) + 1)])
+        return found
 
     def _apart(self, text: str) -> bool:
         if any(t in text for t in self.added):
@@ -118,27 +179,27 @@ class Encoder:
             return np.zeros(0, self.dtype), np.zeros(0, np.int64)
         if not self.byte_level:  # the tokenizer lower-cases; here ASCII, which changes no piece's bounds
             texts = [t.encode().lower().decode() for t in texts]
-        found, ends = cut(texts, self.starts, None if self.byte_level else is_lexical, with_ends=True)
-        pieces = found.dictionary.to_pylist()
-        close = BETWEEN.encode("utf-8", "surrogatepass")
-        ids = list(map(self.memo.get, pieces))
-        new = [p for p, x in zip(pieces, ids) if x is None and p != close]
-        if new:
-            self._learn(new)
-            gaps = [i for i, x in enumerate(ids) if x is None and pieces[i] != close]
-            for i in gaps:
-                ids[i] = self.memo[pieces[i]]
-        ids = [end if p == close else x for p, x in zip(pieces, ids)]
-        data, upto = gathered(pa.array(ids, pa.binary()), found.indices.to_numpy(zero_copy_only=False))
-        return data.view(self.dtype), upto[ends - 1].astype(np.int64) // self.dtype.itemsize
+        cuts, ends = zip(*(cut(texts[a:b], self.starts, None if self.byte_level else is_lexical, with_ends=True)
+                           for a, b in portions(texts, self.most)))
+        chunks = pa.chunked_array(cuts).unify_dictionaries().chunks
+        ids = self._ids(chunks[0].dictionary, end)
+        found, upto = zip(*(gathered(ids, x.indices.to_numpy(zero_copy_only=False)) for x in chunks))
+        before = np.cumsum([0, *map(len, found)])
+        upto = [n + u[e - 1].astype(np.int64) for n, u, e in zip(before, upto, ends)]
+        return np.concatenate(found).view(self.dtype), np.concatenate(upto) // self.dtype.itemsize
 
 
 def width(vocabulary: int) -> str:
     return "<u1" if vocabulary <= 1 << 8 else "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
+#: Bytes of text that a task encodes at once: the more, the fewer distinct pieces it meets again.
+SLICE = 8 << 20
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     return Encoder(path)
 
 
@@ -149,7 +210,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         end = np.array([end_id], enc.dtype).tobytes()
         tokens = docs = 0
         place = out = None
-        for batch in sliced(batches):
+        for batch in sliced(batches, size=SLICE):
             if out is None:
                 place = batch["place"][0].as_py()
                 out = [store.open_output_stream(f"{path}/{name}.{x}") for x in ("bin", "idx", "ids")]

@@ -98,6 +98,49 @@ def test_neighbours_share_a_window():
     assert set(first[:3]) == {0, 2, 4}
 
 
+def test_few_neighbours_are_looked_up_in_the_same_order(monkeypatch):
+    r = random.Random(12)
+    docs = [np.array([r.randrange(60) for _ in range(r.choice((1, 2, 5, 40, 90)))], "<u2") for _ in range(400)]
+    rules = Packing(window=200)
+    full, asked = InvertedIndex.neighbours, []
+
+    def eager():
+        index, used, first, seed, waiting, offset, order = InvertedIndex(docs, rules), np.zeros(len(docs), bool), 0, None, [], 0, []
+        while not used.all():
+            if not waiting:
+                while used[first]:
+                    first += 1
+            doc = waiting.pop(0) if waiting else first
+            used[doc] = True
+            order.append(doc)
+            offset += len(docs[doc])
+            if offset >= rules.window:
+                offset, seed, waiting = offset % rules.window, None, []
+            if seed is None and offset:
+                seed, waiting = doc, full(index, doc, used).tolist()
+        return order
+
+    monkeypatch.setattr(InvertedIndex, "neighbours", lambda self, doc, used, most=None: asked.append(most) or full(self, doc, used, most))
+    got = list(dict.fromkeys(x[0] for x in packing.packed(docs, rules)))
+    monkeypatch.undo()
+    assert got == eager()
+    assert sorted(asked)[len(asked) // 2] <= 8 < max(asked)
+
+
+def test_best_terms_are_those_of_each_document_alone():
+    r = random.Random(13)
+    docs = [np.array([r.randrange(300) for _ in range(r.randrange(1, 60))], "<u2") for _ in range(50)]
+    parts = [np.unique(d, return_counts=True) for d in docs]
+    terms, counts = (np.concatenate(x) for x in zip(*parts))
+    lengths = np.array([len(d) for d in docs])
+    corpus = packing.Frequencies.of(terms, lengths)
+    got = packing.best_terms(terms, counts, np.array([len(t) for t, _ in parts]), lengths, corpus, Packing())
+    for (t, c), size, best in zip(parts, lengths, got):
+        weights = dict(zip(t.tolist(), corpus.weights(t, c, size, Packing()).tolist()))
+        held = [x for x in weights if corpus.df[x] > 1]
+        assert best.tolist() == sorted(held, key=lambda x: (-weights[x], x))[:4]
+
+
 def test_near_copies_meet_in_a_shard(spark):
     r = random.Random(11)
     rows = []

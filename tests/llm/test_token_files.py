@@ -34,6 +34,20 @@ def test_pieces_give_the_ids_of_whole_texts(path):
     assert got == [[*x.ids, 1] for x in plain.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_distinct_pieces_of_a_call_are_encoded_once(path, monkeypatch):
+    r = random.Random(7)
+    words = ["".join(r.choice("abcdefghij") for _ in range(9)) for _ in range(300)]
+    texts = [" ".join(["x", *r.choices(words, k=40)]) for _ in range(200)]
+    e = Encoder(path, most=1000)  # many portions with the same pieces
+    seen = []
+    batches = e._batches
+    monkeypatch.setattr(e, "_batches", lambda texts, *more: seen.extend(texts) or batches(texts, *more))
+    ids, _ = e.encode(texts)
+    assert max(sum(w in t for t in seen) for w in words) == 1
+    assert ids.tolist() == [i for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False) for i in x.ids]
+
+
 def test_settled_code_points_are_alike_everywhere():
     plain, pattern = Tokenizer.from_file(BYTE).pre_tokenizer, regex.compile(public_tokenizers.PATTERN)
     for a, b in _SETTLED:
