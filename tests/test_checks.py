@@ -102,3 +102,56 @@ def test_issue_samples(spark):
     assert {r["OMITTED_COUNT"] for r in got["A"]} == {7} and {r["OMITTED_COUNT"] for r in got["C"]} == {0}
     # deterministic: the first rows in JSON order
     assert sorted(r["SAMPLE_ROW"] for r in got["A"]) == sorted(f'{{"K":"{i}"}}' for i in [0, 1, 10, 11, 2])
+
+
+def _listed_by_one_query(checks):
+    return sorted((r["QA_CHECK"], r["ISSUE_COUNT"]) for r in gate.issue_counts(checks).collect())
+
+
+def test_checks_counted_apart_are_the_same(spark):
+    from tallycheck.session import deletes_shuffles
+
+    df = spark.createDataFrame([(None, -1), ("a", None), ("a", 2), ("b", 3)], "k string, v int")
+    wrong = F.count_if(F.col("v").isNull() | (F.col("v") < 0))
+    checks = [gate.Check("d", "D", fixed.BLOCKING, C.duplicate_rows(df, ["k"], ["v"]), (), C.duplicate_count(df, ["k"], ["v"])),
+              gate.Check("w", "W", fixed.WARNING, C.null_or_negative(df, ["k"], "v", "X"), ((df, wrong), (df, F.count_if(F.lit(False))))),
+              gate.Check("m", "M", fixed.INFO, C.missing_from(df, df.filter("k = 'b'"), ["k"], None, ["k", "v"], "X")),
+              gate.Check("n", "N", fixed.INFO, df.limit(0))]
+    queries = []
+    collect = type(df).collect
+    try:
+        type(df).collect = lambda self: (queries.append(1), collect(self))[1]
+        got = deletes_shuffles(lambda spark: gate.counts_apart(checks))(spark)
+    finally:
+        type(df).collect = collect
+    assert got == [(1, "D", fixed.BLOCKING, 2), (2, "W", fixed.WARNING, 2), (3, "M", fixed.INFO, 3), (4, "N", fixed.INFO, 0)]
+    assert sorted((n, c) for _, n, _, c in got) == _listed_by_one_query(checks) and len(queries) == 4
+
+
+def test_samples_of_parts_are_those_of_the_whole(spark):
+    # one query a check, or part of one: its shuffles can go before the next begins
+    df = spark.createDataFrame([("p", "c", 1, 5, 7), ("p", "c", 2, 5, 8), ("q", "c", 1, 1, 1), ("q", "c", 1, 2, None),
+                                ("é", "c", 4, 2, 1), ("é", "c", 5, 3, 1), ("z", "c", None, None, None)], "P string, C string, A int, B int, D int")
+    whole = C.inconsistent_values(df, ["P", "C"], ["A", "B", "D"])
+    parts = tuple(C.inconsistent_values(df, ["P", "C"], [f]) for f in "ABD")
+    assert sorted(map(str, whole.collect())) == sorted(str(r) for part in parts for r in part.collect())
+    assert C.inconsistent_count(df, ["P", "C"], ["A", "B", "D"]).first()["n"] == whole.count() == 5
+    samples = [gate.issue_samples([gate.Check("r", "R", fixed.INFO, whole, (), None, x)], 3).collect() for x in ((), parts)]
+    assert sorted(map(str, samples[0])) == sorted(map(str, samples[1])) and len(samples[0]) == 3
+    assert {(r["ISSUE_COUNT"], r["OMITTED_COUNT"]) for r in samples[1]} == {(5, 2)}
+
+
+def test_keys_are_combined_before_they_are_looked_up(spark):
+    # 30,000 rows of two keys: what is joined is two rows, not all
+    df = spark.range(30000).select(F.when(F.col("id") % 2 == 0, "x").alias("k"), F.col("id").alias("v"))
+    parent = spark.range(5).select(F.col("id").cast("string").alias("p"))
+    out = C.missing_from(df, parent, ["k"], ["p"], ["k"], "X")
+    assert rows(out, "k") == sorted([("x",), (None,)], key=repr)
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")  # a parent that has to be shuffled
+    try:
+        plan = C.missing_from(df, parent, ["k"], ["p"], ["k"], "X")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert plan.index("LeftAnti") < plan.index("Aggregate [k")
+    assert C.missing_from(df, parent, ["k"], ["p"], ["k", "v"], "X").count() == 30000
