@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,20 +97,44 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).json(path)
 
 
-def published(spark: SparkSession, root: str, schemas: Mapping[str, object] | None = None) -> dict[str, DataFrame]:
+class Published(Mapping):
+    """Table name -> DataFrame, each looked at and read when it is asked for."""
+
+    def __init__(self, names: Iterable[str], read: Callable[[str], DataFrame]):
+        self._names, self._read, self._tables = list(names), read, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._tables:
+            self._tables[name] = self._read(name)
+        return self._tables[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._names
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+def published(spark: SparkSession, root: str, schemas: Mapping[str, object] | None = None) -> Mapping[str, DataFrame]:
     """The tables of the latest publication; empty if there is none. CSV tables are
-    text, or cast to the schema given for them."""
+    text, or cast to the schema given for them. The publication is chosen now; a
+    table's files are looked at when it is asked for."""
     last = manifest(spark, root).orderBy(F.desc("sequence"), F.desc("run")).first()
     if last is None:
-        return {}
-    found = {}
-    for name in last["tables"]:
+        return Published([], None)
+
+    def read(name: str) -> DataFrame:
         path = f"{root.rstrip('/')}/runs/{last['run']}/{name}"
-        if last["format"] == "csv":
-            df = read_text_csv(spark, path, empty_is_null=False)
-            if schemas and name in schemas:
-                df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schemas[name]])
-        else:
-            df = spark.read.format(last["format"]).load(path)
-        found[name] = df
-    return found
+        if last["format"] != "csv":
+            return spark.read.format(last["format"]).load(path)
+        df = read_text_csv(spark, path, empty_is_null=False)
+        if schemas and name in schemas:
+            df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schemas[name]])
+        return df
+
+    return Published(last["tables"], read)

@@ -178,3 +178,23 @@ def test_large_tables_of_a_run_can_be_compressed(spark, tmp_path):
     a, b = (published(spark, str(tmp_path / x)) for x in "ab")
     for name in ("verification_comparison", "mobile_qr_results", "results_snapshot"):
         assert sorted(map(str, a[name].collect())) == sorted(map(str, b[name].collect()))
+
+
+def test_guard_and_checks_read_the_mapped_rows_once(spark, tmp_path, monkeypatch):
+    """The mapped side is written once, the guard is the comparison's own, and each check
+    is a query of its own, so no plan of a run holds many others."""
+    root = str(tmp_path / "in")
+    write_inputs(root)
+    kept, listed = [], []
+    write, unique = election.write_table, election.assert_unique
+    monkeypatch.setattr(election, "write_table", lambda df, path, **x: (kept.append(os.path.basename(path)), write(df, path, **x))[1])
+    monkeypatch.setattr(election, "assert_unique", lambda *a: (listed.append(1), unique(*a)))
+    r = election.run(spark, root)
+    assert {"qr_side", "ballot_map", "candidates", "contests", "parties", "comparison"} <= set(kept) and not listed
+    scans = r.issues["unmapped_qr_choices"]._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in scans and "csv" not in scans.lower().replace("csv_", "")
+    qr = FILES["Raw Sources/Mobile App/qr_results.csv"] + "E1,01295000,2,41\n"
+    write_inputs(root, override={"Raw Sources/Mobile App/qr_results.csv": qr})
+    with pytest.raises(DuplicateKeyError, match="QR: 1 keys occur more than once, first of them: 01001"):
+        election.run(spark, root)
+    assert listed == [1]

@@ -96,3 +96,18 @@ def test_run_that_lacks_a_table_is_not_published(spark, tmp_path, monkeypatch):
     reasons = [bad.add(name, df) for name, df in _tables(spark, 2).items()]
     assert reasons == [None, "disk full"] and not bad.publish()
     assert bad.failed == {"two": "disk full"} and _seen(spark, root) == {"one": 1, "two": 1}
+
+
+def test_tables_are_looked_at_when_they_are_asked_for(spark, tmp_path):
+    root = str(tmp_path / "out")
+    out = Publication(spark, root)
+    for name, df in _tables(spark, 1).items():
+        out.add(name, df)
+    out.publish()
+    read, tables = [], published(spark, root)
+    try:
+        whole, sinks.read_text_csv = sinks.read_text_csv, lambda s, path, **x: (read.append(path), whole(s, path, **x))[1]
+        assert len(tables) == 2 and "one" in tables and read == []
+        assert tables["two"].count() == tables["two"].count() == 1 and [x.endswith("/two") for x in read] == [True]
+    finally:
+        sinks.read_text_csv = whole
